@@ -118,12 +118,12 @@ def categorical_drift(
     # Two sides, so the smaller table dimension minus one is 1 (given at least two values).
     return (
         cells.withColumn("_t", pair)
-        .agg(F.sum(chi).alias("chi2"), F.sum(row).alias("rows"), F.count(F.lit(1)).alias("values"))
+        .agg(F.sum(chi).alias("chi2"), F.sum(row).alias("rows"), F.count(F.lit(1)).alias("n_values"))
         .select(
             F.lit(column).alias("field"),
             "chi2",
-            "values",
-            F.when(F.col("values") > 1, F.sqrt(F.col("chi2") / F.col("rows"))).otherwise(0.0).alias("cramers_v"),
+            "n_values",
+            F.when(F.col("n_values") > 1, F.sqrt(F.col("chi2") / F.col("rows"))).otherwise(0.0).alias("cramers_v"),
         )
         .withColumn("drifted", F.col("cramers_v") > threshold)
     )

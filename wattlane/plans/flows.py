@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from wattlane.functions.time import parse_time
 from wattlane.operators import (
-    alerts, autoregression, cleaning, drift, features, folds, joins, kpi, metrics, ordering,
+    alerts, autoregression, boosted, cleaning, drift, features, folds, joins, kpi, metrics, ordering, supervised,
 )
 from wattlane.panel import Panel
+from wattlane.session import materialize
 
 TARGET = "total_load_actual"
 ONE_SERIES = Panel(keys=())
@@ -118,3 +119,20 @@ def monitoring_cycle(
     """Alerts of one monitoring run."""
     table = monitoring_metrics(reference, current, pairs, columns, actual, predicted)
     return alerts.evaluate(table.withColumn("run_ts", run_ts), rules)
+
+
+def train_and_compare(
+    df: DataFrame, panel: Panel, target: str, models: Mapping[str, object], fraction: float = 0.8,
+    lags: Sequence[int] = features.BOOSTED_LAGS, windows: Sequence[int] = features.BOOSTED_WINDOWS,
+) -> DataFrame:
+    """Make features, fit every estimator on the training rows, score on the test rows, flag the best.
+
+    The feature table is written once: learners pass over it many times.
+    """
+    rows, names, _ = supervised.supervised_split(df, panel, target, fraction, lags, windows)
+    saved = materialize(rows, "features")
+    scored = boosted.compare(
+        saved.filter("split = 'train'"), saved.filter("split = 'test'"), names, target, models
+    )
+    best = metrics.best_by_error(scored, error="mae").select("best_model").scalar()
+    return scored.withColumn("is_best", F.col("model") == best)

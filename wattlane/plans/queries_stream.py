@@ -1 +1,179 @@
+"""Streaming jobs run to the end of the available data; results are read back from their tables."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+from wattlane.operators import alerts, boosted, drift, features, folds
+from wattlane.plans import views
+from wattlane.plans.catalog import emit, oracle, query
+from wattlane.plans.views import HOURLY, PAIRS, RAW, RAW_EVENTS, SERIES
+from wattlane.session import scratch_path
+from wattlane.streaming import jobs
+
+
+def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The events file as a stream; watermarks need instants, not zone-free times."""
+    schema = spark.read.parquet(f"{folder}/events.parquet").schema
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    stream = jobs.read_parquet_stream(spark, folder, schema, name="events.parquet")
+    return stream.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _stream_of(df: DataFrame, label: str) -> DataFrame:
+    """A stream over rows that are first written to files."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return jobs.read_parquet_stream(spark, path, df.schema)
+
+
+def _collected(stream: DataFrame, label: str, mode: str = "append") -> DataFrame:
+    spark = stream.sparkSession
+    path = scratch_path(spark, label)
+    jobs.finish(jobs.to_table(stream, path, mode))
+    return spark.read.schema(T.StructType([*stream.schema.fields, T.StructField("batch_id", T.LongType())])).parquet(path)
+
+
+@query(
+    "STM1 AGG2",
+    oracle(
+        """WITH h AS (
+  SELECT event_type AS series, date_trunc('hour', ts) AS ts, sum(value) AS load, count(*) AS n, avg(value) AS mean FROM events GROUP BY 1, 2)
+SELECT * FROM h WHERE ts + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""",
+        "load mean", "n",
+    ),
+)
+def stream_hourly_load(spark: SparkSession, folder: str) -> DataFrame:
+    """Closed hours only: open ones are held back by the watermark."""
+    events = _event_stream(spark, folder).withColumnRenamed("event_type", "series")
+    rows = _collected(jobs.hourly_load(events, ["series"], "ts", "value"), "hours")
+    return emit(rows, "series", "ts", "load", "n", "mean")
+
+
+@query(
+    "STM2 AGG13 AGG15 AGG16",
+    oracle(
+        f"""WITH {PAIRS},
+spread AS (SELECT p.*, ts - to_hours(CAST(k AS BIGINT)) AS window_start FROM pairs p, generate_series(0, 23) AS g(k)),
+w AS (
+  SELECT window_start, window_start + INTERVAL 24 HOUR AS window_end, count(*) AS rows, avg(abs(actual - prediction)) AS mae,
+    avg(abs(actual - prediction)) FILTER (WHERE hour(ts) IN (17, 18, 19, 20)) AS peak_mae, avg(actual - prediction) AS forecast_bias,
+    sum(abs(actual - prediction)) * 0.12::DOUBLE AS total_error_cost,
+    greatest(0, (1 - sum(abs(actual - prediction)) * 0.12::DOUBLE / nullif(sum(actual) * 0.12::DOUBLE, 0)) * 100) AS business_impact_score
+  FROM spread GROUP BY 1)
+SELECT * FROM w WHERE window_end <= (SELECT max(ts) - INTERVAL 1 HOUR FROM pairs)""",
+        "mae peak_mae forecast_bias total_error_cost business_impact_score", "rows",
+    ),
+)
+def stream_sliding_kpis(spark: SparkSession, folder: str) -> DataFrame:
+    stream = _stream_of(views.pairs(spark, folder), "pairs")
+    return emit(_collected(jobs.sliding_kpis(stream, "ts"), "kpis").drop("batch_id"))
+
+
+_STREAM_RULES = (
+    ("large view", "view", ">", 30.0, "warning", ""),
+    ("small click", "click", "<", 2.0, "info", ""),
+    ("large error", "error", ">=", 50.0, "error", ""),
+)
+
+
+@query(
+    "STM3 CND1 WIN22",
+    oracle(
+        """WITH rules(rule_name, metric, op, threshold, severity) AS (VALUES
+  ('large view', 'view', '>', 30, 'warning'), ('small click', 'click', '<', 2, 'info'), ('large error', 'error', '>=', 50, 'error'))
+SELECT rule_name, severity, count(*) AS trigger_count, max(ts) AS last_triggered FROM events JOIN rules ON event_type = metric
+WHERE CASE op WHEN '>' THEN value > threshold WHEN '<' THEN value < threshold ELSE value >= threshold END GROUP BY 1, 2""",
+        ints="trigger_count",
+    ),
+)
+def stream_rule_triggers(spark: SparkSession, folder: str) -> DataFrame:
+    """The newest count of every rule."""
+    figures = _event_stream(spark, folder).select("ts", F.col("event_type").alias("metric"), "value")
+    counts = jobs.count_triggers(figures, alerts.rules_table(spark, _STREAM_RULES), "ts")
+    rows = _collected(counts, "triggers", "update")
+    latest = rows.groupBy("rule_name", "severity").agg(
+        F.max_by("trigger_count", "batch_id").alias("trigger_count"), F.max("last_triggered").alias("last_triggered")
+    )
+    return emit(latest)
+
+
+_LOOSE = T.StructType([
+    T.StructField("time", T.StringType(), False), T.StructField("load", T.DoubleType()), T.StructField("code", T.IntegerType()),
+])
+
+
+@query(
+    "STM4 SRC4 SRC5",
+    oracle(
+        """SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS time, CASE WHEN event_id % 11 = 3 THEN NULL ELSE value END AS load,
+       user_id AS code, true AS accepted FROM events WHERE event_id % 40 <> 7
+UNION ALL SELECT strftime(ts, '%Y-%m-%d %H:%M:%S'), NULL, user_id, false FROM events WHERE event_id % 40 = 7""",
+        "load", "code",
+    ),
+)
+def stream_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    events = views.table(spark, folder, "events")
+    raw = events.select(
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("time"),
+        F.when(F.col("event_id") % 40 == 7, "broken").when(F.col("event_id") % 11 == 3, "NA")
+        .otherwise(F.col("value").cast("string")).alias("load"),
+        F.col("user_id").cast("string").alias("code"),
+    )
+    good, bad = scratch_path(spark, "good"), scratch_path(spark, "bad")
+    jobs.finish(jobs.quarantine(_stream_of(raw, "raw"), _LOOSE, good, bad))
+    accepted = spark.read.parquet(good).select("time", "load", "code", F.lit(True).alias("accepted"))
+    rejected = spark.read.parquet(bad).select(
+        "time", F.col("load").try_cast("double").alias("load"), F.col("code").cast("int").alias("code"),
+        F.lit(False).alias("accepted"),
+    )
+    return emit(accepted.unionByName(rejected))
+
+
+@query(
+    "STM5 PL11 AGG20",
+    oracle(
+        f"""WITH {RAW_EVENTS}, facts AS (SELECT count(*) AS c FROM raw),
+sides AS (SELECT *, pos < floor(c * CAST(0.9 AS DOUBLE)) AS ref FROM raw, facts),
+m AS (
+  SELECT 'value' AS field, avg(value) FILTER (WHERE ref) AS reference_mean, avg(value) FILTER (WHERE NOT ref) AS current_mean FROM sides
+  UNION ALL SELECT 'user_id', avg(user_id) FILTER (WHERE ref), avg(user_id) FILTER (WHERE NOT ref) FROM sides)
+SELECT *, abs(reference_mean - current_mean) > 0.1::DOUBLE * abs(reference_mean) AS drifted FROM m""",
+        "reference_mean current_mean",
+    ),
+)
+def stream_monitoring(spark: SparkSession, folder: str) -> DataFrame:
+    """Arriving batches are compared with the fixed reference by the batch operator."""
+    both = folds.reference_and_current(views.raw_events(spark, folder), RAW)
+    reference = both.filter("batch = 'reference'")
+    path = scratch_path(spark, "drift")
+    arriving = _stream_of(both.filter("batch = 'current'").coalesce(1), "current")
+    jobs.finish(jobs.monitor(arriving, lambda b: drift.mean_shift(reference, b, ["value", "user_id"]), path))
+    return emit(spark.read.parquet(path), "field", "reference_mean", "current_mean", "drifted")
+
+
+@query(
+    "STM6 SNK7",
+    oracle(
+        f"""WITH {HOURLY},
+lagged AS (SELECT series, ts, load, lag(load, 1) OVER w AS l1 FROM hourly WINDOW w AS (PARTITION BY series ORDER BY ts)),
+m AS (SELECT regr_slope(load, l1) AS b, regr_intercept(load, l1) AS a FROM lagged WHERE load IS NOT NULL AND l1 IS NOT NULL)
+SELECT series, ts, a + b * l1 AS prediction FROM lagged, m WHERE load IS NOT NULL AND l1 IS NOT NULL""",
+        "prediction", digits=4,
+    ),
+)
+def stream_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    rows = features.add_lags(views.hourly(spark, folder), SERIES, ["load"], [1]).dropna(subset=["load", "load_lag_1"])
+    model = boosted.fit(rows, ["load_lag_1"], boosted.linear("load"))
+    path = scratch_path(spark, "scored")
+    jobs.finish(jobs.score(_stream_of(rows, "arriving"), model, path))
+    return emit(spark.read.parquet(path), "series", "ts", "prediction", digits=4)
+
+
+@query("STM7 WIN20", oracle("SELECT event_id, value FROM events", "value", "event_id"))
+def stream_first_seen(spark: SparkSession, folder: str) -> DataFrame:
+    """Every event arrives twice and is kept once."""
+    events = views.table(spark, folder, "events").select("event_id", "ts", "value")
+    stream = _stream_of(events.unionByName(events), "twice")
+    return emit(_collected(jobs.first_seen(stream, ["event_id"], "ts"), "unique"), "event_id", "value")

@@ -86,7 +86,7 @@ def weather(spark: SparkSession, folder: str) -> DataFrame:
     return events.groupBy(
         F.date_trunc("hour", "ts").alias("ts"), F.concat(F.lit("c"), F.col("user_id") % 5).alias("city")
     ).agg(
-        (F.avg("value") / 2 - 5).alias("temp"),
+        (3 * F.sqrt(F.avg("value")) - 5).alias("temp"),
         (1.5 * F.count("value")).alias("wind_speed"),
         (F.sum(k) % 120).cast("double").alias("humidity"),
         F.min("event_type").alias("weather_main"),
@@ -96,7 +96,7 @@ def weather(spark: SparkSession, folder: str) -> DataFrame:
 WEATHER = r"""
 weather AS (
   SELECT date_trunc('hour', ts) AS ts, 'c' || CAST(user_id % 5 AS VARCHAR) AS city,
-         avg(value) / 2 - 5 AS temp, CAST(1.5 AS DOUBLE) * count(value) AS wind_speed,
+         3 * sqrt(avg(value)) - 5 AS temp, CAST(1.5 AS DOUBLE) * count(value) AS wind_speed,
          CAST(sum(CAST(regexp_extract(props, '(\d+)', 1) AS BIGINT)) % 120 AS DOUBLE) AS humidity,
          min(event_type) AS weather_main
   FROM events GROUP BY 1, 2)"""
@@ -120,21 +120,21 @@ merged AS (
 def supplier_daily(spark: SparkSession, folder: str) -> DataFrame:
     """Daily quantity per supplier on a full grid (NULL on days without shipment)."""
     lines = table(spark, folder, "lineitem").select(
-        F.col("l_suppkey").alias("series"), F.col("l_shipdate").alias("ts"), "l_quantity", "l_extendedprice"
+        F.col("l_suppkey").alias("series"), F.col("l_shipdate").alias("ts"), "l_quantity"
     )
     return resample(
-        lines, SERIES, "D", {"load": ("l_quantity", "total"), "revenue": ("l_extendedprice", "sum")}
+        lines, SERIES, "D", {"load": ("l_quantity", "total"), "quantity": ("l_quantity", "sum")}
     )
 
 
 SUPPLIER = """
 supplier_cells AS (
-  SELECT l_suppkey AS series, l_shipdate AS ts, sum(l_quantity) AS load, sum(l_extendedprice) AS revenue
+  SELECT l_suppkey AS series, l_shipdate AS ts, sum(l_quantity) AS load
   FROM lineitem GROUP BY 1, 2),
 supplier_ends AS (SELECT series, min(ts) AS lo, max(ts) AS hi FROM supplier_cells GROUP BY 1),
 supplier_grid AS (SELECT series, unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS ts FROM supplier_ends),
 supplier AS (
-  SELECT g.series, g.ts, c.load, coalesce(c.revenue, 0) AS revenue,
+  SELECT g.series, g.ts, c.load, coalesce(c.load, 0) AS quantity,
          row_number() OVER (PARTITION BY g.series ORDER BY g.ts) - 1 AS pos
   FROM supplier_grid g LEFT JOIN supplier_cells c ON g.series = c.series AND g.ts = c.ts)"""
 

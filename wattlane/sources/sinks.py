@@ -36,7 +36,7 @@ def build_report(folds: DataFrame, now: Column, tests: DataFrame | None = None)
     )
     best = metrics.best_by_error(metrics.fold_summary(folds)).select("best_model").scalar()
     return (
-        per_model.agg(F.map_from_entries(F.sort_array(F.collect_list(entry))).alias("model_comparison"))
+        per_model.agg(F.map_from_entries(F.collect_list(entry)).alias("model_comparison"))
         .withColumn("best_model", best)
         .select(
             F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"),
