@@ -172,7 +172,7 @@ def validate(df: DataFrame, panel: Panel, target: str, p: int = 1, d: int = 1, h
     # One step ahead, the forecast error is the same before and after differencing.
     inside = (
         attach(rows, fitted, panel.keys)
-        .dropna(subset=["_z", *regressors])
+        .filter(F.forall(F.array("_z", *regressors), lambda v: v.isNotNull()))
         .select(*panel.keys, panel.pos, F.col(target).alias("actual"), (F.col("_z") - step).alias("resid"))
         .withColumn("prediction", F.col("actual") - F.col("resid"))
     )

@@ -42,22 +42,16 @@ def resample(
 ) -> DataFrame:
     """Resample to a regular grid; ``aggregates`` maps output name to ``(column, method)``.
 
-    Empty steps give NULL for mean/first/last/min/max/total and 0 for sum and count.  Grid rows are added
-    to the input before the one grouping, so filling gaps needs no join, and partial aggregation
-    shrinks hot series before the shuffle.  Adds ``pos``, which is free on a regular grid.
+    Empty steps give NULL for mean/first/last/min/max/total and 0 for sum and count.  Rows are
+    reduced to cells before any shuffle (so a hot series costs one row per step and task), and the
+    cells meet the grid on their unique key.  Adds ``pos``, which is free on a regular grid.
     """
     unit, _ = _step(freq)
     inputs = sorted({c for c, _ in aggregates.values()})
-    rows = df.select(*panel.keys, F.col(panel.ts).alias("_at"), *inputs).withColumn(
-        "_step", F.date_trunc(unit, "_at")
-    )
-    grid = spine(df, panel, freq).withColumnRenamed(panel.ts, "_step")
-    both = rows.filter(F.col("_at").isNotNull()).unionByName(grid, allowMissingColumns=True)
-    exprs = []
+    rows = df.filter(F.col(panel.ts).isNotNull()).select(*panel.keys, F.col(panel.ts).alias("_at"), *inputs)
+    exprs, empty = [], {}
     for name, (column, method) in aggregates.items():
-        if method == "sum":
-            expr = F.coalesce(F.sum(column), F.lit(0.0))
-        elif method == "total":
+        if method in ("sum", "total"):
             expr = F.sum(column)
         elif method == "mean":
             expr = F.avg(column)
@@ -70,10 +64,17 @@ def resample(
         else:
             raise ValueError(f"unknown resampling method: {method}")
         exprs.append(expr.alias(name))
-    return (
-        both.groupBy(*panel.keys, "_step")
-        .agg(*exprs, F.max(panel.pos).cast("long").alias(panel.pos))
-        .withColumnRenamed("_step", panel.ts)
+        if method == "sum":
+            empty[name] = 0.0
+        elif method == "count":
+            empty[name] = 0
+    cells = rows.groupBy(*panel.keys, F.date_trunc(unit, "_at").alias(panel.ts)).agg(*exprs)
+    full = spine(df, panel, freq).join(cells, [*panel.keys, panel.ts], "left")
+    return full.select(
+        *panel.keys,
+        panel.ts,
+        *[F.coalesce(n, F.lit(empty[n])).alias(n) if n in empty else F.col(n) for n in aggregates],
+        F.col(panel.pos).cast("long").alias(panel.pos),
     )
 
 

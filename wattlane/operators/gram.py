@@ -21,24 +21,23 @@ class Gram:
     xx: np.ndarray
 
 
-def entries(target: str, regressors: Sequence[str]) -> list[Column]:
+def entries(width: int) -> list[Column]:
     """Products whose sums describe the regression: 1, y*y, x*y and the upper triangle of x*x."""
-    y = F.col(target)
-    out = [F.lit(1.0), y * y]
-    out += [F.col(x) * y for x in regressors]
-    for i, a in enumerate(regressors):
-        out += [F.col(a) * F.col(b) for b in regressors[i:]]
-    return out
+    y = F.col("_t")
+    x = [F.get("_x", F.lit(i)) for i in range(width)]
+    out = [F.lit(1.0), y * y, *[v * y for v in x]]
+    return out + [x[i] * x[j] for i in range(width) for j in range(i, width)]
 
 
 def sums(df: DataFrame, by: Sequence[str], target: str, regressors: Sequence[str]) -> DataFrame:
-    """Column ``_gram`` per group, over the rows where target and regressors are known."""
-    complete = df.dropna(subset=[target, *regressors])
-    return complete.groupBy(*by).agg(F.array(*[F.sum(e) for e in entries(target, regressors)]).alias("_gram"))
-
-
-def add(a: Column, b: Column) -> Column:
-    return F.zip_with(a, b, lambda x, y: x + y)
+    """Column ``_gram`` per group, over the rows where target and regressors are known.
+
+    The regressors travel as one array: a null check on dozens of derived columns would make the
+    optimizer infer constraints between all of them.
+    """
+    packed = df.select(*by, F.col(target).alias("_t"), F.array(*regressors).alias("_x"))
+    complete = packed.filter(F.col("_t").isNotNull() & F.forall("_x", lambda v: v.isNotNull()))
+    return complete.groupBy(*by).agg(F.array(*[F.sum(e) for e in entries(len(regressors))]).alias("_gram"))
 
 
 def unpack(flat, width: int) -> Gram:

@@ -16,7 +16,7 @@ from wattlane.operators.params import attach
 from wattlane.session import materialize
 
 # Distinct values one aggregation buffer may hold.
-DIRECT_ROWS = 2_000_000
+DIRECT_ROWS = 1_000_000
 _GRID = 1000
 _ACCURACY = 10_000
 
@@ -36,12 +36,15 @@ def quantiles(
     sizes = df.groupBy(*by).agg(*[F.count(c).alias(f"_n{i}") for i, c in enumerate(columns)])
     peak = sizes.agg(F.max(F.greatest(F.lit(0), *[F.col(f"_n{i}") for i in range(len(columns))]))).first()[0]
     if (peak or 0) <= direct_rows:
-        return df.groupBy(*by).agg(
+        wanted = F.array(*[F.lit(float(q)) for q in probs])
+        found = df.groupBy(*by).agg(*[F.percentile(c, wanted).alias(f"_p{i}") for i, c in enumerate(columns)])
+        return found.select(
+            *by,
             *[
-                F.percentile(c, F.lit(float(q))).alias(quantile_name(c, q))
-                for c in columns
-                for q in probs
-            ]
+                F.col(f"_p{i}")[j].alias(quantile_name(c, q))
+                for i, c in enumerate(columns)
+                for j, q in enumerate(probs)
+            ],
         )
     parts = [_bracketed(df, c, probs, by, direct_rows) for c in columns]
     out = parts[0]
@@ -56,76 +59,70 @@ def _bracketed(
     value = F.col(column)
     known = df.filter(value.isNotNull()).select(*by, column)
     slots = range(len(probs))
-    ends = [F.min(column).alias("_min"), F.max(column).alias("_max")]
-    state = known.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), *ends)
-    for i in slots:
-        state = (
-            state.withColumn(f"_lo{i}", F.col("_min")).withColumn(f"_hi{i}", F.col("_max"))
-            .withColumn(f"_below{i}", F.lit(0).cast("long")).withColumn(f"_in{i}", F.col("_n"))
+    # One sketch of the whole group serves every quantile.
+    sketch = known.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.min(column).alias("_min"),
+        F.max(column).alias("_max"),
+        F.percentile_approx(column, _grid(), _ACCURACY).alias("_g"),
+    )
+    first = sketch.select(
+        *by, "_n", *[c for i, q in enumerate(probs) for c in _cut((F.col("_n") - 1) * float(q) / F.col("_n"), "_g", i)]
+    )
+    state = materialize(_count(known, first, column, probs, by), "brackets")
+    if not _hold(state, probs):
+        whole = sketch.select(
+            *by, "_n", *[c for i in slots for c in (F.col("_min").alias(f"_lo{i}"), F.col("_max").alias(f"_hi{i}"))]
         )
-    state = materialize(state.drop("_min", "_max"), "brackets")
-    while True:
+        state = materialize(_count(known, whole, column, probs, by), "brackets")
+    while _widest(state, probs) > direct_rows:
         narrowed = materialize(_narrow(known, state, column, probs, by), "brackets")
-        held = narrowed.agg(*[F.min(f"_ok{i}").alias(f"k{i}") for i in slots]).first()
-        if not all(held):
+        if not _hold(narrowed, probs):
             break  # a sketch missed its promised error: the wider bracket is still right
         state = narrowed
-        widest = state.agg(F.max(F.greatest(F.lit(0), *[F.col(f"_cells{i}") for i in slots]))).first()[0]
-        if widest <= direct_rows:
-            break
-    picks = []
+    # Equal values are counted, not listed, so one heavy value does not fill a bracket; one pass
+    # serves all quantiles.
+    hits = F.array_compact(
+        F.array(*[F.when(value.between(F.col(f"_lo{i}"), F.col(f"_hi{i}")), F.lit(i)) for i in slots])
+    )
+    cells = (
+        attach(known, state, by)
+        .select(*by, column, F.explode(hits).alias("_slot"))
+        .groupBy(*by, "_slot", column)
+        .agg(F.count(F.lit(1)).alias("_c"))
+    )
+    pairs = F.sort_array(F.collect_list(F.struct(value.alias("v"), F.col("_c").alias("c"))))
+    ranked = cells.groupBy(*by, "_slot").agg(pairs.alias("_pairs"))
+    inner = F.lit(None).cast("double")
     for i, q in enumerate(probs):
-        # Equal values are counted, not listed, so one heavy value does not fill the bracket.
-        cells = (
-            attach(known, state, by)
-            .filter(value.between(F.col(f"_lo{i}"), F.col(f"_hi{i}")))
-            .groupBy(*by, column, "_n", f"_below{i}")
-            .agg(F.count(F.lit(1)).alias("_c"))
-        )
-        pairs = F.sort_array(F.collect_list(F.struct(value.alias("v"), F.col("_c").alias("c"))))
-        ranked = cells.groupBy(*by, "_n", f"_below{i}").agg(pairs.alias("_pairs"))
-        inner = (F.col("_n") - 1) * F.lit(float(q)) - F.col(f"_below{i}")
-        low, high = _pick(F.floor(inner)), _pick(F.ceil(inner))
-        between = (F.ceil(inner) - inner) * low + (inner - F.floor(inner)) * high
-        exact = F.when(F.floor(inner) == F.ceil(inner), low).otherwise(between)
-        picks.append(ranked.select(*by, exact.alias(quantile_name(column, q))))
-    out = picks[0]
-    for part in picks[1:]:
-        out = out.join(part, list(by)) if by else attach(out, part)
-    return out
+        inner = F.when(F.col("_slot") == i, (F.col("_n") - 1) * F.lit(float(q)) - F.col(f"_below{i}")).otherwise(inner)
+    low, high = _pick(F.floor("_inner")), _pick(F.ceil("_inner"))
+    between = (F.ceil("_inner") - F.col("_inner")) * low + (F.col("_inner") - F.floor("_inner")) * high
+    exact = F.when(F.floor("_inner") == F.ceil("_inner"), low).otherwise(between)
+    found = attach(ranked, state, by).withColumn("_inner", inner).select(*by, "_slot", exact.alias("_v"))
+    return found.groupBy(*by).agg(
+        *[F.max(F.when(F.col("_slot") == i, F.col("_v"))).alias(quantile_name(column, q)) for i, q in enumerate(probs)]
+    )
 
 
-def _narrow(
-    known: DataFrame, state: DataFrame, column: str, probs: Sequence[float], by: Sequence[str]
+def _grid() -> Column:
+    return F.array(*[F.lit(k / _GRID) for k in range(_GRID + 1)])
+
+
+def _cut(share: Column, sketch: str, slot: int) -> list[Column]:
+    """Bracket around ``share`` of the sketched rows, wider than the sketch's error."""
+    low = F.greatest(F.floor(share * _GRID) - 1, F.lit(0)).cast("int")
+    high = F.least(F.ceil(share * _GRID) + 2, F.lit(_GRID)).cast("int")
+    return [F.get(sketch, low).alias(f"_lo{slot}"), F.get(sketch, high).alias(f"_hi{slot}")]
+
+
+def _count(
+    known: DataFrame, brackets: DataFrame, column: str, probs: Sequence[float], by: Sequence[str]
 ) -> DataFrame:
-    """One pass: sketch the rows inside each bracket, cut it around the wanted rank, count again."""
+    """Rows below and inside each bracket, its distinct values, and whether it holds the rank."""
     value = F.col(column)
-    slots = range(len(probs))
-    grid = F.array(*[F.lit(k / _GRID) for k in range(_GRID + 1)])
-    inside = attach(known, state, by)
-    kept = ["_n"] + [f"_{part}{i}" for i in slots for part in ("lo", "hi", "below", "in")]
-    sketched = inside.groupBy(*by).agg(
-        *[F.first(c).alias(c) for c in kept],
-        *[
-            F.percentile_approx(
-                F.when(value.between(F.col(f"_lo{i}"), F.col(f"_hi{i}")), value), grid, _ACCURACY
-            ).alias(f"_g{i}")
-            for i in slots
-        ],
-    )
-    cuts = [F.col("_n")]
-    for i, q in enumerate(probs):
-        share = ((F.col("_n") - 1) * F.lit(float(q)) - F.col(f"_below{i}")) / F.col(f"_in{i}")
-        low = F.greatest(F.floor(share * _GRID) - 1, F.lit(0)).cast("int")
-        high = F.least(F.ceil(share * _GRID) + 2, F.lit(_GRID)).cast("int")
-        cuts += [
-            F.get(f"_g{i}", low).alias(f"_lo{i}"),
-            F.get(f"_g{i}", high).alias(f"_hi{i}"),
-        ]
-    brackets = sketched.select(*by, *cuts)
-    counted = attach(known, brackets, by)
     aggs = [F.first("_n").alias("_n")]
-    for i in slots:
+    for i in range(len(probs)):
         hit = value.between(F.col(f"_lo{i}"), F.col(f"_hi{i}"))
         aggs += [
             F.first(f"_lo{i}").alias(f"_lo{i}"),
@@ -134,7 +131,7 @@ def _narrow(
             F.count_if(hit).alias(f"_in{i}"),
             F.approx_count_distinct(F.when(hit, value)).alias(f"_cells{i}"),
         ]
-    out = counted.groupBy(*by).agg(*aggs)
+    out = attach(known, brackets, by).groupBy(*by).agg(*aggs)
     for i, q in enumerate(probs):
         rank = (F.col("_n") - 1) * F.lit(float(q))
         ok = (F.col(f"_below{i}") <= F.floor(rank)) & (
@@ -144,6 +141,39 @@ def _narrow(
     return out
 
 
+def _hold(state: DataFrame, probs: Sequence[float]) -> bool:
+    held = state.agg(*[F.min(f"_ok{i}").alias(f"k{i}") for i in range(len(probs))]).first()
+    return all(v is not False for v in held)
+
+
+def _widest(state: DataFrame, probs: Sequence[float]) -> int:
+    cells = [F.col(f"_cells{i}") for i in range(len(probs))]
+    return state.agg(F.max(F.greatest(F.lit(0), *cells))).first()[0] or 0
+
+
+def _narrow(
+    known: DataFrame, state: DataFrame, column: str, probs: Sequence[float], by: Sequence[str]
+) -> DataFrame:
+    """One pass: sketch the rows inside each bracket, cut it around the wanted rank, count again."""
+    value = F.col(column)
+    slots = range(len(probs))
+    kept = ["_n"] + [f"_{part}{i}" for i in slots for part in ("lo", "hi", "below", "in")]
+    sketched = attach(known, state, by).groupBy(*by).agg(
+        *[F.first(c).alias(c) for c in kept],
+        *[
+            F.percentile_approx(
+                F.when(value.between(F.col(f"_lo{i}"), F.col(f"_hi{i}")), value), _grid(), _ACCURACY
+            ).alias(f"_g{i}")
+            for i in slots
+        ],
+    )
+    cuts = [F.col("_n")]
+    for i, q in enumerate(probs):
+        inside = ((F.col("_n") - 1) * F.lit(float(q)) - F.col(f"_below{i}")) / F.col(f"_in{i}")
+        cuts += _cut(inside, f"_g{i}", i)
+    return _count(known, sketched.select(*by, *cuts), column, probs, by)
+
+
 def _pick(rank: Column) -> Column:
     """Value at ``rank`` of the run-length list ``_pairs``."""
     start = F.struct(F.lit(0).cast("long").alias("seen"), F.lit(None).cast("double").alias("v"))

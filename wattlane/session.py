@@ -50,6 +50,8 @@ def local_session(app: str = "wattlane", cpus: int | str = "*", **conf: str) ->
         .appName(app)
         .config("spark.sql.shuffle.partitions", parts)
         .config("spark.sql.adaptive.enabled", "true")
+        # Hash instead of sort-merge joins, but only where every partition is known to be small.
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

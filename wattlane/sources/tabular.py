@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from wattlane.functions.time import parse_time
+from wattlane.session import materialize
 from wattlane.sources import schemas
 
 
@@ -115,11 +116,11 @@ def validate_rows(raw: DataFrame, schema: T.StructType, order: Sequence[str] = (
     budget = min(100, rows // 10)
     judged = cleaned.withColumn("_ok", F.coalesce(row_is_valid(cleaned, schema, numeric), F.lit(False)))
     bad = judged.filter(~F.col("_ok")).select(F.struct(*order).alias("_at"))
-    first_bad = bad.orderBy("_at").limit(budget + 1)
-    over = first_bad.agg(F.count(F.lit(1)).alias("n"), F.max("_at").alias("at"))
-    cut = over.first()["n"] > budget
+    # At most 101 keys; the cut travels as a one-row table, so it keeps the exact type of the order.
+    first_bad = materialize(bad.orderBy("_at").limit(budget + 1), "rejected")
+    cut = first_bad.count() > budget
     if cut:
-        judged = judged.filter(F.struct(*order) < over.select("at").scalar())
+        judged = judged.filter(F.struct(*order) < first_bad.agg(F.max("_at")).scalar())
     good = judged.filter("_ok").select(*typed(cleaned, schema))
     if good.isEmpty():
         raise ValueError("no valid records")
