@@ -6,11 +6,12 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from wattlane.operators import gram, metrics
 from wattlane.operators.chunks import lag_of, over_chunks
 from wattlane.operators.explore import ljung_box
+from wattlane.operators.ordering import block_offsets
 from wattlane.operators.params import attach
 from wattlane.panel import Panel
 
@@ -105,10 +106,12 @@ def walk_forward(
     # Fold k trains on blocks 0..k: block 0 ends where fold 0 starts.
     block = F.greatest(F.lit(0), F.floor((pos - window) / F.lit(horizon)) + 1).alias("fold")
     blocks = gram.sums(rows.select("*", block), [*keys, "fold"], "_z", regressors)
-    upto = Window.partitionBy(*keys).orderBy("fold").rowsBetween(Window.unboundedPreceding, 0)
     size = 2 + len(regressors) + len(regressors) * (len(regressors) + 1) // 2
-    folded = blocks.select(
-        *keys, "fold", F.array(*[F.sum(F.get("_gram", F.lit(i))).over(upto) for i in range(size)]).alias("_gram")
+    entries = [f"_g{i}" for i in range(size)]
+    wide = blocks.select(*keys, "fold", *[F.get("_gram", F.lit(i)).alias(g) for i, g in enumerate(entries)])
+    earlier = block_offsets(wide, keys, "fold", entries).withColumnsRenamed({g: f"{g}_before" for g in entries})
+    folded = wide.join(earlier, [*keys, "fold"]).select(
+        *keys, "fold", F.array(*[F.col(g) + F.col(f"{g}_before") for g in entries]).alias("_gram")
     )
     at_end = (pos >= window - 1) & ((pos - window + 1) % horizon == 0)
     origins = rows.filter(at_end).select(

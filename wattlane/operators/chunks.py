@@ -63,7 +63,7 @@ def lead_of(column: str, k: int) -> WindowExpr:
 _ROLLING = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
 
 
-def rolling_of(column: str, n: int, func: str, shift: int = 0) -> WindowExpr:
+def rolling_of(column: str | Column, n: int, func: str, shift: int = 0) -> WindowExpr:
     if func not in _ROLLING:
         raise ValueError(f"unknown rolling function: {func}")
 
@@ -88,15 +88,7 @@ def fill_both_ways(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(panel.pos))).alias(f"_l_{c}") for c in columns],
         *[F.min_by(c, F.when(F.col(c).isNotNull(), F.col(panel.pos))).alias(f"_f_{c}") for c in columns],
     )
-    ordered = Window.partitionBy(*keys).orderBy("_chunk")
-    earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    later = ordered.rowsBetween(1, Window.unboundedFollowing)
-    carried = edges.select(
-        *keys,
-        "_chunk",
-        *[F.last(f"_l_{c}", ignorenulls=True).over(earlier).alias(f"_p_{c}") for c in columns],
-        *[F.first(f"_f_{c}", ignorenulls=True).over(later).alias(f"_n_{c}") for c in columns],
-    )
+    carried = _known_around(edges, keys, columns)
     rows = Window.partitionBy(*keys, "_chunk").orderBy(panel.pos)
     upto = rows.rowsBetween(Window.unboundedPreceding, 0)
     onward = rows.rowsBetween(0, Window.unboundedFollowing)
@@ -112,3 +104,36 @@ def fill_both_ways(
             for c in df.columns
         ]
     )
+
+
+_SUPER = 4096
+
+
+def _known_around(edges: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """Last known value before and first known value after each chunk (``_p_``, ``_n_``).
+
+    The chunk table of a very long series is long itself, so it is cut once more.
+    """
+    staged = edges.withColumn("_super", F.floor(F.col("_chunk") / F.lit(_SUPER)))
+    at = F.col("_chunk")
+    supers = staged.groupBy(*keys, "_super").agg(
+        *[F.max_by(f"_l_{c}", F.when(F.col(f"_l_{c}").isNotNull(), at)).alias(f"_l_{c}") for c in columns],
+        *[F.min_by(f"_f_{c}", F.when(F.col(f"_f_{c}").isNotNull(), at)).alias(f"_f_{c}") for c in columns],
+    )
+
+    def around(table: DataFrame, window: WindowSpec, kept: list[str], mark: str) -> DataFrame:
+        earlier = window.rowsBetween(Window.unboundedPreceding, -1)
+        later = window.rowsBetween(1, Window.unboundedFollowing)
+        return table.select(
+            *kept,
+            *[F.last(f"_l_{c}", ignorenulls=True).over(earlier).alias(f"_{mark}p_{c}") for c in columns],
+            *[F.first(f"_f_{c}", ignorenulls=True).over(later).alias(f"_{mark}n_{c}") for c in columns],
+        )
+
+    inside = around(staged, Window.partitionBy(*keys, "_super").orderBy("_chunk"), [*keys, "_super", "_chunk"], "i")
+    across = around(supers, Window.partitionBy(*keys).orderBy("_super"), [*keys, "_super"], "a")
+    return inside.join(across, [*keys, "_super"]).select(
+        *keys,
+        "_chunk",
+        *[F.coalesce(f"_i{side}_{c}", f"_a{side}_{c}").alias(f"_{side}_{c}") for c in columns for side in ("p", "n")],
+    )

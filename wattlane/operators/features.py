@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from wattlane.functions import categories, energy, time as tm
 from wattlane.operators.chunks import DEFAULT_CHUNK, WindowExpr, lag_of, lead_of, over_chunks, rolling_of
@@ -81,8 +81,8 @@ def weather_values(df: DataFrame, column: str = "weather_main") -> list[str]:
     return sorted(r[0] for r in found)
 
 
-def add_weather(df: DataFrame, panel: Panel, conditions: Sequence[str] | None = None) -> DataFrame:
-    """Categories, temperature change and condition flags for the weather columns at hand."""
+def weather_columns(df: DataFrame, conditions: Sequence[str] | None = None) -> dict[str, Column]:
+    """Categories and condition flags for the weather columns at hand."""
     new = {}
     if "temp" in df.columns:
         new["temp_category"] = categories.temperature_category(F.col("temp"))
@@ -93,6 +93,12 @@ def add_weather(df: DataFrame, panel: Panel, conditions: Sequence[str] | None =
     if "weather_main" in df.columns:
         values = weather_values(df) if conditions is None else conditions
         new |= categories.one_hot("weather_main", values)
+    return new
+
+
+def add_weather(df: DataFrame, panel: Panel, conditions: Sequence[str] | None = None) -> DataFrame:
+    """Weather columns and the temperature change since the previous row."""
+    new = weather_columns(df, conditions)
     out = df.withColumns(new) if new else df
     if "temp" in df.columns:
         change = {"temp_change": lambda w: F.col("temp") - F.lag("temp", 1).over(w)}
@@ -132,36 +138,36 @@ def full_features(
     """Complete feature frame.
 
     The warm-up of the lags is dropped before rolling statistics, temperature change and price
-    volatility are taken, so those warm up again from the first row that is left.  Past that cut
-    every window reads the same trimmed rows, so they share one shuffle and one sort, as do lags
-    and targets with theirs.
+    volatility are taken, so those warm up again from the first row that is left.  Hiding the
+    warm-up rows from their frames gives the same values as dropping the rows first, and lets all
+    windows share one shuffle and one sort.
     """
     keys = [
         c for c in (target, "generation_solar", "generation_wind_onshore", "temp", "wind_speed")
         if c in df.columns
     ]
-    lagged = add_lags_and_trim(add_seasonal(df, panel), panel, keys, lags)
-    rowwise = {**energy.load_columns(df.columns), **energy.mix_columns(df.columns)}
-    if "temp" in df.columns:
-        rowwise["temp_category"] = categories.temperature_category(F.col("temp"))
-    if "wind_speed" in df.columns:
-        rowwise["wind_category"] = categories.wind_category(F.col("wind_speed"))
-    if "humidity" in df.columns:
-        rowwise["humidity_category"] = categories.humidity_category(F.col("humidity"))
-    if "weather_main" in df.columns:
-        values = weather_values(df) if conditions is None else conditions
-        rowwise |= categories.one_hot("weather_main", values)
-    windowed = rolling_columns(keys, windows, ROLLING)
-    reach = max(windows) - 1
+    warm = max(lags, default=0)
+
+    def left(column: str) -> Column:
+        return F.when(F.col(panel.pos) >= warm, F.col(column))
+
+    windowed = {f"{c}_lag_{k}h": lag_of(c, k) for c in keys for k in lags}
+    for c in keys:
+        for n in windows:
+            for f in ROLLING:
+                windowed[f"{c}_rolling_{n}h_{f}"] = rolling_of(left(c), n, f)
+    reach = max([warm, 1, *[n - 1 for n in windows]])
     if "temp" in df.columns:
-        windowed["temp_change"] = lambda w: F.col("temp") - F.lag("temp", 1).over(w)
+        windowed["temp_change"] = lambda w: F.col("temp") - F.lag(left("temp"), 1).over(w)
     if "price_actual" in df.columns:
-        windowed["price_volatility"] = rolling_of("price_actual", 24, "std")
+        windowed["price_volatility"] = rolling_of(left("price_actual"), 24, "std")
         reach = max(reach, 23)
     windowed |= {f"{target}_target_{h}h": lead_of(target, h) for h in horizons}
-    out = over_chunks(lagged, panel, windowed, lookback=reach, lookahead=max(horizons))
+    made = over_chunks(df, panel, windowed, lookback=reach, lookahead=max(horizons, default=0))
+    trimmed = skip_warm_up(made, panel, warm)
     # Row-wise columns come last so that the shuffle carries only what windows need.
-    return add_interactions(out.withColumns(rowwise) if rowwise else out)
+    rowwise = {**energy.load_columns(df.columns), **energy.mix_columns(df.columns), **weather_columns(df, conditions)}
+    return add_interactions(add_seasonal(trimmed, panel).withColumns(rowwise))
 
 
 def drop_rows(df: DataFrame, panel: Panel, keep) -> DataFrame:

@@ -67,7 +67,7 @@ def _bracketed(
         F.percentile_approx(column, _grid(), _ACCURACY).alias("_g"),
     )
     first = sketch.select(
-        *by, "_n", *[c for i, q in enumerate(probs) for c in _cut((F.col("_n") - 1) * float(q) / F.col("_n"), "_g", i)]
+        *by, "_n", *[c for i, q in enumerate(probs) for c in _cut((F.col("_n") - 1) * float(q) / F.nullif(F.col("_n"), F.lit(0)), "_g", i)]
     )
     state = materialize(_count(known, first, column, probs, by), "brackets")
     if not _hold(state, probs):
@@ -75,11 +75,13 @@ def _bracketed(
             *by, "_n", *[c for i in slots for c in (F.col("_min").alias(f"_lo{i}"), F.col("_max").alias(f"_hi{i}"))]
         )
         state = materialize(_count(known, whole, column, probs, by), "brackets")
-    while _widest(state, probs) > direct_rows:
+    width = _widest(state, probs)
+    while width > direct_rows:
         narrowed = materialize(_narrow(known, state, column, probs, by), "brackets")
-        if not _hold(narrowed, probs):
-            break  # a sketch missed its promised error: the wider bracket is still right
-        state = narrowed
+        # Stop where nothing is gained; the wider bracket is right as well.
+        if not _hold(narrowed, probs) or _widest(narrowed, probs) >= width:
+            break
+        state, width = narrowed, _widest(narrowed, probs)
     # Equal values are counted, not listed, so one heavy value does not fill a bracket; one pass
     # serves all quantiles.
     hits = F.array_compact(
