@@ -90,21 +90,39 @@ def number_text(value: Column) -> Column:
     return F.format_string("%.4f", value)
 
 
-def with_message(alerts: DataFrame) -> DataFrame:
-    condition = F.concat_ws(" ", F.col("operator"), F.col("threshold").cast("string"))
-    text = F.concat_ws(
-        "\n",
-        F.concat(F.lit("• *"), F.col("rule_name"), F.lit("*")),
-        F.concat(F.lit("  Metric: "), F.col("metric")),
-        F.concat(F.lit("  Value: "), number_text(F.col("value"))),
-        F.concat(F.lit("  Condition: "), condition),
-        F.concat(F.lit("  Severity: "), F.col("severity")),
-        F.when(F.col("description") != "", F.concat(F.lit("  "), F.col("description"))),
-    )
-    return alerts.withColumn("condition", condition).withColumn("message", text)
+def condition_text() -> Column:
+    return F.concat_ws(" ", F.col("operator"), F.col("threshold").cast("string"))
+
 
+def with_message(alerts: DataFrame, run: str = "run_ts", style: str = "text") -> DataFrame:
+    """Add ``condition`` and ``message``; ``style`` is ``text`` or ``html``.
 
-def digest(alerts: DataFrame, run: str = "run_ts") -> DataFrame:
+    The wording, the labels and the four decimals are fixed values.
+    """
+    when = F.date_format(run, "yyyy-MM-dd'T'HH:mm:ss") if run in alerts.columns else F.lit(None).cast("string")
+    described = F.when(F.col("description") != "", F.col("description"))
+    labelled = [
+        ("Metric: ", F.col("metric")),
+        ("Value: ", number_text(F.col("value"))),
+        ("Condition: ", condition_text()),
+        ("Severity: ", F.col("severity")),
+        ("", described),
+        ("Time: ", when),
+    ]
+    # concat gives NULL for a missing part and concat_ws leaves that line out.
+    if style == "text":
+        lines = [F.concat(F.lit(f"  {label}"), value) for label, value in labelled]
+        text = F.concat_ws("\n", F.concat(F.lit("• *"), F.col("rule_name"), F.lit("*")), *lines)
+    elif style == "html":
+        lines = [F.concat(F.lit(label), value) for label, value in labelled]
+        title = F.concat(F.lit("<strong>"), F.col("rule_name"), F.lit("</strong>"))
+        text = F.concat(F.lit("<li>"), F.concat_ws("<br>", title, *lines), F.lit("</li>"))
+    else:
+        raise ValueError(f"unknown message style: {style}")
+    return alerts.withColumn("condition", condition_text()).withColumn("message", text)
+
+
+def digest(alerts: DataFrame, run: str = "run_ts", by: Sequence[str] = ()) -> DataFrame:
     """One text per run and severity.  A run has at most one alert per rule, so groups stay small."""
     lines = F.array_join(
         F.transform(
@@ -112,7 +130,7 @@ def digest(alerts: DataFrame, run: str = "run_ts") -> DataFrame:
         ),
         "\n\n",
     )
-    return with_message(alerts).groupBy(run, "severity").agg(
+    return with_message(alerts, run).groupBy(*by, run, "severity").agg(
         lines.alias("text"), F.count(F.lit(1)).alias("alerts")
     )
 
@@ -124,29 +142,30 @@ def trigger_counts(alerts: DataFrame, run: str = "run_ts") -> DataFrame:
     )
 
 
-def number_triggers(alerts: DataFrame, run: str = "run_ts") -> DataFrame:
-    """Running count of each rule's alerts.
+def number_triggers(alerts: DataFrame, run: str = "run_ts", by: Sequence[str] = ()) -> DataFrame:
+    """Running count of each rule's alerts (per group in ``by``).
 
-    Counts per rule and day are accumulated first, so the window inside a day is the only one that
-    sees alert rows.
+    Counts per day are accumulated first, so the window inside a day is the only one that sees
+    alert rows.
     """
+    rule = [*by, "rule_name"]
     day = F.to_date(run)
-    daily = alerts.groupBy("rule_name", day.alias("_day")).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy("rule_name").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = daily.select("rule_name", "_day", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
-    inside = Window.partitionBy("rule_name", "_day").orderBy(run)
+    daily = alerts.groupBy(*rule, day.alias("_day")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*rule).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = daily.select(*rule, "_day", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
+    inside = Window.partitionBy(*rule, "_day").orderBy(run)
     return (
         alerts.withColumn("_day", day)
         .withColumn("_i", F.row_number().over(inside))
-        .join(offsets, ["rule_name", "_day"])
+        .join(offsets, [*rule, "_day"])
         .withColumn("trigger_count", F.col("_i") + F.col("_o"))
         .drop("_day", "_i", "_o")
     )
 
 
-def newest(alerts: DataFrame, keep: int = 1000, run: str = "run_ts") -> DataFrame:
+def newest(alerts: DataFrame, keep: int = 1000, run: str = "run_ts", tie: Sequence[str] = ("rule_name",)) -> DataFrame:
     """The alert log holds the last ``keep`` alerts."""
-    return alerts.orderBy(F.col(run).desc(), "rule_name").limit(keep)
+    return alerts.orderBy(F.col(run).desc(), *tie).limit(keep)
 
 
 def since(alerts: DataFrame, now: Column, hours: int = 24, run: str = "run_ts") -> DataFrame:

@@ -12,6 +12,8 @@ from wattlane.operators.ordering import running_totals
 MEAN_SHIFT = 0.1
 COLUMN_WEIGHT = 0.1
 KS_ALPHA = 0.05
+# Fixed value: cost of a fully missing column in the quality score.
+MISSING_WEIGHT = 0.1
 
 
 def missing_shares(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -31,7 +33,7 @@ def missing_shares(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
 def quality_score(shares: DataFrame) -> DataFrame:
     """1 minus a tenth of the missing shares, not below 0."""
     return shares.agg(
-        F.greatest(F.lit(0.0), 1.0 - 0.1 * F.sum("share")).alias("data_quality_score"),
+        F.greatest(F.lit(0.0), 1.0 - MISSING_WEIGHT * F.sum("share")).alias("data_quality_score"),
         F.count_if(F.col("share") > 0).alias("columns_with_missing"),
     )
 

@@ -18,6 +18,8 @@ HORIZONS = (1, 6, 12, 24)
 BOOSTED_LAGS = (1, 2, 3, 6, 12, 24, 48, 168)
 BOOSTED_WINDOWS = (3, 6, 12, 24, 48)
 ROLLING = ("mean", "std", "min", "max")
+# Columns that get lags and rolling statistics besides the target.
+COMPANIONS = ("generation_solar", "generation_wind_onshore", "temp", "wind_speed")
 
 
 def add_lags(
@@ -142,10 +144,7 @@ def full_features(
     warm-up rows from their frames gives the same values as dropping the rows first, and lets all
     windows share one shuffle and one sort.
     """
-    keys = [
-        c for c in (target, "generation_solar", "generation_wind_onshore", "temp", "wind_speed")
-        if c in df.columns
-    ]
+    keys = [c for c in (target, *COMPANIONS) if c in df.columns]
     warm = max(lags, default=0)
 
     def left(column: str) -> Column:

@@ -14,6 +14,9 @@ PEAK_HOURS = (17, 18, 19, 20)
 PRICE = 0.12
 UNDER_PENALTY = 1.5
 OVER_PENALTY = 0.3
+# Weights of bias, consistency and coverage in the reliability score, nominal coverage.
+BIAS_WEIGHT, CONSISTENCY_WEIGHT, COVERAGE_WEIGHT = 0.4, 0.4, 0.2
+NOMINAL_COVERAGE = 95
 TRACKED_RENEWABLES = ("generation_solar", "generation_wind_onshore", "generation_hydro_water_reservoir")
 
 
@@ -85,9 +88,9 @@ def reliability(
     else:
         pred_cov = actual_cov = F.lit(0.0)
     score = (
-        (1 - F.abs(bias) / F.nullif(F.avg(y), F.lit(0.0))) * 0.4
-        + consistency * 0.4
-        + F.least(pred_cov / 95, F.lit(1.0)) * 0.2
+        (1 - F.abs(bias) / F.nullif(F.avg(y), F.lit(0.0))) * BIAS_WEIGHT
+        + consistency * CONSISTENCY_WEIGHT
+        + F.least(pred_cov / NOMINAL_COVERAGE, F.lit(1.0)) * COVERAGE_WEIGHT
     ) * 100
     return df.groupBy(*by).agg(
         bias.alias("forecast_bias"),
@@ -159,14 +162,14 @@ SUMMARY = (
 )
 
 
-def latest_summary(history: DataFrame, run: str = "run_ts") -> DataFrame:
-    """Summary figures of the latest run."""
-    return history.filter(F.col("metric").isin(*SUMMARY)).groupBy("metric").agg(
+def latest_summary(history: DataFrame, run: str = "run_ts", by: Sequence[str] = ()) -> DataFrame:
+    """Summary figures of the latest run (of each group in ``by``)."""
+    return history.filter(F.col("metric").isin(*SUMMARY)).groupBy(*by, "metric").agg(
         F.max_by("value", run).alias("value"), F.max(run).alias(run)
     )
 
 
-def recent_runs(history: DataFrame, runs: int = 24, run: str = "run_ts") -> DataFrame:
-    """Figures of the last ``runs`` runs of each metric."""
-    newest = Window.partitionBy("metric").orderBy(F.col(run).desc())
+def recent_runs(history: DataFrame, runs: int = 24, run: str = "run_ts", by: Sequence[str] = ()) -> DataFrame:
+    """Figures of the last ``runs`` runs; the rank limit is applied before the shuffle as well."""
+    newest = Window.partitionBy(*by, "metric").orderBy(F.col(run).desc())
     return history.withColumn("_r", F.row_number().over(newest)).filter(F.col("_r") <= runs).drop("_r")

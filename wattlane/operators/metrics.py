@@ -13,6 +13,8 @@ from wattlane.panel import Panel
 PEAK_ROWS_OF_DAY = (6, 7, 8, 9, 18, 19, 20, 21)
 PEAK_HOURS_DOMAIN = (8, 9, 17, 18, 19)
 METRICS = ("mae", "mse", "rmse", "mape", "r2")
+# Weights of accuracy, fit and stability in the composite score.
+ACCURACY_WEIGHT, FIT_WEIGHT, STABILITY_WEIGHT = 0.4, 0.3, 0.3
 
 
 def r_squared(actual: Column, predicted: Column) -> Column:
@@ -135,11 +137,11 @@ def best_by_error(summary: DataFrame, model: str = "model", error: str = "mae_me
 
 
 def composite_score(mae: Column, r2: Column, spread: Column) -> Column:
-    """0.4 accuracy + 0.3 fit + 0.3 stability, each mapped to at most 1; infinite figures score 0."""
+    """Weighted accuracy, fit and stability, each mapped to at most 1; infinite figures score 0."""
     accuracy = F.coalesce(1 / (1 + finite(mae)), F.lit(0.0))
     fit = F.greatest(F.lit(0.0), F.coalesce(finite(r2), F.lit(0.0)))
     stability = F.coalesce(1 / (1 + finite(spread)), F.lit(0.0))
-    return 0.4 * accuracy + 0.3 * fit + 0.3 * stability
+    return ACCURACY_WEIGHT * accuracy + FIT_WEIGHT * fit + STABILITY_WEIGHT * stability
 
 
 def best_by_composite(summary: DataFrame, model: str = "model") -> DataFrame:

@@ -147,28 +147,28 @@ def all_kpis_per_run(spark: SparkSession, folder: str) -> DataFrame:
     "AGG17",
     oracle(
         f"""WITH {_DAILY_SQL}
-SELECT metric, arg_max(value, run_ts) AS value, max(run_ts) AS run_ts FROM history
-WHERE series = 'view' AND metric IN ({', '.join(f"'{m}'" for m in kpi.SUMMARY)}) GROUP BY 1""",
+SELECT series, metric, arg_max(value, run_ts) AS value, max(run_ts) AS run_ts FROM history
+WHERE metric IN ({', '.join(f"'{m}'" for m in kpi.SUMMARY)}) GROUP BY 1, 2""",
         "value", times="run_ts",
     ),
 )
 def latest_kpis(spark: SparkSession, folder: str) -> DataFrame:
-    history = daily_metrics(spark, folder).filter(F.col("series") == "view")
-    return emit(kpi.latest_summary(history))
+    return emit(kpi.latest_summary(daily_metrics(spark, folder), by=["series"]))
 
 
 @query(
     "AGG17",
     oracle(
         f"""WITH {_DAILY_SQL}, numbered AS (
-  SELECT metric, run_ts, value, row_number() OVER (PARTITION BY metric ORDER BY run_ts DESC) AS nth FROM history WHERE series = 'view')
-SELECT metric, run_ts, value FROM numbered WHERE nth <= 7""",
+  SELECT *, row_number() OVER (PARTITION BY series, metric ORDER BY run_ts DESC) AS nth FROM history WHERE metric NOT LIKE '%variance')
+SELECT series, metric, run_ts, value FROM numbered WHERE nth <= 7""",
         "value", times="run_ts",
     ),
 )
 def recent_kpis(spark: SparkSession, folder: str) -> DataFrame:
-    history = daily_metrics(spark, folder).filter(F.col("series") == "view").drop("series")
-    return emit(kpi.recent_runs(history, 7))
+    """The last week of every figure; variances are compared by ``all_kpis_per_run``."""
+    history = daily_metrics(spark, folder).filter(~F.col("metric").endswith("variance"))
+    return emit(kpi.recent_runs(history, 7, by=["series"]), "series", "metric", "run_ts", "value")
 
 
 # ---------------------------------------------------------------- quality and drift
@@ -314,38 +314,36 @@ def rule_alerts(spark: SparkSession, folder: str) -> DataFrame:
     return emit(_alerts(spark, folder))
 
 
+_MESSAGE_SQL = """'• *' || rule_name || '*' || chr(10) || '  Metric: ' || metric || chr(10) || '  Value: ' || printf('%.4f', value)
+  || chr(10) || '  Condition: ' || operator || ' ' || CAST(threshold AS VARCHAR) || chr(10) || '  Severity: ' || severity
+  || CASE WHEN description <> '' THEN chr(10) || '  ' || description ELSE '' END
+  || chr(10) || '  Time: ' || strftime(run_ts, '%Y-%m-%dT%H:%M:%S')"""
+
+
 @query(
     "STR1",
     oracle(
         f"""WITH {_ALERT_SQL}
-SELECT series, run_ts, rule_name, operator || ' ' || CAST(threshold AS VARCHAR) AS condition,
-  '• *' || rule_name || '*' || chr(10) || '  Metric: ' || metric || chr(10) || '  Value: ' || printf('%.4f', value) || chr(10)
-  || '  Condition: ' || operator || ' ' || CAST(threshold AS VARCHAR) || chr(10) || '  Severity: ' || severity
-  || CASE WHEN description <> '' THEN chr(10) || '  ' || description ELSE '' END AS message
-FROM fired WHERE metric = 'peak_demand.peak_hours_count'""",
+SELECT series, run_ts, rule_name, operator || ' ' || CAST(threshold AS VARCHAR) AS condition, {_MESSAGE_SQL} AS message FROM fired""",
         times="run_ts",
     ),
 )
 def alert_messages(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _alerts(spark, folder).filter(F.col("metric") == "peak_demand.peak_hours_count")
-    return emit(alerts.with_message(rows), "series", "run_ts", "rule_name", "condition", "message")
+    return emit(alerts.with_message(_alerts(spark, folder)), "series", "run_ts", "rule_name", "condition", "message")
 
 
 @query(
     "STR1",
     oracle(
-        f"""WITH {_ALERT_SQL}
-SELECT series || ' ' || CAST(CAST(run_ts AS DATE) AS VARCHAR) AS run, severity, count(*) AS alerts,
-       min(rule_name) AS first_rule FROM fired GROUP BY 1, 2""",
-        ints="alerts",
+        f"""WITH {_ALERT_SQL}, told AS (SELECT series, run_ts, severity, rule_name, {_MESSAGE_SQL} AS message FROM fired)
+SELECT series, run_ts, severity, count(*) AS alerts, string_agg(message, chr(10) || chr(10) ORDER BY rule_name) AS text
+FROM told GROUP BY 1, 2, 3""",
+        ints="alerts", times="run_ts",
     ),
 )
 def alert_digests(spark: SparkSession, folder: str) -> DataFrame:
-    """One text per run and severity; the first line names the first rule."""
-    rows = _alerts(spark, folder).withColumn("run", F.concat_ws(" ", "series", F.to_date("run_ts").cast("string")))
-    texts = alerts.digest(rows, "run")
-    first = F.regexp_extract("text", r"^• \*([^*]+)\*", 1)
-    return emit(texts.select("run", "severity", "alerts", first.alias("first_rule")))
+    """One text per run and severity."""
+    return emit(alerts.digest(_alerts(spark, folder), by=["series"]), "series", "run_ts", "severity", "alerts", "text")
 
 
 @query(
@@ -361,25 +359,26 @@ def rule_trigger_counts(spark: SparkSession, folder: str) -> DataFrame:
     "WIN22",
     oracle(
         f"""WITH {_ALERT_SQL}
-SELECT run_ts, rule_name, row_number() OVER (PARTITION BY rule_name ORDER BY run_ts) AS trigger_count FROM fired WHERE series = 'view'""",
+SELECT series, run_ts, rule_name, row_number() OVER (PARTITION BY series, rule_name ORDER BY run_ts) AS trigger_count FROM fired""",
         ints="trigger_count", times="run_ts",
     ),
 )
 def numbered_alerts(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _alerts(spark, folder).filter(F.col("series") == "view")
-    return emit(alerts.number_triggers(rows), "run_ts", "rule_name", "trigger_count")
+    rows = alerts.number_triggers(_alerts(spark, folder), by=["series"])
+    return emit(rows, "series", "run_ts", "rule_name", "trigger_count")
 
 
 @query(
     "WIN23",
     oracle(
-        f"WITH {_ALERT_SQL} SELECT run_ts, rule_name FROM fired WHERE series = 'view' ORDER BY run_ts DESC, rule_name LIMIT 40",
+        f"WITH {_ALERT_SQL} SELECT run_ts, series, rule_name FROM fired ORDER BY run_ts DESC, series, rule_name LIMIT 100",
         times="run_ts",
     ),
 )
 def newest_alerts(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _alerts(spark, folder).filter(F.col("series") == "view")
-    return emit(alerts.newest(rows, 40), "run_ts", "rule_name")
+    """The alert log keeps its newest entries only."""
+    rows = alerts.newest(_alerts(spark, folder), 100, tie=["series", "rule_name"])
+    return emit(rows, "run_ts", "series", "rule_name")
 
 
 _NOW = "2024-01-30 12:00:00"

@@ -52,6 +52,8 @@ def local_session(app: str = "wattlane", cpus: int | str = "*", **conf: str) ->
         .config("spark.sql.adaptive.enabled", "true")
         # Hash instead of sort-merge joins, but only where every partition is known to be small.
         .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
+        # Split a hot key of a join even where that costs another shuffle.
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
