@@ -11,7 +11,7 @@ from wattlane.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("tests", cpus=8)
+    session = local_session("tests", cpus=8, **{"spark.sql.shuffle.partitions": "3"})
     yield session
     session.stop()
 

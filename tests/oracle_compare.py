@@ -36,13 +36,17 @@ def normal(rows):
     return sorted([tuple(r) for r in rows], key=lambda r: tuple((v is None, str(v)) for v in r))
 
 
-def same(a, b) -> bool:
+def same(a, b, slack: bool = False) -> bool:
+    """Equal values of equal kind; ``slack`` forgives one unit of the last rounded decimal (a tie)."""
     if isinstance(a, float) and isinstance(b, float):
+        if slack and a != b and math.isfinite(a) and math.isfinite(b):
+            decimals = max(len(repr(v).partition(".")[2]) for v in (a, b))
+            return abs(a - b) <= 1.5 * 10.0**-decimals
         return a == b or (math.isnan(a) and math.isnan(b))
     return a == b and (a is None or kind(a) == kind(b))
 
 
-def compare(spark, con, folder: str, run, sql: str) -> str | None:
+def compare(spark, con, folder: str, run, sql: str, slack: bool = False) -> str | None:
     """None if equal, else what differs."""
     df = run(spark, folder)
     names = sorted(df.columns)
@@ -53,7 +57,7 @@ def compare(spark, con, folder: str, run, sql: str) -> str | None:
     want = normal(con.sql(f"SELECT {', '.join(names)} FROM ({sql}) AS t").fetchall())
     if len(got) != len(want):
         return f"{len(got)} rows vs {len(want)}"
-    bad = [(g, w) for g, w in zip(got, want) if not all(same(x, y) for x, y in zip(g, w))]
+    bad = [(g, w) for g, w in zip(got, want) if not all(same(x, y, slack) for x, y in zip(g, w))]
     if bad:
         return f"{len(bad)} of {len(got)} rows differ, names {names}, first: {bad[0]}"
     return None if got else "no rows"

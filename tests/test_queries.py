@@ -21,7 +21,7 @@ def test_entry(spark):
 
 def test_every_operator_is_covered():
     covered = {c for q in entry.CATALOG.values() for c in q.covers}
-    groups = {"SRC": 10, "SNK": 6, "FLT": 11, "JN": 8, "AGG": 32, "WIN": 24, "TOP": 5, "SET": 3, "DT": 7, "MTH": 8,
+    groups = {"SRC": 11, "SNK": 6, "FLT": 11, "JN": 8, "AGG": 32, "WIN": 24, "TOP": 5, "SET": 3, "DT": 7, "MTH": 8,
               "CAT": 4, "CND": 3, "PL": 13, "MDL": 17, "STM": 7}
     for group, n in groups.items():
         assert sum(c.rstrip("0123456789") == group for c in covered) == n, group
@@ -31,6 +31,6 @@ def test_every_operator_is_covered():
 def test_query(spark, con, name):
     run = entry.queries()[name]
     if name in ORACLES:
-        assert compare(spark, con, FOLDER, run, ORACLES[name]) is None
+        assert compare(spark, con, FOLDER, run, ORACLES[name], slack=True) is None
     else:
         assert run(spark, FOLDER).count() > 0

@@ -14,6 +14,7 @@ from wattlane.operators.explore import ljung_box
 from wattlane.operators.ordering import block_offsets
 from wattlane.operators.params import attach
 from wattlane.panel import Panel
+from wattlane.session import materialize
 
 MIN_TRAIN = 50
 
@@ -108,7 +109,10 @@ def walk_forward(
     blocks = gram.sums(rows.select("*", block), [*keys, "fold"], "_z", regressors)
     size = 2 + len(regressors) + len(regressors) * (len(regressors) + 1) // 2
     entries = [f"_g{i}" for i in range(size)]
-    wide = blocks.select(*keys, "fold", *[F.get("_gram", F.lit(i)).alias(g) for i, g in enumerate(entries)])
+    # One row per fold and series, read three times below.
+    wide = materialize(
+        blocks.select(*keys, "fold", *[F.get("_gram", F.lit(i)).alias(g) for i, g in enumerate(entries)]), "sums"
+    )
     earlier = block_offsets(wide, keys, "fold", entries).withColumnsRenamed({g: f"{g}_before" for g in entries})
     folded = wide.join(earlier, [*keys, "fold"]).select(
         *keys, "fold", F.array(*[F.col(g) + F.col(f"{g}_before") for g in entries]).alias("_gram")

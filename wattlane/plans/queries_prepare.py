@@ -600,7 +600,7 @@ def prepare_weather(spark: SparkSession, folder: str) -> DataFrame:
     oracle(
         f"""WITH {_PREPARED}, {_SEQUENTIAL.format(a='load', b='price', src='filled')},
 p AS (SELECT avg(load) AS m, stddev_pop(load) AS s FROM s2)
-SELECT series, ts, (load - m) / s AS load, price FROM s2, p""",
+SELECT series, ts, (load - m) / CASE WHEN s = 0 THEN 1 ELSE s END AS load, price FROM s2, p""",
         "load price",
     ),
 )
