@@ -217,3 +217,28 @@ def test_lags_warm_up_before_rolling(spark):
     assert column(made, "x_lag_4h") == [0.0, 1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0]
     assert column(made, "x_rolling_3h_mean") == [None, None, 5.0, 6.0, 7.0, 8.0, 9.0, 10.0]
     assert column(made, "x_target_1h")[-1] is None
+
+
+def test_mode_of_text(spark):
+    df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), (None,)], "c string")
+    assert sorted(r[0] for r in cleaning.impute(df, ["c"], "most_frequent").collect()) == ["a", "a", "a", "b", "b"]
+
+
+def test_strict_time_parsing_fails(spark):
+    df = spark.createDataFrame([("junk",)], "t string")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT|CANNOT_PARSE"):
+        df.select(parse_time(F.col("t"), strict=True)).collect()
+
+
+def test_lags_by_the_clock_step_over_missing_hours(spark):
+    df = frame(spark, [1.0, 2.0, 3.0, 4.0]).filter("pos <> 1")
+    assert column(features.add_time_lags(df, ONE, ["x"], [1]), "x_lag_1h") == [None, None, 3.0]
+
+
+def test_random_grid_is_repeatable():
+    from wattlane.operators.boosted import random_grid
+
+    ranges = {"maxDepth": (2, 6), "stepSize": (0.01, 0.3), "maxIter": [5, 10]}
+    grid = random_grid(ranges, 5)
+    assert grid == random_grid(ranges, 5) and len(grid) == 5
+    assert all(2 <= g["maxDepth"] <= 6 and 0.01 <= g["stepSize"] <= 0.3 and g["maxIter"] in (5, 10) for g in grid)

@@ -5,8 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
-def parse_time(raw: Column, fmt: str | None = None) -> Column:
-    """Parse to a UTC instant; offsets in the text are honoured, unparsable text gives NULL."""
+def parse_time(raw: Column, fmt: str | None = None, strict: bool = False) -> Column:
+    """Parse to a UTC instant; offsets in the text are honoured.
+
+    Unparsable text gives NULL, or an error when ``strict``.
+    """
+    if strict:
+        return F.to_timestamp(raw, fmt) if fmt else F.to_timestamp(raw)
     return F.try_to_timestamp(raw, F.lit(fmt)) if fmt else F.try_to_timestamp(raw)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -13,8 +14,6 @@ from wattlane.operators import cleaning, metrics
 from wattlane.operators.params import attach
 from wattlane.panel import Panel
 
-Builder = Callable[[Mapping], object]
-
 # Default parameters of the two boosted sets, under the learner's own names.
 BOOSTED_A = {"maxIter": 100, "maxDepth": 6, "stepSize": 0.1, "subsamplingRate": 0.8, "minInstancesPerNode": 1,
              "featureSubsetStrategy": "0.8", "seed": 42}
@@ -101,6 +100,20 @@ def compare(
     return scored
 
 
+def random_grid(ranges: Mapping[str, Sequence], trials: int, seed: int = 42) -> list[dict]:
+    """``trials`` parameter sets: a two-number tuple is a range to draw from, a list is a choice."""
+    draw = random.Random(seed)
+
+    def one(values: Sequence):
+        if isinstance(values, tuple):
+            low, high = values
+            whole = isinstance(low, int) and isinstance(high, int)
+            return draw.randint(low, high) if whole else draw.uniform(low, high)
+        return draw.choice(list(values))
+
+    return [{name: one(values) for name, values in ranges.items()} for _ in range(trials)]
+
+
 def search(
     rows: DataFrame, panel: Panel, features: Sequence[str], target: str, builder: Callable,
     grid: Sequence[Mapping], holdout: float = 0.2,

@@ -87,6 +87,8 @@ def impute(
     ``fit_on`` limits the statistics to, say, training rows.
     """
     names = list(columns) if columns is not None else list(column_roles(df).numeric)
+    if columns is None and panel is not None:
+        names = [c for c in names if c not in (panel.pos, *panel.keys)]
     if not names:
         return df
     source = fit_on if fit_on is not None else df

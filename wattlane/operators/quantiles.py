@@ -206,4 +206,4 @@ def iqr_bounds(
 def most_frequent(df: DataFrame, column: str) -> DataFrame:
     """Most frequent value, the smallest on ties: counted per value, so no buffer grows."""
     cells = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-    return cells.agg(F.max_by(F.col(column), F.struct(F.col("_n"), -F.col(column))).alias(column))
+    return cells.agg(F.min_by(F.col(column), F.struct(-F.col("_n"), F.col(column))).alias(column))

@@ -44,7 +44,9 @@ def prepare_weather(raw: DataFrame, panel: Panel = ONE_SERIES, time_column: str
 def _parsed(raw: DataFrame, panel: Panel, time_column: str | None) -> DataFrame:
     if time_column is None:
         return raw
-    return raw.withColumn(time_column, parse_time(F.col(time_column))).withColumnRenamed(time_column, panel.ts)
+    return raw.withColumn(time_column, parse_time(F.col(time_column), strict=True)).withColumnRenamed(
+        time_column, panel.ts
+    )
 
 
 def prepare(
