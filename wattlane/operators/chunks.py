@@ -42,6 +42,10 @@ def over_chunks(
     spread = df.withColumn("_home", home).withColumn(
         "_chunk", F.explode(F.array_compact(F.array(*targets)))
     )
+    # Frames cost time, not bytes: a stated number of partitions keeps adaptive execution from
+    # merging well-compressed chunks into a few tasks.  The window reuses this shuffle.
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = spread.repartition(parts, *panel.keys, "_chunk")
     window = Window.partitionBy(*panel.keys, "_chunk").orderBy(panel.pos)
     kept = [c for c in df.columns if c not in columns]
     return (
