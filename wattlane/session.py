@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,6 +44,24 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, unless their path has it: functions inside tasks import it."""
+    package = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(package)
+    known = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    name = f"wattlane-{os.getpid()}-{spark.sparkContext.applicationId}.zip"
+    if root in known or any(f.endswith(name) for f in spark.sparkContext.listFiles):
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix="wattlane-package-"), name)  # on the driver; Spark serves it
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, files in os.walk(package):
+            for file in files:
+                if file.endswith(".py"):
+                    full = os.path.join(folder, file)
+                    out.write(full, os.path.relpath(full, root))
+    spark.sparkContext.addPyFile(path)
+
+
 def local_session(app: str = "wattlane", cpus: int | str = "*", **conf: str) -> SparkSession:
     """Session for tests and the bench; a cluster job brings its own."""
     parts = str(cpus) if str(cpus).isdigit() else "8"
