@@ -6,9 +6,11 @@ slots, which lowers the variance against independent hash functions, and ranks a
 signature holds need not be looked at (early stopping: a long text looks at one or two ranks).
 
 Bands of equal slots name candidates.  Equal sets are one candidate from the start, so groups of copies
-cost nothing.  Inside a bucket nobody meets everybody: every member meets a *hub*, verified links are
-grouped, and further hubs are drawn among what isn't connected yet.  When hubs find nothing more, the pairs
-left inside a bucket that aren't connected (there are few by then) are verified one by one, so no link is lost.
+cost nothing.  Inside a bucket nobody meets everybody: every member meets the bucket's smallest document, its *hub*,
+and verified links are grouped.  Where the members of a hub are in several components yet, the other links are
+found by a prefix filter: two similar sets share one of their first shingles in any order of the shingles, if
+enough of them are taken.  The order puts shingles first that the hub and some other members lack.  Variants of one
+text differ in places of their own, so those shingles are rare and few pairs meet; each pair that does is verified.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from wattlane.llm.grouping import components
 from wattlane.llm.texts import UNSPACED, as_signed, mix64, slices, utf8, word_hashes, word_spans
@@ -28,12 +30,11 @@ BANDS, ROWS = 28, 4
 SLOTS = BANDS * ROWS
 #: Elements whose permutations are kept at once.
 _ELEMENTS = 1 << 17
-#: Hubs that a member of an unresolved bucket meets in a round.
-HUBS = 6
+#: Members up to which a hub's own set orders the shingles; beyond, so many members are drawn for that, and shingles
+#: are told apart by how many of them have them.  The choice changes how many pairs are verified, not which links are found.
+FEW, DRAWN, LEVELS = 24, 16, (1, 2, 4, 8)
 _GOLDEN_INT = 0x9E3779B97F4A7C15
 _GOLDEN = np.uint64(_GOLDEN_INT)
-#: Rounds of hubs at most; what they leave is verified pair by pair.
-TURNS = 12
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -143,20 +144,17 @@ def _set_key(elements: np.ndarray) -> bytes:
     return blake2b(elements.tobytes(), digest_size=16).digest()
 
 
-def _sets(docs: DataFrame, carried: str, width: int) -> DataFrame:
-    """``doc_id``, the column ``carried`` and the set as an array, of rows with ``doc_id``, ``text``, ``carried``."""
+def _sets(docs: DataFrame, width: int) -> DataFrame:
+    """``doc_id`` and the set as an array."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 1):
                 elements, first = shingle_sets(*utf8(part.column(1)), width)
                 made = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(as_signed(elements)))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(2), made], ["doc_id", carried, "elements"])
+                yield pa.RecordBatch.from_arrays([part.column(0), made], ["doc_id", "elements"])
 
-    kind = docs.schema[carried].dataType.simpleString()
-    return docs.select("doc_id", "text", carried).mapInArrow(
-        run, f"doc_id long, {carried} {kind}, elements array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, elements array<long>")
 
 
 def _linked(percent: int) -> Column:
@@ -165,11 +163,11 @@ def _linked(percent: int) -> Column:
     return common * 100 >= percent * (F.size("elements") + F.size("others") - common)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets, joined from ``sets`` (doc_id, elements), are similar enough."""
+def _met(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs`` (a, b) with the sets of both, ``elements`` and ``others``."""
     left = sets.select(F.col("doc_id").alias("a"), "elements")
     right = sets.select(F.col("doc_id").alias("b"), F.col("elements").alias("others"))
-    return pairs.join(left, "a").join(right, "b").where(_linked(percent)).select("a", "b")
+    return pairs.join(left, "a").join(right, "b")
 
 
 def link(docs: DataFrame, width: int = 4, percent: int = 80) -> DataFrame:
@@ -183,31 +181,28 @@ def link(docs: DataFrame, width: int = 4, percent: int = 80) -> DataFrame:
     empty table gives an empty result.
     """
     table = materialize(signed(docs, width), "signed")
-    one = (
+    reps = materialize(
         table.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
         .groupBy("set_key").agg(F.min(F.struct("doc_id", "bands")).alias("r"))
-        .select("set_key", F.col("r.doc_id").alias("rep"), F.col("r.bands").alias("bands"))
-    )
-    reps = materialize(one, "representatives")
+        .select("set_key", F.col("r.doc_id").alias("rep"), F.col("r.bands").alias("bands")), "representatives")
     members = reps.select(F.explode("bands").alias("band"), F.col("rep").alias("doc_id"))
     buckets = members.groupBy("band").agg(F.min("doc_id").alias("hub"), F.count("*").alias("n")).where("n > 1")
-    shared = materialize(members.join(buckets, "band").select("band", "doc_id", "hub"), "buckets")
+    # How many buckets a document shares with each hub; a hub shares some with itself.
+    votes = materialize(
+        members.join(buckets, "band").groupBy("doc_id", "hub").agg(F.count("*").alias("n")), "votes")
 
+    # Rows that repeat a doc_id with another text: the set that belongs to the representative is taken.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    # The hub with which a document shares most bands; every hub meets itself, to bring its own set.
-    votes = shared.groupBy("doc_id", "hub").agg(F.count("*").alias("n")).where("doc_id <> hub")
-    first = votes.groupBy("doc_id").agg(F.max(F.struct("n", (-F.col("hub")).alias("least"))).alias("v"))
-    pairs = materialize(first.select("doc_id", (-F.col("v.least")).alias("hub")), "pairs")
-    wanted = pairs.union(pairs.select("hub", "hub").distinct())
-    asked = wanted.groupBy("doc_id").agg(F.collect_set("hub").alias("hubs"))
-    sets = _sets(texts.join(asked, "doc_id").dropDuplicates(["doc_id"]), "hubs", width)
-    met = sets.select("doc_id", F.explode("hubs").alias("hub"), "elements")
-    hubs = met.where("doc_id = hub").select("hub", F.col("elements").alias("others"))
-    edges = materialize(
-        met.where("doc_id <> hub").join(hubs, "hub").where(_linked(percent))
-        .select(F.col("doc_id").alias("a"), F.col("hub").alias("b")), "links")
+    sets = materialize(
+        _sets(texts.join(votes.select("doc_id").distinct(), "doc_id"), width).dropDuplicates(["doc_id"]), "sets")
+
+    best = votes.where("doc_id <> hub").groupBy("doc_id").agg(F.max(F.struct("n", (-F.col("hub")).alias("least"))).alias("v"))
+    first = best.select(F.col("doc_id").alias("a"), (-F.col("v.least")).alias("b"))
+    edges = materialize(_met(first, sets).where(_linked(percent)).select("a", "b"), "links")
     roots = components(edges)
-    roots = _rest(shared, texts, edges, roots, width, percent)
+    more = materialize(_met(_meeting(votes, roots, sets, percent), sets).where(_linked(percent)).select("a", "b"), "links")
+    if not more.isEmpty():
+        roots = components(edges.union(more))
 
     rooted = reps.join(roots, reps["rep"] == roots["node"], "left").select(
         "set_key", F.coalesce("root", "rep").alias("root"))
@@ -219,61 +214,53 @@ def link(docs: DataFrame, width: int = 4, percent: int = 80) -> DataFrame:
     )
 
 
-def _rest(
-    shared: DataFrame, texts: DataFrame, edges: DataFrame, roots: DataFrame, width: int, percent: int
-) -> DataFrame:
-    """Roots after the links inside buckets that hold more than one component yet.
-
-    Further hubs come first: the members of a bucket with the smallest hashes meet all members of other
-    components.  Pairs of different components that hubs leave are verified one by one, as soon as they are
-    few beside the rows or hubs find nothing more.
+def _orders(known: DataFrame, sets: DataFrame) -> DataFrame:
+    """For each hub in several components its shingles by how common they are: ``u1``, ``u2``, ... hold those that
+    1, 2, ... of its reference members have.  A hub of few members has itself for reference, others ``DRAWN``.
+    """
+    hubs = known.groupBy("b").agg(
+        F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("members"),
+        *[F.min_by("a", F.xxhash64("a", F.lit(k))).alias(f"r{k}") for k in range(DRAWN)]).where("lo <> hi")
+    hubs = materialize(hubs.select(
+        "b", "members", F.array_distinct(F.array(*[f"r{k}" for k in range(DRAWN)])).alias("drawn")), "hubs")
+    have = sets.select(F.col("doc_id").alias("a"), "elements")
+    none = F.array().cast("array<long>")
+    few = hubs.where(F.col("members") <= FEW).join(have, F.col("b") == F.col("a")).select(
+        "b", F.col("elements").alias("u1"), *[none.alias(f"u{k}") for k in LEVELS[1:]])
+    drawn = hubs.where(F.col("members") > FEW).select("b", F.explode("drawn").alias("a")).join(have, "a")
+    counted = drawn.select("b", F.explode("elements").alias("e")).groupBy("b", "e").agg(F.count("*").alias("n"))
+    many = counted.groupBy("b").agg(
+        *[F.collect_list(F.when(F.col("n") >= k, F.col("e"))).alias(f"u{k}") for k in LEVELS])
+    return materialize(few.unionByName(many), "orders")
+
+
+def _meeting(votes: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that share a hub, are in different components and pass the prefix filter.
+
+    Similar sets of n and m shingles share at least ``percent`` of the larger one, so in any common order the first
+    ``n - ceil(percent * n) + 1`` of one and the first ones of the other have a shingle in common.  Behind the first
+    common one, in places i and j, there must be enough left for the whole overlap that similar sets have:
+    ``min(n - i, m - j) >= percent / (100 + percent) * (n + m)``.
     """
-    left, sets = _unresolved(shared, roots), None
-    for turn in range(TURNS):
-        inside = left.groupBy("band", "root").agg(F.count("*").alias("own"))
-        size = inside.groupBy("band").agg(F.sum("own").alias("n"), F.sum(F.col("own") * F.col("own")).alias("square"))
-        rows, pairs = size.agg(F.sum("n"), F.sum(F.col("n") * F.col("n") - F.col("square")) / 2).first()
-        if not rows:
-            break
-        if sets is None:
-            asked = left.select("doc_id", F.lit(True).alias("asked")).distinct()
-            chosen = texts.join(asked, "doc_id").dropDuplicates(["doc_id"])
-            sets = materialize(_sets(chosen, "asked", width).drop("asked"), "sets")
-        last = pairs <= 2 * HUBS * rows or turn == TURNS - 1
-        found = materialize(_verified(_across(left) if last else _to_hubs(left, turn), sets, percent), "links")
-        if found.isEmpty() and not last:
-            last = True
-            found = materialize(_verified(_across(left), sets, percent), "links")
-        edges = edges.union(found)
-        roots = components(edges)
-        if last:
-            break
-        left = _unresolved(left, roots)
-    return roots
-
-
-def _unresolved(rows: DataFrame, roots: DataFrame) -> DataFrame:
-    """Rows (band, doc_id) of buckets with several components, and each row's root."""
-    known = rows.select("band", "doc_id").join(roots, rows["doc_id"] == roots["node"], "left")
-    now = known.select("band", "doc_id", F.coalesce("root", "doc_id").alias("root"))
-    mixed = now.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
-    return materialize(now.join(mixed.select("band"), "band"), "unresolved")
-
-
-def _to_hubs(left: DataFrame, turn: int) -> DataFrame:
-    """Pairs of a member and a hub of its bucket that is in another component."""
-    drawn = [
-        F.min(F.struct(F.xxhash64("doc_id", F.lit(turn * HUBS + k)).alias("h"), "doc_id", "root")).alias(f"h{k}")
-        for k in range(HUBS)
-    ]
-    hubs = left.groupBy("band").agg(*drawn).select(
-        "band", F.explode(F.array_distinct(F.array(*[F.struct(f"h{k}.doc_id", f"h{k}.root") for k in range(HUBS)]))).alias("hub"))
-    met = left.join(hubs, "band").where("root <> hub.root")
-    return met.select(F.greatest("doc_id", "hub.doc_id").alias("a"), F.least("doc_id", "hub.doc_id").alias("b")).distinct()
-
-
-def _across(left: DataFrame) -> DataFrame:
-    """Pairs of members of a bucket that are in different components."""
-    other = left.select("band", F.col("doc_id").alias("b"), F.col("root").alias("other"))
-    met = left.join(other, "band").where("root <> other AND b < doc_id")
-    return met.select(F.col("doc_id").alias("a"), "b").distinct()
+    known = votes.join(roots, votes["doc_id"] == roots["node"], "left").select(
+        F.col("doc_id").alias("a"), F.col("hub").alias("b"), F.coalesce("root", "doc_id").alias("root"))
+    orders = _orders(known, sets)
+    have = sets.select(F.col("doc_id").alias("a"), "elements")
+    rest, parts = F.col("elements"), []
+    for k in LEVELS:
+        parts.append(F.array_except(rest, f"u{k}"))
+        rest = F.array_intersect(rest, f"u{k}")
+    size = F.size("elements")
+    taken = size - F.ceil(size * percent / 100).cast("int") + 1
+    firsts = materialize(
+        known.join(orders.select("b"), "b", "left_semi").join(have, "a").join(orders, "b")
+        .select("a", "root", size.alias("n"), "b",
+                F.posexplode(F.slice(F.concat(*parts, rest), F.lit(1), taken)).alias("i", "e"))
+        .select(F.col("a").alias("doc_id"), "root", "n", (F.col("n") - F.col("i")).alias("left"),
+                F.xxhash64("b", "e").alias("place")), "firsts")
+    shared = firsts.groupBy("place").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+    left = materialize(firsts.join(shared.select("place"), "place"), "shared")
+    right = left.select("place", F.col("doc_id").alias("b"), F.col("root").alias("other"), F.col("n").alias("m"), F.col("left").alias("rest"))
+    near = (F.least("left", "rest") * (100 + percent) >= (F.col("n") + F.col("m")) * percent) & (F.col("root") != F.col("other"))
+    return left.join(right, "place").where(near & (F.col("b") < F.col("doc_id"))).select(
+        F.col("doc_id").alias("a"), "b").distinct()
