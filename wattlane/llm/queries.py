@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wattlane.llm import decontamination, language, mixing, near_duplicates, token_files
+from wattlane.llm import (
+    decontamination,
+    fingerprints,
+    language,
+    licenses,
+    mixing,
+    near_duplicates,
+    token_files,
+    toxicity,
+)
 from wattlane.llm.texts import remainder
 
 
@@ -30,6 +39,15 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fitted on labelled rows outside the held-out fold; every document is scored."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    labels = table(spark, sf_dir, "labels").where(remainder("doc_id", 5) != 0).select("doc_id", "toxic")
+    net = toxicity.fit(spark, docs.join(labels, "doc_id"))
+    return toxicity.score(spark, docs, net).select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score",
+                                                   "predicted", "threshold", "flagged")
+
+
 def op4_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.link(table(spark, sf_dir, "documents"))
 
@@ -42,16 +60,27 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(spark, docs.select("doc_id", out, "text"), model).drop("text")
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.encode(spark, table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op10_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_source_mixing": op2_source_mixing,
+    "op3_toxicity": op3_toxicity,
     "op4_superminhash": op4_superminhash,
     "op5_language": op5_language,
+    "op6_licenses": op6_licenses,
     "op7_token_files": op7_token_files,
+    "op10_syncmers": op10_syncmers,
 }
 #: Signatures, trained models, random rounding, codecs and DOM features have no SQL form; the tests hold these
 #: queries against brute force, round trips and held-out labels instead.
