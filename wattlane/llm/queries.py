@@ -11,6 +11,7 @@ from wattlane.llm import (
     fingerprints,
     language,
     licenses,
+    main_text,
     mixing,
     near_duplicates,
     token_files,
@@ -68,6 +69,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.encode(spark, table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.main_text(spark, table(spark, sf_dir, "pages"))
+
+
 def op10_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare(table(spark, sf_dir, "documents"))
 
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_language": op5_language,
     "op6_licenses": op6_licenses,
     "op7_token_files": op7_token_files,
+    "op8_main_text": op8_main_text,
     "op10_syncmers": op10_syncmers,
 }
 #: Signatures, trained models, random rounding, codecs and DOM features have no SQL form; the tests hold these
