@@ -14,6 +14,7 @@ from wattlane.llm import (
     main_text,
     mixing,
     near_duplicates,
+    repeats,
     token_files,
     toxicity,
 )
@@ -73,6 +74,10 @@ def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.main_text(spark, table(spark, sf_dir, "pages"))
 
 
+def op9_suffix_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op10_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare(table(spark, sf_dir, "documents"))
 
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_licenses": op6_licenses,
     "op7_token_files": op7_token_files,
     "op8_main_text": op8_main_text,
+    "op9_suffix_sort": op9_suffix_sort,
     "op10_syncmers": op10_syncmers,
 }
 #: Signatures, trained models, random rounding, codecs and DOM features have no SQL form; the tests hold these
