@@ -69,7 +69,7 @@ def test_scan_reads_only_needed_columns(spark):
 def test_time_filter_reaches_the_scan(spark):
     from wattlane.operators.calendar import slice_dates
 
-    text = plan(slice_dates(spark.read.parquet(f"{FOLDER}/events.parquet"), views.RAW, "2024-01-05", "2024-01-06", fall_back=False))
+    text = plan(slice_dates(spark.read.parquet(f"{FOLDER}/events.parquet"), views.RAW, "2024-01-05", "2024-01-06"))
     assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(ts", text)
 
 

@@ -51,13 +51,19 @@ def register(name: str, builder: Callable) -> None:
 
 
 def fit(train: DataFrame, features: Sequence[str], estimator) -> PipelineModel:
+    """Fit on the rows that have every feature."""
     names = cleaning.drop_target_columns(features)
-    assembler = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="skip")
-    return Pipeline(stages=[assembler, estimator]).fit(train)
+    assembler = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep")
+    return Pipeline(stages=[assembler, estimator]).fit(train.dropna(subset=list(names)))
 
 
 def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    return model.transform(rows).drop("features")
+    """Every row with its prediction; NULL where a feature is missing."""
+    complete = F.lit(True)
+    for name in model.stages[0].getInputCols():
+        complete = complete & F.col(name).isNotNull()
+    scored = model.transform(rows).drop("features")
+    return scored.withColumn("prediction", F.when(complete, F.col("prediction")))
 
 
 def importances(model: PipelineModel, features: Sequence[str]) -> DataFrame:

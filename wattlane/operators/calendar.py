@@ -104,14 +104,11 @@ def keep_first_per_time(df: DataFrame, panel: Panel) -> DataFrame:
     return picked.select(*[F.col(c) if c in group else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
-def slice_dates(df: DataFrame, panel: Panel, start: str, end: str, fall_back: bool = True) -> DataFrame:
-    """Rows from ``start`` to the end of day ``end``; all rows when the range holds none."""
+def slice_dates(df: DataFrame, panel: Panel, start: str, end: str) -> DataFrame:
+    """Rows from ``start`` to the end of day ``end``."""
     last = F.to_timestamp(F.lit(end)) + F.expr("INTERVAL 1 DAY")
     inside = (F.col(panel.ts) >= F.to_timestamp(F.lit(start))) & (F.col(panel.ts) < last)
-    hit = df.filter(inside)
-    if not fall_back:
-        return hit
-    return hit if not hit.limit(1).isEmpty() else df
+    return df.filter(inside)
 
 
 def forecast_calendar(last: DataFrame, panel: Panel, horizon: int) -> DataFrame:

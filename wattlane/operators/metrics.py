@@ -70,9 +70,8 @@ def energy_metrics(
     def load_factor(c: Column) -> Column:
         return F.when(F.max(c) > 0, F.avg(c) / F.nullif(F.max(c), F.lit(0.0))).otherwise(F.lit(0.0))
 
-    peak_mae = F.when(F.count(F.lit(1)) >= 24, F.avg(F.when(peak, F.abs(y - p))))
     return df.groupBy(*by).agg(
-        F.coalesce(peak_mae, F.lit(0.0)).alias("peak_hour_mae"),
+        F.avg(F.when(peak, F.abs(y - p))).alias("peak_hour_mae"),
         F.abs(load_factor(y) - load_factor(p)).alias("load_factor_error"),
         F.abs(F.max(y) - F.max(p)).alias("max_demand_error"),
     )

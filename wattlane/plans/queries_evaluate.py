@@ -214,8 +214,7 @@ def regression_metrics(spark: SparkSession, folder: str) -> DataFrame:
     oracle(
         f"""WITH {PAIRS}
 SELECT series,
-  CASE WHEN count(*) >= 24
-       THEN coalesce(avg(abs(actual - prediction)) FILTER (WHERE pos % 24 IN (6, 7, 8, 9, 18, 19, 20, 21)), 0) ELSE 0 END AS peak_hour_mae,
+  avg(abs(actual - prediction)) FILTER (WHERE pos % 24 IN (6, 7, 8, 9, 18, 19, 20, 21)) AS peak_hour_mae,
   abs(CASE WHEN max(actual) > 0 THEN avg(actual) / max(actual) ELSE 0 END
       - CASE WHEN max(prediction) > 0 THEN avg(prediction) / max(prediction) ELSE 0 END) AS load_factor_error,
   abs(max(actual) - max(prediction)) AS max_demand_error

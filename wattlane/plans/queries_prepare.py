@@ -35,15 +35,10 @@ def _events_as_csv(spark: SparkSession, folder: str, bad_every: int, sep: str =
 
 def _csv_sql(bad_every: int) -> str:
     return f"""
-WITH facts AS (SELECT count(*) AS n, least(100, count(*) // 10) AS budget FROM events),
-bad AS (
-  SELECT event_id, row_number() OVER (ORDER BY event_id) AS nth FROM events WHERE event_id % {bad_every} = 7),
-cut AS (SELECT min(event_id) AS stop FROM bad, facts WHERE nth > budget)
 SELECT strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS time,
        CASE WHEN event_id % 11 = 3 THEN NULL ELSE value END AS total_load_actual,
        CAST(user_id AS DOUBLE) AS price_actual, CAST(NULL AS DOUBLE) AS generation_solar
-FROM events, cut
-WHERE event_id % {bad_every} <> 7 AND event_id < coalesce(stop, 9223372036854775807)"""
+FROM events WHERE event_id % {bad_every} <> 7"""
 
 
 _CSV_COLUMNS = ("time", "total_load_actual", "price_actual", "generation_solar")
@@ -57,8 +52,18 @@ def csv_validated_load(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("SRC5", oracle(_csv_sql(20), "total_load_actual price_actual generation_solar"))
 def csv_error_budget(spark: SparkSession, folder: str) -> DataFrame:
+    """A twentieth of the rows is bad; all others come back."""
     path = _events_as_csv(spark, folder, 20)
-    return emit(tabular.load_csv(spark, path, schemas.ENERGY).good, *_CSV_COLUMNS)
+    return emit(tabular.load_csv(spark, path, schemas.ENERGY, max_bad_share=0.1).good, *_CSV_COLUMNS)
+
+
+@query("SRC5", oracle("""
+SELECT strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS time, CAST(user_id AS VARCHAR) AS price_actual
+FROM events WHERE event_id % 20 = 7"""))
+def csv_rejected_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Every bad row, as it was read."""
+    path = _events_as_csv(spark, folder, 20)
+    return emit(tabular.load_csv(spark, path, schemas.ENERGY).rejected, "time", "price_actual")
 
 
 @query(
@@ -142,12 +147,13 @@ def csv_time_parse(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "SRC13",
-    oracle(f"WITH {RAW_EVENTS} SELECT event_id, value FROM raw ORDER BY ts, event_id LIMIT 1000", "value", "event_id"),
+    oracle("""SELECT event_id, value FROM events
+WHERE ts >= TIMESTAMP '2024-01-02' AND ts < TIMESTAMP '2024-01-05' AND value IS NOT NULL""", "value", "event_id"),
 )
 def reference_sample(spark: SparkSession, folder: str) -> DataFrame:
-    """First thousand rows by time: the sampled read of a monitoring reference."""
+    """A time range of the events as a monitoring reference."""
     events = views.table(spark, folder, "events")
-    return emit(tabular.reference_sample(events, "ts", "value"), "event_id", "value")
+    return emit(tabular.reference_sample(events, "ts", "value", "2024-01-02", "2024-01-05"), "event_id", "value")
 
 
 @query("SRC15", oracle("SELECT event_id, value AS prediction FROM events", "prediction", "event_id"))
@@ -246,6 +252,29 @@ def outlier_filter_in_turn(spark: SparkSession, folder: str) -> DataFrame:
     return emit(rows, "l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity")
 
 
+@query(
+    "FLT5",
+    oracle("""
+WITH a AS (SELECT avg(l_extendedprice) AS m, stddev_samp(l_extendedprice) AS s FROM lineitem),
+x AS (SELECT l.* FROM lineitem l, a WHERE l_extendedprice IS NULL OR abs(l_extendedprice - m) <= 1.5 * s),
+b AS (SELECT avg(l_quantity) AS m, stddev_samp(l_quantity) AS s FROM x)
+SELECT l_returnflag, count(*) AS n, sum(l_quantity) AS quantity FROM x, b
+WHERE l_quantity IS NULL OR abs(l_quantity - m) <= 1.5 * s GROUP BY 1""", "quantity", "n"),
+)
+def outlier_filter_zscore(spark: SparkSession, folder: str) -> DataFrame:
+    """Outliers by distance from the mean, column after column."""
+    rows = cleaning.drop_outliers(
+        views.table(spark, folder, "lineitem"), ["l_extendedprice", "l_quantity"], method="zscore", factor=1.5)
+    return emit(rows.groupBy("l_returnflag").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("quantity")))
+
+
+@query("FLT7", oracle("SELECT count(*) AS n FROM events WHERE ts >= TIMESTAMP '2031-01-01'", ints="n"))
+def empty_date_range(spark: SparkSession, folder: str) -> DataFrame:
+    """A range without rows gives no row."""
+    rows = calendar.slice_dates(views.table(spark, folder, "events"), RAW, "2031-01-01", "2031-01-02")
+    return emit(rows.agg(F.count("*").alias("n")))
+
+
 @query(
     "FLT6",
     oracle(

@@ -9,23 +9,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from wattlane.functions.time import parse_time
-from wattlane.session import materialize
 from wattlane.sources import schemas
 
 
 @dataclass(frozen=True)
 class Validated:
-    """Result of a validated load.
-
-    ``cut`` is true when the error budget ran out: rows from the first bad row over budget on are in
-    neither table.
-    """
+    """Result of a validated load: every valid row, typed, and every other row as it was read."""
 
     good: DataFrame
     rejected: DataFrame
-    rows: int
-    budget: int
-    cut: bool
 
 
 def clean_name(name: str) -> str:
@@ -73,12 +65,8 @@ def typed(raw: DataFrame, schema: T.StructType) -> list[Column]:
     ]
 
 
-def row_is_valid(raw: DataFrame, schema: T.StructType, numeric_text: Sequence[str] = ()) -> Column:
-    """Every field is missing or has its type; required fields are present and not empty.
-
-    ``numeric_text`` names text columns that hold only numbers in the whole file: a reader that
-    infers types would not see them as text, so their rows do not fit.
-    """
+def row_is_valid(raw: DataFrame, schema: T.StructType) -> Column:
+    """Every field is missing or has its type; required fields are present and not empty.  Text fits any text."""
     ok = F.lit(True)
     for f in schema.fields:
         if f.name not in raw.columns:
@@ -86,59 +74,33 @@ def row_is_valid(raw: DataFrame, schema: T.StructType, numeric_text: Sequence[st
                 ok = F.lit(False)
             continue
         value = F.col(f.name)
-        if f.name in numeric_text:
-            ok = ok & value.isNull()
-        elif not isinstance(f.dataType, T.StringType):
+        if not isinstance(f.dataType, T.StringType):
             ok = ok & (value.isNull() | _coerced(value, f.dataType).isNotNull())
         if not f.nullable:
             ok = ok & F.coalesce(F.length(value) >= 1, F.lit(False))
     return ok
 
 
-def validate_rows(raw: DataFrame, schema: T.StructType, order: Sequence[str] = ("_order",)) -> Validated:
-    """Split rows into valid and rejected under an error budget of ``min(100, n // 10)`` bad rows.
+def validate_rows(raw: DataFrame, schema: T.StructType, max_bad_share: float | None = None) -> Validated:
+    """Split rows into valid and rejected ones; none is left out, wherever it stands.
 
-    The bad row that exceeds the budget ends the load: rows before it are kept.  It is found as a
-    top-k over the bad rows, so nothing is numbered or sorted across the table.
+    With ``max_bad_share`` the rows are counted, and a larger share of bad ones raises ``ValueError``.  A table
+    without rows gives two empty tables.
     """
-    fields = [c for c in raw.columns if c not in order]
-    cleaned = raw.select(*order, *[known(F.col(c)).alias(c) for c in fields])
-    texts = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType) and f.name in fields]
-    facts = cleaned.agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.count(c).alias(f"{c}__set") for c in texts],
-        *[F.count_if(F.col(c).isNotNull() & F.col(c).try_cast("double").isNull()).alias(f"{c}__text") for c in texts],
-    ).first()
-    rows = facts["_rows"]
-    if rows == 0:
-        raise ValueError("no data")
-    numeric = [c for c in texts if facts[f"{c}__set"] and not facts[f"{c}__text"]]
-    budget = min(100, rows // 10)
-    judged = cleaned.withColumn("_ok", F.coalesce(row_is_valid(cleaned, schema, numeric), F.lit(False)))
-    bad = judged.filter(~F.col("_ok")).select(F.struct(*order).alias("_at"))
-    # At most 101 keys; the cut travels as a one-row table, so it keeps the exact type of the order.
-    first_bad = materialize(bad.orderBy("_at").limit(budget + 1), "rejected")
-    cut = first_bad.count() > budget
-    if cut:
-        judged = judged.filter(F.struct(*order) < first_bad.agg(F.max("_at")).scalar())
-    good = judged.filter("_ok").select(*typed(cleaned, schema))
-    if good.isEmpty():
-        raise ValueError("no valid records")
-    return Validated(good, judged.filter(~F.col("_ok")).select(*fields), rows, budget, cut)
-
-
-def load_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",") -> Validated:
-    """Validated CSV load.  File order is (file, split, row in split), which a scan repeats exactly."""
-    table = scan_csv(spark, path, sep)
-    ordered = table.select(
-        "*",
-        F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("start"),
-            F.monotonically_increasing_id().alias("row"),
-        ).alias("_order"),
-    )
-    return validate_rows(ordered, schema)
+    cleaned = raw.select(*[known(F.col(c)).alias(c) for c in raw.columns])
+    judged = cleaned.withColumn("_ok", F.coalesce(row_is_valid(cleaned, schema), F.lit(False)))
+    if max_bad_share is not None:
+        rows, bad = judged.agg(F.count(F.lit(1)), F.count_if(~F.col("_ok"))).first()
+        if bad > max_bad_share * rows:
+            raise ValueError(f"{bad} of {rows} rows are bad, more than a share of {max_bad_share}")
+    return Validated(judged.filter("_ok").select(*typed(cleaned, schema)), judged.filter(~F.col("_ok")).drop("_ok"))
+
+
+def load_csv(
+    spark: SparkSession, path: str, schema: T.StructType, sep: str = ",", max_bad_share: float | None = None
+) -> Validated:
+    """Validated CSV load."""
+    return validate_rows(scan_csv(spark, path, sep), schema, max_bad_share)
 
 
 def load_energy(spark: SparkSession, path: str) -> DataFrame:
@@ -149,32 +111,21 @@ def load_weather(spark: SparkSession, path: str) -> DataFrame:
     return load_csv(spark, path, schemas.WEATHER).good
 
 
-def ingest(spark: SparkSession, energy_path: str, weather_path: str) -> dict[str, DataFrame]:
-    return {"energy": load_energy(spark, energy_path), "weather": load_weather(spark, weather_path)}
-
-
 def load_with_time(spark: SparkSession, path: str, time_column: str = "time") -> DataFrame:
     """CSV with one parsed time column; other fields stay text."""
     table = spark.read.csv(path, header=True)
     return table.withColumn(time_column, parse_time(F.col(time_column)))
 
 
-def drop_unparsed(df: DataFrame, time_column: str) -> DataFrame:
-    """Parse a text time; rows without a readable time are dropped."""
-    return df.withColumn(time_column, parse_time(F.col(time_column))).filter(F.col(time_column).isNotNull())
-
-
 def load_predictions(spark: SparkSession, path: str) -> DataFrame:
     table = spark.read.csv(path, header=True)
     return table.withColumn("prediction", F.col("prediction").try_cast("double"))
 
 
-def reference_sample(df: DataFrame, ts: str, target: str, rows: int = 1000, minimum: int = 100) -> DataFrame | None:
-    """First rows by time as a monitoring reference; None when there are too few or no target."""
-    if target not in df.columns:
-        return None
-    sample = df.orderBy(ts).limit(rows)
-    return sample if sample.count() > minimum else None
+def reference_sample(df: DataFrame, ts: str, target: str, start: str, end: str) -> DataFrame:
+    """Rows of a time range, ``end`` left out, with a target: a monitoring reference.  It may be empty."""
+    inside = (F.col(ts) >= F.to_timestamp(F.lit(start))) & (F.col(ts) < F.to_timestamp(F.lit(end)))
+    return df.filter(inside & F.col(target).isNotNull())
 
 
 def load_query(
