@@ -98,6 +98,7 @@ class Items:
     samples: np.ndarray   # walk, item, sampled symbol
     steps: np.ndarray     # walk, item, sampled step
     share: float
+    exact: list[tuple[int, str]]  # items too short for an edit
 
 
 def _gram_hashes(codes: np.ndarray, gram: int) -> np.ndarray:
@@ -110,11 +111,15 @@ def _gram_hashes(codes: np.ndarray, gram: int) -> np.ndarray:
 
 def prepare(rows: list[tuple[int, str | None]], share: float = SHARE) -> Items | None:
     """Stretches and walks of items (id, text); items without text match nothing."""
-    kept = [(i, normalized(t)) for i, t in rows]
-    kept = sorted((i, t) for i, t in kept if t)
-    if not kept:
+    every = sorted(((i, normalized(t)) for i, t in rows if normalized(t)), key=lambda x: (x[1], x[0] is None, x[0] or 0))
+    exact = [(i, t) for i, t in every if not edit_bound(len(t), share)]
+    kept = [(i, t) for i, t in every if edit_bound(len(t), share)]
+    if not every:
         return None
     ids, texts = [i for i, _ in kept], [t for _, t in kept]
+    if not kept:
+        nothing = np.empty((0, 2), np.int64)
+        return Items([], [], 1, np.empty(0, np.uint32), nothing, np.empty(0), np.empty(0), share, exact)
     sizes = np.array([len(t) for t in texts])
     cuts = [[int(len(t) / (edit_bound(len(t), share) + 1) * k) for k in range(edit_bound(len(t), share) + 1)] for t in texts]
     gram = min(len(t) // len(c) for t, c in zip(texts, cuts, strict=True))
@@ -134,7 +139,7 @@ def prepare(rows: list[tuple[int, str | None]], share: float = SHARE) -> Items |
             part = slice(lo, lo + _TOGETHER)
             made = walk(spread(codes, ends[part] - sizes[part], ends[part]), int(2 * sizes[part].max()), w)
             samples[w, part] = made[steps[w, part], np.arange(made.shape[1])[:, None]]
-    return Items(ids, texts, gram, np.array(hashes, np.uint32)[order], np.array(where, np.int64)[order], samples, steps, share)
+    return Items(ids, texts, gram, np.array(hashes, np.uint32)[order], np.array(where, np.int64)[order], samples, steps, share, exact)
 
 
 def edits_within(pattern: str, text: str) -> tuple[int, int]:
@@ -211,6 +216,9 @@ def leaks(items: Items, texts: list[str | None]) -> list[list[dict]]:
     """For each text the items it holds within the edit bound: id, edits, start and end in the normalized text."""
     plain = [normalized(t) for t in texts]
     found: list[dict[int, tuple[int, int, int]]] = [{} for _ in texts]
+    short = [
+        [{"item_id": i, "edits": 0, "start": p.find(t), "end": p.find(t) + len(t)} for i, t in items.exact if t in p] for p in plain
+    ]
     codes = _codes("\0".join([*plain, ""]))
     first = np.concatenate([[0], np.cumsum([len(t) + 1 for t in plain])])[:-1]
     doc, item, start = _windows(items, codes, first)
@@ -229,7 +237,8 @@ def leaks(items: Items, texts: list[str | None]) -> list[list[dict]]:
             if edits <= bound and (best is None or edits < best[0]):
                 found[d][i] = (edits, s, lo + stop)
     return [
-        [{"item_id": items.ids[i], "edits": e, "start": s, "end": t} for i, (e, s, t) in sorted(f.items())] for f in found
+        [{"item_id": items.ids[i], "edits": e, "start": s, "end": t} for i, (e, s, t) in sorted(f.items())] + own
+        for f, own in zip(found, short, strict=True)
     ]
 
 
