@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 #: Bytes of text that a task works on at once.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 #: Bytes whose prefix sums are kept at once while words are hashed.
 PIECE_BYTES = 1 << 18
 

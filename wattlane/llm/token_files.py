@@ -35,7 +35,7 @@ END = 2
 #: Bytes of text that a shard holds on average.
 SHARD_BYTES = 16 << 20
 #: Distinct words and word parts whose ids a worker remembers; a full memory is emptied.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 _BLANK = re.compile(r"[ \t\n\r\x0b\x0c]+")
 _SIMPLE = re.compile("[!-~À-ÖØ-öø-ÿ]+")
