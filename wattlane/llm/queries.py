@@ -44,8 +44,8 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fitted on labelled rows outside the held-out fold; every document is scored."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    labels = table(spark, sf_dir, "labels").where(remainder("doc_id", 5) != 0).select("doc_id", "toxic")
-    net = toxicity.fit(spark, docs.join(labels, "doc_id"))
+    labels = table(spark, sf_dir, "labels").where(remainder("doc_id", 5) != 0)
+    net = toxicity.fit(spark, docs, labels)
     return toxicity.score(spark, docs, net).select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score",
                                                    "predicted", "threshold", "flagged")
 
