@@ -145,16 +145,18 @@ def _set_key(elements: np.ndarray) -> bytes:
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
-    """``doc_id`` and the set as an array."""
+    """``doc_id``, its ``best`` hub, whether it ``is_hub`` itself, and the set as an array."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 1):
                 elements, first = shingle_sets(*utf8(part.column(1)), width)
                 made = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(as_signed(elements)))
-                yield pa.RecordBatch.from_arrays([part.column(0), made], ["doc_id", "elements"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), part.column(3), made],
+                                                 ["doc_id", "best", "is_hub", "elements"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, elements array<long>")
+    return docs.select("doc_id", "text", "best", "is_hub").mapInArrow(
+        run, "doc_id long, best long, is_hub boolean, elements array<long>")
 
 
 def _linked(percent: int) -> Column:
@@ -164,10 +166,13 @@ def _linked(percent: int) -> Column:
 
 
 def _met(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs`` (a, b) with the sets of both, ``elements`` and ``others``."""
+    """``pairs`` (a, b), a written table, with the sets of both, ``elements`` and ``others``.
+
+    Only the sets that a pair names are dealt; the optimizer sees the size of the written pairs.
+    """
     left = sets.select(F.col("doc_id").alias("a"), "elements")
     right = sets.select(F.col("doc_id").alias("b"), F.col("elements").alias("others"))
-    return pairs.join(left, "a").join(right, "b")
+    return pairs.join(left, "a").join(right.join(pairs.select("b"), "b", "left_semi"), "b")
 
 
 def link(docs: DataFrame, width: int = 4, percent: int = 80) -> DataFrame:
@@ -191,16 +196,21 @@ def link(docs: DataFrame, width: int = 4, percent: int = 80) -> DataFrame:
     votes = materialize(
         members.join(buckets, "band").groupBy("doc_id", "hub").agg(F.count("*").alias("n")), "votes")
 
-    # Rows that repeat a doc_id with another text: the set that belongs to the representative is taken.
+    # A document goes to its set with the hub that it shares most buckets with, so that no set is looked up for that.
+    other = F.when(F.col("doc_id") != F.col("hub"), F.struct("n", (-F.col("hub")).alias("least"), "hub"))
+    named = materialize(
+        votes.groupBy("doc_id").agg(F.max(other).alias("v"), F.max(F.col("doc_id") == F.col("hub")).alias("is_hub"))
+        .select("doc_id", F.col("v.hub").alias("best"), "is_hub"), "named")
+    # Rows that repeat a doc_id with another text: one of the texts is taken.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = materialize(
-        _sets(texts.join(votes.select("doc_id").distinct(), "doc_id"), width).dropDuplicates(["doc_id"]), "sets")
+    sets = materialize(_sets(texts.join(named, "doc_id").dropDuplicates(["doc_id"]), width), "sets")
 
-    best = votes.where("doc_id <> hub").groupBy("doc_id").agg(F.max(F.struct("n", (-F.col("hub")).alias("least"))).alias("v"))
-    first = best.select(F.col("doc_id").alias("a"), (-F.col("v.least")).alias("b"))
-    edges = materialize(_met(first, sets).where(_linked(percent)).select("a", "b"), "links")
+    members = sets.where("best IS NOT NULL").select(F.col("doc_id").alias("a"), F.col("best").alias("b"), "elements")
+    hubs = sets.where("is_hub").select(F.col("doc_id").alias("b"), F.col("elements").alias("others"))
+    edges = materialize(members.join(hubs, "b").where(_linked(percent)).select("a", "b"), "links")
     roots = components(edges)
-    more = materialize(_met(_meeting(votes, roots, sets, percent), sets).where(_linked(percent)).select("a", "b"), "links")
+    pairs = materialize(_meeting(votes, roots, sets, percent), "pairs")
+    more = materialize(_met(pairs, sets).where(_linked(percent)).select("a", "b"), "links")
     if not more.isEmpty():
         roots = components(edges.union(more))
 
@@ -252,8 +262,10 @@ def _meeting(votes: DataFrame, roots: DataFrame, sets: DataFrame, percent: int)
         rest = F.array_intersect(rest, f"u{k}")
     size = F.size("elements")
     taken = size - F.ceil(size * percent / 100).cast("int") + 1
+    # Written, so that the optimizer knows how few documents it looks up the sets of.
+    asked = materialize(known.join(orders.select("b"), "b", "left_semi"), "asked")
     firsts = materialize(
-        known.join(orders.select("b"), "b", "left_semi").join(have, "a").join(orders, "b")
+        asked.join(have, "a").join(orders, "b")
         .select("a", "root", size.alias("n"), "b",
                 F.posexplode(F.slice(F.concat(*parts, rest), F.lit(1), taken)).alias("i", "e"))
         .select(F.col("a").alias("doc_id"), "root", "n", (F.col("n") - F.col("i")).alias("left"),
