@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from wattlane.operators import cleaning, features, folds, supervised
+from wattlane.operators import calendar, cleaning, features, folds, supervised
 from wattlane.operators.chunks import lag_of, over_chunks
 from wattlane.plans import views
 from wattlane.panel import Panel
@@ -82,3 +82,18 @@ def test_single_task_stages_hold_aggregates_only(spark):
         for i, line in enumerate(lines):
             if "SinglePartition" in line:
                 assert "partial_" in lines[i + 1], text
+
+
+@pytest.mark.parametrize("panel", [ONE, Panel(keys=("event_type",))])
+def test_resample_scans_once(spark, panel):
+    out = calendar.resample(spark.read.parquet(f"{FOLDER}/events.parquet"), panel, "H", {"load": ("value", "total")})
+    out.collect()
+    ran = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert ran.count("FileScan") == 1
+
+
+def test_resample_keeps_the_values_of_a_null_series(spark):
+    df = spark.sql("SELECT * FROM VALUES (NULL, TIMESTAMP'2024-01-01 00:10', 1.0), (NULL, TIMESTAMP'2024-01-01 02:10', 2.0), "
+                   "('a', TIMESTAMP'2024-01-01 00:10', 3.0) AS t(series, ts, x)").withColumn("x", F.col("x").cast("double"))
+    out = calendar.resample(df, MANY, "H", {"load": ("x", "total")}).orderBy("series", "ts")
+    assert [(r["series"], r["load"]) for r in out.collect()] == [(None, 1.0), (None, None), (None, 2.0), ("a", 3.0)]

@@ -121,12 +121,12 @@ def starts(df):
     return sorted({r[0] for r in df.select("fold_start").collect()})
 
 
-def test_walk_forward_drops_the_fold_that_ends_the_series(spark):
+def test_walk_forward_keeps_the_fold_that_ends_the_series(spark):
     df = frame(spark, [float(i) for i in range(100)])
     out = folds.walk_forward(df, ONE, "x", window=40, horizon=20)
-    assert starts(out) == [40, 60]
-    assert [r["naive"] for r in out.orderBy("pos").collect()] == [39.0] * 20 + [59.0] * 20
-    assert starts(folds.walk_forward(frame(spark, [1.0] * 101), ONE, "x", 40, 20)) == [40, 60, 80]
+    assert starts(out) == [40, 60, 80]
+    assert [r["naive"] for r in out.orderBy("pos").collect()] == [39.0] * 20 + [59.0] * 20 + [79.0] * 20
+    assert starts(folds.walk_forward(frame(spark, [1.0] * 99), ONE, "x", 40, 20)) == [40, 60]
 
 
 def test_time_series_split(spark):
@@ -149,11 +149,11 @@ def test_tail_folds_need_fifty_training_rows(spark):
     assert {r["fold_start"]: r["naive"] for r in out.collect()} == {56: 55.0, 68: 67.0}
 
 
-def test_batch_forecast_leaves_out_the_last_chunk(spark):
+def test_batch_forecast_keeps_the_last_full_chunk(spark):
     df = frame(spark, [float(i) for i in range(96)])
     out = forecast.batch_naive(df, ONE, "x", batch=24, horizon=2)
-    assert sorted({r["chunk"] for r in out.collect()}) == [0, 1, 2]
-    assert column(out, "prediction", "ts") == [23.0, 23.0, 47.0, 47.0, 71.0, 71.0]
+    assert sorted({r["chunk"] for r in out.collect()}) == [0, 1, 2, 3]
+    assert column(out, "prediction", "ts") == [23.0, 23.0, 47.0, 47.0, 71.0, 71.0, 95.0, 95.0]
 
 
 def test_horizon_limits(spark):

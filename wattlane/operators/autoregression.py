@@ -130,10 +130,10 @@ def walk_forward(
             *keys, "fold", (F.col("fold") * horizon + window + F.col("_i")).alias(panel.pos), "prediction"
         )
     )
-    # A fold exists while a row follows its last test row.
+    # A fold exists if its last test row does.
     ends = df.groupBy(*keys).agg(F.max(panel.pos).alias("_last"))
     actual = df.select(*keys, panel.ts, panel.pos, F.col(target).alias("actual"))
-    inside = F.col("fold") * horizon + window + horizon <= F.col("_last")
+    inside = F.col("fold") * horizon + window + horizon - 1 <= F.col("_last")
     return attach(actual.join(predicted, [*keys, panel.pos]), ends, keys).filter(inside).drop("_last")
 
 

@@ -23,14 +23,19 @@ def _step(freq: str) -> tuple[str, Column]:
 
 def spine(df: DataFrame, panel: Panel, freq: str) -> DataFrame:
     """Every step between a series' first and last row, with its position."""
-    unit, step = _step(freq)
-    bounds = df.groupBy(*panel.keys).agg(
+    unit, _ = _step(freq)
+    return _grid(df.groupBy(*panel.keys).agg(
         F.date_trunc(unit, F.min(panel.ts)).alias("_lo"), F.date_trunc(unit, F.max(panel.ts)).alias("_hi")
-    )
+    ), panel, freq)
+
+
+def _grid(bounds: DataFrame, panel: Panel, freq: str) -> DataFrame:
+    """Every step from ``_lo`` to ``_hi`` of each series, with its position."""
+    _, step = _step(freq)
     if panel.keys:
         # One small row per series grows into its whole grid: adaptive execution judges by the small
         # rows and would merge them into one task, but leaves a stated number of partitions alone.
-        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        parts = int(bounds.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         bounds = bounds.repartition(parts, *panel.keys)
     return bounds.filter(F.col("_lo").isNotNull()).select(
         *panel.keys, F.posexplode(F.sequence("_lo", "_hi", step)).alias(panel.pos, panel.ts)
@@ -53,7 +58,8 @@ def resample(
     """
     unit, _ = _step(freq)
     inputs = sorted({c for c, _ in aggregates.values()})
-    rows = df.filter(F.col(panel.ts).isNotNull()).select(*panel.keys, F.col(panel.ts).alias("_at"), *inputs)
+    rows = df.filter(F.col(panel.ts).isNotNull() & F.date_trunc(unit, panel.ts).isNotNull()).select(
+        *panel.keys, F.col(panel.ts).alias("_at"), *inputs)
     exprs, empty = [], {}
     for name, (column, method) in aggregates.items():
         if method in ("sum", "total"):
@@ -74,10 +80,16 @@ def resample(
         elif method == "count":
             empty[name] = 0
     cells = rows.groupBy(*panel.keys, F.date_trunc(unit, "_at").alias(panel.ts)).agg(*exprs)
-    full = spine(df, panel, freq).join(cells, [*panel.keys, panel.ts], "left")
+    # The ends come from the cells, with all their columns, so that both sides read one exchange of cells.
+    ends = cells.groupBy(*panel.keys).agg(
+        F.min(panel.ts).alias("_lo"), F.max(F.struct(panel.ts, *aggregates))[panel.ts].alias("_hi"))
+    grid = _grid(ends, panel, freq).alias("grid")
+    same = F.col(f"grid.{panel.ts}") == F.col(f"cells.{panel.ts}")
+    for key in panel.keys:  # NULL is a series too
+        same = same & F.col(f"grid.{key}").eqNullSafe(F.col(f"cells.{key}"))
+    full = grid.join(cells.alias("cells"), same, "left")
     return full.select(
-        *panel.keys,
-        panel.ts,
+        *[F.col(f"grid.{c}").alias(c) for c in (*panel.keys, panel.ts)],
         *[F.coalesce(n, F.lit(empty[n])).alias(n) if n in empty else F.col(n) for n in aggregates],
         F.col(panel.pos).cast("long").alias(panel.pos),
     )

@@ -98,15 +98,13 @@ def assign_time_series_split(df: DataFrame, panel: Panel, splits: int = 5) -> Da
 def walk_forward(df: DataFrame, panel: Panel, target: str, window: int = 720, horizon: int = 24) -> DataFrame:
     """Test rows of every fold with the fold's number and its naive forecast.
 
-    Fold ``k`` starts at ``i = window + k * horizon``, tests ``[i, i + horizon)`` and exists while
-    ``i < n - horizon``.  Each fold is one group of ``horizon + 2`` rows: its test rows, the row
-    before them (whose value is the naive forecast) and the row after them (which proves that the
-    fold exists).  One shuffle, no counting pass and no join.
+    Fold ``k`` starts at ``i = window + k * horizon``, tests ``[i, i + horizon)`` and exists if all
+    these rows do.  Each fold is one group of ``horizon + 1`` rows: its test rows and the row before
+    them (whose value is the naive forecast).  One shuffle, no counting pass and no join.
     """
     pos = F.col(panel.pos)
     since = pos - window
     here = F.floor(since / F.lit(horizon))
-    at_start = (since % F.lit(horizon)) == 0
     at_end = (since + 1) % F.lit(horizon) == 0
     roles = F.array_compact(
         F.array(
@@ -114,15 +112,12 @@ def walk_forward(df: DataFrame, panel: Panel, target: str, window: int = 720, ho
             F.when(
                 (since >= -1) & at_end, F.struct((here + 1).alias("fold"), F.lit("origin").alias("role"))
             ),
-            F.when(
-                (since > 0) & at_start, F.struct((here - 1).alias("fold"), F.lit("after").alias("role"))
-            ),
         )
     )
     spread = df.select(*panel.keys, panel.ts, panel.pos, target, F.inline(roles))
     group = Window.partitionBy(*panel.keys, "fold")
     naive = F.max(F.when(F.col("role") == "origin", F.col(target))).over(group)
-    complete = F.max((F.col("role") == "after").cast("int")).over(group)
+    complete = F.max(((F.col("role") == "test") & at_end).cast("int")).over(group)
     return (
         spread.select("*", naive.alias("naive"), complete.alias("_complete"))
         .filter((F.col("role") == "test") & (F.col("_complete") == 1))

@@ -43,13 +43,10 @@ def seasonal_ramp(df: DataFrame, panel: Panel, target: str, horizon: int = 24) -
 
 
 def chunk_origins(df: DataFrame, panel: Panel, target: str, batch: int = 24) -> DataFrame:
-    """Last row of every full chunk of ``batch`` rows; the chunk that reaches the end is left out."""
+    """Last row of every full chunk of ``batch`` rows, the one that reaches the end included."""
     chunk = F.floor(F.col(panel.pos) / F.lit(batch))
-    ends = df.groupBy(*panel.keys).agg(F.count(F.lit(1)).alias("_n"))
-    rows = attach(df, ends, panel.keys).withColumn("chunk", chunk)
-    return rows.filter(
-        (F.col("chunk") * batch < F.col("_n") - batch) & (F.col(panel.pos) % batch == batch - 1)
-    ).select(*panel.keys, "chunk", panel.ts, F.col(target).alias("last_value"))
+    return df.filter(F.col(panel.pos) % batch == batch - 1).select(
+        *panel.keys, chunk.alias("chunk"), panel.ts, F.col(target).alias("last_value"))
 
 
 def batch_naive(df: DataFrame, panel: Panel, target: str, batch: int = 24, horizon: int = 24) -> DataFrame:

@@ -23,7 +23,7 @@ fold_rows AS (
   FROM {src} d
   JOIN ends_of e ON d.series = e.series
   LEFT JOIN {src} o ON o.series = d.series AND o.pos = {window} + ((d.pos - {window}) // {horizon}) * {horizon} - 1
-  WHERE d.pos >= {window} AND {window} + ((d.pos - {window}) // {horizon}) * {horizon} < e.c - {horizon})"""
+  WHERE d.pos >= {window} AND {window} + ((d.pos - {window}) // {horizon}) * {horizon} <= e.c - {horizon})"""
 
 
 # ---------------------------------------------------------------- flagship

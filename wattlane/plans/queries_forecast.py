@@ -66,7 +66,7 @@ def seasonal_ramp_forecast(spark: SparkSession, folder: str) -> DataFrame:
     oracle(
         f"""WITH {views.SUPPLIER}, sized AS (SELECT *, count(*) OVER (PARTITION BY series) AS c FROM supplier)
 SELECT series, pos // 24 AS chunk, ts + to_hours(CAST(k AS BIGINT)) AS ts, k AS step, quantity AS prediction
-FROM sized, generate_series(1, 3) AS g(k) WHERE pos % 24 = 23 AND (pos // 24) * 24 < c - 24""",
+FROM sized, generate_series(1, 3) AS g(k) WHERE pos % 24 = 23 AND (pos // 24) * 24 <= c - 24""",
         "prediction", "series chunk step",
     ),
 )
@@ -201,7 +201,7 @@ sums AS (
   WINDOW w AS (PARTITION BY series ORDER BY pos)),
 origins AS (
   SELECT s.series, (s.pos + 1 - 168) // 24 AS fold, s.pos, s.load, s.z, zz1 / z1z1 AS phi
-  FROM sums s JOIN ends_of e ON s.series = e.series WHERE s.pos >= 167 AND (s.pos + 1 - 168) % 24 = 0 AND s.pos + 25 <= e.last_pos),
+  FROM sums s JOIN ends_of e ON s.series = e.series WHERE s.pos >= 167 AND (s.pos + 1 - 168) % 24 = 0 AND s.pos + 24 <= e.last_pos),
 pairs AS (
   SELECT o.series, o.fold, f.load AS actual, o.load + o.z * phi * (1 - pow(phi, f.pos - o.pos)) / (1 - phi) AS prediction
   FROM origins o JOIN filled f ON f.series = o.series AND f.pos > o.pos AND f.pos <= o.pos + 24)
