@@ -340,6 +340,26 @@ def test_license_rules(spark, empty):
     assert (row["base_labels"], row["labels"], row["first_word"]) == ("mit", "mit,mpl-2", 0)
 
 
+def spelled(spelling):
+    """All texts that a spelling stands for, one character of each class."""
+    group = re.search(r"\(([^()]*)\)(\??)|(\[)(.)[^]]*\]|(.)\?", spelling)
+    if not group:
+        return {spelling}
+    made = [group[4]] if group[3] else [group[5], ""] if group[5] else [*group[1].split("|"), *([""] if group[2] else [])]
+    return set().union(*(spelled(spelling[:group.start()] + m + spelling[group.end():]) for m in made))
+
+
+def test_every_spelling_and_tag_alone():
+    for label, tag, *spellings in licenses.LICENSES:
+        assert label in [d[2] for d in licenses.detections(b"spdx-license-identifier: " + tag.encode())], tag
+        for spelling in spellings:
+            for words in spelled(spelling):
+                said = ["released under the %s license"] + ["%s"] * (label not in licenses.NEEDS_FORM)
+                for form in said:
+                    found = licenses.detections((form % words).encode())
+                    assert label in [d[2] for d in found], (label, words, found)
+
+
 # ---------------------------------------------------------------- main text
 
 

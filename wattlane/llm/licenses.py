@@ -1,7 +1,7 @@
 """License scan: ordered signature rules, gated by keywords, with containment suppression.
 
-A rule is a regular expression with a label and a priority.  The rules of a license only look at texts that hold
-one of its keywords.  Where detections overlap, one that lies inside another of at least its priority is dropped,
+A rule is a regular expression with a label and a priority.  The rules of a spelling only look at texts that hold
+all words that every match of it holds; those of tags look at texts that hold the tags' field.  Where detections overlap, one that lies inside another of at least its priority is dropped,
 so the lesser GPL isn't the GPL as well and a tag speaks for the name in it.
 
 Base phrases are counted on words: A to Z in lower case, runs of digits, letters and non-ASCII bytes.
@@ -33,63 +33,63 @@ BASE = (
     ("cc by nc", "cc-by-nc", b"nc"),
 )
 
-#: Label, tag, keywords and spellings of each license.  In spellings a blank is any gap between words, "v?" and the
+#: Label, tag and spellings of each license.  In spellings a blank is any gap between words, "v?" and the
 #: like are regular expressions.  Fixed values.
 LICENSES = (
-    ("mit", "mit", "mit", "mit", "expat"),
-    ("mit-0", "mit-0", "mit", "mit no attribution", "mit 0"),
-    ("apache-2", "apache-2.0", "apache", "apache (software )?v?(ersion )?2( 0)?", "apache license,? v?(ersion )?2( 0)?", "asl 2 0"),
-    ("apache-1.1", "apache-1.1", "apache", "apache (software )?(license )?v?(ersion )?1 1"),
-    ("apache-1.0", "apache-1.0", "apache", "apache (software )?(license )?v?(ersion )?1 0"),
-    ("bsd-2-clause", "bsd-2-clause", "bsd", "bsd 2 clause", "(2|two) clause bsd", "simplified bsd", "freebsd"),
-    ("bsd-3-clause", "bsd-3-clause", "bsd", "bsd 3 clause", "(3|three) clause bsd", "(new|modified|revised) bsd"),
-    ("bsd-4-clause", "bsd-4-clause", "bsd", "bsd 4 clause", "(4|four) clause bsd", "(original|old) bsd"),
-    ("bsd-0-clause", "0bsd", "bsd", "0bsd", "zero clause bsd", "bsd zero clause"),
-    ("gpl-1", "gpl-1.0", "gpl gnu", "gpl v?(ersion )?1( 0)?", "gplv1", "gnu general public license v?(ersion )?1( 0)?"),
-    ("gpl-2", "gpl-2.0", "gpl gnu", "gpl v?(ersion )?2( 0)?", "gplv2", "gnu general public license v?(ersion )?2( 0)?"),
-    ("gpl-3", "gpl-3.0", "gpl gnu", "gpl v?(ersion )?3( 0)?", "gplv3", "gnu general public license v?(ersion )?3( 0)?"),
-    ("gpl", "gpl", "gpl gnu", "gnu gpl", "gnu general public"),
-    ("lgpl-2.1", "lgpl-2.1", "lgpl lesser", "lgpl v?(ersion )?2 1", "lgplv2 1", "gnu lesser general public license v?(ersion )?2 1"),
-    ("lgpl-3", "lgpl-3.0", "lgpl lesser", "lgpl v?(ersion )?3( 0)?", "lgplv3", "gnu lesser general public license v?(ersion )?3( 0)?"),
-    ("lgpl", "lgpl", "lgpl lesser library", "gnu lgpl", "gnu lesser general public", "gnu library general public"),
-    ("agpl-3", "agpl-3.0", "agpl affero", "agpl v?(ersion )?3( 0)?", "agplv3", "gnu affero general public license v?(ersion )?3( 0)?"),
-    ("agpl", "agpl", "agpl affero", "gnu agpl", "gnu affero general public"),
-    ("gfdl", "gfdl-1.3", "gfdl documentation", "gfdl", "gnu free documentation"),
-    ("mpl-1.1", "mpl-1.1", "mpl mozilla", "mpl v?(ersion )?1 1", "mozilla public license,? v?(ersion )?1 1"),
-    ("mpl-2", "mpl-2.0", "mpl mozilla", "mpl v?(ersion )?2( 0)?", "mozilla public license,? v?(ersion )?2( 0)?"),
-    ("epl-1", "epl-1.0", "epl eclipse", "epl v?(ersion )?1( 0)?", "eclipse public license,? v?(ersion )?1( 0)?"),
-    ("epl-2", "epl-2.0", "epl eclipse", "epl v?(ersion )?2( 0)?", "eclipse public license,? v?(ersion )?2( 0)?"),
-    ("edl-1", "edl-1.0", "eclipse", "eclipse distribution"),
-    ("cddl-1", "cddl-1.0", "cddl distribution", "cddl( v?(ersion )?1( 0)?)?", "common development and distribution"),
-    ("cpl-1", "cpl-1.0", "common", "common public"),
-    ("eupl-1.2", "eupl-1.2", "eupl european", "eupl( v?(ersion )?1 2)?", "european union public"),
-    ("isc", "isc", "isc", "isc"),
-    ("zlib", "zlib", "zlib", "zlib", "zlib libpng"),
-    ("boost-1", "bsl-1.0", "boost", "boost software", "boost software license,? v?(ersion )?1( 0)?"),
-    ("unlicense", "unlicense", "unlicense", "the unlicense", "unlicense"),
-    ("wtfpl", "wtfpl", "wtfpl", "wtfpl", "do what the fuck you want to public"),
-    ("artistic-2", "artistic-2.0", "artistic", "artistic license,? v?(ersion )?2( 0)?", "artistic 2( 0)?"),
-    ("artistic-1", "artistic-1.0", "artistic", "artistic license,? v?(ersion )?1( 0)?", "artistic 1( 0)?"),
-    ("postgresql", "postgresql", "postgresql", "postgresql"),
-    ("python-2", "python-2.0", "python psf", "python software foundation", "psf"),
-    ("ruby", "ruby", "ruby", "ruby"),
-    ("php-3", "php-3.01", "php", "php license,? v?(ersion )?3( 01)?", "php 3 01"),
-    ("openssl", "openssl", "openssl", "openssl"),
-    ("ofl-1.1", "ofl-1.1", "ofl sil font", "sil open font", "ofl( v?(ersion )?1 1)?"),
-    ("ms-pl", "ms-pl", "microsoft ms", "microsoft public", "ms pl"),
-    ("ms-rl", "ms-rl", "microsoft ms", "microsoft reciprocal", "ms rl"),
-    ("cc0-1", "cc0-1.0", "cc0 creative", "cc0( 1 0)?", "creative commons zero( v?1 0)?"),
-    ("cc-by", "cc-by-4.0", "cc creative", "cc by( [1-4] [05])?", "creative commons attribution( [1-4] [05])?"),
-    ("cc-by-sa", "cc-by-sa-4.0", "cc creative", "cc by sa( [1-4] [05])?", "creative commons attribution share ?alike( [1-4] [05])?"),
-    ("cc-by-nd", "cc-by-nd-4.0", "cc creative", "cc by nd( [1-4] [05])?", "creative commons attribution no ?derivatives( [1-4] [05])?"),
-    ("cc-by-nc", "cc-by-nc-4.0", "cc creative", "cc by nc( [1-4] [05])?", "creative commons attribution non ?commercial( [1-4] [05])?"),
-    ("cc-by-nc-sa", "cc-by-nc-sa-4.0", "cc creative", "cc by nc sa( [1-4] [05])?", "creative commons attribution non ?commercial share ?alike( [1-4] [05])?"),
-    ("cc-by-nc-nd", "cc-by-nc-nd-4.0", "cc creative", "cc by nc nd( [1-4] [05])?", "creative commons attribution non ?commercial no ?derivatives( [1-4] [05])?"),
-    ("odbl-1", "odbl-1.0", "odbl database", "odbl( v?1 0)?", "open database"),
-    ("odc-by-1", "odc-by-1.0", "odc", "odc by( 1 0)?", "open data commons attribution"),
-    ("pddl-1", "pddl-1.0", "pddl", "pddl( 1 0)?", "public domain dedication and"),
-    ("public-domain", "public-domain", "domain", "public domain"),
-    ("all-rights-reserved", "all-rights-reserved", "reserved", "all rights reserved"),
+    ("mit", "mit", "mit", "expat"),
+    ("mit-0", "mit-0", "mit no attribution", "mit 0"),
+    ("apache-2", "apache-2.0", "apache (software )?v?(ersion )?2( 0)?", "apache license,? v?(ersion )?2( 0)?", "asl 2 0"),
+    ("apache-1.1", "apache-1.1", "apache (software )?(license )?v?(ersion )?1 1"),
+    ("apache-1.0", "apache-1.0", "apache (software )?(license )?v?(ersion )?1 0"),
+    ("bsd-2-clause", "bsd-2-clause", "bsd 2 clause", "(2|two) clause bsd", "simplified bsd", "freebsd"),
+    ("bsd-3-clause", "bsd-3-clause", "bsd 3 clause", "(3|three) clause bsd", "(new|modified|revised) bsd"),
+    ("bsd-4-clause", "bsd-4-clause", "bsd 4 clause", "(4|four) clause bsd", "(original|old) bsd"),
+    ("bsd-0-clause", "0bsd", "0bsd", "zero clause bsd", "bsd zero clause"),
+    ("gpl-1", "gpl-1.0", "gpl v?(ersion )?1( 0)?", "gplv1", "gnu general public license v?(ersion )?1( 0)?"),
+    ("gpl-2", "gpl-2.0", "gpl v?(ersion )?2( 0)?", "gplv2", "gnu general public license v?(ersion )?2( 0)?"),
+    ("gpl-3", "gpl-3.0", "gpl v?(ersion )?3( 0)?", "gplv3", "gnu general public license v?(ersion )?3( 0)?"),
+    ("gpl", "gpl", "gnu gpl", "gnu general public"),
+    ("lgpl-2.1", "lgpl-2.1", "lgpl v?(ersion )?2 1", "lgplv2 1", "gnu lesser general public license v?(ersion )?2 1"),
+    ("lgpl-3", "lgpl-3.0", "lgpl v?(ersion )?3( 0)?", "lgplv3", "gnu lesser general public license v?(ersion )?3( 0)?"),
+    ("lgpl", "lgpl", "gnu lgpl", "gnu lesser general public", "gnu library general public"),
+    ("agpl-3", "agpl-3.0", "agpl v?(ersion )?3( 0)?", "agplv3", "gnu affero general public license v?(ersion )?3( 0)?"),
+    ("agpl", "agpl", "gnu agpl", "gnu affero general public"),
+    ("gfdl", "gfdl-1.3", "gfdl", "gnu free documentation"),
+    ("mpl-1.1", "mpl-1.1", "mpl v?(ersion )?1 1", "mozilla public license,? v?(ersion )?1 1"),
+    ("mpl-2", "mpl-2.0", "mpl v?(ersion )?2( 0)?", "mozilla public license,? v?(ersion )?2( 0)?"),
+    ("epl-1", "epl-1.0", "epl v?(ersion )?1( 0)?", "eclipse public license,? v?(ersion )?1( 0)?"),
+    ("epl-2", "epl-2.0", "epl v?(ersion )?2( 0)?", "eclipse public license,? v?(ersion )?2( 0)?"),
+    ("edl-1", "edl-1.0", "eclipse distribution"),
+    ("cddl-1", "cddl-1.0", "cddl( v?(ersion )?1( 0)?)?", "common development and distribution"),
+    ("cpl-1", "cpl-1.0", "common public"),
+    ("eupl-1.2", "eupl-1.2", "eupl( v?(ersion )?1 2)?", "european union public"),
+    ("isc", "isc", "isc"),
+    ("zlib", "zlib", "zlib", "zlib libpng"),
+    ("boost-1", "bsl-1.0", "boost software", "boost software license,? v?(ersion )?1( 0)?"),
+    ("unlicense", "unlicense", "the unlicense", "unlicense"),
+    ("wtfpl", "wtfpl", "wtfpl", "do what the fuck you want to public"),
+    ("artistic-2", "artistic-2.0", "artistic license,? v?(ersion )?2( 0)?", "artistic 2( 0)?"),
+    ("artistic-1", "artistic-1.0", "artistic license,? v?(ersion )?1( 0)?", "artistic 1( 0)?"),
+    ("postgresql", "postgresql", "postgresql"),
+    ("python-2", "python-2.0", "python software foundation", "psf"),
+    ("ruby", "ruby", "ruby"),
+    ("php-3", "php-3.01", "php license,? v?(ersion )?3( 01)?", "php 3 01"),
+    ("openssl", "openssl", "openssl"),
+    ("ofl-1.1", "ofl-1.1", "sil open font", "ofl( v?(ersion )?1 1)?"),
+    ("ms-pl", "ms-pl", "microsoft public", "ms pl"),
+    ("ms-rl", "ms-rl", "microsoft reciprocal", "ms rl"),
+    ("cc0-1", "cc0-1.0", "cc0( 1 0)?", "creative commons zero( v?1 0)?"),
+    ("cc-by", "cc-by-4.0", "cc by( [1-4] [05])?", "creative commons attribution( [1-4] [05])?"),
+    ("cc-by-sa", "cc-by-sa-4.0", "cc by sa( [1-4] [05])?", "creative commons attribution share ?alike( [1-4] [05])?"),
+    ("cc-by-nd", "cc-by-nd-4.0", "cc by nd( [1-4] [05])?", "creative commons attribution no ?derivatives( [1-4] [05])?"),
+    ("cc-by-nc", "cc-by-nc-4.0", "cc by nc( [1-4] [05])?", "creative commons attribution non ?commercial( [1-4] [05])?"),
+    ("cc-by-nc-sa", "cc-by-nc-sa-4.0", "cc by nc sa( [1-4] [05])?", "creative commons attribution non ?commercial share ?alike( [1-4] [05])?"),
+    ("cc-by-nc-nd", "cc-by-nc-nd-4.0", "cc by nc nd( [1-4] [05])?", "creative commons attribution non ?commercial no ?derivatives( [1-4] [05])?"),
+    ("odbl-1", "odbl-1.0", "odbl( v?1 0)?", "open database"),
+    ("odc-by-1", "odc-by-1.0", "odc by( 1 0)?", "open data commons attribution"),
+    ("pddl-1", "pddl-1.0", "pddl( 1 0)?", "public domain dedication and"),
+    ("public-domain", "public-domain", "public domain"),
+    ("all-rights-reserved", "all-rights-reserved", "all rights reserved"),
 )
 
 #: Sentences in which a spelling (%s) stands, with their priority; the first word group is what licenses say.
@@ -103,6 +103,8 @@ FORMS = (
 #: Names that say enough without a sentence around them.
 PLAIN = 40
 TAG = 100
+#: What stands before a tag, in lower case.
+FIELD = b"spdx-license-identifier:"
 #: Labels whose spelling is an everyday word or short; they need a sentence.
 NEEDS_FORM = {"mit", "isc", "zlib", "ruby", "openssl", "postgresql", "python-2", "cc-by"}
 
@@ -121,18 +123,26 @@ def _compiled(words: str) -> re.Pattern[bytes]:
     return re.compile(_START + re.sub(rb"\((?!\?)", b"(?:", spaced) + _STOP)
 
 
+def keywords(spelling: str) -> tuple[bytes, ...]:
+    """The words that every match of a spelling holds: what stands outside of groups, classes and optional characters."""
+    left, before = spelling, ""
+    while left != before:
+        left, before = re.sub(r"\([^()]*\)\??", " ", left), left
+    return tuple(w.encode() for w in sorted(set(re.sub(r"\[[^]]*\]\??|.\?", " ", left).split()), key=lambda w: (-len(w), w)))
+
+
 @cache
 def rules() -> tuple[tuple[tuple[bytes, ...], tuple[Rule, ...]], ...]:
-    """For each license its keywords and its rules, by falling priority."""
-    out = []
-    for label, tag, keys, *spellings in LICENSES:
-        made = [Rule(label, TAG, re.compile(
-            rb"spdx-license-identifier:[ \t]*" + re.escape(tag.encode()) + rb"(?:-only|-or-later|\+)?(?![0-9a-z.-])"))]
+    """For all tags, and for each spelling, the keywords that a text must hold and the rules, by falling priority."""
+    tags = tuple(Rule(label, TAG, re.compile(
+        re.escape(FIELD) + rb"[ \t]*" + re.escape(tag.encode()) + rb"(?:-only|-or-later|\+)?(?![0-9a-z.-])")) for label, tag, *_ in LICENSES)
+    out = [((FIELD,), tags)]
+    for label, _, *spellings in LICENSES:
         for spelling in spellings:
-            made += [Rule(label, priority, _compiled(form % spelling)) for priority, form in FORMS]
+            made = [Rule(label, priority, _compiled(form % spelling)) for priority, form in FORMS]
             if label not in NEEDS_FORM:
                 made.append(Rule(label, PLAIN, _compiled(spelling)))
-        out.append((tuple(k.encode() for k in keys.split()), tuple(sorted(made, key=lambda r: -r.priority))))
+            out.append((keywords(spelling), tuple(made)))
     return tuple(out)
 
 
@@ -146,7 +156,7 @@ def detections(text: bytes) -> list[tuple[int, int, str, int]]:
     """(start, end, label, priority) in a lower-cased text, those inside a stronger one dropped."""
     found = []
     for keys, own in rules():
-        if any(k in text for k in keys):
+        if all(k in text for k in keys):
             for rule in own:
                 found += [(m.start(), m.end(), rule.label, rule.priority) for m in rule.pattern.finditer(text)]
     kept: list[tuple[int, int, str, int]] = []
