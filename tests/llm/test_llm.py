@@ -478,6 +478,23 @@ def test_fingerprints_of_odd_rows(odd, empty):
     assert len({r["fingerprint"] for r in got if r["doc_id"] in (4, 5)}) == 1
 
 
+def test_a_passage_shared_by_long_texts(spark):
+    draw = random.Random(21)
+    passage, *long = ("".join(draw.choice("abcdefgh ") for _ in range(n)) for n in (400, 60_000, 90_000, 40_000))
+    texts = [long[0] + passage, passage + long[1], long[2], passage]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in fingerprints.compare(table).collect()}
+    for d, text in enumerate(texts):
+        hashes, _ = fingerprints.syncmers(text)
+        assert got[d]["anchors"] == len(hashes) and len(got[d]["fingerprint"].split()) == len(set(hashes.tolist()))
+    shared = set(fingerprints.syncmers(passage)[0].tolist())
+    for a, b in ((0, 1), (0, 3), (3, 1)):
+        sets = [set(fingerprints.syncmers(texts[k])[0].tolist()) for k in (a, b)]
+        like = fingerprints.likeness(fingerprints.sketch(texts[a]), fingerprints.sketch(texts[b]))
+        assert like == pytest.approx(len(shared) / len(sets[0] | sets[1]), rel=0.05)
+    assert got[1]["near_next"] > 0 and got[0]["near_next"] > 0
+
+
 # ---------------------------------------------------------------- pipeline
 
 

@@ -2,9 +2,9 @@
 
 A k-mer of characters is a closed syncmer if the smallest of the s-mers in it (by hash) stands at one of its edges.
 That depends on the k-mer alone, so the same passage has the same anchors in any text.  A fingerprint keeps the
-``KEPT`` smallest hashes of a text's syncmers, each with the place where it stands first.  Two fingerprints are as
-alike as the share of the smallest hashes of both together that both have, counting only anchors that agree on
-how far the texts are shifted against each other.
+hashes of all syncmers of a text of any length, each with the place where it stands first.  Two fingerprints are as
+alike as the share of the hashes of both together that both have, counting only anchors that agree on how far the
+texts are shifted against each other.
 """
 
 from __future__ import annotations
@@ -20,7 +20,6 @@ from pyspark.sql import DataFrame, functions as F
 from wattlane.llm.texts import slices, text_bytes
 
 K, S = 16, 6
-KEPT = 64
 #: Characters by which the shifts of two anchors of one alignment may differ.
 SLACK = 200
 #: Bytes of text that a block of consecutive documents holds on average.
@@ -65,17 +64,13 @@ def syncmers(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sketch(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """The smallest distinct hashes of a text's syncmers, rising, and the first place of each."""
-    hashes, places = syncmers(text)
-    if len(hashes) > 4 * KEPT:
-        # Enough of the smallest to hold KEPT distinct ones, unless few are distinct at all.
-        part = np.argpartition(hashes, 3 * KEPT)[:3 * KEPT]
-        limit = hashes[part].max()
-        near = hashes <= limit
-        if len(np.unique(hashes[near])) >= KEPT:
-            hashes, places = hashes[near], places[near]
+    """The distinct hashes of a text's syncmers, rising, and the first place of each."""
+    return _distinct(*syncmers(text))
+
+
+def _distinct(hashes: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     found, first = np.unique(hashes, return_index=True)
-    return found[:KEPT], places[first[:KEPT]]
+    return found, places[first]
 
 
 def written(made: tuple[np.ndarray, np.ndarray]) -> str:
@@ -87,15 +82,13 @@ def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
     """0 to 1; equal fingerprints give 1, also two of empty texts."""
     if not len(a[0]) or not len(b[0]):
         return float(len(a[0]) == len(b[0]))
-    both = np.union1d(a[0], b[0])[:max(min(len(a[0]), len(b[0])), 1)] if max(len(a[0]), len(b[0])) >= KEPT else np.union1d(a[0], b[0])
     common, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    inside = common <= both[-1]
-    if not inside.any():
+    if not len(common):
         return 0.0
-    shift = np.sort((a[1][i] - b[1][j])[inside])
+    shift = np.sort(a[1][i] - b[1][j])
     # The most anchors whose shifts lie within SLACK of each other.
     agree = (np.searchsorted(shift, shift + SLACK, side="right") - np.arange(len(shift))).max()
-    return float(agree / len(both))
+    return float(agree / (len(a[0]) + len(b[0]) - len(common)))
 
 
 def _bounds(docs: DataFrame) -> list[int]:
@@ -113,7 +106,7 @@ def compare(docs: DataFrame) -> DataFrame:
     The edited text has the last third of the characters (rounded down) replaced by as many first ones of the
     next document, by falling doc_id; the last document's next is the first.  ``doc_id``, ``n_chars``,
     ``edited_sha256``, ``fingerprint``, ``edited_fingerprint``, ``near_edited``, ``near_next``, ``anchors`` (syncmers of
-    the text).  NULL counts as the empty text, whose fingerprint is empty.  Rows with a NULL doc_id come last;
+    the text, repeated ones too).  NULL counts as the empty text, whose fingerprint is empty.  Rows with a NULL doc_id come last;
     rows that share a doc_id are ordered by their texts.  An empty table gives an empty result.
 
     Documents are dealt into blocks of consecutive doc_ids; a block also gets the first document of the block that
@@ -152,15 +145,17 @@ def compare(docs: DataFrame) -> DataFrame:
         # Copies that end the block: the first of the block below, or of all.
         after = frame[~frame["own"]].sort_values(["key", "text"], ascending=False, kind="stable")
         texts = [*own["text"], after["text"].iloc[0]]
-        made, out = sketch(texts[0]), []
+        anchors, out = syncmers(texts[0]), []
+        made = _distinct(*anchors)
         for k, text in enumerate(texts[:-1]):
-            following = sketch(texts[k + 1])
+            anchors_after = syncmers(texts[k + 1])
+            following = _distinct(*anchors_after)
             third = len(text) // 3
             edited = text[:len(text) - third] + texts[k + 1][:third]
             changed = sketch(edited)
             out.append((len(text), sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), written(made), written(changed),
-                        likeness(made, changed), likeness(made, following), len(made[0])))
-            made = following
+                        likeness(made, changed), likeness(made, following), len(anchors[0])))
+            anchors, made = anchors_after, following
         result = pd.DataFrame(out, columns=[
             "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "anchors"])
         result.insert(0, "doc_id", own["doc_id"].astype("Int64").array)
