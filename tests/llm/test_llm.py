@@ -392,6 +392,29 @@ def test_odd_pages(spark):
     assert main_text.parse(rows[-1][2]) and main_text.blocks(main_text.parse(rows[-1][2]))[1][0][1] == "a&b c d"
 
 
+def test_omitted_end_tags():
+    trees = main_text.fitted()
+    said = [" ".join(f"Word{k} of sentence {j}, and more." for j in range(12)) for k in range(4)]
+    article = "<article><h1>A heading of it</h1>%s" + "".join(f"<p>{x}</p>" for x in said) + "</article>"
+
+    def text(page):
+        return main_text.extract(trees, [page])[0]
+
+    want = "\n".join(["A heading of it", *said])
+    assert text(f"<html><head><title>x</title></head><body>{article % ''}</body></html>") == want
+    for start in ("<html><head><title>x</title><body>", "<html><head><title>x</title>", "<head><title>x", "<title>On <p> and</title>",
+                  "<html><head><meta charset=utf-8><noscript><p>no</p></noscript><script>'<div>'</script><title>x<body>"):
+        assert text(start + article % "") == want, start
+    for tag in ("button", "select", "noscript", "svg", "object", "iframe", "template"):
+        for inside in (f"<{tag} id=a>label", f"<{tag} id='a\"b>label", f"<div><{tag}>label</div>", f"<{tag}>label<{tag}>label</{tag}>",
+                       f"<{tag}><div><p>no</div></{tag}>", f"<{tag}>a<b>b</b></{tag}>"):
+            assert text(f"<html><head></head><body>{article % inside}</body></html>") == want, inside
+        for name in (f"{tag}-icon", f"{tag}:x"):
+            assert text(f"<body>{article.replace('<p>', f'<p><{name}></{name}>') % ''}</body>") == want, name
+            assert text(f"<body>{article.replace('<p>', f'<p><{name}>') % ''}</body>") == want, name
+    assert text(f"<body>{article.replace('<p>', '<p><svg/>') % ''}</body>") == want
+
+
 # ---------------------------------------------------------------- repeated passages
 
 

@@ -15,6 +15,7 @@ from __future__ import annotations
 import html
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cache
@@ -27,8 +28,9 @@ from wattlane.llm.boosting import Trees, train
 from wattlane.llm.texts import slices
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|select|button|svg|head|iframe|object)\b.*?(?:</\1\s*>|\Z)"
-    r"|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
+    r"<!--.*?(?:-->|\Z)|<(script|style|textarea)(?=[\s/>]|\Z).*?(?:</\1\s*>|\Z)"
+    r"|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>\"'<]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    r"|<(noscript|template|select|button|svg|object|iframe|title)(?=[\s/>])[^>]*>", re.S | re.I)
 _ATTRIBUTE = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORD = re.compile(r"[a-z]+")
 _MARKS = re.compile(r"[.,;:!?]")
@@ -48,6 +50,8 @@ _KIND = {tag: k for k, tags in enumerate(KINDS.values()) for tag in tags.split()
 #: Elements that a start tag closes when they are open.
 _CLOSES = {"li": {"li", "p"}, "dd": {"dd", "dt", "p"}, "dt": {"dd", "dt", "p"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 _SPACES = {"br", "hr", "img", "input", "wbr"}
+#: Elements that hold no text of the page.  Without an end tag they last until the next tag of a block.
+_HIDDEN = {"noscript", "template", "select", "button", "svg", "object", "iframe", "title"}
 
 #: Words in attributes that speak against and for main text.
 AGAINST = set("""ad ads advert advertisement banner sponsor sponsored promo nav navbar menu breadcrumb breadcrumbs header
@@ -66,14 +70,44 @@ class Node:
     linked: int = 0
 
 
+def _name(m: re.Match[str]) -> str:
+    """Name of a tag; empty for other tokens and for drawings that end where they begin."""
+    name = (m[3] or m[5] or "").lower()
+    return "" if name == "svg" and not m[2] and (m[4] or "").endswith("/") else name
+
+
+def _hidden_ends(tokens: list[re.Match[str]]) -> dict[int, int]:
+    """The end tag of each hidden element that has one before the end of a block around it, as numbers of tokens."""
+    stack: list[tuple[str, int]] = []
+    opened: Counter[str] = Counter()
+    ends = {}
+    for k, m in enumerate(tokens):
+        name = _name(m)
+        if name not in _HIDDEN and name not in _KIND:
+            continue
+        if not m[2]:
+            stack.append((name, k))
+            opened[name] += 1
+        elif opened[name]:
+            top = ""
+            while top != name:
+                top, start = stack.pop()
+                opened[top] -= 1
+            if name in _HIDDEN:
+                ends[start] = k
+    return ends
+
+
 def parse(source: str) -> list[Node]:
     """Block elements in page order; texts are kept as runs (order in the page, pieces) of the element they are in."""
     nodes = [Node("html", -1, 0, [])]
     stack, inside_link, order, last = [0], 0, 0, 0
-    fresh = True
+    fresh, hidden = True, False
 
     def add(text: str) -> None:
         nonlocal order, fresh
+        if hidden:
+            return
         node = nodes[stack[-1]]
         if fresh or not node.runs:
             if not text.strip():
@@ -85,25 +119,28 @@ def parse(source: str) -> list[Node]:
         if inside_link:
             node.linked += len(text.strip())
 
-    for m in _TOKEN.finditer(source):
+    tokens = list(_TOKEN.finditer(source))
+    ends = _hidden_ends(tokens)
+    for k, m in enumerate(tokens):
+        if m.start() < last:
+            continue  # inside a hidden element
         if m.start() > last:
             add(source[last:m.start()])
-        last = m.end()
-        name = m[3]
-        if not name:
-            continue
-        name = name.lower()
+        last = tokens[ends.get(k, k)].end()
+        name = _name(m)
         if name not in _KIND:
-            if name == "a":
+            if name in _HIDDEN:
+                hidden = hidden or not m[2] and k not in ends
+            elif name == "a":
                 inside_link = max(0, inside_link + (-1 if m[2] else 1)) if m[2] else 1
             elif name in _SPACES and not fresh:
                 add(" ")
             continue
-        fresh, inside_link = True, 0
+        fresh, hidden, inside_link = True, False, 0
         if m[2]:
-            for k in range(len(stack) - 1, 0, -1):
-                if nodes[stack[k]].tag == name:
-                    del stack[k:]
+            for depth in range(len(stack) - 1, 0, -1):
+                if nodes[stack[depth]].tag == name:
+                    del stack[depth:]
                     break
             continue
         closes = _CLOSES.get(name, {"p"}) | ({"h1", "h2", "h3", "h4", "h5", "h6"} if name[0] == "h" and name[1:].isdigit() else set())
