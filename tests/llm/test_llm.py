@@ -459,6 +459,46 @@ def test_repeats_in_odd_rows(odd, empty):
     assert repeats.remove_repeats(odd).count() == odd.count() and repeats.remove_repeats(empty).count() == 0
 
 
+@pytest.mark.parametrize("hot", [1, 30, 100])
+def test_repeats_around_common_lines(monkeypatch, spark, docs, hot):
+    monkeypatch.setattr(repeats, "BLOCK_BYTES", 1 << 14)
+    monkeypatch.setattr(repeats, "RANGE_BYTES", 1 << 14)
+    monkeypatch.setattr(repeats, "HOT", hot)
+    draw = random.Random(5)
+
+    def other(n):
+        return "".join(draw.choice("abcdef \n") for _ in range(n))
+
+    line = "This line of the licence stands in each text, whatever is around it."
+    texts = [other(150) + line + other(150) for _ in range(60)] + [line, line + "x" * 40, line + "x" * 40 + "y"]
+    rows = [*enumerate(texts), (None, texts[3]), (5, texts[7]), *[(100 + d, t) for d, t in texts_of(docs).items()]]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((tuple(r) for r in repeats.remove_repeats(table).drop("spans").collect()), key=str) == brute_repeats(rows)
+
+
+def test_no_range_holds_all_suffixes_of_a_common_gram():
+    import pyarrow as pa
+
+    draw, line, limit = random.Random(6), b"This line of the licence stands in each text, whatever is around it.", 200
+    tables = []
+    for block in range(3):
+        texts = [("".join(draw.choice("abcdef ") for _ in range(200)).encode() + line + str(draw.random()).encode()).decode() for _ in range(100)]
+        keys = [100 * block + k for k in range(100)]
+        tables.append(pa.table({"doc_id": keys, "text": texts, "key": keys, "block": [block] * 100}))
+    asked = pa.concat_tables([repeats._ask(1)(t) for t in tables])
+    told = repeats._tell(limit)(asked)
+    back = [told.filter(pa.compute.equal(told.column("block"), k)) for k in range(3)]
+    sent = pa.concat_tables([repeats._send(1)(t, b) for t, b in zip(tables, back, strict=True)])
+    runs = [r for r in sent.to_pylist() if r["range"] == 0]
+    size: dict = {}
+    for made in runs:
+        run = repeats.Run(made["common"], made["rests"])
+        while run.step() >= 0:
+            gram = run.key[:repeats._SAME_GRAM]
+            size[gram] = size.get(gram, 0) + 1
+    assert max(size.values(), default=0) <= limit and any(r["range"] == 1 for r in sent.to_pylist())
+
+
 # ---------------------------------------------------------------- fingerprints
 
 

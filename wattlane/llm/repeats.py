@@ -15,6 +15,10 @@ hash is smallest, and equal windows have equal anchors.  So suffixes are taken a
    equal windows are neighbours; the smallest doc_id of each goes back to the blocks.
 4. Blocks mark what to remove.
 
+A gram with more than ``HOT`` suffixes in the corpus (a common line with different text around it) takes another way in
+steps 2 and 3, as no task should hold them all: blocks deal the windows around its anchors by a hash of the whole
+window, each distinct one once with its smallest and largest doc_id, and the smallest of all comes back.
+
 Everything is one query: the texts are shuffled once, and all steps read that shuffle.
 """
 
@@ -35,6 +39,9 @@ REACH = LENGTH - GRAM
 #: Bytes of text of a block, and of the text whose anchors fall into a range, on average.
 BLOCK_BYTES, RANGE_BYTES = 8 << 20, 4 << 20
 
+#: Suffixes that a gram may have at most to be sorted in one range; places of a gram that a block need not report.
+HOT, LIGHT = 1 << 15, 8
+
 _PIECE = 1 << 17
 _LATEST = np.iinfo(np.int64).max
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -92,6 +99,33 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.concatenate(found), mix64(np.concatenate(grams) + np.uint64(0x632BE59BD9B4E019))
 
 
+def _window_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits of hash of the LENGTH bytes at each start, as two words."""
+    out = np.empty((2, len(starts)), np.uint64)
+    words = -(-LENGTH // 8)
+    for lo in range(0, len(starts), _PIECE):
+        at = starts[lo:lo + _PIECE]
+        piece = np.zeros((len(at), 8 * words), np.uint8)
+        piece[:, :LENGTH] = np.lib.stride_tricks.sliding_window_view(data, LENGTH)[at]
+        for which, seed in enumerate((0x243F6A8885A308D3, 0x13198A2E03707344)):
+            h = np.full(len(at), seed, np.uint64)
+            for word in piece.view(np.uint64).T:
+                h = mix64(h ^ word) + np.uint64(seed)
+            out[which, lo:lo + len(at)] = h
+    return out[0], out[1]
+
+
+def _equal_runs(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order by two words, where each distinct pair begins in it, and the number of each row's pair."""
+    order = np.lexsort((second, first))
+    a, b = first[order], second[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return order, np.flatnonzero(new), number
+
+
 def _range_of(grams: np.ndarray, ranges: int) -> np.ndarray:
     return ((grams >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
 
@@ -126,14 +160,17 @@ class Block:
         np.maximum.at(high, index, self.keys[self.doc])
         return grams, index, low != high
 
-    def suffixes(self, masks: dict[int, bytes]) -> None:
-        """Sort the suffixes at anchors whose gram's bit is set in ``masks`` (by range)."""
+    def suffixes(self, masks: dict[int, bytes], hot: dict[int, bytes]) -> None:
+        """Sort the suffixes at anchors whose gram's bit is set in ``masks`` (by range), and hash the windows around
+        those whose gram's bit is set in ``hot`` as well."""
         grams, index, _ = self.distinct()
-        on = np.zeros(len(grams), bool)
+        on, warm = np.zeros(len(grams), bool), np.zeros(len(grams), bool)
         for k, lo, hi in _cuts(_range_of(grams, self.ranges)):
-            if k in masks:
-                on[lo:hi] = np.unpackbits(np.frombuffer(masks[k], np.uint8), count=hi - lo)
-        keep = on[index]
+            for bits, told in ((on, masks), (warm, hot)):
+                if k in told:
+                    bits[lo:hi] = np.unpackbits(np.frombuffer(told[k], np.uint8), count=hi - lo)
+        self.hash_windows((on & warm)[index])
+        keep = (on & ~warm)[index]
         at, self.own = self.places[keep], self.doc[keep]
         self.left = np.minimum(at - self.offsets[self.own], REACH)
         self.right = np.minimum(self.offsets[self.own + 1] - at, LENGTH)
@@ -153,6 +190,21 @@ class Block:
         np.minimum.at(self.low, self.entry, self.keys[self.own])
         np.maximum.at(self.high, self.entry, self.keys[self.own])
 
+    def hash_windows(self, chosen: np.ndarray) -> None:
+        """The windows that hold a chosen anchor: distinct ones by hash, with their smallest and largest doc_id."""
+        at, doc = self.places[chosen], self.doc[chosen]
+        delta = np.zeros(len(self.data) + 1 if len(at) else 1, np.int32)
+        np.add.at(delta, np.maximum(at - REACH, self.offsets[doc]), 1)
+        np.add.at(delta, np.minimum(at, self.offsets[doc + 1] - LENGTH) + 1, -1)
+        self.starts = np.flatnonzero(np.cumsum(delta[:-1]) > 0)
+        self.start_doc = np.searchsorted(self.offsets, self.starts, side="right") - 1
+        first, second = _window_hashes(self.data, self.starts)
+        order, heads, self.window = _equal_runs(first, second)
+        keys = self.keys[self.start_doc[order]]
+        self.window_hash = np.stack([first[order][heads], second[order][heads]], axis=1)
+        self.window_low, self.window_high = (f.reduceat(keys, heads) if len(heads) else keys for f in (np.minimum, np.maximum))
+        self.window_range = _range_of(self.window_hash[:, 0], self.ranges)
+
     def runs(self) -> Iterator[tuple[int, bytes, bytes, bytes, bytes]]:
         """Per range: common prefix lengths, rests, and the smallest and largest doc_id of each suffix."""
         for k, lo, hi in _cuts(self.entry_range):
@@ -162,6 +214,10 @@ class Block:
                 common[1:] = (rows[1:] != rows[:-1]).argmax(axis=1)
             rests = rows[np.arange(_WIDE) >= common[:, None]]
             yield k, common.tobytes(), rests.tobytes(), self.low[lo:hi].tobytes(), self.high[lo:hi].tobytes()
+        # Windows have ranges of their own, behind those of suffixes.
+        for k, lo, hi in _cuts(self.window_range):
+            yield (self.ranges + k, self.window_hash[lo:hi].astype("<u8").tobytes(), b"",
+                   self.window_low[lo:hi].tobytes(), self.window_high[lo:hi].tobytes())
 
     def removed(self, replies: dict[int, bytes]) -> np.ndarray:
         """Which bytes go: the windows around each anchor for which a smaller doc_id came back."""
@@ -182,11 +238,21 @@ class Block:
             at = self.at[which][good]
             np.add.at(delta, at - before[good], 1)
             np.add.at(delta, at - after[good] + LENGTH, -1)
+        smallest = np.full(len(self.window_hash), _LATEST)
+        for k, lo, _ in _cuts(self.window_range):
+            if self.ranges + k in replies:
+                told = np.frombuffer(replies[self.ranges + k], _WINDOW_REPLY)
+                smallest[told["entry"].astype(np.int64) + lo] = told["low"]
+        gone = self.starts[smallest[self.window] < self.keys[self.start_doc]]
+        delta[gone] += 1
+        delta[gone + LENGTH] -= 1
         return np.cumsum(delta[:-1]) > 0
 
 
 #: A reply: the suffix's number in its run, the offsets of the anchor in its windows, the smallest doc_id of those.
 _REPLY = np.dtype([("entry", "<u4"), ("from", "u1"), ("to", "u1"), ("low", "<i8")])
+#: A reply on a window: its number among those sent, the smallest doc_id that has it.
+_WINDOW_REPLY = np.dtype([("entry", "<u4"), ("low", "<i8")])
 
 
 class Run:
@@ -332,6 +398,23 @@ def _answers(runs: list[Run], low: list[list[int]], high: list[list[int]]) -> li
     return out
 
 
+def _window_answers(hashes: list[bytes], low: list[bytes], high: list[bytes]) -> list[bytes]:
+    """Replies on the windows of each block, packed."""
+    both = np.frombuffer(b"".join(hashes), "<u8").reshape(-1, 2)
+    lows, highs = np.frombuffer(b"".join(low), np.int64), np.frombuffer(b"".join(high), np.int64)
+    order, heads, number = _equal_runs(both[:, 0], both[:, 1])
+    smallest = np.minimum.reduceat(lows[order], heads)[number]
+    out, at = [], 0
+    for own in low:
+        end = at + len(own) // 8
+        told = np.flatnonzero(smallest[at:end] < highs[at:end])
+        lines = np.empty(len(told), _WINDOW_REPLY)
+        lines["entry"], lines["low"] = told, smallest[at:end][told]
+        out.append(lines.tobytes())
+        at = end
+    return out
+
+
 _PAIR = "range long, block long, common binary, rests binary, low binary, high binary"
 _BACK = "block long, range long, kind int, body binary"
 _PAIR_SCHEMA = pa.schema([("range", pa.int64()), ("block", pa.int64()), *[(c, pa.binary()) for c in ("common", "rests", "low", "high")]])
@@ -343,29 +426,45 @@ def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
 
 
 def _ask(ranges: int) -> Callable[[pa.Table], pa.Table]:
-    """Step 1 in a block: hashes of its grams, and which of them several of its documents have."""
+    """Step 1 in a block: hashes of its grams, which of them several of its documents have, and which of them stand
+    at LIGHT places or more, with the number of places."""
 
     def run(table: pa.Table) -> pa.Table:
         block = Block(table, ranges)
-        grams, _, several = block.distinct()
+        grams, index, several = block.distinct()
+        places = np.bincount(index, minlength=len(grams))
         number, rows = table.column("block")[0].as_py(), []
         for k, lo, hi in _cuts(_range_of(grams, ranges)):
-            rows.append((k, number, grams[lo:hi].astype("<u4").tobytes(), np.packbits(several[lo:hi]).tobytes(), b"", b""))
+            many = np.flatnonzero(places[lo:hi] >= LIGHT)
+            rows.append((k, number, grams[lo:hi].astype("<u4").tobytes(), np.packbits(several[lo:hi]).tobytes(),
+                         many.astype("<u4").tobytes(), places[lo:hi][many].astype("<u4").tobytes()))
         return _table(rows, _PAIR_SCHEMA)
 
     return run
 
 
-def _tell(table: pa.Table) -> pa.Table:
-    """Step 1 in a range: for each block, which of its grams several documents of the corpus have."""
-    bodies = [np.frombuffer(b, "<u4") for b in table.column("common").to_pylist()]
-    several = [np.unpackbits(np.frombuffer(b, np.uint8), count=len(x)).astype(bool) for b, x in zip(table.column("rests").to_pylist(), bodies, strict=True)]
-    every = np.sort(np.concatenate([*[np.unique(b) for b in bodies], *[b[s] for b, s in zip(bodies, several, strict=True)]]))
-    shared = np.unique(every[1:][every[1:] == every[:-1]])
-    number = table.column("range")[0].as_py()
-    rows = [(block, number, 0, np.packbits(np.isin(body, shared)).tobytes())
-            for block, body in zip(table.column("block").to_pylist(), bodies, strict=True)]
-    return _table(rows, _BACK_SCHEMA)
+def _tell(limit: int) -> Callable[[pa.Table], pa.Table]:
+    """Step 1 in a range: for each block, which of its grams several documents of the corpus have (kind 0), and which
+    may have more than ``limit`` suffixes in the corpus (kind 2; no row if there are none)."""
+
+    def run(table: pa.Table) -> pa.Table:
+        bodies, many, places = ([np.frombuffer(b, "<u4") for b in table.column(c).to_pylist()] for c in ("common", "low", "high"))
+        several = [np.unpackbits(np.frombuffer(b, np.uint8), count=len(x)).astype(bool) for b, x in zip(table.column("rests").to_pylist(), bodies, strict=True)]
+        every = np.sort(np.concatenate([*[np.unique(b) for b in bodies], *[b[s] for b, s in zip(bodies, several, strict=True)]]))
+        shared = np.unique(every[1:][every[1:] == every[:-1]])
+        number, blocks = table.column("range")[0].as_py(), table.column("block").to_pylist()
+        rows = [(block, number, 0, np.packbits(np.isin(body, shared)).tobytes()) for block, body in zip(blocks, bodies, strict=True)]
+        grams, total = np.unique(np.concatenate(bodies), return_counts=True)
+        total = total * LIGHT
+        for body, which, times in zip(bodies, many, places, strict=True):
+            np.add.at(total, np.searchsorted(grams, body[which]), times.astype(np.int64) - LIGHT)
+        hot = grams[total > limit]
+        if len(hot):
+            masks = [np.isin(body, hot) for body in bodies]
+            rows += [(block, number, 2, np.packbits(mask).tobytes()) for block, mask in zip(blocks, masks, strict=True) if mask.any()]
+        return _table(rows, _BACK_SCHEMA)
+
+    return run
 
 
 def _bodies(back: pa.Table, kind: int) -> dict[int, bytes]:
@@ -379,22 +478,29 @@ def _send(ranges: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
         if not table.num_rows:
             return _table([], _PAIR_SCHEMA)
         block = Block(table, ranges)
-        block.suffixes(_bodies(back, 0))
+        block.suffixes(_bodies(back, 0), _bodies(back, 2))
         number = table.column("block")[0].as_py()
         return _table([(k, number, *parts) for k, *parts in block.runs()], _PAIR_SCHEMA)
 
     return run
 
 
-def _merge(table: pa.Table) -> pa.Table:
+def _merge(ranges: int) -> Callable[[pa.Table], pa.Table]:
     """Step 3: replies of a range to the blocks."""
-    table = table.sort_by("block")
-    columns = {c: table.column(c).to_pylist() for c in ("block", "common", "rests", "low", "high")}
-    runs = [Run(a, b) for a, b in zip(columns["common"], columns["rests"], strict=True)]
-    low, high = ([np.frombuffer(x, np.int64).tolist() for x in columns[c]] for c in ("low", "high"))
-    number = table.column("range")[0].as_py()
-    rows = [(block, number, 1, bytes(body)) for block, body in zip(columns["block"], _answers(runs, low, high), strict=True) if body]
-    return _table(rows, _BACK_SCHEMA)
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("block")
+        columns = {c: table.column(c).to_pylist() for c in ("block", "common", "rests", "low", "high")}
+        number = table.column("range")[0].as_py()
+        if number >= ranges:
+            answers = _window_answers(columns["common"], columns["low"], columns["high"])
+        else:
+            runs = [Run(a, b) for a, b in zip(columns["common"], columns["rests"], strict=True)]
+            low, high = ([np.frombuffer(x, np.int64).tolist() for x in columns[c]] for c in ("low", "high"))
+            answers = _answers(runs, low, high)
+        return _table([(block, number, 1, bytes(body)) for block, body in zip(columns["block"], answers, strict=True) if body], _BACK_SCHEMA)
+
+    return run
 
 
 _RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start: bigint, end: bigint>>"
@@ -408,7 +514,7 @@ def _apply(ranges: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
         out: list[list] = [[] for _ in range(6)]
         if table.num_rows:
             block = Block(table, ranges)
-            block.suffixes(_bodies(back, 0))
+            block.suffixes(_bodies(back, 0), _bodies(back, 2))
             gone = block.removed(_bodies(back, 1))
             out[0] = block.rows.column("doc_id").to_pylist()
             for lo, hi in zip(block.offsets[:-1].tolist(), block.offsets[1:].tolist(), strict=True):
@@ -442,7 +548,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         "block", F.pmod(F.xxhash64("key", "text"), F.lit(blocks)))
     by_block = dealt.groupBy("block")
     asked = by_block.applyInArrow(_ask(ranges), _PAIR)
-    told = asked.groupBy("range").applyInArrow(_tell, _BACK)
+    told = asked.groupBy("range").applyInArrow(_tell(HOT), _BACK)
     sent = by_block.cogroup(told.groupBy("block")).applyInArrow(_send(ranges), _PAIR)
-    merged = sent.groupBy("range").applyInArrow(_merge, _BACK)
+    merged = sent.groupBy("range").applyInArrow(_merge(ranges), _BACK)
     return by_block.cogroup(told.unionByName(merged).groupBy("block")).applyInArrow(_apply(ranges), _RESULT)
