@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wattlane.llm import (
+    collocations,
     decontamination,
     fingerprints,
     language,
@@ -15,8 +16,10 @@ from wattlane.llm import (
     mixing,
     near_duplicates,
     repeats,
+    sharding,
     token_files,
     toxicity,
+    whitening,
 )
 from wattlane.llm.texts import remainder
 
@@ -82,6 +85,18 @@ def op10_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark, table(spark, sf_dir, "embeddings"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.plan(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_source_mixing": op2_source_mixing,
@@ -93,7 +108,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_main_text": op8_main_text,
     "op9_suffix_sort": op9_suffix_sort,
     "op10_syncmers": op10_syncmers,
+    "op11_whitening": op11_whitening,
+    "op12_collocations": op12_collocations,
+    "op13_sharding": op13_sharding,
 }
-#: Signatures, trained models, random rounding, codecs and DOM features have no SQL form; the tests hold these
-#: queries against brute force, round trips and held-out labels instead.
-SQL: dict[str, str] = {}
+#: Signatures, trained models, random rounding, codecs, eigenvectors and permutations have no SQL form; the tests hold
+#: these queries against brute force, round trips and held-out labels instead.
+SQL: dict[str, str] = {"op12_collocations": collocations.SQL}
