@@ -167,7 +167,8 @@ def test_phrases_match_brute_force(spark):
 def test_phrases_in_many_blocks_and_shards(spark, monkeypatch):
     rng = np.random.default_rng(3)
     rows = [(k, " ".join(f"w{v}" for v in rng.zipf(1.5, 200) if v < 50), "en") for k in range(60)]
-    monkeypatch.setattr(collocations, "SHARD_WORDS", 500)
+    monkeypatch.setattr(collocations, "SHARD_BYTES", 2000)
+    monkeypatch.setattr(collocations, "BLOCK_BYTES", 3000)
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(6)
     got = sorted(tuple(r) for r in collocations.mine(docs, least=3, top=10_000).collect())
     assert got == brute_phrases([(t, v) for _, t, v in rows], 3, 10_000)

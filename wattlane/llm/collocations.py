@@ -6,11 +6,14 @@ remainder, which is kept whole.  A counting quotient filter holds the sorted num
 quotient (occupied or not), a bit per entry (end of its run), packed remainders and counters of as many bytes as they
 need.  The permutation can be undone, so a filter gives back the n-grams themselves.
 
-Texts are cut into blocks once.  Words are counted by name, the frequent ones numbered per language, and their ids
-sent back to the blocks that hold them.  Each block then writes a filter of its bigrams of frequent words, split into
-shards by the topmost bits; a shard merges the sorted filters of all blocks and returns a bit per entry to each of
-them: frequent or not.  Three to five words are counted in the same way where all their bigrams are frequent, which
-they must be to be frequent themselves.  So nothing is broadcast, and a hot phrase is one counter in each block.
+Texts are cut into blocks once.  A block's distinct words go to shards by their hashes; a shard counts words by name,
+numbers the frequent ones, and answers each block with their numbers.  Each block then writes a filter of its bigrams
+of frequent words, split into shards by the topmost bits; a shard merges the sorted filters of all blocks and returns
+a bit per entry to each of them: frequent or not.  Three to five words are counted in the same way where all their
+bigrams are frequent, which they must be to be frequent themselves.  So nothing is broadcast, and a hot phrase is one
+counter in each block.
+Shards grow with the input, and so do the rows from each block to them: a block has at most one per shard, or per
+entry if those are fewer.
 """
 
 from __future__ import annotations
@@ -23,17 +26,15 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from wattlane.llm.texts import mix64, slices, utf8, word_spans
-from wattlane.operators.ordering import with_positions
-from wattlane.panel import Panel
+from wattlane.llm.texts import mix64, slices, text_bytes, utf8, word_hashes, word_spans
 from wattlane.session import materialize
 
 #: Least count, longest phrase and phrases of a language in the registered query.
 LEAST, LONGEST, TOP = 100, 5, 2000
 #: Bytes of text in a block; a longer text is a block of its own.
 BLOCK_BYTES = 8 << 20
-#: Words of a language in a shard, on average over its occurrences.
-SHARD_WORDS = 4 << 20
+#: Bytes of text whose words or n-grams meet in one shard of a language, on average.
+SHARD_BYTES = 24 << 20
 ROUNDS = 4
 
 #: Bytes that end a piece, and bytes that separate words in it.  Fixed values of the operator's result.
@@ -204,15 +205,17 @@ def from_filter(
 
 # Blocks of text.
 
-_LEXICON = "lang string, block long, local int, word string, count long, codes binary"
+#: shard -1: the words of a block in order, as packed local numbers (twice the number, plus one where a piece starts).
+_LEXICON = "lang string, block long, shard int, n long, words array<string>, counts array<long>, width int, codes binary"
 
 
 def _names(text: str) -> list[str]:
     return [part.split()[0] for part in text.split(", ")]
 
 
-def block_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """Distinct lower-case words of all texts, the word at each place, and whether it starts a piece."""
+def block_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct lower-case words of all texts in order of their hashes, these, the word at each place, and whether it
+    starts a piece."""
     data, offsets = utf8(texts)
     data = _LOWER[data]
     starts, ends, firsts = word_spans(data, offsets, _WORD)
@@ -226,44 +229,91 @@ def block_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
         seen = np.cumsum(_END[data], dtype=np.int32)[starts]
         new[1:] = seen[1:] != seen[:-1]
         new[firsts[firsts < len(starts)]] = True
-    return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), new
-
-
-def _lexicon(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of one language each: a row per distinct word, and one (local = -1) with the words in order."""
-    block = TaskContext.get().partitionId() << 32
-    for batch in batches:
-        for rows in slices(batch, 1, BLOCK_BYTES):
-            for lang in rows.column(0).unique().to_pylist():
-                words, codes, new = block_words(rows.filter(pc.equal(rows.column(0), lang)).column(1))
-                if not len(codes):
-                    continue
-                n = len(words)
-                order = ((codes << 1) | new).astype("<u4").tobytes()
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([lang] * (n + 1), pa.string()), pa.array([block] * (n + 1), pa.int64()),
-                    pa.array([*range(n), -1], pa.int32()),
-                    pa.concat_arrays([words.cast(pa.binary()).cast(pa.string()), pa.array([None], pa.string())]),
-                    pa.array([*np.bincount(codes, minlength=n).tolist(), None], pa.int64()),
-                    pa.array([None] * n + [order], pa.binary()),
-                ], _names(_LEXICON))
-                block += 1
-
-
-_FILTERS = "block long, lang string, m int, shard int, bits int, spread int, n int, filter binary"
-
-
-def _filters(head: dict, m: int, grams: np.ndarray) -> Iterator[tuple]:
+    bytes_, cuts = utf8(coded.dictionary)
+    hashes = word_hashes(bytes_, cuts[:-1], cuts[1:])
+    order = np.argsort(hashes)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    named = coded.dictionary.cast(pa.large_string()).cast(pa.string()).take(pa.array(order))
+    return named, hashes[order], rank[coded.indices.to_numpy(zero_copy_only=False)], new
+
+
+def _lexicon(spread: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Blocks of one language each: a row per shard with its distinct words, and one with the words in order."""
+        block = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for rows in slices(batch, 1, BLOCK_BYTES):
+                for lang in rows.column(0).unique().to_pylist():
+                    words, hashes, codes, new = block_words(rows.filter(pc.equal(rows.column(0), lang)).column(1))
+                    if not len(codes):
+                        continue
+                    counts = np.bincount(codes, minlength=len(words))
+                    shards = (hashes >> np.uint64(64 - spread)).astype(np.int64) if spread else np.zeros(len(words), int)
+                    cuts = np.flatnonzero(np.diff(shards, prepend=-1))
+                    ends = pa.array([*cuts.tolist(), len(words), len(words)], pa.int32())
+                    width = int(2 * len(words)).bit_length()
+                    size, last = len(cuts) + 1, [None] * len(cuts)
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([lang] * size, pa.string()), pa.array([block] * size, pa.int64()),
+                        pa.array([*shards[cuts].tolist(), -1], pa.int32()),
+                        pa.array([*np.diff([*cuts, len(words)]).tolist(), len(codes)], pa.int64()),
+                        pa.ListArray.from_arrays(ends, words),
+                        pa.ListArray.from_arrays(ends, pa.array(counts, pa.int64())),
+                        pa.array([*last, width], pa.int32()),
+                        pa.array([*last, _bits((codes << 1 | new).astype(np.uint64), width)], pa.binary()),
+                    ], _names(_LEXICON))
+                    block += 1
+
+    return run
+
+
+_WORDS = "lang string, shard int, word string, rank long, f long, block long, n int, width int, ranks binary"
+_WORD_TYPES = [pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(),
+               pa.binary()]
+
+
+def _merge_words(least: int):
+    def run(parts: pa.Table) -> pa.Table:
+        """Frequent words of a shard, numbered from 1 by name, and for each block the numbers of its words (else 0)."""
+        lang, shard = parts.column("lang")[0].as_py(), parts.column("shard")[0].as_py()
+        coded = pc.list_flatten(parts.column("words").combine_chunks()).dictionary_encode()
+        counts = pc.list_flatten(parts.column("counts").combine_chunks()).to_numpy(zero_copy_only=False)
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        sums = np.zeros(len(coded.dictionary), np.int64)
+        np.add.at(sums, codes, counts)
+        often = np.flatnonzero(sums >= least)
+        names = coded.dictionary.take(pa.array(often)).cast(pa.binary())
+        often = often[pc.sort_indices(names).to_numpy()]
+        ranks = np.zeros(len(sums), np.int64)
+        ranks[often] = np.arange(1, len(often) + 1)
+        width = int(len(often)).bit_length()
+        rows: list[tuple] = [
+            (lang, shard, word, k + 1, f, None, None, None, None) for k, (word, f) in enumerate(zip(
+                coded.dictionary.take(pa.array(often)).to_pylist(), sums[often].tolist(), strict=True))]
+        sizes = parts.column("n").to_numpy()
+        told, ends = ranks[codes].astype(np.uint64), np.cumsum(sizes)
+        for block, size, end in zip(parts.column("block").to_pylist(), sizes.tolist(), ends.tolist(), strict=True):
+            rows.append((lang, shard, None, None, None, block, size, width, _bits(told[end - size:end], width)))
+        return _as_table(rows, _WORDS, _WORD_TYPES)
+
+    return run
+
+
+_FILTERS = "block long, lang string, m int, shard int, spread int, n int, filter binary"
+
+
+def _filters(block: int, lang: str, m: int, bits: int, spread: int, grams: np.ndarray) -> Iterator[tuple]:
     """Filter rows of a block's n-grams (rows of ids), by shard."""
-    widths, spread = limb_widths(m * head["bits"]), head["spread"]
-    limbs, _, counts = distinct(grams, m, head["bits"])
+    widths = limb_widths(m * bits)
+    limbs, _, counts = distinct(grams, m, bits)
     spread = min(spread, widths[0])
     shards = (limbs[0] >> np.uint64(widths[0] - spread)).astype(np.int64) if spread else np.zeros(len(counts), np.int64)
     cuts = [0, *(np.flatnonzero(np.diff(shards)) + 1).tolist(), len(counts)]
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
         if a < b:
             made = to_filter([limb[a:b] for limb in limbs], counts[a:b], widths, spread)
-            yield head["block"], head["lang"], m, int(shards[a]), head["bits"], spread, b - a, made
+            yield block, lang, m, int(shards[a]), spread, b - a, made
 
 
 def distinct(grams: np.ndarray, m: int, bits: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
@@ -289,44 +339,46 @@ def _as_table(rows: list[tuple], schema: str, types: list[pa.DataType]) -> pa.Ta
     return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=_names(schema))
 
 
-_FILTER_TYPES = [pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
-
+_FILTER_TYPES = [pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
 
-def _head(row: pa.Table) -> dict:
-    return {name: row.column(name)[0].as_py() for name in ("block", "lang", "bits", "spread")}
 
+def _bigrams(bits: int, spread: int):
+    def run(codes: pa.Table, known: pa.Table) -> pa.Table:
+        """A block's filters of two frequent words, and (m = 0) its runs of frequent words with their links."""
+        if not codes.num_rows or not known.num_rows:
+            return _as_table([], _FILTERS, _FILTER_TYPES)
+        block, lang, n, width, body = (codes.column(c)[0].as_py() for c in ("block", "lang", "n", "width", "codes"))
+        ids = []
+        for r in known.sort_by("shard").to_pylist():
+            ranks = _unbits(np.frombuffer(r["ranks"], np.uint8), r["n"], r["width"]).astype(np.int64)
+            ids.append(np.where(ranks > 0, ranks + r["before"], 0))
+        order = _unbits(np.frombuffer(body, np.uint8), n, width).astype(np.int64)
+        ids, new = np.concatenate(ids)[order >> 1], (order & 1).astype(bool)
+        linked = np.zeros(n + 1, bool)  # a place and the one before it form a bigram
+        linked[1:-1] = (ids[1:] > 0) & (ids[:-1] > 0) & ~new[1:]
+        kept = linked[:-1] | linked[1:]
+        ids, linked = ids[kept], linked[:-1][kept]
+        at = np.flatnonzero(linked)
+        rows = list(_filters(block, lang, 2, bits, spread, np.column_stack([ids[at - 1], ids[at]]))) if len(at) else []
+        if rows:
+            body = np.packbits(linked).tobytes() + _bits(ids.astype(np.uint64), bits)
+            rows.append((block, lang, 0, 0, spread, len(ids), body))
+        return _as_table(rows, _FILTERS, _FILTER_TYPES)
 
-def _bigrams(codes: pa.Table, known: pa.Table) -> pa.Table:
-    """A block's filters of two frequent words, and (m = 0) its runs of frequent words with their links."""
-    if not codes.num_rows or not known.num_rows:
-        return _as_table([], _FILTERS, _FILTER_TYPES)
-    head = _head(codes)
-    order = np.frombuffer(codes.column("codes")[0].as_buffer(), "<u4").astype(np.int64)
-    ids = np.zeros(int(order.max() >> 1) + 1, np.int64)
-    ids[known.column("local").to_numpy()] = known.column("id").to_numpy()
-    ids, new = ids[order >> 1], (order & 1).astype(bool)
-    linked = np.zeros(len(ids) + 1, bool)  # a place and the one before it form a bigram
-    linked[1:-1] = (ids[1:] > 0) & (ids[:-1] > 0) & ~new[1:]
-    kept = linked[:-1] | linked[1:]
-    ids, linked = ids[kept], linked[:-1][kept]
-    at = np.flatnonzero(linked)
-    rows = list(_filters(head, 2, np.column_stack([ids[at - 1], ids[at]]))) if len(at) else []
-    if rows:
-        body = ids.astype("<u4").tobytes() + np.packbits(linked).tobytes()
-        rows.append((head["block"], head["lang"], 0, 0, head["bits"], head["spread"], len(ids), body))
-    return _as_table(rows, _FILTERS, _FILTER_TYPES)
+    return run
 
 
-def _longer(longest: int):
+def _longer(bits: int, spread: int, longest: int):
     def run(runs: pa.Table, masks: pa.Table) -> pa.Table:
         """A block's filters of three and more words, all of whose bigrams are frequent."""
         if not runs.num_rows or not masks.num_rows:
             return _as_table([], _FILTERS, _FILTER_TYPES)
-        head, n, body = _head(runs), runs.column("n")[0].as_py(), runs.column("filter")[0].as_py()
-        ids = np.frombuffer(body, "<u4", n).astype(np.int64)
-        linked = np.unpackbits(np.frombuffer(body, np.uint8, offset=4 * n), count=n).astype(bool)
+        block, lang, n, body = (runs.column(c)[0].as_py() for c in ("block", "lang", "n", "filter"))
+        raw = np.frombuffer(body, np.uint8)
+        linked = np.unpackbits(raw[:-(-n // 8)], count=n).astype(bool)
+        ids = _unbits(raw[-(-n // 8):], n, bits).astype(np.int64)
         at = np.flatnonzero(linked)
-        entry = distinct(np.column_stack([ids[at - 1], ids[at]]), 2, head["bits"])[1]
+        entry = distinct(np.column_stack([ids[at - 1], ids[at]]), 2, bits)[1]
         told = masks.sort_by("shard")
         often = np.concatenate([np.unpackbits(np.frombuffer(mask, np.uint8), count=size)
                                 for mask, size in zip(told.column("mask").to_pylist(), told.column("n").to_pylist(),
@@ -334,12 +386,12 @@ def _longer(longest: int):
         good = np.zeros(n, bool)
         good[at] = often[entry]
         rows: list[tuple] = []
-        whole = good
+        whole = good[1:]  # at k: the words from k to k + m - 2 are linked by frequent bigrams
         for m in range(3, longest + 1):
-            whole = good[1:] & whole[:-1] if m == 3 else good[m - 2:] & whole[:-1]
-            last = np.flatnonzero(whole) + m - 2
-            if len(last):
-                rows += _filters(head, m, np.column_stack([ids[last - m + 1 + k] for k in range(m)]))
+            whole = whole[:-1] & good[m - 1:]
+            first = np.flatnonzero(whole)
+            if len(first):
+                rows += _filters(block, lang, m, bits, spread, np.column_stack([ids[first + k] for k in range(m)]))
         return _as_table(rows, _FILTERS, _FILTER_TYPES)
 
     return run
@@ -350,10 +402,10 @@ _MERGED_TYPES = [pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa
                  pa.int64()]
 
 
-def _merge(least: int, answer: bool):
+def _merge(bits: int, least: int, answer: bool):
     def run(filters: pa.Table) -> pa.Table:
         """Merge the sorted filters of all blocks: frequent n-grams, and for each filter a bit per entry."""
-        lang, m, shard, bits, spread = (filters.column(c)[0].as_py() for c in ("lang", "m", "shard", "bits", "spread"))
+        lang, m, shard, spread = (filters.column(c)[0].as_py() for c in ("lang", "m", "shard", "spread"))
         widths, sizes = limb_widths(m * bits), filters.column("n").to_pylist()
         opened = [from_filter(data, n, shard, widths, spread)
                   for data, n in zip(filters.column("filter").to_pylist(), sizes, strict=True)]
@@ -385,29 +437,35 @@ def counted(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Frequent words (lang, word, id, f), frequent phrases (lang, ids, f; single words too) and words by language."""
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string"))
-    saved = materialize(rows.mapInArrow(_lexicon, _LEXICON), "lexicon")
-    words = saved.where("local >= 0").select("lang", "block", "local", "word", "count")
-    totals = words.groupBy("lang").agg(F.sum("count").alias("total"))
-    often = words.groupBy("lang", "word").agg(F.sum("count").alias("f")).where(F.col("f") >= least)
-    vocab = materialize(with_positions(often, Panel(keys=("lang",), ts="word", pos="id")).withColumn(
-        "id", (F.col("id") + 1).cast("long")), "words")
-    share = F.floor(F.col("total") / F.lit(SHARD_WORDS)).cast("long")
-    spans = vocab.groupBy("lang").agg(F.length(F.bin(F.max("id"))).alias("bits")).join(totals, "lang").select(
-        "lang", "bits", F.when(share > 0, F.length(F.bin(share))).otherwise(0).alias("spread"))
-    codes = saved.where("local < 0").join(spans, "lang").select("block", "lang", "bits", "spread", "codes")
-    known = words.join(vocab, ["lang", "word"]).select(F.col("block").alias("home"), "local", "id")
+    spread = (text_bytes(rows) // SHARD_BYTES).bit_length()
+    saved = materialize(rows.mapInArrow(_lexicon(spread), _LEXICON), "lexicon")
+    totals = saved.where("shard < 0").groupBy("lang").agg(F.sum("n").alias("total"))
+    parts = saved.where("shard >= 0").select("lang", "shard", "block", "n", "words", "counts")
+    words = materialize(parts.groupBy("lang", "shard").applyInArrow(_merge_words(least), _WORDS), "words")
+    # Ids of a language run through its shards; one row per shard is summed up.
+    sizes = words.where("block IS NULL").groupBy("lang", "shard").agg(F.count(F.lit(1)).alias("size"))
+    earlier = Window.partitionBy("lang").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("lang", "shard", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("before"))
+    vocab = materialize(
+        words.where("block IS NULL").join(before, ["lang", "shard"]).select(
+            "lang", (F.col("before") + F.col("rank")).alias("id"), "word", "f"), "vocabulary")
+    bits = int(vocab.agg(F.max("id")).first()[0] or 1).bit_length()
+    known = words.where("block IS NOT NULL").join(before, ["lang", "shard"], "left").select(
+        F.col("block").alias("home"), "shard", "n", "width", "ranks", F.coalesce("before", F.lit(0)).alias("before"))
+    codes = saved.where("shard < 0").select("block", "lang", "n", "width", "codes")
     pairs = materialize(
-        codes.groupBy("block").cogroup(known.groupBy("home")).applyInArrow(_bigrams, _FILTERS), "bigrams")
+        codes.groupBy("block").cogroup(known.groupBy("home")).applyInArrow(_bigrams(bits, spread), _FILTERS), "bigrams")
     by_shard = ["lang", "m", "shard"]
     two = materialize(
-        pairs.where("m > 0").groupBy(*by_shard).applyInArrow(_merge(least, longest > 2), _MERGED), "frequent")
+        pairs.where("m > 0").groupBy(*by_shard).applyInArrow(_merge(bits, least, longest > 2), _MERGED), "frequent")
     found = two.where("block IS NULL")
     if longest > 2:
-        runs = pairs.where("m = 0").select("block", "lang", "bits", "spread", "n", "filter")
+        runs = pairs.where("m = 0").select("block", "lang", "n", "filter")
         masks = two.where("block IS NOT NULL").select(F.col("block").alias("home"), "shard", "n", "mask")
-        more = runs.groupBy("block").cogroup(masks.groupBy("home")).applyInArrow(_longer(longest), _FILTERS)
+        more = runs.groupBy("block").cogroup(masks.groupBy("home")).applyInArrow(
+            _longer(bits, spread, longest), _FILTERS)
         found = found.unionByName(
-            materialize(more.groupBy(*by_shard).applyInArrow(_merge(least, False), _MERGED), "longer"))
+            materialize(more.groupBy(*by_shard).applyInArrow(_merge(bits, least, False), _MERGED), "longer"))
     phrases = vocab.select("lang", F.array("id").alias("ids"), "f").unionByName(found.select("lang", "ids", "f"))
     return vocab, phrases, totals
 
