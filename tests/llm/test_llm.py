@@ -190,7 +190,7 @@ def edited(text, edits, draw):
 
 
 def test_passages_with_edits_are_found(spark):
-    rows = [(r["item_id"], r["text"]) for r in spark.read.parquet("/root/testdata/check_s/benchmark.parquet").collect()]
+    rows = [(r["item_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").collect()]
     items, draw = decontamination.prepare(rows), random.Random(2)
     around = "lorem ipsum dolor sit amet " * 20
     for share, least in ((0.0, 1.0), (0.04, 0.99), (decontamination.SHARE, 0.95)):
