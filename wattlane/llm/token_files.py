@@ -35,10 +35,13 @@ END = 2
 #: Bytes of text that a shard holds on average.
 SHARD_BYTES = 16 << 20
 #: Distinct words and word parts whose ids a worker remembers; a full memory is emptied.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 
 _BLANK = re.compile(r"[ \t\n\r\x0b\x0c]+")
 _SIMPLE = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+_ODD = re.compile(r"[^!-~À-ÖØ-öø-ÿ \t\n\r\x0b\x0c]|<\|")
+#: How the tokenizer cuts lower-case text of these characters.  Fixed values, from the tokenizer's file.
+_CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ \t\n\r\x0b\x0c]+")
 
 
 def pack(values: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -125,12 +128,24 @@ def block_sizes(sizes: np.ndarray) -> np.ndarray:
     return out
 
 
+class PartIds(dict):
+    """Rows of ids of word parts, remembered: letters, a digit, or a run of other signs."""
+
+    def __init__(self, words: WordIds) -> None:
+        super().__init__()
+        self.tokenize, self.shown, self.add = words.model.tokenize, words.shown, words.add
+
+    def __missing__(self, part: str) -> int:
+        shown = part if part.isascii() else part.encode().decode("latin-1").translate(self.shown)
+        self[part] = at = self.add([t.id for t in self.tokenize(shown)])
+        return at
+
+
 class WordIds(dict):
-    """Ids of whole texts through the tokenizer's model, remembered by white-space separated word.
+    """Ids of whole texts through the tokenizer's model, remembered by part or by white-space separated word.
 
-    No rule of this kind of tokenizer looks across white space, so words can be encoded one by one.  Words of
-    printable ASCII and Latin-1 letters are cut and looked up here (their normal form is lower case), all others go
-    through the tokenizer as they are.
+    No rule of this kind of tokenizer looks across white space.  Texts of printable ASCII and Latin-1 letters are cut
+    into parts here (their normal form is lower case); words of other texts go through the tokenizer as they are.
     """
 
     def __init__(self, path: str) -> None:
@@ -140,7 +155,6 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.simple = self._is_simple()
-        self.cut = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         odd = [b for b in range(256) if b not in plain]
         self.shown = str.maketrans({b: chr(256 + k) for k, b in enumerate(odd)})
@@ -156,38 +170,41 @@ class WordIds(dict):
 
     def forget(self) -> None:
         self.clear()
-        self.parts: dict[str, list[int]] = {}
         self.ids, self.first, self.size = array("I"), array("q"), array("q")
+        self.parts = PartIds(self)
+
+    def add(self, found: list[int]) -> int:
+        """A new row of ids; its number."""
+        self.first.append(len(self.ids))
+        self.size.append(len(found))
+        self.ids.extend(found)
+        return len(self.first) - 1
 
     def __missing__(self, word: str) -> int:
         if self.simple and "<|" not in word and _SIMPLE.fullmatch(word):
-            found: list[int] = []
-            for part in self.cut.findall(word.lower()):
-                ids = self.parts.get(part)
-                if ids is None:
-                    shown = part.encode().decode("latin-1").translate(self.shown)
-                    ids = self.parts[part] = [t.id for t in self.model.tokenize(shown)]
-                found += ids
+            rows = [self.parts[part] for part in _CUT.findall(word.lower())]
+            found = [i for r in rows for i in self.ids[self.first[r]:self.first[r] + self.size[r]]]
         else:
             found = self.tokenizer.encode(word, add_special_tokens=False).ids
-        self[word] = at = len(self.first)
-        self.first.append(len(self.ids))
-        self.size.append(len(found))
-        self.ids.extend(found)
+        self[word] = at = self.add(found)
         return at
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, each followed by ``END``, and the number of ids of each."""
-        if len(self) > REMEMBERED or len(self.parts) > REMEMBERED:
+        if len(self) + len(self.parts) > REMEMBERED:
             self.forget()
         rows, counts = [], np.zeros(len(texts), np.int64)
         end = self._end()
         for i, text in enumerate(texts):
-            odd = text and any(c in text for c in "\x1c\x1d\x1e\x1f")
-            words = _BLANK.split(text) if odd else (text or "").split()
-            rows.append(np.fromiter(map(self.__getitem__, words), np.int64, len(words)))
+            text = text or ""
+            if self.simple and not _ODD.search(text):
+                cut, known = _CUT.findall(text.lower()), self.parts
+            else:
+                blank = any(c in text for c in "\x1c\x1d\x1e\x1f")
+                cut, known = _BLANK.split(text) if blank else text.split(), self
+            rows.append(np.fromiter(map(known.__getitem__, cut), np.int64, len(cut)))
             rows.append(end)
-            counts[i] = len(words) + 1
+            counts[i] = len(cut) + 1
         rows = np.concatenate([*rows, np.empty(0, np.int64)])
         first, size, ids = (np.array(x) for x in (self.first, self.size, self.ids))
         length = size[rows]
@@ -200,10 +217,7 @@ class WordIds(dict):
     def _end(self) -> np.ndarray:
         """The row of the end mark, under a key that no word can have."""
         if " " not in self:
-            self[" "] = len(self.first)
-            self.first.append(len(self.ids))
-            self.size.append(1)
-            self.ids.append(END)
+            self[" "] = self.add([END])
         return np.array([self[" "]])
 
 
