@@ -8,9 +8,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from wattlane.operators.chunks import fill_both_ways
-from wattlane.operators.params import attach
-from wattlane.operators.quantiles import DIRECT_ROWS, iqr_bounds, most_frequent, quantile_name, quantiles
+from wattlane.operators.params import attach, matched
+from wattlane.operators.quantiles import iqr_bounds, most_frequent, quantile_name, quantiles
 from wattlane.panel import Panel
+from wattlane.session import materialize
 
 
 @dataclass(frozen=True)
@@ -78,15 +79,17 @@ def impute(
     strategy: str = "mean",
     fit_on: DataFrame | None = None,
     panel: Panel | None = None,
-    direct_rows: int = DIRECT_ROWS,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Replace NULLs by a statistic of the column.
 
     An unknown strategy means ``mean``; a column without any value stays as it is.
     ``ffill_bfill`` (needs ``panel``) fills along each series, then falls back to the mean and 0.
-    ``fit_on`` limits the statistics to, say, training rows.
+    ``fit_on`` limits the statistics to, say, training rows; ``by`` (say, ``panel.keys``) takes them per group, where
+    NULL is a group, too, and a group that ``fit_on`` doesn't have stays as it is.
     """
-    names = list(columns) if columns is not None else list(column_roles(df).numeric)
+    by = list(by)
+    names = list(columns) if columns is not None else [c for c in column_roles(df).numeric if c not in by]
     if columns is None and panel is not None:
         names = [c for c in names if c not in (panel.pos, *panel.keys)]
     if not names:
@@ -96,29 +99,28 @@ def impute(
         if panel is None:
             raise ValueError("ffill_bfill needs a panel")
         filled = fill_both_ways(df, panel, names)
-        rest = source.agg(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(f"_fill_{c}") for c in names])
-        return _fill(filled, rest, names)
+        rest = source.groupBy(*by).agg(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(f"_fill_{c}") for c in names])
+        return _fill(filled, rest, names, by)
     if strategy not in STRATEGIES:
         strategy = "mean"
     if strategy == "mean":
-        stats = source.agg(*[F.avg(c).alias(f"_fill_{c}") for c in names])
+        stats = source.groupBy(*by).agg(*[F.avg(c).alias(f"_fill_{c}") for c in names])
     elif strategy == "median":
-        q = quantiles(source, names, [0.5], direct_rows=direct_rows)
-        stats = q.select(*[F.col(quantile_name(c, 0.5)).alias(f"_fill_{c}") for c in names])
+        q = quantiles(source, names, [0.5], by)
+        stats = q.select(*by, *[F.col(quantile_name(c, 0.5)).alias(f"_fill_{c}") for c in names])
     elif strategy == "most_frequent":
-        parts = [most_frequent(source, c).withColumnRenamed(c, f"_fill_{c}") for c in names]
-        stats = parts[0]
-        for part in parts[1:]:
-            stats = attach(stats, part)
+        parts = [most_frequent(source, c, by).withColumnRenamed(c, f"_fill_{c}") for c in names]
+        stats = source.select(*by).distinct() if by else parts.pop(0)
+        for part in parts:
+            stats = matched(stats, part, by, "left") if by else attach(stats, part)
     else:
-        stats = source.agg(*[F.when(F.count(c) > 0, F.lit(0.0)).alias(f"_fill_{c}") for c in names])
-    return _fill(df, stats, names)
+        stats = source.groupBy(*by).agg(*[F.when(F.count(c) > 0, F.lit(0.0)).alias(f"_fill_{c}") for c in names])
+    return _fill(df, stats, names, by)
 
 
-def _fill(df: DataFrame, stats: DataFrame, names: Sequence[str]) -> DataFrame:
-    return attach(df, stats).select(
-        *[F.coalesce(c, f"_fill_{c}").alias(c) if c in names else F.col(c) for c in df.columns]
-    )
+def _fill(df: DataFrame, stats: DataFrame, names: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    known = matched(df, stats, by, "left") if by else attach(df, stats)
+    return known.select(*[F.coalesce(c, f"_fill_{c}").alias(c) if c in names else F.col(c) for c in df.columns])
 
 
 def _outside(column: str) -> Column:
@@ -127,33 +129,38 @@ def _outside(column: str) -> Column:
     return F.coalesce((value < F.col("_lower")) | (value > F.col("_upper")), F.lit(False))
 
 
-def flag_outliers(
-    df: DataFrame, column: str, factor: float = 1.5, direct_rows: int = DIRECT_ROWS
-) -> DataFrame:
-    """Add ``is_outlier``: outside the quartiles by more than ``factor`` interquartile ranges."""
-    bounds = iqr_bounds(df, column, factor, direct_rows=direct_rows)
-    return attach(df, bounds).select(*df.columns, _outside(column).alias("is_outlier"))
+def flag_outliers(df: DataFrame, column: str, factor: float = 1.5, by: Sequence[str] = ()) -> DataFrame:
+    """Add ``is_outlier``: outside the quartiles (of its ``by`` group) by more than ``factor`` interquartile ranges."""
+    bounds = iqr_bounds(df, column, factor, by)
+    known = matched(df, bounds, by, "left") if by else attach(df, bounds)
+    return known.select(*df.columns, _outside(column).alias("is_outlier"))
 
 
 def drop_outliers(
     df: DataFrame, columns: Sequence[str], method: str = "iqr", factor: float = 1.5,
-    direct_rows: int = DIRECT_ROWS,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Drop outliers column after column: the bounds of each come from the rows still there.
 
     ``iqr``: outside the quartiles by more than ``factor`` interquartile ranges; ``zscore``: further than ``factor``
     standard deviations from the mean.  The two bounds of a column are fixed before the next one is looked at,
-    so each column costs its own scan and not those of all columns before it.  NULL is not an outlier.
+    so each column costs its own scan and not those of all columns before it.  NULL is not an outlier.  With ``by``
+    the bounds are those of the row's group and meet it in a join.
     """
     if method not in ("iqr", "zscore"):
         raise ValueError(f"unknown outlier method: {method}")
     out = df
     for column in columns:
         if method == "iqr":
-            bounds = iqr_bounds(out, column, factor, direct_rows=direct_rows).first()
+            limits = iqr_bounds(out, column, factor, by)
         else:
             mean, spread = F.avg(column), F.coalesce(F.stddev(column), F.lit(0.0))
-            bounds = out.agg((mean - factor * spread).alias("_lower"), (mean + factor * spread).alias("_upper")).first()
+            limits = out.groupBy(*by).agg((mean - factor * spread).alias("_lower"), (mean + factor * spread).alias("_upper"))
+        if by:
+            fixed = materialize(limits, "bounds")
+            out = matched(out, fixed, by, "left").filter(~_outside(column)).select(*df.columns)
+            continue
+        bounds = limits.first()
         if bounds is None or bounds["_lower"] is None:
             continue
         value = F.col(column)

@@ -12,15 +12,15 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from wattlane.operators import gram
 from wattlane.operators.chunks import lag_of, over_chunks
 from wattlane.operators.params import attach
-from wattlane.operators.quantiles import DIRECT_ROWS, quantile_name, quantiles
+from wattlane.operators.quantiles import quantile_name, quantiles
 from wattlane.panel import Panel
 
 QUARTILES = (0.25, 0.5, 0.75)
 
 
-def describe(df: DataFrame, columns: Sequence[str], direct_rows: int = DIRECT_ROWS) -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per column: count, mean, std, min, quartiles, max."""
-    q = quantiles(df, columns, QUARTILES, direct_rows=direct_rows)
+    q = quantiles(df, columns, QUARTILES)
     plain = df.agg(
         *[
             e
@@ -100,10 +100,10 @@ def melt(df: DataFrame, columns: Sequence[str], ids: Sequence[str] = ()) -> Data
     return df.unpivot(list(ids), list(columns), "variable", "value")
 
 
-def box_stats(df: DataFrame, columns: Sequence[str], direct_rows: int = DIRECT_ROWS) -> DataFrame:
+def box_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Quartiles, whiskers (furthest values within 1.5 interquartile ranges) and outliers per column."""
     long = melt(df, columns).filter(F.col("value").isNotNull())
-    q = quantiles(long, ["value"], QUARTILES, by=["variable"], direct_rows=direct_rows).select(
+    q = quantiles(long, ["value"], QUARTILES, by=["variable"]).select(
         "variable", *[F.col(quantile_name("value", p)).alias(n) for p, n in zip(QUARTILES, ("q25", "q50", "q75"))]
     )
     reach = 1.5 * (F.col("q75") - F.col("q25"))

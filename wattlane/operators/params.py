@@ -22,6 +22,15 @@ def attach(df: DataFrame, params: DataFrame, keys: Sequence[str] = ()) -> DataFr
     )
 
 
+def matched(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which NULL keys match: the columns of ``left``, then the other ones of ``right``."""
+    renamed = right.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+    condition = F.lit(True)
+    for k in keys:
+        condition = condition & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
+    return left.join(renamed, condition, how).drop(*[f"_of_{k}" for k in keys])
+
+
 def finite(column: Column) -> Column:
     """NULL in place of NaN and the infinities."""
     inf = float("inf")

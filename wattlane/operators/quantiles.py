@@ -1,200 +1,156 @@
-"""Exact quantiles that never gather a large group in one task.
+"""Exact quantiles in constant memory: radix selection on the bits of doubles.
 
-Spark's ``percentile`` keeps every distinct value of a group in one buffer, which is fine for small
-groups only.  Larger groups are narrowed first: a bounded sketch gives a bracket around the wanted
-rank, the rows below it are counted, and this repeats until few distinct values are left inside; the
-exact value is picked among those.  The counts prove that a bracket holds the rank.
+A double becomes a long that keeps its order.  Four passes of 16 bits each find the wanted ranks: a pass counts, for
+every group, column and prefix that still holds a wanted rank, how often each of the next 65,536 digits occurs; the
+running totals say which digit holds the rank.  All groups, columns and ranks go through the same four scans of the
+keys, which are written once, so the plan before them runs once.  A scan keeps counters only, whatever the number of rows, distinct values or equal values, and nothing depends on table size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from wattlane.operators.params import attach
+from wattlane.operators.params import attach, matched
 from wattlane.session import materialize
 
-# Distinct values one aggregation buffer may hold.
-DIRECT_ROWS = 1_000_000
-_GRID = 1000
-_ACCURACY = 10_000
+_DIGIT = 16
+_PASSES = 64 // _DIGIT
+# Of the binary format of doubles: bits of the fraction, bias of the exponent, exponent of infinity, least normal.
+_FRACTION, _BIAS, _TOP = 52, 1023, 2047
+_LEAST = 2.0**-1022
 
 
 def quantile_name(column: str, q: float) -> str:
     return f"{column}_q{q:g}".replace(".", "_")
 
 
-def quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probs: Sequence[float],
-    by: Sequence[str] = (),
-    direct_rows: int = DIRECT_ROWS,
-) -> DataFrame:
-    """Linear-interpolated quantiles, one row per group, columns ``<column>_q<prob>``."""
-    sizes = df.groupBy(*by).agg(*[F.count(c).alias(f"_n{i}") for i, c in enumerate(columns)])
-    peak = sizes.agg(F.max(F.greatest(F.lit(0), *[F.col(f"_n{i}") for i in range(len(columns))]))).first()[0]
-    if (peak or 0) <= direct_rows:
-        wanted = F.array(*[F.lit(float(q)) for q in probs])
-        found = df.groupBy(*by).agg(*[F.percentile(c, wanted).alias(f"_p{i}") for i, c in enumerate(columns)])
-        return found.select(
-            *by,
-            *[
-                F.col(f"_p{i}")[j].alias(quantile_name(c, q))
-                for i, c in enumerate(columns)
-                for j, q in enumerate(probs)
-            ],
+def sort_keys(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """``_k0``, ``_k1``, ...: longs in the order of the columns' values as doubles (NaN last), NULL for NULL.
+
+    Powers of two are exact, so all of this is: scaling a double by one changes its exponent only.  The logarithm
+    may miss the exponent by one next to a power of two, which the fraction shows.
+    """
+    numbers = range(len(columns))
+    values = df.select(*keep, *[F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(columns)])
+    sizes = values.select(*values.columns, *[
+        F.floor(F.greatest(F.least(F.log2(F.abs(f"_v{i}")), F.lit(float(_BIAS))), F.lit(1.0 - _BIAS))).alias(f"_e{i}")
+        for i in numbers])
+    scaled = sizes.select(*sizes.columns, *[
+        (F.abs(f"_v{i}") / F.pow(F.lit(2.0), F.col(f"_e{i}"))).alias(f"_m{i}") for i in numbers])
+    unit = F.lit(2.0**_FRACTION)
+
+    def key(i: int) -> Column:
+        v, e, m = F.col(f"_v{i}"), F.col(f"_e{i}"), F.col(f"_m{i}")
+        beyond = F.when(m < 1, 2 * m - 2).when(m >= 2, m / 2).otherwise(m - 1)
+        size = (
+            F.when(F.isnan(v), F.lit((_TOP << _FRACTION) + 1))
+            .when(F.abs(v) == F.lit(float("inf")), F.lit(_TOP << _FRACTION))
+            .when(F.abs(v) < _LEAST, (F.abs(v) * F.lit(2.0**537) * F.lit(2.0**537)).cast("long"))
+            .otherwise((e + _BIAS) * F.lit(1 << _FRACTION) + (beyond * unit).cast("long"))
         )
-    parts = [_bracketed(df, c, probs, by, direct_rows) for c in columns]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.join(part, list(by)) if by else attach(out, part)
-    return out
+        return F.when(v.isNotNull(), F.when(v < 0, -size).otherwise(size)).alias(f"_k{i}")
 
+    return scaled.select(*keep, *[key(i) for i in numbers])
 
-def _bracketed(
-    df: DataFrame, column: str, probs: Sequence[float], by: Sequence[str], direct_rows: int
-) -> DataFrame:
-    value = F.col(column)
-    known = df.filter(value.isNotNull()).select(*by, column)
-    slots = range(len(probs))
-    # One sketch of the whole group serves every quantile.
-    sketch = known.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min(column).alias("_min"),
-        F.max(column).alias("_max"),
-        F.percentile_approx(column, _grid(), _ACCURACY).alias("_g"),
-    )
-    first = sketch.select(
-        *by, "_n", *[c for i, q in enumerate(probs) for c in _cut((F.col("_n") - 1) * float(q) / F.nullif(F.col("_n"), F.lit(0)), "_g", i)]
-    )
-    state = materialize(_count(known, first, column, probs, by), "brackets")
-    if not _hold(state, probs):
-        whole = sketch.select(
-            *by, "_n", *[c for i in slots for c in (F.col("_min").alias(f"_lo{i}"), F.col("_max").alias(f"_hi{i}"))]
-        )
-        state = materialize(_count(known, whole, column, probs, by), "brackets")
-    width = _widest(state, probs)
-    while width > direct_rows:
-        narrowed = materialize(_narrow(known, state, column, probs, by), "brackets")
-        # Stop where nothing is gained; the wider bracket is right as well.
-        if not _hold(narrowed, probs) or _widest(narrowed, probs) >= width:
-            break
-        state, width = narrowed, _widest(narrowed, probs)
-    # Equal values are counted, not listed, so one heavy value does not fill a bracket; one pass
-    # serves all quantiles.
-    hits = F.array_compact(
-        F.array(*[F.when(value.between(F.col(f"_lo{i}"), F.col(f"_hi{i}")), F.lit(i)) for i in slots])
-    )
-    cells = (
-        attach(known, state, by)
-        .select(*by, column, F.explode(hits).alias("_slot"))
-        .groupBy(*by, "_slot", column)
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
-    pairs = F.sort_array(F.collect_list(F.struct(value.alias("v"), F.col("_c").alias("c"))))
-    ranked = cells.groupBy(*by, "_slot").agg(pairs.alias("_pairs"))
-    inner = F.lit(None).cast("double")
-    for i, q in enumerate(probs):
-        inner = F.when(F.col("_slot") == i, (F.col("_n") - 1) * F.lit(float(q)) - F.col(f"_below{i}")).otherwise(inner)
-    low, high = _pick(F.floor("_inner")), _pick(F.ceil("_inner"))
-    between = (F.ceil("_inner") - F.col("_inner")) * low + (F.col("_inner") - F.floor("_inner")) * high
-    exact = F.when(F.floor("_inner") == F.ceil("_inner"), low).otherwise(between)
-    found = attach(ranked, state, by).withColumn("_inner", inner).select(*by, "_slot", exact.alias("_v"))
-    return found.groupBy(*by).agg(
-        *[F.max(F.when(F.col("_slot") == i, F.col("_v"))).alias(quantile_name(column, q)) for i, q in enumerate(probs)]
-    )
 
+def key_value(key: Column) -> Column:
+    """The double of a key."""
+    size = F.abs(key)
+    exponent, fraction = F.shiftright(size, _FRACTION), size.bitwiseAND(F.lit((1 << _FRACTION) - 1)).cast("double")
+    value = (
+        F.when(exponent == 0, fraction * F.lit(2.0**-537) * F.lit(2.0**-537))
+        .when(exponent == _TOP, F.when(fraction == 0, F.lit(float("inf"))).otherwise(F.lit(float("nan"))))
+        .otherwise((1 + fraction / F.lit(2.0**_FRACTION)) * F.pow(F.lit(2.0), exponent - _BIAS))
+    )
+    return F.when(key < 0, -value).otherwise(value)
 
-def _grid() -> Column:
-    return F.array(*[F.lit(k / _GRID) for k in range(_GRID + 1)])
 
+def _advance(state: DataFrame, cells: DataFrame, by: Sequence[str], step: int) -> DataFrame:
+    """Move every wanted rank into the digit that holds it."""
+    keys = [*by, "_col", "_prefix"] if step else [*by, "_col"]
+    earlier = Window.partitionBy(*keys).orderBy("_digit").rowsBetween(Window.unboundedPreceding, -1)
+    ranged = cells.select(*keys, "_digit", "_count", F.coalesce(F.sum("_count").over(earlier), F.lit(0)).alias("_before"))
+    held = matched(state, ranged, keys).where(
+        (F.col("_rest") >= F.col("_before")) & (F.col("_rest") < F.col("_before") + F.col("_count")))
+    prefix = F.shiftleft("_prefix", _DIGIT).bitwiseOR(F.col("_digit")) if step else F.col("_digit")
+    return materialize(held.select(
+        *by, "_col", "_slot", "_size", prefix.alias("_prefix"), (F.col("_rest") - F.col("_before")).alias("_rest")), "radix")
 
-def _cut(share: Column, sketch: str, slot: int) -> list[Column]:
-    """Bracket around ``share`` of the sketched rows, wider than the sketch's error."""
-    low = F.greatest(F.floor(share * _GRID) - 1, F.lit(0)).cast("int")
-    high = F.least(F.ceil(share * _GRID) + 2, F.lit(_GRID)).cast("int")
-    return [F.get(sketch, low).alias(f"_lo{slot}"), F.get(sketch, high).alias(f"_hi{slot}")]
 
+def _count(cells: DataFrame, by: Sequence[str]) -> DataFrame:
+    flat = cells.select(*by, F.explode("_cells").alias("_cell")).select(*by, "_cell.*")
+    return flat.groupBy(*by, "_col", "_prefix", "_digit").agg(F.count(F.lit(1)).alias("_count"))
 
-def _count(
-    known: DataFrame, brackets: DataFrame, column: str, probs: Sequence[float], by: Sequence[str]
-) -> DataFrame:
-    """Rows below and inside each bracket, its distinct values, and whether it holds the rank."""
-    value = F.col(column)
-    aggs = [F.first("_n").alias("_n")]
-    for i in range(len(probs)):
-        hit = value.between(F.col(f"_lo{i}"), F.col(f"_hi{i}"))
-        aggs += [
-            F.first(f"_lo{i}").alias(f"_lo{i}"),
-            F.first(f"_hi{i}").alias(f"_hi{i}"),
-            F.count_if(value < F.col(f"_lo{i}")).alias(f"_below{i}"),
-            F.count_if(hit).alias(f"_in{i}"),
-            F.approx_count_distinct(F.when(hit, value)).alias(f"_cells{i}"),
-        ]
-    out = attach(known, brackets, by).groupBy(*by).agg(*aggs)
-    for i, q in enumerate(probs):
-        rank = (F.col("_n") - 1) * F.lit(float(q))
-        ok = (F.col(f"_below{i}") <= F.floor(rank)) & (
-            F.col(f"_below{i}") + F.col(f"_in{i}") > F.ceil(rank)
-        )
-        out = out.withColumn(f"_ok{i}", ok)
-    return out
 
+# Expressions of every column and rank are written as SQL text: one call each instead of dozens.
 
-def _hold(state: DataFrame, probs: Sequence[float]) -> bool:
-    held = state.agg(*[F.min(f"_ok{i}").alias(f"k{i}") for i in range(len(probs))]).first()
-    return all(v is not False for v in held)
 
+def _cell(i: int, prefix: str, digit: str, condition: str) -> str:
+    cell = f"named_struct('_col', {i}, '_prefix', CAST({prefix} AS BIGINT), '_digit', CAST({digit} AS BIGINT))"
+    return f"CASE WHEN {condition} THEN {cell} END"
 
-def _widest(state: DataFrame, probs: Sequence[float]) -> int:
-    cells = [F.col(f"_cells{i}") for i in range(len(probs))]
-    return state.agg(F.max(F.greatest(F.lit(0), *cells))).first()[0] or 0
 
+def _cells(cells: Sequence[str]) -> Column:
+    return F.expr(f"array_compact(array({', '.join(cells)}))").alias("_cells")
 
-def _narrow(
-    known: DataFrame, state: DataFrame, column: str, probs: Sequence[float], by: Sequence[str]
-) -> DataFrame:
-    """One pass: sketch the rows inside each bracket, cut it around the wanted rank, count again."""
-    value = F.col(column)
-    slots = range(len(probs))
-    kept = ["_n"] + [f"_{part}{i}" for i in slots for part in ("lo", "hi", "below", "in")]
-    sketched = attach(known, state, by).groupBy(*by).agg(
-        *[F.first(c).alias(c) for c in kept],
-        *[
-            F.percentile_approx(
-                F.when(value.between(F.col(f"_lo{i}"), F.col(f"_hi{i}")), value), _grid(), _ACCURACY
-            ).alias(f"_g{i}")
-            for i in slots
-        ],
-    )
-    cuts = [F.col("_n")]
-    for i, q in enumerate(probs):
-        inside = ((F.col("_n") - 1) * F.lit(float(q)) - F.col(f"_below{i}")) / F.col(f"_in{i}")
-        cuts += _cut(inside, f"_g{i}", i)
-    return _count(known, sketched.select(*by, *cuts), column, probs, by)
-
-
-def _pick(rank: Column) -> Column:
-    """Value at ``rank`` of the run-length list ``_pairs``."""
-    start = F.struct(F.lit(0).cast("long").alias("seen"), F.lit(None).cast("double").alias("v"))
-
-    def step(acc: Column, pair: Column) -> Column:
-        reached = acc["v"].isNull() & (acc["seen"] + pair["c"] > rank)
-        return F.struct(
-            (acc["seen"] + pair["c"]).alias("seen"),
-            F.when(reached, pair["v"].cast("double")).otherwise(acc["v"]).alias("v"),
-        )
 
-    return F.aggregate("_pairs", start, step, lambda acc: acc["v"])
+def _by_column(state: DataFrame, by: Sequence[str], columns: int, slots: int, value: str, name: str) -> DataFrame:
+    """One row per group: ``value`` of every column and rank as ``<name><column>_<slot>``, and the columns' sizes."""
+    held = [f"max(CASE WHEN _col = {i} AND _slot = {s} THEN {value} END) AS {name}{i}_{s}"
+            for i in range(columns) for s in range(slots)]
+    sizes = [f"max(CASE WHEN _col = {i} THEN _size END) AS _size{i}" for i in range(columns)]
+    return state.groupBy(*by).agg(*[F.expr(e) for e in held + sizes])
 
 
-def iqr_bounds(
-    df: DataFrame, column: str, factor: float = 1.5, by: Sequence[str] = (), direct_rows: int = DIRECT_ROWS
+def quantiles(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
+    """Linear-interpolated quantiles, one row per group, columns ``<column>_q<prob>``.
+
+    NULL values don't count; a group (NULL is one, too) or table without any value has NULL.  NaN is above infinity.
+    """
+    by, columns, slots = list(by), list(columns), 2 * len(probs)
+    numbers = range(len(columns))
+    keyed = materialize(sort_keys(df, columns, by), "radix-keys")
+
+    # The first pass also lists the groups (column -1) and counts the values, which says the ranks.
+    top = [_cell(i, "0", f"shiftright(_k{i}, {64 - _DIGIT})", f"_k{i} IS NOT NULL") for i in numbers]
+    cells = materialize(_count(keyed.select(*by, _cells([_cell(-1, "0", "0", "true"), *top])), by), "radix-cells")
+    sizes = cells.where("_col >= 0").groupBy(*by, "_col").agg(F.sum("_count").alias("_size"))
+    ends = [(F.col("_size") - 1) * F.lit(float(q)) for q in probs]
+    ranks = F.array(*[F.struct(F.lit(2 * j + k).alias("_slot"), edge(p).cast("long").alias("_rest"))
+                      for j, p in enumerate(ends) for k, edge in enumerate((F.floor, F.ceil))])
+    wanted = sizes.select("*", F.inline(ranks)).withColumn("_prefix", F.lit(0).cast("long"))
+    state = _advance(wanted, cells.where("_col >= 0"), by, 0)
+    for step in range(1, _PASSES):
+        active = _by_column(state, by, len(columns), slots, "_prefix", "_p")
+        # Without groups the prefixes are one row, a scalar; with groups they meet their rows in a join.
+        rows = matched(keyed, active, by, "left") if by else attach(keyed, active)
+        shift = 64 - _DIGIT * step
+        next_digits = []
+        for i in numbers:
+            prefix, wanted = f"shiftright(_k{i}, {shift})", ", ".join(f"_p{i}_{s}" for s in range(slots))
+            digit = f"shiftright(_k{i}, {shift - _DIGIT}) & {(1 << _DIGIT) - 1}"
+            next_digits.append(_cell(i, prefix, digit, f"{prefix} IN ({wanted})"))
+        state = _advance(state, _count(rows.select(*by, _cells(next_digits)), by), by, step)
+    values = state.select("*", key_value(F.col("_prefix")).alias("_value"))
+    found = _by_column(values, by, len(columns), slots, "_value", "_f")
+    if by:
+        found = matched(cells.where("_col = -1").select(*by), found, by, "left")
+    out = []
+    for i in numbers:
+        for j, q in enumerate(probs):
+            rank, low, high = f"((_size{i} - 1) * {float(q)!r}D)", f"_f{i}_{2 * j}", f"_f{i}_{2 * j + 1}"
+            mixed = f"(ceil({rank}) - {rank}) * {low} + ({rank} - floor({rank})) * {high}"
+            out.append(F.expr(f"CASE WHEN {low} = {high} THEN {low} ELSE {mixed} END").alias(quantile_name(columns[i], q)))
+    return found.select(*by, *out)
+
+
+def iqr_bounds(df: DataFrame, column: str, factor: float = 1.5, by: Sequence[str] = ()) -> DataFrame:
     """Lower and upper outlier bounds, one row per group."""
-    q = quantiles(df, [column], [0.25, 0.75], by, direct_rows)
+    q = quantiles(df, [column], [0.25, 0.75], by)
     q1, q3 = F.col(quantile_name(column, 0.25)), F.col(quantile_name(column, 0.75))
     return q.select(
         *by,
@@ -203,7 +159,7 @@ def iqr_bounds(
     )
 
 
-def most_frequent(df: DataFrame, column: str) -> DataFrame:
+def most_frequent(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
     """Most frequent value, the smallest on ties: counted per value, so no buffer grows."""
-    cells = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-    return cells.agg(F.min_by(F.col(column), F.struct(-F.col("_n"), F.col(column))).alias(column))
+    cells = df.filter(F.col(column).isNotNull()).groupBy(*by, column).agg(F.count(F.lit(1)).alias("_n"))
+    return cells.groupBy(*by).agg(F.min_by(F.col(column), F.struct(-F.col("_n"), F.col(column))).alias(column))
