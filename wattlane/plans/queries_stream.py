@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from wattlane.operators import alerts, boosted, drift, features, folds
+from wattlane.operators import alerts, boosted, features, folds
 from wattlane.plans import views
 from wattlane.plans.catalog import emit, oracle, query
 from wattlane.plans.views import HOURLY, PAIRS, RAW, RAW_EVENTS, SERIES
@@ -13,10 +13,11 @@ from wattlane.streaming import jobs
 
 
 def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The events file as a stream; watermarks need instants, not zone-free times."""
-    schema = spark.read.parquet(f"{folder}/events.parquet").schema
+    """The events table, a file or a folder of them, as a stream; watermarks need instants, not zone-free times."""
+    path = f"{folder}/events.parquet"
+    schema = spark.read.parquet(path).schema
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    stream = jobs.read_parquet_stream(spark, folder, schema, name="events.parquet")
+    stream = jobs.read_parquet_stream(spark, path, schema)
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -28,6 +29,19 @@ def _stream_of(df: DataFrame, label: str) -> DataFrame:
     return jobs.read_parquet_stream(spark, path, df.schema)
 
 
+def _arriving(df: DataFrame, ts: str, batches: int, label: str) -> DataFrame:
+    """A stream over rows that arrive in equal spans of time, one micro-batch each."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    ends = df.agg(F.min(ts).cast("double").alias("a"), F.max(ts).cast("double").alias("b")).first()
+    width = ((ends["b"] or 0) - (ends["a"] or 0)) / batches or 1
+    span = F.least(F.floor((F.col(ts).cast("double") - F.lit(ends["a"] or 0)) / F.lit(width)), F.lit(batches - 1))
+    for k in range(batches):
+        # Files are read in the order in which they were written.
+        df.where(span == k).coalesce(1).write.mode("append").parquet(path)
+    return jobs.read_parquet_stream(spark, path, df.schema, per_trigger=1)
+
+
 def _collected(stream: DataFrame, label: str, mode: str = "append") -> DataFrame:
     spark = stream.sparkSession
     path = scratch_path(spark, label)
@@ -99,6 +113,48 @@ def stream_rule_triggers(spark: SparkSession, folder: str) -> DataFrame:
     return emit(latest)
 
 
+_ALERTS = """WITH RECURSIVE rules(rule_name, metric, op, threshold, severity) AS (VALUES
+  ('large view', 'view', '>', 30, 'warning'), ('small click', 'click', '<', 2, 'info'), ('large error', 'error', '>=', 50, 'error')),
+slots AS (
+  SELECT rule_name, severity, date_trunc('hour', ts) AS ts, count(*) FILTER (
+    WHERE CASE op WHEN '>' THEN value > threshold WHEN '<' THEN value < threshold ELSE value >= threshold END) AS broken
+  FROM events JOIN rules ON event_type = metric GROUP BY 1, 2, 3
+  HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY rule_name ORDER BY ts) AS k FROM slots),
+step AS (
+  SELECT rule_name, severity, CAST(0 AS BIGINT) AS k, CAST(NULL AS TIMESTAMP) AS ts, CAST(NULL AS TIMESTAMP) AS opened, CAST(NULL AS TIMESTAMP) AS told,
+    CAST(NULL AS TIMESTAMP) AS last, CAST(0 AS BIGINT) AS broken, CAST(NULL AS VARCHAR) AS event, CAST(NULL AS TIMESTAMP) AS expired,
+    CAST(NULL AS TIMESTAMP) AS was_opened, CAST(0 AS BIGINT) AS was_broken
+  FROM numbered WHERE k = 1
+  UNION ALL
+  SELECT n.rule_name, n.severity, n.k, n.ts,
+    CASE WHEN n.broken = 0 THEN NULL WHEN held THEN s.opened ELSE n.ts END,
+    CASE WHEN n.broken = 0 THEN NULL WHEN held AND n.ts - s.told < INTERVAL 6 HOUR THEN s.told ELSE n.ts END,
+    CASE WHEN n.broken > 0 THEN n.ts END,
+    CASE WHEN n.broken = 0 THEN 0 WHEN held THEN s.broken + n.broken ELSE n.broken END,
+    CASE WHEN n.broken = 0 THEN CASE WHEN held THEN 'cleared' END WHEN NOT held THEN 'opened'
+         WHEN n.ts - s.told >= INTERVAL 6 HOUR THEN 'repeated' END,
+    CASE WHEN s.opened IS NOT NULL AND NOT held THEN s.last + INTERVAL 24 HOUR END, s.opened, s.broken
+  FROM step s JOIN (SELECT n.*, p.k AS before FROM numbered n JOIN (SELECT 0 AS k UNION ALL SELECT k FROM numbered GROUP BY k) p ON p.k = n.k - 1) n
+    ON n.rule_name = s.rule_name AND n.before = s.k,
+    LATERAL (SELECT s.opened IS NOT NULL AND n.ts <= s.last + INTERVAL 24 HOUR AS held) h),
+ends AS (SELECT s.* FROM step s JOIN (SELECT rule_name, max(k) AS k FROM numbered GROUP BY 1) e ON e.rule_name = s.rule_name AND e.k = s.k)
+SELECT rule_name, severity, event, ts, CASE WHEN event = 'cleared' THEN was_opened ELSE opened END AS opened,
+  CASE WHEN event = 'cleared' THEN was_broken ELSE broken END AS broken FROM step WHERE event IS NOT NULL
+UNION ALL SELECT rule_name, severity, 'expired', expired, was_opened, was_broken FROM step WHERE expired IS NOT NULL
+UNION ALL SELECT rule_name, severity, 'expired', last + INTERVAL 24 HOUR, opened, broken FROM ends
+  WHERE opened IS NOT NULL AND last + INTERVAL 24 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)"""
+
+
+@query("STM3 CND1 WIN22", oracle(_ALERTS, ints="broken"))
+def stream_rule_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    """Alerts that open, repeat after a cool-down, clear and expire, from events in six micro-batches."""
+    events = views.table(spark, folder, "events").select("ts", F.col("event_type").alias("metric"), "value")
+    rules = alerts.rules_table(spark, _STREAM_RULES)
+    slots = jobs.breaches(_arriving(events, "ts", 6, "figures"), rules, "ts")
+    return emit(_collected(jobs.alert_states(slots, "ts"), "alerts").drop("batch_id"))
+
+
 _LOOSE = T.StructType([
     T.StructField("time", T.StringType(), False), T.StructField("load", T.DoubleType()), T.StructField("code", T.IntegerType()),
 ])
@@ -144,31 +200,38 @@ SELECT *, abs(reference_mean - current_mean) > 0.1::DOUBLE * abs(reference_mean)
     ),
 )
 def stream_monitoring(spark: SparkSession, folder: str) -> DataFrame:
-    """Arriving batches are compared with the fixed reference by the batch operator."""
+    """Figures after the last of ten micro-batches: merged moments of all of them against the fixed reference."""
     both = folds.reference_and_current(views.raw_events(spark, folder), RAW)
-    reference = both.filter("batch = 'reference'")
+    reference, current = (both.filter(F.col("batch") == b) for b in ("reference", "current"))
     path = scratch_path(spark, "drift")
-    arriving = _stream_of(both.filter("batch = 'current'").coalesce(1), "current")
-    jobs.finish(jobs.monitor(arriving, lambda b: drift.mean_shift(reference, b, ["value", "user_id"]), path))
-    return emit(spark.read.parquet(path), "field", "reference_mean", "current_mean", "drifted")
+    arriving = _arriving(current, "ts", 10, "current")
+    jobs.finish(jobs.monitor(arriving, reference, ["value", "user_id"], path))
+    figures = spark.read.parquet(f"{path}/figures")
+    last = figures.join(figures.agg(F.max("batch_id").alias("batch_id")), "batch_id")
+    return emit(last, "field", "reference_mean", "current_mean", "drifted")
 
 
 @query(
     "STM6 SNK7",
     oracle(
         f"""WITH {HOURLY},
-lagged AS (SELECT series, ts, load, lag(load, 1) OVER w AS l1 FROM hourly WINDOW w AS (PARTITION BY series ORDER BY ts)),
+lagged AS (SELECT series, ts, load, lag(load, 1) OVER w AS l1, lag(load, 24) OVER w AS l24 FROM hourly WINDOW w AS (PARTITION BY series ORDER BY ts)),
 m AS (SELECT regr_slope(load, l1) AS b, regr_intercept(load, l1) AS a FROM lagged WHERE load IS NOT NULL AND l1 IS NOT NULL)
-SELECT series, ts, a + b * l1 AS prediction FROM lagged, m WHERE load IS NOT NULL AND l1 IS NOT NULL""",
-        "prediction", digits=4,
+SELECT series, ts, l24 AS lag_24, a + b * l1 AS prediction FROM lagged, m WHERE load IS NOT NULL AND l1 IS NOT NULL
+  AND ts + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""",
+        "prediction lag_24", digits=4,
     ),
 )
 def stream_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw events in six micro-batches: closed hours, lags from state per series, predictions of a saved model."""
     rows = features.add_lags(views.hourly(spark, folder), SERIES, ["load"], [1]).dropna(subset=["load", "load_lag_1"])
-    model = boosted.fit(rows, ["load_lag_1"], boosted.linear("load"))
+    model = boosted.fit(rows.withColumnRenamed("load_lag_1", "lag_1"), ["lag_1"], boosted.linear("load"))
+    events = views.table(spark, folder, "events").select("ts", F.col("event_type").alias("series"), "value")
+    hours = jobs.hourly_load(_arriving(events, "ts", 6, "raw"), ["series"], "ts", "value")
+    lagged = jobs.lagged_hours(hours, ["series"], "ts", "load", [1, 24, 168])
     path = scratch_path(spark, "scored")
-    jobs.finish(jobs.score(_stream_of(rows, "arriving"), model, path))
-    return emit(spark.read.parquet(path), "series", "ts", "prediction", digits=4)
+    jobs.finish(jobs.score(lagged.where("lag_1 IS NOT NULL"), model, path))
+    return emit(spark.read.parquet(path), "series", "ts", "lag_24", "prediction", digits=4)
 
 
 @query("STM7 WIN20", oracle("SELECT event_id, value FROM events", "value", "event_id"))

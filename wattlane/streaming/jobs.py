@@ -2,28 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from wattlane.functions.conditions import holds
-from wattlane.operators import kpi
-from wattlane.panel import Panel
-from wattlane.session import scratch_path
+from wattlane.operators import kpi, moments
+from wattlane.session import materialize, scratch_path
 from wattlane.sources import tabular
 
 
 def read_parquet_stream(
-    spark: SparkSession, folder: str, schema: T.StructType, name: str | None = None, per_trigger: int | None = None
+    spark: SparkSession, path: str, schema: T.StructType, per_trigger: int | None = None
 ) -> DataFrame:
-    reader = spark.readStream.schema(schema)
-    if name:
-        reader = reader.option("pathGlobFilter", name)
+    """A table (one file, a folder of part files, or folders by batch) as a stream; ``per_trigger`` bounds its files."""
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
     if per_trigger:
         reader = reader.option("maxFilesPerTrigger", per_trigger)
-    return reader.parquet(folder)
+    return reader.parquet(path)
 
 
 def hourly_load(
@@ -41,21 +40,31 @@ def sliding_kpis(
     pairs: DataFrame, ts: str, actual: str = "actual", predicted: str = "prediction",
     length: str = "24 hours", slide: str = "1 hour", late: str = "1 hour", price: float = kpi.PRICE,
 ) -> DataFrame:
-    """Business figures over sliding windows of (actual, forecast) pairs."""
+    """Business figures over sliding windows of (actual, forecast) pairs.
+
+    Two stateful steps: sums per ``slide``, then sums of those per window.  So a raw row is counted once, the state
+    has a row per ``slide``, and only such rows are copied into the windows that hold them.
+    """
     y, p = F.col(actual), F.col(predicted)
     error = y - p
     peak = F.hour(ts).isin(*kpi.PEAK_HOURS)
-    cost = F.sum(F.abs(error)) * price
-    grouped = pairs.withWatermark(ts, late).groupBy(F.window(ts, length, slide).alias("_w"))
-    return grouped.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.avg(F.abs(error)).alias("mae"),
-        F.avg(F.when(peak, F.abs(error))).alias("peak_mae"),
-        F.avg(error).alias("forecast_bias"),
+    parts = {
+        "rows": F.count(F.lit(1)), "known": F.count(error), "absolute": F.sum(F.abs(error)), "signed": F.sum(error),
+        "peak_known": F.count(F.when(peak, error)), "peak": F.sum(F.when(peak, F.abs(error))), "load": F.sum(y),
+    }
+    hours = pairs.withWatermark(ts, late).groupBy(F.window(ts, slide).alias("_hour")).agg(
+        *[c.alias(n) for n, c in parts.items()])
+    windows = hours.groupBy(F.window(F.window_time("_hour"), length, slide).alias("_w")).agg(
+        *[F.sum(n).alias(n) for n in parts])
+    cost = F.col("absolute") * price
+    return windows.select(
+        F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), "rows",
+        (F.col("absolute") / F.nullif("known", F.lit(0))).alias("mae"),
+        (F.col("peak") / F.nullif("peak_known", F.lit(0))).alias("peak_mae"),
+        (F.col("signed") / F.nullif("known", F.lit(0))).alias("forecast_bias"),
         cost.alias("total_error_cost"),
-        F.greatest(F.lit(0.0), (1 - cost / F.nullif(F.sum(y) * price, F.lit(0.0))) * 100).alias("business_impact_score"),
-    ).select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
-             "rows", "mae", "peak_mae", "forecast_bias", "total_error_cost", "business_impact_score")
+        F.greatest(F.lit(0.0), (1 - cost / F.nullif(F.col("load") * price, F.lit(0.0))) * 100).alias("business_impact_score"),
+    )
 
 
 def first_seen(events: DataFrame, keys: Sequence[str], ts: str, late: str = "1 hour") -> DataFrame:
@@ -77,9 +86,109 @@ def count_triggers(metrics: DataFrame, rules: DataFrame, ts: str) -> DataFrame:
     )
 
 
+def breaches(figures: DataFrame, rules: DataFrame, ts: str, slot: str = "1 hour", late: str = "1 hour") -> DataFrame:
+    """Closed slots per rule: how many figures broke it, out of how many; any number of rows of one rule is summed up
+    on all tasks."""
+    active = rules.filter("enabled").select(
+        "metric", F.col("name").alias("rule_name"), "operator", "threshold", "severity"
+    )
+    judged = figures.withWatermark(ts, late).join(active, "metric")
+    broken = F.count_if(holds(F.col("value"), F.col("operator"), F.col("threshold")))
+    return judged.groupBy(F.window(ts, slot).alias("_w"), "rule_name", "severity").agg(
+        broken.alias("broken"), F.count(F.lit(1)).alias("seen")
+    ).select("rule_name", "severity", F.window_time("_w").alias("closed"), F.col("_w.start").alias(ts), "broken", "seen")
+
+
+class AlertStates(StatefulProcessor):
+    """The alert of one rule: since when it is open, when it was last told, its last broken slot, figures that broke it."""
+
+    def __init__(self, ts: str, cool_down_hours: int, silence_hours: int) -> None:
+        self.ts, self.cool_down, self.silence = ts, cool_down_hours * 3_600_000, silence_hours * 3_600_000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.alert = handle.getValueState("alert", "opened long, told long, last long, broken long")
+
+    def _told(self, key: tuple, rows: list[tuple]) -> Iterator[pd.DataFrame]:
+        out = pd.DataFrame([(*key, *r) for r in rows],
+                           columns=["rule_name", "severity", "event", self.ts, "opened", "broken"])
+        for c in (self.ts, "opened"):
+            out[c] = pd.to_datetime(out[c], unit="ms")
+        yield out
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        held = list(self.alert.get()) if self.alert.exists() else None
+        if held:
+            self.handle.deleteTimer(held[2] + self.silence)
+        told: list[tuple] = []
+        arrived = pd.concat(list(rows)).sort_values(self.ts)
+        for at, broken in zip([int(t.timestamp() * 1000) for t in arrived[self.ts]], arrived["broken"].tolist(), strict=True):
+            if held and at > held[2] + self.silence:
+                told.append(("expired", held[2] + self.silence, held[0], held[3]))
+                held = None
+            if broken and held is None:
+                held = [at, at, at, broken]
+                told.append(("opened", at, at, broken))
+            elif broken:
+                held[2], held[3] = at, held[3] + broken
+                if at - held[1] >= self.cool_down:
+                    held[1] = at
+                    told.append(("repeated", at, held[0], held[3]))
+            elif held:
+                told.append(("cleared", at, held[0], held[3]))
+                held = None
+        if held:
+            self.alert.update(tuple(held))
+            self.handle.registerTimer(held[2] + self.silence)
+        else:
+            self.alert.clear()
+        return self._told(key, told)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        told = []
+        if self.alert.exists():
+            opened, _, last, broken = self.alert.get()
+            if last + self.silence <= expiredTimerInfo.getExpiryTimeInMs():
+                told.append(("expired", last + self.silence, opened, broken))
+                self.alert.clear()
+        return self._told(key, told)
+
+    def close(self) -> None:
+        pass
+
+
+def alert_states(slots: DataFrame, ts: str, cool_down_hours: int = 6, silence_hours: int = 24) -> DataFrame:
+    """What happens to each rule's alert as ``breaches`` closes slots, from keyed state and event-time timers.
+
+    ``opened``: the first broken slot; ``repeated``: a broken slot at least ``cool_down_hours`` after the alert was
+    last told; ``cleared``: the first slot without a break; ``expired``: no slot at all for ``silence_hours`` after
+    the last broken one (told by a timer, or by the slot that ends the silence).  ``broken`` counts the figures that
+    broke the rule since the alert opened.  Slots of a batch are taken in order of time.
+    """
+    schema = f"rule_name string, severity string, event string, {ts} timestamp, opened timestamp, broken long"
+    return slots.groupBy("rule_name", "severity").transformWithStateInPandas(
+        AlertStates(ts, cool_down_hours, silence_hours), T.StructType.fromDDL(schema), "Append", "EventTime")
+
+
+# State that Python processors keep needs this store.
+_STORE = ("spark.sql.streaming.stateStore.providerClass",
+          "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
 def _start(df: DataFrame, write: Callable[[DataFrame, int], None], label: str, mode: str = "append",
            checkpoint: str | None = None) -> StreamingQuery:
-    place = checkpoint or scratch_path(df.sparkSession, f"{label}-state")
+    spark = df.sparkSession
+    place = checkpoint or scratch_path(spark, f"{label}-state")
+    before = spark.conf.get(_STORE[0], None)
+    # A query keeps the setting it starts with; the session gets its own back.
+    spark.conf.set(*_STORE)
+    try:
+        return _started(df, write, place, mode)
+    finally:
+        spark.conf.unset(_STORE[0]) if before is None else spark.conf.set(_STORE[0], before)
+
+
+def _started(df: DataFrame, write: Callable[[DataFrame, int], None], place: str, mode: str) -> StreamingQuery:
     return (
         df.writeStream.foreachBatch(write)
         .outputMode(mode)
@@ -120,16 +229,81 @@ def quarantine(raw: DataFrame, schema: T.StructType, good_path: str, bad_path: s
     return _start(cleaned, write, "quarantine", "append", checkpoint)
 
 
-def monitor(current: DataFrame, cycle: Callable[[DataFrame], DataFrame], path: str,
-            checkpoint: str | None = None) -> StreamingQuery:
-    """Run the batch monitoring ``cycle`` on every micro-batch and keep its alerts or figures."""
+def monitor(
+    current: DataFrame, reference: DataFrame, columns: Sequence[str], path: str, checkpoint: str | None = None
+) -> StreamingQuery:
+    """Drift of everything that has arrived so far against a fixed reference, after every micro-batch.
+
+    A batch writes its own moments (``path/parts``); they merge exactly, so the figures over all batches equal those
+    of one pass, a replayed batch replaces its part, and a restart goes on from the parts that are there.  The
+    reference is read once, for its moments.  Figures stand in ``path/figures`` by batch.
+    """
+    spark = current.sparkSession
+    fixed = materialize(moments.of(reference, columns), "reference")
+    schema = T.StructType([*fixed.schema.fields, T.StructField("batch_id", T.LongType())])
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        cycle(batch).write.mode("overwrite").parquet(batch_folder(path, batch_id))
+        moments.of(batch, columns).coalesce(1).write.mode("overwrite").parquet(batch_folder(f"{path}/parts", batch_id))
+        parts = spark.read.schema(schema).parquet(f"{path}/parts").where(F.col("batch_id") <= batch_id)
+        figures = moments.compare(fixed, moments.merged(parts))
+        figures.write.mode("overwrite").parquet(batch_folder(f"{path}/figures", batch_id))
 
     return _start(current, write, "monitor", "append", checkpoint)
 
 
+# Hours that a series remembers.
+MEMORY_HOURS = 168
+
+
+class LastHours(StatefulProcessor):
+    """Lags of a series' closed hours from a ring of its last ``MEMORY_HOURS`` hours: slot = hour modulo the memory."""
+
+    def __init__(self, keys: Sequence[str], ts: str, load: str, lags: Sequence[int], days: int) -> None:
+        self.keys, self.ts, self.load, self.lags, self.days = tuple(keys), ts, load, tuple(lags), days
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        # A series that sends nothing for so long (processing time) is forgotten.
+        self.ring = handle.getValueState("ring", "hours array<long>, loads array<double>", self.days * 86_400_000)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        arrived = pd.concat(list(rows)).sort_values(self.ts)
+        hours, loads = map(list, self.ring.get()) if self.ring.exists() else ([-1] * MEMORY_HOURS, [0.0] * MEMORY_HOURS)
+        numbers = [int(t.timestamp()) // 3600 for t in arrived[self.ts]]
+        values = arrived[self.load].astype(float).tolist()
+        past: list[list] = [[] for _ in self.lags]
+        for hour, value in zip(numbers, values, strict=True):
+            for out, lag in zip(past, self.lags, strict=True):
+                slot = (hour - lag) % MEMORY_HOURS
+                out.append(loads[slot] if hours[slot] == hour - lag else None)
+            slot = hour % MEMORY_HOURS
+            hours[slot], loads[slot] = hour, value
+        self.ring.update((hours, loads))
+        made = dict(zip(self.keys, ([v] * len(numbers) for v in key), strict=True))
+        made |= {self.ts: arrived[self.ts].to_numpy(), self.load: values}
+        yield pd.DataFrame(made | {f"lag_{k}": pd.Series(v, dtype=float) for k, v in zip(self.lags, past, strict=True)})
+
+    def close(self) -> None:
+        pass
+
+
+def lagged_hours(
+    hours: DataFrame, keys: Sequence[str], ts: str, load: str, lags: Sequence[int], forget_days: int = 30
+) -> DataFrame:
+    """Lags (``lag_<k>``, NULL where that hour had no row) of the closed hours that an append-mode stream emits.
+
+    The watermark closes hours in order, so an hour meets all earlier ones in its series' state; hours of one batch
+    are taken in order of time.  The state is a ring of fixed size per series, sums of raw rows happen before it.
+    """
+    if max(lags) > MEMORY_HOURS:
+        raise ValueError(f"lags reach beyond {MEMORY_HOURS} hours")
+    kinds = {f.name: f.dataType for f in hours.schema.fields}
+    schema = T.StructType([*[T.StructField(k, kinds[k]) for k in keys], T.StructField(ts, T.TimestampType()),
+                           T.StructField(load, T.DoubleType()), *[T.StructField(f"lag_{k}", T.DoubleType()) for k in lags]])
+    processor = LastHours(keys, ts, load, lags, forget_days)
+    return hours.select(*keys, ts, load).groupBy(*keys).transformWithStateInPandas(
+        processor, schema, "Append", "ProcessingTime")
+
+
 def score(rows: DataFrame, model: PipelineModel, path: str, checkpoint: str | None = None) -> StreamingQuery:
     """Apply a saved model to arriving feature rows."""
 
