@@ -42,10 +42,10 @@ def _arriving(df: DataFrame, ts: str, batches: int, label: str) -> DataFrame:
     return jobs.read_parquet_stream(spark, path, df.schema, per_trigger=1)
 
 
-def _collected(stream: DataFrame, label: str, mode: str = "append") -> DataFrame:
+def _collected(stream: DataFrame, label: str, mode: str = "append", processors: bool = False) -> DataFrame:
     spark = stream.sparkSession
     path = scratch_path(spark, label)
-    jobs.finish(jobs.to_table(stream, path, mode))
+    jobs.finish(jobs.to_table(stream, path, mode, processors=processors))
     return spark.read.schema(T.StructType([*stream.schema.fields, T.StructField("batch_id", T.LongType())])).parquet(path)
 
 
@@ -152,7 +152,7 @@ def stream_rule_alerts(spark: SparkSession, folder: str) -> DataFrame:
     events = views.table(spark, folder, "events").select("ts", F.col("event_type").alias("metric"), "value")
     rules = alerts.rules_table(spark, _STREAM_RULES)
     slots = jobs.breaches(_arriving(events, "ts", 6, "figures"), rules, "ts")
-    return emit(_collected(jobs.alert_states(slots, "ts"), "alerts").drop("batch_id"))
+    return emit(_collected(jobs.alert_states(slots, "ts"), "alerts", processors=True).drop("batch_id"))
 
 
 _LOOSE = T.StructType([

@@ -28,11 +28,14 @@ def read_parquet_stream(
 def hourly_load(
     events: DataFrame, keys: Sequence[str], ts: str, value: str, late: str = "1 hour"
 ) -> DataFrame:
-    """Tumbling hourly sums; rows later than ``late`` are ignored, closed hours are final."""
+    """Tumbling hourly sums; rows later than ``late`` are ignored, closed hours are final.
+
+    ``closed`` is the last instant of the hour; it carries the watermark on to further stateful steps.
+    """
     hour = F.window(ts, "1 hour")
     grouped = events.withWatermark(ts, late).groupBy(hour.alias("_w"), *keys)
     return grouped.agg(F.sum(value).alias("load"), F.count(value).alias("n"), F.avg(value).alias("mean")).select(
-        *keys, F.col("_w.start").alias(ts), "load", "n", "mean"
+        *keys, F.col("_w.start").alias(ts), "load", "n", "mean", F.window_time("_w").alias("closed")
     )
 
 
@@ -170,22 +173,29 @@ def alert_states(slots: DataFrame, ts: str, cool_down_hours: int = 6, silence_ho
         AlertStates(ts, cool_down_hours, silence_hours), T.StructType.fromDDL(schema), "Append", "EventTime")
 
 
-# State that Python processors keep needs this store.
-_STORE = ("spark.sql.streaming.stateStore.providerClass",
-          "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+# State that Python processors keep needs this store; it writes what a batch changed, not all files again.
+_STORE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def _start(df: DataFrame, write: Callable[[DataFrame, int], None], label: str, mode: str = "append",
-           checkpoint: str | None = None) -> StreamingQuery:
+           checkpoint: str | None = None, processors: bool = False) -> StreamingQuery:
     spark = df.sparkSession
     place = checkpoint or scratch_path(spark, f"{label}-state")
-    before = spark.conf.get(_STORE[0], None)
-    # A query keeps the setting it starts with; the session gets its own back.
-    spark.conf.set(*_STORE)
+    if not processors:
+        return _started(df, write, place, mode)
+    before = {k: spark.conf.get(k, None) for k in _STORE}
+    # A query keeps the settings it starts with; the session gets its own back.
     try:
+        for k, v in _STORE.items():
+            spark.conf.set(k, v)
         return _started(df, write, place, mode)
     finally:
-        spark.conf.unset(_STORE[0]) if before is None else spark.conf.set(_STORE[0], before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def _started(df: DataFrame, write: Callable[[DataFrame, int], None], place: str, mode: str) -> StreamingQuery:
@@ -203,11 +213,14 @@ def batch_folder(path: str, batch_id: int) -> str:
     return f"{path}/batch_id={batch_id}"
 
 
-def to_table(df: DataFrame, path: str, mode: str = "append", checkpoint: str | None = None) -> StreamingQuery:
+def to_table(df: DataFrame, path: str, mode: str = "append", checkpoint: str | None = None,
+             processors: bool = False) -> StreamingQuery:
+    """Write a stream; ``processors``: it keeps state in Python (``alert_states``, ``lagged_hours``)."""
+
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(batch_folder(path, batch_id))
 
-    return _start(df, write, "table", mode, checkpoint)
+    return _start(df, write, "table", mode, checkpoint, processors)
 
 
 def quarantine(raw: DataFrame, schema: T.StructType, good_path: str, bad_path: str,
@@ -258,18 +271,26 @@ MEMORY_HOURS = 168
 class LastHours(StatefulProcessor):
     """Lags of a series' closed hours from a ring of its last ``MEMORY_HOURS`` hours: slot = hour modulo the memory."""
 
-    def __init__(self, keys: Sequence[str], ts: str, load: str, lags: Sequence[int], days: int) -> None:
-        self.keys, self.ts, self.load, self.lags, self.days = tuple(keys), ts, load, tuple(lags), days
+    def __init__(self, keys: Sequence[str], ts: str, load: str, lags: Sequence[int]) -> None:
+        self.keys, self.ts, self.load, self.lags = tuple(keys), ts, load, tuple(lags)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        # A series that sends nothing for so long (processing time) is forgotten.
-        self.ring = handle.getValueState("ring", "hours array<long>, loads array<double>", self.days * 86_400_000)
+        self.handle = handle
+        self.ring = handle.getValueState("ring", "hours array<long>, loads array<double>")
+
+    def _forgotten(self, hours: Sequence[int]) -> int:
+        """When no later hour can reach back to any that is held."""
+        return (max(hours) + MEMORY_HOURS + 1) * 3_600_000
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         arrived = pd.concat(list(rows)).sort_values(self.ts)
-        hours, loads = map(list, self.ring.get()) if self.ring.exists() else ([-1] * MEMORY_HOURS, [0.0] * MEMORY_HOURS)
+        if self.ring.exists():
+            hours, loads = map(list, self.ring.get())
+            self.handle.deleteTimer(self._forgotten(hours))
+        else:
+            hours, loads = [-1] * MEMORY_HOURS, [None] * MEMORY_HOURS
         numbers = [int(t.timestamp()) // 3600 for t in arrived[self.ts]]
-        values = arrived[self.load].astype(float).tolist()
+        values = [None if pd.isna(v) else float(v) for v in arrived[self.load]]
         past: list[list] = [[] for _ in self.lags]
         for hour, value in zip(numbers, values, strict=True):
             for out, lag in zip(past, self.lags, strict=True):
@@ -278,39 +299,45 @@ class LastHours(StatefulProcessor):
             slot = hour % MEMORY_HOURS
             hours[slot], loads[slot] = hour, value
         self.ring.update((hours, loads))
+        self.handle.registerTimer(self._forgotten(hours))
         made = dict(zip(self.keys, ([v] * len(numbers) for v in key), strict=True))
-        made |= {self.ts: arrived[self.ts].to_numpy(), self.load: values}
+        made |= {self.ts: arrived[self.ts].to_numpy(), self.load: pd.Series(values, dtype=float)}
         yield pd.DataFrame(made | {f"lag_{k}": pd.Series(v, dtype=float) for k, v in zip(self.lags, past, strict=True)})
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.ring.exists() and self._forgotten(self.ring.get()[0]) <= expiredTimerInfo.getExpiryTimeInMs():
+            self.ring.clear()
+        yield pd.DataFrame(columns=[*self.keys, self.ts, self.load, *[f"lag_{k}" for k in self.lags]])
+
     def close(self) -> None:
         pass
 
 
 def lagged_hours(
-    hours: DataFrame, keys: Sequence[str], ts: str, load: str, lags: Sequence[int], forget_days: int = 30
+    hours: DataFrame, keys: Sequence[str], ts: str, load: str, lags: Sequence[int]
 ) -> DataFrame:
-    """Lags (``lag_<k>``, NULL where that hour had no row) of the closed hours that an append-mode stream emits.
+    """Lags (``lag_<k>``, NULL where that hour had no row) of the closed hours that ``hourly_load`` emits.
 
     The watermark closes hours in order, so an hour meets all earlier ones in its series' state; hours of one batch
-    are taken in order of time.  The state is a ring of fixed size per series, sums of raw rows happen before it.
+    are taken in order of time.  The state is a ring of fixed size per series, sums of raw rows happen before it.  An
+    event-time timer drops the state of a series that is silent for longer than the ring reaches back.
     """
-    if max(lags) > MEMORY_HOURS:
-        raise ValueError(f"lags reach beyond {MEMORY_HOURS} hours")
+    if not lags or max(lags) > MEMORY_HOURS or min(lags) < 1:
+        raise ValueError(f"lags are 1 to {MEMORY_HOURS} hours")
     kinds = {f.name: f.dataType for f in hours.schema.fields}
     schema = T.StructType([*[T.StructField(k, kinds[k]) for k in keys], T.StructField(ts, T.TimestampType()),
                            T.StructField(load, T.DoubleType()), *[T.StructField(f"lag_{k}", T.DoubleType()) for k in lags]])
-    processor = LastHours(keys, ts, load, lags, forget_days)
-    return hours.select(*keys, ts, load).groupBy(*keys).transformWithStateInPandas(
-        processor, schema, "Append", "ProcessingTime")
+    return hours.select(*keys, ts, load, "closed").groupBy(*keys).transformWithStateInPandas(
+        LastHours(keys, ts, load, lags), schema, "Append", "EventTime")
 
 
 def score(rows: DataFrame, model: PipelineModel, path: str, checkpoint: str | None = None) -> StreamingQuery:
-    """Apply a saved model to arriving feature rows."""
+    """Apply a saved model to arriving feature rows, as ``lagged_hours`` makes them."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         model.transform(batch).drop("features").write.mode("overwrite").parquet(batch_folder(path, batch_id))
 
-    return _start(rows, write, "score", "append", checkpoint)
+    return _start(rows, write, "score", "append", checkpoint, processors=True)
 
 
 def finish(query: StreamingQuery) -> None:
