@@ -587,3 +587,17 @@ def test_every_query_is_registered():
     import __spark_entry__ as entry
 
     assert {f"op{n}" for n in range(1, 11)} | {"pipeline"} <= {q.split("_")[0] for q in entry.queries()}
+
+
+def test_suffixes_of_a_gram_in_pairs_or_by_windows_share_the_same_offsets():
+    rng = np.random.default_rng(5)
+    for size in (1, 2, 3, 9, 30):
+        made = set()
+        while len(made) < size:
+            right, left = int(rng.integers(repeats.GRAM, repeats.LENGTH + 1)), int(rng.integers(0, repeats.REACH + 1))
+            after = bytes(rng.choice([97, 97, 97, 97, 98], right - repeats.GRAM).astype(np.uint8).tolist())
+            before = bytes(rng.choice([97, 97, 97, 97, 98], left).astype(np.uint8).tolist())
+            made.add(b"hash" + (b"g" * repeats.GRAM + after).ljust(repeats.LENGTH, b"\0") + before.ljust(repeats.REACH, b"\0")
+                     + bytes([right, left + 1]))
+        contexts, lows = sorted(made), rng.integers(0, 6, size).tolist()
+        assert repeats._segments(contexts, lows) == repeats._segments_of_many(contexts, lows)

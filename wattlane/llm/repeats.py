@@ -41,6 +41,8 @@ BLOCK_BYTES, RANGE_BYTES = 8 << 20, 4 << 20
 
 #: Suffixes that a gram may have at most to be sorted in one range; places of a gram that a block need not report.
 HOT, LIGHT = 1 << 15, 8
+#: Distinct suffixes of a gram up to which pairs are cheaper to compare than windows; results are the same.
+PAIRED = 32
 
 _PIECE = 1 << 17
 _LATEST = np.iinfo(np.int64).max
@@ -175,13 +177,18 @@ class Block:
         self.left = np.minimum(at - self.offsets[self.own], REACH)
         self.right = np.minimum(self.offsets[self.own + 1] - at, LENGTH)
         self.at = at
-        made = np.zeros((len(at), _WIDE), np.uint8)
+        made = np.empty((len(at), _WIDE), np.uint8)
         made[:, :_HEAD] = (self.grams[keep] >> np.uint64(32)).astype(">u4").view(np.uint8).reshape(-1, _HEAD)
         padded = np.concatenate([np.zeros(REACH, np.uint8), self.data, np.zeros(LENGTH, np.uint8)])
-        for k in range(LENGTH):
-            made[:, _HEAD + k] = np.where(k < self.right, padded[at + REACH + k], 0)
-        for k in range(REACH):
-            made[:, _HEAD + LENGTH + k] = np.where(k < self.left, padded[at + REACH - 1 - k], 0)
+        around = np.lib.stride_tricks.sliding_window_view(padded, REACH + LENGTH)
+        for lo in range(0, len(at), _PIECE):
+            piece = around[at[lo:lo + _PIECE]]
+            made[lo:lo + _PIECE, _HEAD:_HEAD + LENGTH] = piece[:, REACH:]
+            made[lo:lo + _PIECE, _HEAD + LENGTH:-2] = piece[:, REACH - 1::-1]
+        # Bytes of neighbouring documents count as 0.
+        for lengths, full, start in ((self.right, LENGTH, _HEAD), (self.left, REACH, _HEAD + LENGTH)):
+            short = np.flatnonzero(lengths < full)
+            made[short, start:start + full] *= np.arange(full) < lengths[short, None]
         made[:, -2], made[:, -1] = self.right, self.left + 1  # never 0 at the end
         self.strings, first, self.entry = np.unique(made.view(f"S{_WIDE}").reshape(-1), return_index=True, return_inverse=True)
         self.matrix = made[first]
@@ -293,17 +300,17 @@ def merge(runs: list[Run]) -> Iterator[tuple[int, int]]:
         known = common[a]
         if known < 0:
             return a, b
-        x, y = runs[a].key, runs[b].key
+        x, y = runs[a].key[known:], runs[b].key[known:]
         if x == y:
             if b < a:
                 a, b = b, a
             common[b] = _WIDE
             return a, b
-        differ = int.from_bytes(x[known:]) ^ int.from_bytes(y[known:])
-        shared = _WIDE - (differ.bit_length() + 7) // 8
-        if y < x:
+        differ = int.from_bytes(x) ^ int.from_bytes(y)
+        shared = len(x) - (differ.bit_length() + 7) // 8
+        if y[shared] < x[shared]:
             a, b = b, a
-        common[b] = shared
+        common[b] = known + shared
         return a, b
 
     losers = [0] * size
@@ -328,8 +335,61 @@ def merge(runs: list[Run]) -> Iterator[tuple[int, int]]:
             node //= 2
 
 
-def _windows(contexts: list[bytes], lows: list[int]) -> list[list[int | None]]:
-    """For each suffix with its left bytes, the smallest doc_id of the window in which the anchor has offset 0, 1, ..."""
+#: An anchor's offsets in windows, from and to, and the smallest doc_id that has those windows.
+Segment = tuple[int, int, int]
+
+
+def _segments(contexts: list[bytes], lows: list[int]) -> list[list[Segment]]:
+    """For each distinct suffix of a gram, with its left bytes: the smallest doc_id of the windows around it.
+
+    Two suffixes share the window with the anchor at an offset if the bytes before it agree that far and those from
+    the anchor on agree to the window's end, so shared offsets are an interval.  Few suffixes are compared in pairs,
+    many by their windows.
+    """
+    if len(contexts) > PAIRED:
+        return _segments_of_many(contexts, lows)
+    rights = [int.from_bytes(c[_HEAD:_HEAD + LENGTH]) for c in contexts]
+    lefts = [int.from_bytes(c[_HEAD + LENGTH:-2]) for c in contexts]
+    first, last = [LENGTH - c[-2] for c in contexts], [c[-1] - 1 for c in contexts]
+    smaller: list[list[Segment]] = [[] for _ in contexts]
+    for i, low in enumerate(lows):
+        right, left = rights[i], lefts[i]
+        for j in range(i):
+            if lows[j] == low:
+                continue
+            start = max(((right ^ rights[j]).bit_length() + 7) // 8, first[i], first[j])
+            stop = min(REACH - ((left ^ lefts[j]).bit_length() + 7) // 8, last[i], last[j])
+            if start <= stop:
+                smaller[i if lows[j] < low else j].append((start, stop, min(low, lows[j])))
+    out = []
+    for low, lo, hi, others in zip(lows, first, last, smaller, strict=True):
+        if not others:
+            out.append([(lo, hi, low)] if lo <= hi else [])
+            continue
+        values: list[int | None] = [low] * (hi - lo + 1)
+        for start, stop, other in others:
+            for at in range(start - lo, stop - lo + 1):
+                if other < values[at]:
+                    values[at] = other
+        out.append(_joined([None] * lo + values))
+    return out
+
+
+def _joined(values: list[int | None]) -> list[Segment]:
+    """Neighbouring offsets of equal value as one segment; NULL ones have none."""
+    parts: list[Segment] = []
+    for offset, value in enumerate(values):
+        if value is None:
+            continue
+        if parts and parts[-1][2] == value and parts[-1][1] == offset - 1:
+            parts[-1] = (parts[-1][0], offset, value)
+        else:
+            parts.append((offset, offset, value))
+    return parts
+
+
+def _segments_of_many(contexts: list[bytes], lows: list[int]) -> list[list[Segment]]:
+    """The same, by a table of the windows at each offset."""
     out: list[list[int | None]] = [[] for _ in contexts]
     for offset in range(REACH + 1):
         ahead = _HEAD + LENGTH - offset
@@ -343,7 +403,7 @@ def _windows(contexts: list[bytes], lows: list[int]) -> list[list[int | None]]:
                 smallest[key] = low
         for row, key in zip(out, keys, strict=True):
             row.append(None if key is None else smallest.get(key))
-    return out
+    return [_joined(row) for row in out]
 
 
 def _answers(runs: list[Run], low: list[list[int]], high: list[list[int]]) -> list[bytearray]:
@@ -365,18 +425,7 @@ def _answers(runs: list[Run], low: list[list[int]], high: list[list[int]]) -> li
             return
         if min(lows) >= max(high[run][k] for run, k in group):
             return
-        found = _windows(keys, lows)
-        segments: list[list[tuple[int, int, int]]] = []
-        for row in found:
-            parts: list[tuple[int, int, int]] = []
-            for offset, value in enumerate(row):
-                if value is None:
-                    continue
-                if parts and parts[-1][2] == value and parts[-1][1] == offset - 1:
-                    parts[-1] = (parts[-1][0], offset, value)
-                else:
-                    parts.append((offset, offset, value))
-            segments.append(parts)
+        segments = _segments(keys, lows)
         for (run, k), which in zip(group, members, strict=True):
             for start, stop, value in segments[which]:
                 if value < high[run][k]:
