@@ -34,13 +34,13 @@ def series(spark, values):
 
 def ar_numpy(y, p, d, horizon):
     z = np.diff(y, d)
-    cols = [z[p - k - 1: len(z) - k - 1] for k in range(p)]
+    cols = [z[p - k - 1: len(z) - k - 1] for k in range(p)] or [np.zeros(len(z))]
     if d == 0:
         cols.append(np.ones(len(z) - p))
     beta = np.linalg.lstsq(np.column_stack(cols), z[p:], rcond=None)[0]
     hist, out = list(z), []
     for _ in range(horizon):
-        step = sum(beta[k] * hist[-1 - k] for k in range(p)) + (beta[p] if d == 0 else 0)
+        step = sum(beta[k] * hist[-1 - k] for k in range(p)) + (beta[-1] if d == 0 else 0)
         hist.append(step)
         out.append(step)
     out = np.array(out)
@@ -49,7 +49,7 @@ def ar_numpy(y, p, d, horizon):
     return out
 
 
-@pytest.mark.parametrize("p,d", [(1, 0), (3, 0), (1, 1), (2, 1), (2, 2)])
+@pytest.mark.parametrize("p,d", [(0, 0), (0, 1), (0, 2), (1, 0), (3, 0), (1, 1), (2, 1), (2, 2)])
 def test_autoregressive_forecast(series, values, p, d):
     got = autoregression.forecast(series, PANEL, "y", p, d, 6)
     for name, y in values.items():
@@ -140,6 +140,19 @@ def test_unit_root(series, values):
     assert explore.adf_p_value(5.0) == 1.0 and explore.adf_p_value(-20.0) == 0.0
 
 
+def test_unit_root_has_a_row_for_every_series_with_lags_of_its_own(spark, values):
+    rows = [("long", i, float(v)) for i, v in enumerate(values["a"])]
+    rows += [("short", i, float(v)) for i, v in enumerate(values["b"][:20])]
+    rows += [("flat", i, 1.0) for i in range(30)] + [("pair", 0, 1.0), ("pair", 1, 2.0), ("none", 0, None)]
+    frame = spark.createDataFrame(rows, "series string, pos long, y double")
+    got = {r["series"]: r for r in explore.unit_root_test(frame, PANEL, "y").collect()}
+    assert sorted(got) == ["flat", "long", "none", "pair", "short"]
+    for name, y, most in (("long", values["a"], 15), ("short", values["b"][:20], 8)):
+        lags, stat = adf_numpy(y, most)
+        assert got[name]["lags"] == lags and got[name]["statistic"] == pytest.approx(stat, rel=1e-6)
+    assert all(got[k]["statistic"] is None and got[k]["stationary"] is None for k in ("pair", "none"))
+
+
 def test_ljung_box(series, values):
     got = {r["series"]: r for r in explore.ljung_box(series, PANEL, "y", 10).collect()}
     for name, y in values.items():

@@ -20,10 +20,13 @@ MIN_TRAIN = 50
 
 
 def _design(df: DataFrame, panel: Panel, target: str, p: int, d: int) -> tuple[DataFrame, list[str]]:
-    """Rows with the differenced target, its p lags, and the last ``p + d`` raw values as ``_state``."""
+    """Rows with the differenced target, its p lags, and the last ``p + d`` raw values as ``_state``.
+
+    Without lags what is left is a level: the mean (d = 0), the last value (d = 1), the last slope (d = 2).
+    """
     depth = p + d
     raw = {f"_y{k}": lag_of(target, k) for k in range(1, depth + 1)}
-    rows = over_chunks(df, panel, raw, lookback=max(depth, 1))
+    rows = over_chunks(df, panel, raw, lookback=depth) if raw else df
     ys = [F.col(target), *[F.col(f"_y{k}") for k in range(1, depth + 1)]]
     level = ys
     for _ in range(d):
@@ -52,7 +55,7 @@ def _recursion(coefs: np.ndarray, state: np.ndarray, p: int, d: int, horizon: in
     out = []
     for _ in range(horizon):
         step = constant + float(np.dot(coefs[:p], z))
-        z = [step, *z[: p - 1]]
+        z = [step, *z][:p]
         for i in reversed(range(d)):
             ends[i] += step
             step = ends[i]

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from wattlane.operators import gram
 from wattlane.operators.chunks import lag_of, over_chunks
-from wattlane.operators.params import attach
+from wattlane.operators.params import attach, finite
 from wattlane.operators.quantiles import quantile_name, quantiles
 from wattlane.panel import Panel
 
@@ -275,48 +275,56 @@ def _fit(g: gram.Gram, width: int, which: int) -> tuple[float, float]:
     beta = np.linalg.lstsq(xx, xy, rcond=None)[0]
     sse = max(float(g.yy - beta @ xy), 1e-300)
     aic = g.n * (math.log(2 * math.pi) + math.log(sse / g.n) + 1) + 2 * width
-    spread = math.sqrt(sse / max(g.n - width, 1) * np.linalg.pinv(xx)[which, which])
-    return aic, float(beta[which] / spread)
+    spread = math.sqrt(max(sse / max(g.n - width, 1) * np.linalg.pinv(xx)[which, which], 0.0))
+    return aic, float(beta[which]) / spread if spread else math.nan
 
 
 def unit_root_test(df: DataFrame, panel: Panel, column: str, max_lag: int | None = None, alpha: float = 0.05) -> DataFrame:
     """Augmented Dickey-Fuller test with a constant; the lag count is chosen by AIC.
 
     Spark reduces each series to cross-product sums over a common sample; a small solve per series
-    picks the lag count; a second pass sums over the sample of that lag count.
+    picks the lag count; a second pass sums over the sample of that lag count.  Each series tries lags up to a
+    limit that its own length sets (and ``max_lag``, if given).  Every series has a row; its figures are NULL where it is
+    too short or constant.
     """
     known = df.filter(F.col(column).isNotNull()).select(*panel.keys, panel.pos, column)
-    if max_lag is None:
-        rows = known.groupBy(*panel.keys).count().agg(F.max("count")).first()[0] or 0
-        max_lag = max(0, min(math.ceil(12.0 * (rows / 100.0) ** 0.25), rows // 2 - 2))
+    n = F.count(column)
+    most = F.lit(max_lag) if max_lag is not None else F.ceil(12.0 * F.pow(n / 100.0, F.lit(0.25)))
+    limit = F.greatest(F.lit(0), F.least(most, F.floor(n / 2) - 2)).cast("int")
+    limits = df.groupBy(*panel.keys).agg(limit.alias("_limit"))
+    widest = limits.agg(F.max("_limit")).first()[0] or 0
     new = {"_prev": lag_of(column, 1)}
     stepped = over_chunks(known, panel, new, lookback=1).withColumn("_d", F.col(column) - F.col("_prev"))
-    lagged = over_chunks(stepped, panel, {f"_d{k}": lag_of("_d", k) for k in range(1, max_lag + 1)}, lookback=max_lag)
-    regressors = ["_one", "_prev", *[f"_d{k}" for k in range(1, max_lag + 1)]]
-    ready = lagged.withColumn("_one", F.lit(1.0))
+    lags = {f"_d{k}": lag_of("_d", k) for k in range(1, widest + 1)}
+    lagged = over_chunks(stepped, panel, lags, lookback=widest) if lags else stepped
+    regressors = ["_one", "_prev", *lags]
+    ready = attach(lagged.withColumn("_one", F.lit(1.0)), limits, panel.keys)
+
+    def up_to(count: str) -> DataFrame:
+        """The rows behind the first ``count`` lags.  Regressors past it are zeroed: they drop out of the solve."""
+        rows = ready if count in ready.columns else attach(ready, chosen, panel.keys)
+        return rows.filter(F.col(panel.pos) > F.col(count)).withColumns(
+            {c: F.when(F.col(count) >= k, F.col(c)).otherwise(F.lit(0.0)) for k, c in enumerate(lags, 1)})
 
     @F.pandas_udf("int")
-    def choose(sums: pd.Series) -> pd.Series:
-        def one(flat) -> int:
+    def choose(sums: pd.Series, limit: pd.Series) -> pd.Series:
+        def one(flat, most) -> int:
             g = gram.unpack(flat, len(regressors))
-            return min(range(max_lag + 1), key=lambda k: (_fit(g, 2 + k, 1)[0], k))
+            return min(range(int(most) + 1), key=lambda k: (_fit(g, 2 + k, 1)[0], k))
 
-        return sums.map(one)
+        return pd.Series([one(f, m) for f, m in zip(sums, limit)])
 
-    common = gram.sums(ready.filter(F.col(panel.pos) > max_lag), panel.keys, "_d", regressors)
-    chosen = common.select(*panel.keys, choose("_gram").alias("lags"))
-    # Regressors past the chosen count are zeroed: they drop out of the solve.
-    sample = attach(ready, chosen, panel.keys).filter(F.col(panel.pos) > F.col("lags"))
-    cut = sample.withColumns(
-        {f"_d{k}": F.when(F.col("lags") >= k, F.col(f"_d{k}")).otherwise(F.lit(0.0)) for k in range(1, max_lag + 1)}
-    )
-    final = gram.sums(cut, [*panel.keys, "lags"], "_d", regressors)
+    common = gram.sums(up_to("_limit"), [*panel.keys, "_limit"], "_d", regressors)
+    chosen = common.select(*panel.keys, choose("_gram", "_limit").alias("lags"))
+    final = gram.sums(up_to("lags"), [*panel.keys, "lags"], "_d", regressors)
 
     @F.pandas_udf("struct<statistic: double, p_value: double>")
     def test(sums: pd.Series, lags: pd.Series) -> pd.DataFrame:
-        stats = [_fit(gram.unpack(f, len(regressors)), 2 + int(k), 1)[1] for f, k in zip(sums, lags)]
+        fits = [(gram.unpack(f, len(regressors)), 2 + int(k)) for f, k in zip(sums, lags)]
+        stats = [_fit(g, width, 1)[1] if g.n > width else math.nan for g, width in fits]
         return pd.DataFrame({"statistic": stats, "p_value": [adf_p_value(s) for s in stats]})
 
-    return final.withColumn("_t", test("_gram", "lags")).select(
-        *panel.keys, "lags", "_t.statistic", "_t.p_value", (F.col("_t.p_value") < alpha).alias("stationary")
-    )
+    tested = final.withColumn("_t", test("_gram", "lags")).select(
+        *panel.keys, "lags", finite(F.col("_t.statistic")).alias("statistic"), finite(F.col("_t.p_value")).alias("p_value"))
+    return attach(limits.drop("_limit") if panel.keys else limits, tested, panel.keys).select(
+        *panel.keys, "lags", "statistic", "p_value", (F.col("p_value") < alpha).alias("stationary"))

@@ -35,7 +35,8 @@ def sums(df: DataFrame, by: Sequence[str], target: str, regressors: Sequence[str
     The regressors travel as one array: a null check on dozens of derived columns would make the
     optimizer infer constraints between all of them.
     """
-    packed = df.select(*by, F.col(target).alias("_t"), F.array(*regressors).alias("_x"))
+    x = F.array(*regressors) if regressors else F.array().cast("array<double>")
+    packed = df.select(*by, F.col(target).alias("_t"), x.alias("_x"))
     complete = packed.filter(F.col("_t").isNotNull() & F.forall("_x", lambda v: v.isNotNull()))
     return complete.groupBy(*by).agg(F.array(*[F.sum(e) for e in entries(len(regressors))]).alias("_gram"))
 
@@ -50,6 +51,8 @@ def unpack(flat, width: int) -> Gram:
 
 
 def solve(flat, width: int, ridge: float = 0.0) -> np.ndarray:
-    """Coefficients; least norm where the matrix is singular."""
+    """Coefficients; least norm where the matrix is singular, none without regressors."""
+    if not width:
+        return np.empty(0)
     g = unpack(flat, width)
     return np.linalg.lstsq(g.xx + ridge * np.eye(width), g.xy, rcond=None)[0]

@@ -186,6 +186,37 @@ def autoregressive_forecast(spark: SparkSession, folder: str) -> DataFrame:
     return emit(rows, "series", "step", "ts", "prediction")
 
 
+def _level_sql(level: str) -> str:
+    return oracle(
+        f"""WITH {_FILLED}, means AS (SELECT series, avg(load) AS mean FROM filled GROUP BY 1)
+SELECT e.series, k AS step, e.last_ts + to_hours(CAST(k AS BIGINT)) AS ts, {level} AS prediction
+FROM ends_of e JOIN filled z ON z.series = e.series AND z.pos = e.last_pos JOIN filled b ON b.series = e.series AND b.pos = e.last_pos - 1
+  JOIN means m ON m.series = e.series, generate_series(1, 24) AS g(k)""",
+        "prediction", "step",
+    )
+
+
+@query("MDL6", _level_sql("z.load"))
+def random_walk_forecast(spark: SparkSession, folder: str) -> DataFrame:
+    """Order (0, 1, 0)."""
+    rows = autoregression.forecast(_filled(spark, folder), SERIES, "load", p=0, d=1, horizon=24)
+    return emit(rows, "series", "step", "ts", "prediction")
+
+
+@query("MDL6", _level_sql("m.mean"))
+def mean_level_forecast(spark: SparkSession, folder: str) -> DataFrame:
+    """Order (0, 0, 0)."""
+    rows = autoregression.forecast(_filled(spark, folder), SERIES, "load", p=0, d=0, horizon=24)
+    return emit(rows, "series", "step", "ts", "prediction")
+
+
+@query("MDL6", _level_sql("z.load + k * (z.load - b.load)"))
+def last_slope_forecast(spark: SparkSession, folder: str) -> DataFrame:
+    """Order (0, 2, 0)."""
+    rows = autoregression.forecast(_filled(spark, folder), SERIES, "load", p=0, d=2, horizon=24)
+    return emit(rows, "series", "step", "ts", "prediction")
+
+
 @query("MDL6")
 def autoregressive_forecast_high_order(spark: SparkSession, folder: str) -> DataFrame:
     rows = autoregression.forecast(_filled(spark, folder), SERIES, "load", p=24, d=1, horizon=48)
