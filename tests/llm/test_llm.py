@@ -601,3 +601,38 @@ def test_suffixes_of_a_gram_in_pairs_or_by_windows_share_the_same_offsets():
                      + bytes([right, left + 1]))
         contexts, lows = sorted(made), rng.integers(0, 6, size).tolist()
         assert repeats._segments(contexts, lows) == repeats._segments_of_many(contexts, lows)
+
+
+def test_detections_inside_stronger_ones_go_as_in_all_pairs(monkeypatch):
+    rng = random.Random(3)
+    for _ in range(200):
+        spans = [(s, s + rng.randint(1, 12)) for s in (rng.randint(0, 20) for _ in range(rng.randint(0, 25)))]
+        found = [(s, e, rng.choice("abc"), rng.choice((40, 55, 60, 80, 100))) for s, e in spans]
+
+        class Told:
+            def __init__(self, one):
+                self.label, self.priority, self.pattern, self.one = one[2], one[3], self, one
+
+            def finditer(self, text):
+                return [self]
+
+            def start(self):
+                return self.one[0]
+
+            def end(self):
+                return self.one[1]
+
+        monkeypatch.setattr(licenses, "rules", lambda made=tuple(map(Told, found)): (((), made),))
+        kept = []
+        for one in sorted(set(found), key=lambda d: (-(d[1] - d[0]), -d[3], d[0], d[2])):
+            if not any(k[0] <= one[0] and one[1] <= k[1] and k[3] >= one[3] for k in kept):
+                kept.append(one)
+        assert licenses.detections(b"") == sorted(kept)
+
+
+def test_many_detections_in_one_text_take_linear_work():
+    import time
+
+    start = time.process_time()
+    assert len(licenses.detections(b"gnu gpl and the x " * 120_000)) >= 120_000
+    assert time.process_time() - start < 60

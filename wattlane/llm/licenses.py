@@ -159,10 +159,15 @@ def detections(text: bytes) -> list[tuple[int, int, str, int]]:
         if all(k in text for k in keys):
             for rule in own:
                 found += [(m.start(), m.end(), rule.label, rule.priority) for m in rule.pattern.finditer(text)]
+    # In this order whatever can hold a detection comes before it, so it is inside a stronger one (or, at the same place
+    # and priority, behind the smaller label) if one of no less priority has reached its end.
     kept: list[tuple[int, int, str, int]] = []
-    for one in sorted(set(found), key=lambda d: (-(d[1] - d[0]), -d[3], d[0], d[2])):
-        if not any(k[0] <= one[0] and one[1] <= k[1] and k[3] >= one[3] for k in kept):
+    reached: dict[int, int] = {}
+    for one in sorted(set(found), key=lambda d: (d[0], -d[1], -d[3], d[2])):
+        _, end, _, priority = one
+        if all(far < end for other, far in reached.items() if other >= priority):
             kept.append(one)
+        reached[priority] = max(reached.get(priority, 0), end)
     return sorted(kept)
 
 
@@ -171,7 +176,9 @@ def scan(docs: DataFrame) -> DataFrame:
     ``last_word`` (their smallest and largest start, else NULL), ``base_labels``, ``labels`` (distinct, sorted, joined
     by commas; empty where there are none), ``score`` (0 to 1: 1 for a base phrase or a tag, else the
     strongest detection's priority), ``places`` (label, start and end byte of each detection).  NULL counts as the
-    empty text.
+    empty text.  Repeated rows and ids, and NULL ids, are rows like any other; an empty table gives no rows.  Of
+    detections at the same place the one of higher priority stays, of equal ones that of the smaller label; those that
+    merely overlap all stay.  Work grows with the length of a text and the number of its detections.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
