@@ -74,6 +74,73 @@ def test_order_search_and_validation(series):
     assert row["in_mae"] > 0 and row["out_mae"] > 0 and 0 <= row["p_value"] <= 1
 
 
+def arma_numpy(y, p, q, d, long, lags, horizon):
+    """Two least-squares stages on explicit residuals, over the rows with ``lags`` lags."""
+    z = np.diff(y, d)
+    ones = [np.ones(len(z) - lags)] if d == 0 else []
+    past = [z[lags - k: len(z) - k] for k in range(lags + 1)]  # past[k][t] = z[t - k]
+    b = np.linalg.lstsq(np.column_stack([*past[1:long + 1], *ones]), past[0], rcond=None)[0] if q else np.zeros(long + 1)
+    const = b[long] if q and d == 0 else 0.0
+    e = [past[k] - sum(b[j] * past[k + j + 1] for j in range(long)) - const for k in range(q + 1)] if q else []
+    cols = [*past[1:p + 1], *e[1:], *ones]
+    beta = np.linalg.lstsq(np.column_stack(cols), past[0], rcond=None)[0] if cols else np.zeros(0)
+    tail, shocks = list(z[::-1][:p]), [
+        z[len(z) - 1 - k] - sum(b[j] * z[len(z) - 2 - k - j] for j in range(long)) - const for k in range(q)]
+    ends = [np.diff(y, i)[-1] for i in range(d)]
+    out = []
+    for _ in range(horizon):
+        step = float(np.dot(beta[:p], tail) + np.dot(beta[p:p + q], shocks) + (beta[p + q] if d == 0 else 0.0))
+        tail, shocks = [step, *tail][:p], [0.0, *shocks][:q]
+        for i in reversed(range(d)):
+            ends[i] += step
+            step = ends[i]
+        out.append(step)
+    return out
+
+
+@pytest.mark.parametrize("p, d, q", [(0, 1, 1), (1, 1, 1), (2, 0, 2), (1, 2, 3), (0, 0, 1)])
+def test_moving_average_terms(series, values, p, d, q):
+    got = autoregression.forecast(series, PANEL, "y", p, d, 6, q=q, long=8)
+    for name, y in values.items():
+        ours = [r["prediction"] for r in got.filter(F.col("series") == name).orderBy("step").collect()]
+        assert ours == pytest.approx(arma_numpy(y, p, q, d, 8, max(p, 8 + q), 6), rel=1e-6)
+
+
+def test_folds_with_shocks_of_their_own(series, values):
+    got = autoregression.walk_forward(series, PANEL, "y", 1, 1, window=100, horizon=24, q=1, long=6).collect()
+    for name, y in values.items():
+        for fold in range(4):
+            start = 100 + 24 * fold
+            ours = [r["prediction"] for r in sorted(got, key=lambda r: r["pos"]) if r["series"] == name and r["fold"] == fold]
+            assert ours == pytest.approx(arma_numpy(y[:start], 1, 1, 1, 6, 7, 24), rel=1e-6)
+
+
+def test_all_orders_in_a_fixed_number_of_scans(spark, series, values):
+    small = autoregression.tune(series, PANEL, "y", ps=(0, 1), ds=(0, 1), qs=(0, 1), long=4)
+    big = autoregression.tune(series, PANEL, "y", ps=range(6), ds=(0, 1), qs=range(6), long=4)
+    scans = [df._jdf.queryExecution().optimizedPlan().toString().count("InMemoryRelation") for df in (small, big)]
+    assert scans[0] == scans[1]
+    rows = big.collect()
+    assert len(rows) == 2 * 72
+    y, lags = values["a"], 9
+    for r in rows:
+        if r["series"] == "a" and (r["p"], r["d"], r["q"]) in {(0, 1, 0), (3, 0, 0), (2, 1, 2), (5, 1, 5)}:
+            ahead = np.array(arma_numpy(y[:176], r["p"], r["q"], r["d"], 4, lags, 24))
+            assert r["mae"] == pytest.approx(np.abs(y[176:] - ahead).mean(), rel=1e-5)
+
+
+def test_short_series_and_short_folds_keep_their_rows(spark):
+    data = [(k, START + dt.timedelta(hours=i), i, float(i % 7)) for k, n in (("long", 120), ("short", 9)) for i in range(n)]
+    df = spark.createDataFrame(data, "series string, ts timestamp, pos long, y double")
+    got = autoregression.forecast(df, PANEL, "y", 1, 1, 3, q=1).collect()
+    assert sorted((r["series"], r["prediction"] is None) for r in got) == [("long", False)] * 3 + [("short", True)] * 3
+    tried = autoregression.tune(df, PANEL, "y", ps=(0, 1), ds=(1,), qs=(0, 1)).collect()
+    assert sorted((r["series"], r["mae"] is None) for r in tried) == [("long", False)] * 4 + [("short", True)] * 4
+    gaps = df.filter("series = 'long'").withColumn("y", F.when((F.col("pos") % 2 == 1) | (F.col("pos") > 60), F.col("y")))
+    folds_ = autoregression.walk_forward(gaps, PANEL, "y", 2, 1, window=50, horizon=24).collect()
+    assert {r["fold"]: r["prediction"] is None for r in folds_} == {0: True, 1: True}
+
+
 def test_seasonal_regression(series, values):
     got = seasonal.forecast(series, PANEL, "y", 12, seasons=("daily",))
     t = np.arange(200)

@@ -4,14 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wattlane.operators.ordering import running_totals
+from wattlane.operators.params import finite
+from wattlane.session import materialize
 
 # Relative mean shift that counts as drift, weight of one column, KS significance.
 MEAN_SHIFT = 0.1
 COLUMN_WEIGHT = 0.1
 KS_ALPHA = 0.05
+# Cramer's V above which a categorical column drifted, share of columns that makes a table drift.
+CRAMERS_V = 0.1
+DRIFT_SHARE = 0.5
 # Fixed value: cost of a fully missing column in the quality score.
 MISSING_WEIGHT = 0.1
 
@@ -104,7 +109,7 @@ def ks_test(reference: DataFrame, current: DataFrame, column: str, alpha: float
 
 
 def categorical_drift(
-    reference: DataFrame, current: DataFrame, column: str, threshold: float = 0.1
+    reference: DataFrame, current: DataFrame, column: str, threshold: float = CRAMERS_V
 ) -> DataFrame:
     """Cramer's V between the side and a categorical column."""
     sides = reference.select(F.col(column).alias("v"), F.lit(1).alias("a"), F.lit(0).alias("b")).unionByName(
@@ -129,3 +134,58 @@ def categorical_drift(
         )
         .withColumn("drifted", F.col("cramers_v") > threshold)
     )
+
+
+def column_drift(
+    reference: DataFrame, current: DataFrame, numeric: Sequence[str] = (), categorical: Sequence[str] = (),
+    alpha: float = KS_ALPHA, threshold: float = CRAMERS_V,
+) -> DataFrame:
+    """A row per column: Kolmogorov-Smirnov test of numeric ones, Cramer's V of categorical ones.
+
+    Both sides become one long table of (column, value) counts, so each side is scanned once whatever the number
+    of columns.  All numeric columns share one range-partitioned sort: running counts go on from column to column,
+    and a column's own begin where the ones before it end.  NULL, NaN and infinite values count as missing; a
+    column without a value on one side has a NULL statistic and did not drift.
+    """
+
+    def side(df: DataFrame, a: int, b: int) -> DataFrame:
+        none_v, none_s = F.lit(None).cast("double"), F.lit(None).cast("string")
+        cells = [(c, finite(F.col(c).cast("double")), none_s) for c in numeric]
+        cells += [(c, none_v, F.col(c).cast("string")) for c in categorical]
+        rows = F.array(*[F.struct(F.lit(c).alias("field"), v.alias("v"), s.alias("s")) for c, v, s in cells])
+        return df.select(F.inline(rows)).where("v IS NOT NULL OR s IS NOT NULL").select(
+            "*", F.lit(a).alias("a"), F.lit(b).alias("b"))
+
+    counted = side(reference, 1, 0).unionByName(side(current, 0, 1)).groupBy("field", "v", "s")
+    cells = materialize(counted.agg(F.sum("a").alias("a"), F.sum("b").alias("b")), "cells")
+    sums = cells.groupBy("field", F.col("v").isNotNull().alias("_number")).agg(F.sum("a").alias("n"), F.sum("b").alias("m"))
+    # One row per column of the table.
+    before = Window.partitionBy("_number").orderBy("field").rowsBetween(Window.unboundedPreceding, -1)
+    totals = sums.select(
+        "field", "_number", F.nullif("n", F.lit(0)).alias("n"), F.nullif("m", F.lit(0)).alias("m"),
+        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_a"), F.coalesce(F.sum("m").over(before), F.lit(0)).alias("_b"))
+    steps = running_totals(cells.where("v IS NOT NULL").select("field", "v", "a", "b"), ["field", "v"], ["a", "b"])
+    gap = F.abs((F.col("cum_a") - F.col("_a")) / F.col("n") - (F.col("cum_b") - F.col("_b")) / F.col("m"))
+    numbers = steps.join(totals.where("_number"), "field").groupBy("field").agg(
+        F.max(gap).alias("statistic"), F.max("n").alias("n"), F.max("m").alias("m")
+    ).withColumn("p_value", _ks_tail(F.col("statistic"), F.col("n"), F.col("m")))
+    row, n, m = F.col("a") + F.col("b"), F.col("n"), F.col("m")
+    ea, eb = row * n / (n + m), row * m / (n + m)
+    chi = F.pow(F.col("a") - ea, 2) / ea + F.pow(F.col("b") - eb, 2) / eb
+    values = cells.where("s IS NOT NULL").join(totals.where("NOT _number"), "field").groupBy("field").agg(
+        F.sqrt(F.sum(chi) / F.sum(row)).alias("statistic"), F.max("n").alias("n"), F.max("m").alias("m")
+    ).withColumn("p_value", F.lit(None).cast("double"))
+    kinds = [(c, "numeric") for c in numeric] + [(c, "categorical") for c in categorical]
+    listed = reference.sparkSession.createDataFrame(kinds, "field string, kind string")
+    drifted = F.when(F.col("kind") == "numeric", F.col("p_value") < alpha).otherwise(F.col("statistic") > threshold)
+    return listed.join(numbers.unionByName(values), "field", "left").select(
+        "field", "kind", "statistic", "p_value", F.coalesce("n", F.lit(0)).alias("reference_rows"),
+        F.coalesce("m", F.lit(0)).alias("current_rows"), F.coalesce(drifted, F.lit(False)).alias("drifted"))
+
+
+def dataset_drift(columns: DataFrame, share: float = DRIFT_SHARE) -> DataFrame:
+    """Number and share of drifted columns, and whether the table as a whole drifted."""
+    found = F.count_if("drifted") / F.nullif(F.count(F.lit(1)), F.lit(0))
+    return columns.agg(
+        F.count(F.lit(1)).alias("n_columns"), F.count_if("drifted").alias("n_drifted"), found.alias("drifted_share"),
+        F.coalesce(found >= share, F.lit(False)).alias("dataset_drift"))

@@ -267,7 +267,85 @@ FROM test t JOIN last l ON t.series = l.series JOIN phi0 p ON p.series = t.serie
     ),
 )
 def autoregressive_order_search(spark: SparkSession, folder: str) -> DataFrame:
-    return emit(autoregression.tune(_filled(spark, folder), SERIES, "load", ps=(1,), ds=(0, 1)))
+    tried = autoregression.tune(_filled(spark, folder), SERIES, "load", ps=(1,), ds=(0, 1))
+    return emit(tried, "series", "p", "d", "mae")
+
+
+_LAGGED_PAIRS = [(0, 1), (0, 2), (0, 3), (1, 1), (1, 2), (1, 3), (2, 2), (2, 3), (3, 3)]
+# Shocks of the differenced load from an autoregression of order 2, running over the rows up to each position.
+_SHOCKS = f"""z AS (SELECT series, ts, pos, load, load - lag(load) OVER (PARTITION BY series ORDER BY pos) AS z0 FROM filled),
+lagged AS (SELECT *, lag(z0, 1) OVER w AS z1, lag(z0, 2) OVER w AS z2, lag(z0, 3) OVER w AS z3 FROM z WINDOW w AS (PARTITION BY series ORDER BY pos)),
+moments AS (
+  SELECT series, ts, pos, load, z0, z1, z2,
+         {", ".join(f"sum(CASE WHEN z3 IS NOT NULL THEN z{i} * z{j} END) OVER w AS m{i}{j}" for i, j in _LAGGED_PAIRS)}
+  FROM lagged WINDOW w AS (PARTITION BY series ORDER BY pos)),
+long_ar AS (
+  SELECT *, (m01 * m22 - m02 * m12) / (m11 * m22 - m12 * m12) AS b1, (m11 * m02 - m12 * m01) / (m11 * m22 - m12 * m12) AS b2 FROM moments),
+shocks AS (
+  SELECT *, z0 - b1 * z1 - b2 * z2 AS e, m01 - b1 * m02 - b2 * m03 AS s0e, m11 - b1 * m12 - b2 * m13 AS s1e,
+         m11 + b1 * b1 * m22 + b2 * b2 * m33 - 2 * b1 * m12 - 2 * b2 * m13 + 2 * b1 * b2 * m23 AS see FROM long_ar),
+arma AS (
+  SELECT *, (m01 * see - s0e * s1e) / (m11 * see - s1e * s1e) AS phi, (m11 * s0e - s1e * m01) / (m11 * see - s1e * s1e) AS theta,
+         s0e / see AS theta_alone FROM shocks)"""
+
+
+@query(
+    "MDL6",
+    oracle(
+        f"""WITH {_FILLED}, {_SHOCKS}
+SELECT e.series, k AS step, e.last_ts + to_hours(CAST(k AS BIGINT)) AS ts, a.load + a.theta_alone * a.e AS prediction
+FROM ends_of e JOIN arma a ON a.series = e.series AND a.pos = e.last_pos, generate_series(1, 24) AS g(k)""",
+        "prediction", "step", digits=4,
+    ),
+)
+def moving_average_forecast(spark: SparkSession, folder: str) -> DataFrame:
+    """Order (0, 1, 1)."""
+    rows = autoregression.forecast(_filled(spark, folder), SERIES, "load", p=0, d=1, horizon=24, q=1, long=2)
+    return emit(rows, "series", "step", "ts", "prediction", digits=4)
+
+
+@query(
+    "MDL6",
+    oracle(
+        f"""WITH {_FILLED}, {_SHOCKS}
+SELECT e.series, k AS step, e.last_ts + to_hours(CAST(k AS BIGINT)) AS ts,
+       a.load + (a.phi * a.z0 + a.theta * a.e) * (1 - pow(a.phi, k)) / (1 - a.phi) AS prediction
+FROM ends_of e JOIN arma a ON a.series = e.series AND a.pos = e.last_pos, generate_series(1, 24) AS g(k)""",
+        "prediction", "step", digits=4,
+    ),
+)
+def arma_forecast(spark: SparkSession, folder: str) -> DataFrame:
+    """Order (1, 1, 1)."""
+    rows = autoregression.forecast(_filled(spark, folder), SERIES, "load", p=1, d=1, horizon=24, q=1, long=2)
+    return emit(rows, "series", "step", "ts", "prediction", digits=4)
+
+
+@query(
+    "MDL6 WIN16",
+    oracle(
+        f"""WITH {_FILLED}, {_SHOCKS},
+origins AS (
+  SELECT a.*, (a.pos + 1 - 168) // 24 AS fold FROM arma a JOIN ends_of e ON a.series = e.series
+  WHERE a.pos >= 167 AND (a.pos + 1 - 168) % 24 = 0 AND a.pos + 24 <= e.last_pos),
+pairs AS (
+  SELECT o.series, o.fold, f.load AS actual,
+         o.load + (o.phi * o.z0 + o.theta * o.e) * (1 - pow(o.phi, f.pos - o.pos)) / (1 - o.phi) AS prediction
+  FROM origins o JOIN filled f ON f.series = o.series AND f.pos > o.pos AND f.pos <= o.pos + 24)
+SELECT series, fold, {METRIC_SQL} FROM pairs GROUP BY 1, 2""",
+        "mae mse rmse mape r2", "fold", digits={**METRIC_DIGITS, "": 4},
+    ),
+)
+def arma_walk_forward(spark: SparkSession, folder: str) -> DataFrame:
+    """Expanding folds of order (1, 1, 1), each with shocks of its own training rows."""
+    rows = autoregression.walk_forward(_filled(spark, folder), SERIES, "load", 1, 1, 168, 24, q=1, long=2)
+    return emit(metrics.fold_metrics(rows, ["series"], "prediction"), digits={**METRIC_DIGITS, "": 4})
+
+
+@query("MDL9 MDL6")
+def arma_order_search(spark: SparkSession, folder: str) -> DataFrame:
+    """All orders p 0 to 5, d 0 to 2, q 0 to 5, from one set of cross products per degree."""
+    tried = autoregression.tune(_filled(spark, folder), SERIES, "load", ps=range(6), ds=range(3), qs=range(6))
+    return emit(tried, "series", "p", "d", "q", "mae", digits=4)
 
 
 @query("MDL11 AGG10 AGG30")

@@ -274,6 +274,59 @@ def category_drift(spark: SparkSession, folder: str) -> DataFrame:
     return emit(drift.categorical_drift(reference, current, "event_type"))
 
 
+_NUMBERS, _KINDS = ("event_id", "user_id", "value"), ("event_type",)
+_COLUMN_DRIFT = f"""{_SIDES},
+numbers AS (
+  {" UNION ALL ".join(f"SELECT '{c}' AS field, CAST({c} AS DOUBLE) AS v, batch FROM sides" for c in _NUMBERS)}),
+number_cells AS (
+  SELECT field, v, count(*) FILTER (WHERE batch = 'reference') AS a, count(*) FILTER (WHERE batch = 'current') AS b
+  FROM numbers WHERE v IS NOT NULL GROUP BY 1, 2),
+number_steps AS (
+  SELECT field, sum(a) OVER w AS ca, sum(b) OVER w AS cb, sum(a) OVER (PARTITION BY field) AS n, sum(b) OVER (PARTITION BY field) AS m
+  FROM number_cells WINDOW w AS (PARTITION BY field ORDER BY v)),
+number_gaps AS (SELECT field, max(abs(ca / n - cb / m)) AS statistic, max(n) AS n, max(m) AS m FROM number_steps GROUP BY 1),
+number_lam AS (SELECT *, (sqrt(n * m / (n + m)) + 0.12 + 0.11 / sqrt(n * m / (n + m))) * statistic AS lam FROM number_gaps),
+number_p AS (
+  SELECT field, statistic, n, m, CASE WHEN any_value(lam) < 0.2 THEN 1.0
+         ELSE least(1, greatest(0, 2 * sum(pow(-1, k - 1) * exp(-2 * k * k * lam * lam)))) END AS p_value
+  FROM number_lam, generate_series(1, 100) AS g(k) GROUP BY 1, 2, 3, 4),
+kind_cells AS (
+  SELECT event_type AS v, count(*) FILTER (WHERE batch = 'reference') AS a, count(*) FILTER (WHERE batch = 'current') AS b
+  FROM sides WHERE event_type IS NOT NULL GROUP BY 1),
+kind_sums AS (SELECT sum(a) AS n, sum(b) AS m FROM kind_cells),
+column_drift AS (
+  SELECT field, 'numeric' AS kind, statistic, p_value, n AS reference_rows, m AS current_rows, p_value < 0.05 AS drifted FROM number_p
+  UNION ALL
+  SELECT 'event_type', 'categorical', v, NULL, n, m, v > 0.1 FROM (
+    SELECT sqrt(sum(pow(a - (a + b) * n / (n + m), 2) / ((a + b) * n / (n + m))
+             + pow(b - (a + b) * m / (n + m), 2) / ((a + b) * m / (n + m))) / sum(a + b)) AS v, max(n) AS n, max(m) AS m
+    FROM kind_cells, kind_sums))"""
+
+
+def _column_drift(spark: SparkSession, folder: str) -> DataFrame:
+    reference, current = _sides(spark, folder)
+    return drift.column_drift(reference, current, _NUMBERS, _KINDS)
+
+
+@query("AGG21", oracle(f"WITH {_COLUMN_DRIFT} SELECT * FROM column_drift", "statistic p_value", "reference_rows current_rows"))
+def drift_of_all_columns(spark: SparkSession, folder: str) -> DataFrame:
+    return emit(_column_drift(spark, folder))
+
+
+@query(
+    "AGG21",
+    oracle(
+        f"""WITH {_COLUMN_DRIFT}
+SELECT count(*) AS n_columns, count(*) FILTER (WHERE drifted) AS n_drifted, count(*) FILTER (WHERE drifted) / count(*) AS drifted_share,
+       count(*) FILTER (WHERE drifted) / count(*) >= 0.5 AS dataset_drift FROM column_drift""",
+        "drifted_share", "n_columns n_drifted",
+    ),
+)
+def dataset_drift(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether at least half of the columns drifted."""
+    return emit(drift.dataset_drift(_column_drift(spark, folder)))
+
+
 # ---------------------------------------------------------------- rules and alerts
 
 _DAY_RULES = (
