@@ -125,6 +125,33 @@ def test_components(spark):
 # ---------------------------------------------------------------- language, toxicity
 
 
+def test_every_language_is_learned_and_blocks_agree(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = {f"l{k:03d}": letters[k % 26] + letters[k // 26] + letters[(7 * k) % 26] for k in range(230)}
+    rows = [(4 * k + i, f"{w} {w}{w} " * 6, name) for k, (name, w) in enumerate(words.items()) for i in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(df)
+    assert len(model.languages) == 230
+    whole = {r["doc_id"]: r for r in language.predict(spark, df, model, at_once=1000).collect()}
+    assert sum(r["lang"] == r["lang_pred"] for r in whole.values()) > 0.95 * len(rows)
+    for r in language.predict(spark, df, model, at_once=100).collect():
+        other = whole[r["doc_id"]]
+        assert r["lang_pred"] == other["lang_pred"] and abs(r["score"] - other["score"]) < 1e-9
+
+
+def test_pieces_of_a_long_text_hold_every_gram_once(monkeypatch):
+    text = "".join(chr(97 + (i * i) % 23) for i in range(1000))
+    counts = []
+    for size in (64, 333, 5000):
+        monkeypatch.setattr(language, "_CHARS", size)
+        total = np.zeros(language.BUCKETS + 1, int)
+        for chars, _, ends, more in language._pieces([text, "x", None, "yz"]):
+            for grams in language._grams(chars, ends, more):
+                total += np.bincount(grams, minlength=language.BUCKETS + 1)
+        counts.append(total[:language.BUCKETS])
+    assert (counts[0] == counts[2]).all() and (counts[1] == counts[2]).all()
+
+
 def test_language_on_held_out_rows(spark):
     got = queries.op5_language(spark, "/root/testdata/sf0.01").join(
         spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang"), "doc_id").where("held_out")
@@ -276,6 +303,18 @@ def test_mix_of_odd_rows(odd, empty):
     assert taken.columns == odd.columns and taken.count() == got.agg(F.sum("copies")).first()[0]
 
 
+def test_equal_rows_share_what_is_taken(spark):
+    rows = [(7, "a b c d e", "en", "s")] * 1000 + [(i, "w " * 3333, "en", "t") for i in range(8, 10)]
+    df = spark.createDataFrame([(*r, 0, "x", i, "y") for i, r in enumerate(rows)], SCHEMA)
+    got = mixing.mix(df).where("doc_id = 7")
+    target = got.first()["target"]
+    assert got.count() == 1000 and abs(got.agg(F.sum("taken")).first()[0] - target) <= 5
+    assert got.agg(F.max("copies") - F.min("copies")).first()[0] <= 1
+    taken = mixing.mixed(df)
+    assert taken.where("doc_id = 7").count() * 5 == got.agg(F.sum("taken")).first()[0]
+    assert taken.where("doc_id = 7").groupBy(*taken.columns).count().agg(F.max("count") - F.min("count")).first()[0] <= 1
+
+
 # ---------------------------------------------------------------- token files
 
 
@@ -583,6 +622,23 @@ def test_near_duplicate_stage_keeps_one_of_each(spark, docs):
     assert kept == {r["component_id"] for r in groups}
 
 
+def test_ids_that_do_not_name_a_row(spark):
+    copy, alone = "one two three four five six seven eight " * 5, "a text that stands nowhere else in this table at all"
+    rows = [(1, copy), (2, copy), (2, alone), (3, alone + " but here"), (3, alone + " but here"), (None, copy), (None, "the text without an id is here"),
+            (None, "the text without an id is here"), (None, None), (4, None), (4, "")]
+    df = spark.createDataFrame([(k, t, "en", "s", i, "x", i, "y") for i, (k, t) in enumerate(rows)], SCHEMA)
+    got = near_duplicates.one_of_each(df)
+    assert got.columns == df.columns
+    kept = sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str)
+    assert kept == sorted([(1, copy), (2, alone), (3, alone + " but here"), (None, "the text without an id is here"),
+                           (None, None), (4, None), (4, "")], key=str)
+
+
+def test_without_labels_the_language_stage_keeps_every_document(spark, docs):
+    bare = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert corpus_pipeline.identify_language(spark, bare, FOLDER).count() == docs.count()
+
+
 def test_every_query_is_registered():
     import __spark_entry__ as entry
 

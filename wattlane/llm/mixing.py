@@ -13,6 +13,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from wattlane.operators.ordering import with_positions
+from wattlane.panel import Panel
 from wattlane.session import materialize
 
 #: Documents of a block on average.
@@ -143,8 +145,9 @@ def row_key(text: str = "text") -> Column:
 def plan(docs: DataFrame, seed: int = 0) -> DataFrame:
     """How often each distinct row (doc_id, source, text) is taken.
 
-    ``source``, ``doc_id``, ``size`` (words), ``key``, ``n`` (equal rows; they are decided together), ``copies`` (of
-    each of them), ``source_size`` and ``target`` (of the source).
+    ``source``, ``doc_id``, ``size`` (words), ``key``, ``n`` (equal rows), ``base`` (times that each of them is taken),
+    ``once_more`` (how many of them are taken once more), ``source_size`` and ``target`` (of the source).  Of n equal
+    rows with share f the whole part of n * f is taken once more for certain and one row carries the fraction.
     """
     rows = docs.select(F.col("source").cast("string").alias("source"), F.col("doc_id").cast("long").alias("doc_id"),
                        words(F.col("text")).alias("size"), row_key().alias("key"))
@@ -154,14 +157,26 @@ def plan(docs: DataFrame, seed: int = 0) -> DataFrame:
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     near = F.abs(ratio - F.round(ratio)) < _NEAR
     by_source = F.col("source").eqNullSafe(F.col("of"))
-    share = F.when(near, F.lit(0.0)).otherwise(ratio - F.floor(ratio))
-    shared = units.join(goals.select("of", share.alias("share")), by_source).drop("of")
-    open_ = (F.col("share") > 0) & (F.col("size") > 0)
-    rounded = round_shares(shared.where(open_).withColumn("mass", (F.col("size") * F.col("n")).cast("double")), seed)
+    each = F.when(near, F.lit(0.0)).otherwise(ratio - F.floor(ratio))
+    together = F.col("n") * F.col("each")
+    sure = F.when(F.col("size") > 0, F.floor(together + _NEAR)).otherwise(F.lit(0)).cast("long")
+    shared = (
+        units.join(goals.select("of", each.alias("each")), by_source)
+        .withColumn("sure", sure).withColumn("share", F.greatest(together - F.col("sure"), F.lit(0.0)))
+        .select("source", "doc_id", "size", "key", "n", "sure", "share"))
+    open_ = (F.col("share") > _NEAR) & (F.col("size") > 0)
+    rounded = round_shares(shared.where(open_).drop("sure").withColumn("mass", F.col("size").cast("double")), seed)
     fixed = shared.where(~open_).select("source", "doc_id", "size", "key", "n", F.lit(0).cast("long").alias("extra"))
     base = F.when(near, F.round(ratio)).otherwise(F.floor(ratio)).cast("long")
+    # What is certain follows from the source's ratio again, so it need not pass the levels.
+    certain = F.when(F.col("size") > 0, F.floor(F.col("n") * each + _NEAR)).otherwise(F.lit(0)).cast("long")
     return rounded.unionByName(fixed).join(goals, by_source).select(
-        "source", "doc_id", "size", "key", "n", (base + F.col("extra")).alias("copies"), "source_size", "target")
+        "source", "doc_id", "size", "key", "n", base.alias("base"), (certain + F.col("extra")).alias("once_more"),
+        "source_size", "target")
+
+
+#: Equal rows that one step of numbering lists at once.
+_LISTED = 1 << 16
 
 
 def mix(docs: DataFrame, seed: int = 0) -> DataFrame:
@@ -170,22 +185,43 @@ def mix(docs: DataFrame, seed: int = 0) -> DataFrame:
 
     NULL, empty and blank texts have size 0; they are taken as often as the whole part of the ratio says.  A source
     without words has target 0.  A NULL source is a source, the last one.  Rows equal in doc_id, source and text
-    are decided together; the same rows give the same result in any order.  An empty table gives an empty result.
+    share what they are taken evenly: their copies differ by one at most.  The same rows give the same result in
+    any order.  An empty table gives an empty result.
     """
-    return plan(docs, seed).select(
-        "doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"),
-        F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))).drop("col")
+    planned = plan(docs, seed)
+    lists = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / _LISTED)))
+    first = F.col("_list") * _LISTED
+    each = F.explode(F.sequence(first + 1, F.least(F.col("n"), first + _LISTED)))
+    copies = F.col("base") + F.when(F.col("_row") <= F.col("once_more"), 1).otherwise(0)
+    return planned.select("*", lists.alias("_list")).select("*", each.alias("_row")).withColumn("copies", copies).select(
+        "doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+#: Rows of one unit: equal in source, doc_id and text.
+_UNIT = ("_source", "_doc_id", "_key")
 
 
 def mixed(docs: DataFrame, seed: int = 0) -> DataFrame:
-    """The mix itself: rows of ``docs`` (all columns), each as often as it is taken."""
-    planned = plan(docs, seed).select(
-        F.col("source").alias("_source"), F.col("doc_id").alias("_doc_id"), F.col("key").alias("_key"), F.col("copies").alias("_copies")
-    ).where("_copies > 0")
-    same = (
-        (F.col("_key") == F.col("_row_key"))
-        & F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id"))
-        & F.col("source").cast("string").eqNullSafe(F.col("_source"))
-    )
-    taken = docs.withColumn("_row_key", row_key()).join(planned, same)
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(docs.columns)
+    """The mix itself: rows of ``docs`` (all columns), each as often as it is taken.
+
+    Rows that repeat doc_id, source and text are numbered, so that as many of them come once more as ``mix`` says.
+    """
+    planned = materialize(plan(docs, seed).select(
+        F.coalesce("source", F.lit("")).alias("_source"), F.coalesce("doc_id", F.lit(0)).alias("_doc_id"),
+        F.col("key").alias("_key"), F.col("n").alias("_n"), F.col("base").alias("_base"), F.col("once_more").alias("_more")
+    ).where("_base > 0 OR _more > 0"), "planned")
+    # The key tells NULLs from the values that stand for them here.
+    rows = docs.withColumns({
+        "_source": F.coalesce(F.col("source").cast("string"), F.lit("")),
+        "_doc_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "_key": row_key()})
+    taken = rows.join(planned.where("_n = 1"), list(_UNIT)).withColumn("_copies", F.col("_base") + F.col("_more"))
+    repeated = planned.where("_n > 1")
+    if not repeated.isEmpty():
+        again = rows.join(repeated, list(_UNIT)).withColumns(
+            {"_like": F.xxhash64(*docs.columns), "_at": F.monotonically_increasing_id()})
+        numbered = with_positions(again, Panel(keys=_UNIT, ts="_like", tie=("_at",), pos="_number"))
+        copies = F.col("_base") + F.when(F.col("_number") < F.col("_more"), 1).otherwise(0)
+        taken = taken.select(*docs.columns, "_copies").unionByName(
+            numbered.withColumn("_copies", copies).select(*docs.columns, "_copies"))
+    times = F.explode(F.array_repeat(F.lit(0), F.col("_copies").cast("int")))
+    return taken.where("_copies > 0").withColumn("_copy", times).select(docs.columns)

@@ -224,6 +224,32 @@ def link(docs: DataFrame, width: int = 4, percent: int = 80) -> DataFrame:
     )
 
 
+def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """Rows of ``docs`` (all columns), one of each group of near copies: that of the smallest doc_id.
+
+    Rows equal in doc_id and text are one row, whatever their other columns.  A doc_id with several texts is as many
+    documents, and so are the texts without a doc_id, which stay only where no copy has one.  Texts without a word
+    stay, an empty table gives an empty result.
+    """
+    ids = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL")
+    if ids.isEmpty():
+        copies = link(docs, width, percent).where("NOT kept").select("doc_id")
+        return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
+    # Ids that do not name a row: number the distinct rows in the order of their ids.
+    whole = F.struct(*docs.columns)
+    rows = (
+        docs.groupBy(F.col("doc_id").alias("_nd_id"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("_nd_text"),
+                     F.isnull("text").alias("_nd_null"))
+        .agg(F.min_by(whole, F.xxhash64(*docs.columns)).alias("_nd_row")))
+    order = [F.col("_nd_id").asc_nulls_last(), F.col("_nd_text"), F.col("_nd_null")]
+    numbered = materialize(
+        materialize(rows, "distinct").repartitionByRange(*order).sortWithinPartitions(*order)
+        .select(F.monotonically_increasing_id().alias("_nd_number"), "_nd_row"), "numbered")
+    texts = numbered.select(F.col("_nd_number").alias("doc_id"), F.col("_nd_row.text").alias("text"))
+    copies = link(texts, width, percent).where("NOT kept").select(F.col("doc_id").alias("_nd_number"))
+    return numbered.join(copies, "_nd_number", "left_anti").select("_nd_row.*").select(docs.columns)
+
+
 def _orders(known: DataFrame, sets: DataFrame) -> DataFrame:
     """For each hub in several components its shingles by how common they are: ``u1``, ``u2``, ... hold those that
     1, 2, ... of its reference members have.  A hub of few members has itself for reference, others ``DRAWN``.
