@@ -19,17 +19,18 @@ SURE = 0.5
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter or without a likely language go."""
+    """Documents without a letter or without a likely language go; all stay where no document has a language."""
     model = language.fit(docs.where(remainder("doc_id", 4) != 2))
+    if not model.languages:
+        return docs
     told = language.predict(spark, docs, model)
     known = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= SURE)
     return told.where(known).select(docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, that of the smallest doc_id; rows without a doc_id stay."""
-    copies = near_duplicates.link(docs, width=5).where("NOT kept").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
+    """One document of each group stays, that of the smallest doc_id; a document is a doc_id and a text."""
+    return near_duplicates.one_of_each(docs, width=5)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
