@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from wattlane.operators import autoregression, explore, forecast, seasonal
+from wattlane.operators import autoregression, boosted, explore, forecast, seasonal
 from wattlane.panel import Panel
 
 PANEL = Panel(keys=("series",))
@@ -244,3 +244,34 @@ def test_ensemble_weights(spark):
 def test_lag_scan_keeps_the_first_of_equal_lags(spark):
     df = spark.createDataFrame([(0, 0.5), (1, -0.9), (2, 0.9)], "lag int, corr double")
     assert explore.best_lag(df).first()["best_lag"] == 1
+
+
+def test_fold_search_halves_the_field_and_never_trains_on_later_rows(spark, monkeypatch):
+    data = [(k, i, float(i % 5), 2.0 * (i % 5) + (i % 3)) for k, n in (("a", 80), ("b", 40)) for i in range(10, 10 + n)]
+    rows = spark.createDataFrame(data, "series string, pos long, x double, y double")
+    spans, fitted = [], boosted.fit
+
+    def fit(train, features, estimator):
+        spans.append({r["series"]: r["m"] for r in train.groupBy("series").agg(F.max("pos").alias("m")).collect()})
+        return fitted(train, features, estimator)
+
+    monkeypatch.setattr(boosted, "fit", fit)
+    grid = [{"regParam": v} for v in (0.0, 1.0, 10.0, 100.0)]
+    got = {r["trial"]: r for r in boosted.search_folds(rows, PANEL, ["x"], "y", boosted.linear, grid).collect()}
+    # Folds of 20 and 10 rows: the first models see rows before 20 and 10, the last ones before 60 and 30.
+    assert spans == [{"a": 19, "b": 9}] * 4 + [{"a": 39, "b": 19}] * 2 + [{"a": 59, "b": 29}]
+    assert [got[i]["folds"] for i in range(4)] == [3, 2, 1, 1] and [i for i in got if got[i]["best"]] == [0]
+    again = boosted.search_folds(rows, PANEL, ["x"], "y", boosted.linear, grid).collect()
+    assert {r["trial"]: r for r in again} == got
+
+
+def test_ranges_on_a_log_scale():
+    drawn = [g["step"] for g in boosted.random_grid({"step": ("log", 0.001, 1.0)}, 400)]
+    assert all(0.001 <= v <= 1.0 for v in drawn) and 150 < sum(v < 0.0316 for v in drawn) < 250
+    assert drawn == [g["step"] for g in boosted.random_grid({"step": ("log", 0.001, 1.0)}, 400)]
+
+
+def test_the_later_share_of_each_series(spark):
+    rows = spark.createDataFrame([(k, i) for k, n in (("a", 100), ("b", 10)) for i in range(24, 24 + n)], "series string, pos long")
+    got = boosted.mark_later(rows, PANEL).groupBy("series").agg(F.count_if("_later").alias("n")).collect()
+    assert {r["series"]: r["n"] for r in got} == {"a": 20, "b": 2}

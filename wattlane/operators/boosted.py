@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wattlane.operators import cleaning, metrics
+from wattlane.operators import cleaning, folds, metrics
 from wattlane.operators.params import attach
 from wattlane.panel import Panel
+from wattlane.session import materialize
 
 # Default parameters of the two boosted sets, under the learner's own names.
 BOOSTED_A = {"maxIter": 100, "maxDepth": 6, "stepSize": 0.1, "subsamplingRate": 0.8, "minInstancesPerNode": 1,
@@ -107,10 +110,13 @@ def compare(
 
 
 def random_grid(ranges: Mapping[str, Sequence], trials: int, seed: int = 42) -> list[dict]:
-    """``trials`` parameter sets: a two-number tuple is a range to draw from, a list is a choice."""
+    """``trials`` parameter sets: a two-number tuple is a range to draw from, ``("log", low, high)`` one whose
+    logarithm is drawn evenly, a list is a choice."""
     draw = random.Random(seed)
 
     def one(values: Sequence):
+        if isinstance(values, tuple) and values[0] == "log":
+            return math.exp(draw.uniform(math.log(values[1]), math.log(values[2])))
         if isinstance(values, tuple):
             low, high = values
             whole = isinstance(low, int) and isinstance(high, int)
@@ -120,6 +126,52 @@ def random_grid(ranges: Mapping[str, Sequence], trials: int, seed: int = 42) ->
     return [{name: one(values) for name, values in ranges.items()} for _ in range(trials)]
 
 
+def mark_later(rows: DataFrame, panel: Panel, share: float = 0.2, name: str = "_later") -> DataFrame:
+    """Flag the later ``share`` of each series' own rows (``pos`` runs without gaps inside a series)."""
+    ends = rows.groupBy(*panel.keys).agg(F.min(panel.pos).alias("_first"), F.max(panel.pos).alias("_last"))
+    begins = F.col("_first") + F.ceil((F.col("_last") - F.col("_first") + 1) * (1 - share))
+    return attach(rows, ends, panel.keys).withColumn(name, F.col(panel.pos) >= begins).drop("_first", "_last")
+
+
+def search_folds(
+    rows: DataFrame, panel: Panel, features: Sequence[str], target: str, builder: Callable,
+    grid: Sequence[Mapping], splits: int = 3, keep: float = 0.5, at_once: int = 4,
+) -> DataFrame:
+    """Score parameter sets on time-ordered folds, halving the field after each fold.
+
+    Fold k is tested by models of earlier rows only.  Sets that are still in the race are fitted as ``at_once``
+    concurrent jobs; after a fold the better ``keep`` of them by mean MAE go on (ties to the earlier trial), the last
+    fold decides.  One row per set: ``trial``, ``params``, ``folds`` (scored), ``mae`` (mean of these) and ``best``.
+    ``rows`` carry ``pos`` without gaps inside a series; they are written once and reread by every fit.
+    """
+    starts = rows.groupBy(*panel.keys).agg(F.min(panel.pos).alias("_first"))
+    dense = attach(rows, starts, panel.keys).withColumn(panel.pos, F.col(panel.pos) - F.col("_first")).drop("_first")
+    marked = materialize(folds.assign_time_series_split(dense, panel, splits), "folds")
+    scores: dict[int, list[float]] = {i: [] for i in range(len(grid))}
+    racing = list(scores)
+
+    def mean(trial: int) -> float:
+        return sum(scores[trial]) / len(scores[trial])
+
+    for k in range(splits):
+        train = marked.filter(F.col("fold").isNull() | (F.col("fold") < k))
+        test = marked.filter(F.col("fold") == k)
+
+        def score(trial: int) -> float:
+            model = fit(train, features, builder(target, **grid[trial]))
+            found = metrics.regression_metrics(predict(model, test), (), target, "prediction").first()["mae"]
+            return math.inf if found is None else found
+
+        with ThreadPoolExecutor(at_once) as pool:
+            for trial, mae in zip(racing, pool.map(score, racing)):
+                scores[trial].append(mae)
+        racing.sort(key=lambda trial: (mean(trial), trial))
+        if k < splits - 1:
+            racing = racing[: max(1, math.ceil(len(racing) * keep))]
+    table = [(i, str(dict(grid[i])), len(scores[i]), mean(i), bool(racing) and i == racing[0]) for i in scores]
+    return rows.sparkSession.createDataFrame(table, "trial int, params string, folds int, mae double, best boolean")
+
+
 def search(
     rows: DataFrame, panel: Panel, features: Sequence[str], target: str, builder: Callable,
     grid: Sequence[Mapping], holdout: float = 0.2,

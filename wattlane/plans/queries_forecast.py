@@ -395,9 +395,6 @@ def linear_trend(spark: SparkSession, folder: str) -> DataFrame:
 
 # ---------------------------------------------------------------- learners
 
-_QUICK = {"maxIter": 5, "maxDepth": 3}
-
-
 def _learning_rows(spark: SparkSession, folder: str) -> tuple[DataFrame, list[str]]:
     """Train and test rows with boosted-tree features, written once for the learner's passes."""
     rows, names, _ = supervised.supervised_split(_filled(spark, folder), SERIES, "load", 0.8, (1, 2, 24), (6, 24))
@@ -408,7 +405,7 @@ def _learning_rows(spark: SparkSession, folder: str) -> tuple[DataFrame, list[st
 def boosted_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Metrics of boosted trees on training and test rows."""
     rows, names = _learning_rows(spark, folder)
-    model = boosted.fit(rows.filter("split = 'train'"), names, boosted.boosted_a("load", **_QUICK))
+    model = boosted.fit(rows.filter("split = 'train'"), names, boosted.boosted_a("load"))
     return emit(boosted.split_metrics(model, rows, "load"))
 
 
@@ -416,8 +413,8 @@ def boosted_scores(spark: SparkSession, folder: str) -> DataFrame:
 def boosted_with_early_stop(spark: SparkSession, folder: str) -> DataFrame:
     """The later fifth of the training rows decides when to stop."""
     rows, names = _learning_rows(spark, folder)
-    train = rows.filter("split = 'train'").withColumn("_later", F.col("pos") > 480)
-    learner = boosted.boosted_b("load", validationIndicatorCol="_later", **_QUICK)
+    train = boosted.mark_later(rows.filter("split = 'train'"), SERIES)
+    learner = boosted.boosted_b("load", validationIndicatorCol="_later")
     return emit(boosted.split_metrics(boosted.fit(train, names, learner), rows, "load"))
 
 
@@ -425,7 +422,7 @@ def boosted_with_early_stop(spark: SparkSession, folder: str) -> DataFrame:
 def boosted_importances(spark: SparkSession, folder: str) -> DataFrame:
     """Importances of a boosted model, written as CSV and read back, top ten."""
     rows, names = _learning_rows(spark, folder)
-    model = boosted.fit(rows.filter("split = 'train'"), names, boosted.boosted_a("load", **_QUICK))
+    model = boosted.fit(rows.filter("split = 'train'"), names, boosted.boosted_a("load"))
     path = scratch_path(spark, "importances")
     sinks.write_importances(boosted.importances(model, names), path)
     table = spark.read.schema("feature string, importance double").csv(path, header=True)
@@ -436,17 +433,27 @@ def boosted_importances(spark: SparkSession, folder: str) -> DataFrame:
 def forest_importances(spark: SparkSession, folder: str) -> DataFrame:
     rows = features.add_targets(views.hourly_weather(spark, folder), ONE, "total_load_actual", [1])
     names = supervised.feature_names(rows, "total_load_actual", exclude=["pos"])
-    table = boosted.forest_importances(materialize(rows, "features"), "total_load_actual", names, trees=20)
+    table = boosted.forest_importances(materialize(rows, "features"), "total_load_actual", names)
     return emit(boosted.top_features(table, 15))
 
 
 @query("MDL9")
 def boosted_search(spark: SparkSession, folder: str) -> DataFrame:
     rows, names = _learning_rows(spark, folder)
-    grid = [{"maxIter": 3, "maxDepth": d} for d in (2, 4)]
+    grid = [{"maxDepth": d} for d in (2, 4)]
     return emit(boosted.search(rows.filter("split = 'train'"), SERIES, names, "load", boosted.boosted_a, grid))
 
 
+@query("MDL9 WIN15")
+def boosted_fold_search(spark: SparkSession, folder: str) -> DataFrame:
+    """Random parameter sets on three time-ordered folds; the better half goes on after each."""
+    rows, names = _learning_rows(spark, folder)
+    ranges = {"maxIter": (20, 60), "maxDepth": (3, 5), "stepSize": ("log", 0.02, 0.3), "subsamplingRate": (0.6, 1.0)}
+    tried = boosted.search_folds(
+        rows.filter("split = 'train'"), SERIES, names, "load", boosted.boosted_b, boosted.random_grid(ranges, 4))
+    return emit(tried)
+
+
 @query("AGG23 MDL10 WIN15")
 def learner_cross_validation(spark: SparkSession, folder: str) -> DataFrame:
     rows, names = _learning_rows(spark, folder)
@@ -482,7 +489,7 @@ def training_flow(spark: SparkSession, folder: str) -> DataFrame:
     """Prepared hours, boosted features, two learners, comparison and best model."""
     table = flows.train_and_compare(
         _filled(spark, folder), SERIES, "load",
-        {"boosted_a": boosted.boosted_a("load", **_QUICK), "linear": boosted.linear("load", regParam=0.1)},
+        {"boosted_a": boosted.boosted_a("load"), "linear": boosted.linear("load", regParam=0.1)},
         lags=(1, 2, 24), windows=(6, 24),
     )
     return emit(table, digits=4)
