@@ -241,3 +241,20 @@ def test_random_grid_is_repeatable():
     grid = random_grid(ranges, 5)
     assert grid == random_grid(ranges, 5) and len(grid) == 5
     assert all(2 <= g["maxDepth"] <= 6 and 0.01 <= g["stepSize"] <= 0.3 and g["maxIter"] in (5, 10) for g in grid)
+
+
+def test_one_hot_weather_of_types_that_no_row_has(spark, tmp_path):
+    from __spark_entry__ import queries
+
+    spark.createDataFrame(
+        [(1, dt.datetime(2024, 1, 1, 5), 3, "click", 4.0, '{"k": 7}'),
+         (2, dt.datetime(2024, 1, 1, 5), 3, "view", 4.0, '{"k": 8}'),
+         (3, dt.datetime(2024, 1, 1, 6), 3, "error", 4.0, '{"k": 70}')],
+        "event_id long, ts timestamp, user_id long, event_type string, value double, props string",
+    ).selectExpr("event_id", "CAST(ts AS timestamp_ntz) AS ts", "user_id", "event_type", "value", "props").write.parquet(
+        f"{tmp_path}/events.parquet")
+    made = queries()["one_hot_weather"](spark, str(tmp_path)).orderBy("ts")
+    flags = ["weather_click", "weather_error", "weather_purchase", "weather_signup", "weather_view"]
+    assert made.columns == ["ts", "city", *flags]
+    # The second hour's type is hidden by its humidity of 70.
+    assert [tuple(r)[2:] for r in made.collect()] == [(True, False, False, False, False), (False,) * 5]

@@ -264,7 +264,9 @@ def one_hot_weather(spark: SparkSession, folder: str) -> DataFrame:
     rows = views.weather(spark, folder).withColumn(
         "weather_main", F.when(F.col("humidity") > 60, None).otherwise(F.col("weather_main"))
     )
-    flags = categories.one_hot("weather_main", features.weather_values(rows))
+    # A type that no row has still gets its flag.
+    values = sorted({*_TYPES, *features.weather_values(rows)})
+    flags = categories.one_hot("weather_main", values)
     return emit(rows.withColumns(flags), "ts", "city", *[f"weather_{t}" for t in _TYPES])
 
 
