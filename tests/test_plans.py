@@ -97,3 +97,48 @@ def test_resample_keeps_the_values_of_a_null_series(spark):
                    "('a', TIMESTAMP'2024-01-01 00:10', 3.0) AS t(series, ts, x)").withColumn("x", F.col("x").cast("double"))
     out = calendar.resample(df, MANY, "H", {"load": ("x", "total")}).orderBy("series", "ts")
     assert [(r["series"], r["load"]) for r in out.collect()] == [(None, 1.0), (None, None), (None, 2.0), ("a", 3.0)]
+
+
+def test_rolling_takes_arrays_with_the_figures_of_windows(spark):
+    from wattlane.operators.chunks import rolling_of
+
+    spec = "series string, pos long, x double, y double"
+    values = [None if i % 11 == 7 else float("nan") if i % 37 == 5 else ((i * 7919) % 1013) / 7 - 60 for i in range(240)]
+    data = [(k, i, v, float(i) / 3) for k in (None, "a", "b") for i, v in enumerate(values[:80 if k == "b" else 240])]
+    df = spark.createDataFrame([*data, ("short", 0, 1.0, None)], spec).repartition(5)
+    made = features.add_rolling(df, MANY, ["x", "y"], [3, 6])
+    assert "MapInArrow" in plan(made) and "Window" not in plan(made)
+    new = {f"{c}_rolling_{n}h_{f}": rolling_of(c, n, f) for c in ("x", "y") for n in (3, 6) for f in features.ROLLING}
+    by_window = over_chunks(df, MANY, new, lookback=5)
+    assert made.columns == by_window.columns
+    assert sorted(map(str, made.collect())) == sorted(map(str, by_window.collect()))
+    empty = features.add_rolling(df.where("pos < 0"), MANY, ["x"], [3])
+    assert empty.count() == 0 and empty.columns[-1] == "x_rolling_3h_max"
+    whole = features.add_rolling(df.withColumn("x", F.col("pos")), MANY, ["x"], [3], ["max"])
+    assert whole.schema["x_rolling_3h_max"].dataType.typeName() == "long"
+
+
+def test_gaps_are_filled_without_sorting_steps(spark):
+    rows = [(None, "2024-01-01 05:00:00", 1.0), (None, "2024-01-01 09:30:00", 2.0), ("a", "1999-12-31 23:10:00", 3.0),
+            ("a", "1999-12-31 23:50:00", 4.0), ("a", "2001-02-01 00:00:00", None), ("b", None, 5.0), ("c", "1960-01-01 00:00:00", 6.0)]
+    df = spark.createDataFrame(rows, "series string, t string, x double").selectExpr("series", "CAST(t AS timestamp) ts", "x")
+    made = calendar.resample(df, MANY, "H", {"s": ("x", "sum"), "t": ("x", "total"), "n": ("x", "count")})
+    assert "Join" not in plan(made)
+    got = {(r.series, r.pos): (str(r.ts), r.s, r.t, r.n) for r in made.collect()}
+    days = 366 + 31  # from the last hour of 1999 to the first of February 2001
+    assert made.count() == len(got) == 5 + days * 24 + 2 + 1
+    assert got[None, 0] == ("2024-01-01 05:00:00", 1.0, 1.0, 1) and got[None, 4] == ("2024-01-01 09:00:00", 2.0, 2.0, 1)
+    assert got[None, 2] == ("2024-01-01 07:00:00", 0.0, None, 0) and got["c", 0] == ("1960-01-01 00:00:00", 6.0, 6.0, 1)
+    assert got["a", 0] == ("1999-12-31 23:00:00", 7.0, 7.0, 2) and got["a", days * 24 + 1] == ("2001-02-01 00:00:00", 0.0, None, 0)
+    assert got["a", 5000][0] == "2000-07-27 07:00:00"
+
+
+def test_rounding_near_ties_and_far_from_them(spark):
+    from wattlane.plans.catalog import rounded
+
+    values = [0.5, -0.5, 2.5e-6, 1.0000005, 1.0000015, -1.0000005, 0.1234565, 1 / 3, -2 / 3, 1e5 / 7, 1e18 / 7, 1e300, 0.0, -0.0,
+              float("nan"), float("inf"), float("-inf"), None, 123456.7890125, 2.675, 1.005]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for digits in (0, 1, 2, 6, 7):
+        found = df.select((rounded(F.col("v"), digits) + F.lit(0.0)).alias("a"), (F.round("v", digits) + F.lit(0.0)).alias("b"))
+        assert [str(r.a) for r in found.collect()] == [str(r.b) for r in found.collect()]

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wattlane.operators.params import attach
 from wattlane.panel import Panel
 
 # Steps a series can be resampled to: truncation unit and interval.
 STEPS = {"H": ("hour", "INTERVAL 1 HOUR"), "D": ("day", "INTERVAL 1 DAY")}
+SECONDS = {"H": 3600, "D": 86400}
+#: Steps of a stretch of time when gaps are filled.
+STRETCH = 4096
 
 
 def _step(freq: str) -> tuple[str, Column]:
@@ -26,20 +29,22 @@ def spine(df: DataFrame, panel: Panel, freq: str) -> DataFrame:
     unit, _ = _step(freq)
     return _grid(df.groupBy(*panel.keys).agg(
         F.date_trunc(unit, F.min(panel.ts)).alias("_lo"), F.date_trunc(unit, F.max(panel.ts)).alias("_hi")
-    ), panel, freq)
+    ), panel, freq).drop("_end")
 
 
 def _grid(bounds: DataFrame, panel: Panel, freq: str) -> DataFrame:
-    """Every step from ``_lo`` to ``_hi`` of each series, with its position."""
+    """Every step from ``_lo`` to ``_hi`` of each series, with its position and whether it is an ``_end``."""
     _, step = _step(freq)
     if panel.keys:
         # One small row per series grows into its whole grid: adaptive execution judges by the small
         # rows and would merge them into one task, but leaves a stated number of partitions alone.
+        # Dealt by the start too: a shuffle by the keys alone repeats the aggregate's and is optimized away.
         parts = int(bounds.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        bounds = bounds.repartition(parts, *panel.keys)
-    return bounds.filter(F.col("_lo").isNotNull()).select(
-        *panel.keys, F.posexplode(F.sequence("_lo", "_hi", step)).alias(panel.pos, panel.ts)
+        bounds = bounds.repartition(parts, *panel.keys, "_lo")
+    steps = bounds.filter(F.col("_lo").isNotNull()).select(
+        *panel.keys, "_lo", "_hi", F.posexplode(F.sequence("_lo", "_hi", step)).alias(panel.pos, panel.ts)
     )
+    return steps.withColumn("_end", (F.col(panel.pos) == 0) | (F.col(panel.ts) == F.col("_hi"))).drop("_lo", "_hi")
 
 
 def _first_known(column: str, ts: str, by: str) -> Column:
@@ -54,7 +59,7 @@ def resample(
 
     Empty steps give NULL for mean/first/last/min/max/total and 0 for sum and count.  Rows are
     reduced to cells before any shuffle (so a hot series costs one row per step and task), and the
-    cells meet the grid on their unique key.  Adds ``pos``, which is free on a regular grid.
+    empty steps are made between the cells.  Adds ``pos``, which is free on a regular grid.
     """
     unit, _ = _step(freq)
     inputs = sorted({c for c, _ in aggregates.values()})
@@ -83,18 +88,49 @@ def resample(
     # The ends come from the cells, with all their columns, so that both sides read one exchange of cells.
     ends = cells.groupBy(*panel.keys).agg(
         F.min(panel.ts).alias("_lo"), F.max(F.struct(panel.ts, *aggregates))[panel.ts].alias("_hi"))
-    grid = _grid(ends, panel, freq).alias("grid")
-    same = F.col(f"grid.{panel.ts}") == F.col(f"cells.{panel.ts}")
-    for key in panel.keys:  # NULL is a series too
-        same = same & F.col(f"grid.{key}").eqNullSafe(F.col(f"cells.{key}"))
-    full = grid.join(cells.alias("cells"), same, "left")
-    return full.select(
-        *[F.col(f"grid.{c}").alias(c) for c in (*panel.keys, panel.ts)],
-        *[F.coalesce(n, F.lit(empty[n])).alias(n) if n in empty else F.col(n) for n in aggregates],
-        F.col(panel.pos).cast("long").alias(panel.pos),
+    return _fill_steps(cells, _grid(ends, panel, freq), panel, freq, list(aggregates)).select(
+        *panel.keys, panel.ts, *[F.coalesce(n, F.lit(empty[n])).alias(n) if n in empty else F.col(n) for n in aggregates],
+        panel.pos,
     )
 
 
+def _fill_steps(cells: DataFrame, grid: DataFrame, panel: Panel, freq: str, columns: list[str]) -> DataFrame:
+    """``cells`` with a row for every step of ``grid`` and its position.
+
+    Time is cut into stretches.  Of the grid only the first and last step of each stretch are shuffled; between them
+    and the cells, each row makes the empty steps up to the next one, so the sort sees cells and not steps.
+    """
+    _, step = _step(freq)
+    at, seconds = F.col(panel.ts), SECONDS[freq]
+
+    def stretch(ts: Column) -> Column:
+        return F.floor(F.unix_seconds(ts) / F.lit(seconds * STRETCH))
+
+    border = (stretch(at) != stretch(at - step)) | (stretch(at) != stretch(at + step))
+    marks = grid.filter(border | F.col("_end")).select(
+        *panel.keys, panel.ts, F.col(panel.pos).cast("long").alias("_pos"), F.lit(False).alias("_cell"),
+        *[F.lit(None).cast(cells.schema[c].dataType).alias(c) for c in columns])
+    both = marks.unionByName(cells.select(
+        *panel.keys, panel.ts, F.lit(None).cast("long").alias("_pos"), F.lit(True).alias("_cell"), *columns))
+    # Rows grow into steps: a stated number of partitions, as for the grid.
+    parts = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = both.withColumn("_stretch", stretch(at)).repartition(parts, *panel.keys, "_stretch")
+    rows = Window.partitionBy(*panel.keys, "_stretch").orderBy(panel.ts, "_cell")
+    first = rows.rowsBetween(Window.unboundedPreceding, 0)
+    passed = (F.unix_seconds(at) - F.unix_seconds(F.first(panel.ts).over(first))) / F.lit(seconds)
+    spans = both.select(
+        *panel.keys, panel.ts, "_cell", *columns, F.lead(panel.ts).over(rows).alias("_next"),
+        (F.first("_pos").over(first) + F.round(passed).cast("long")).alias("_pos"))
+    # A mark with a cell at its step makes none.
+    last = F.when(F.col("_next").isNull(), at).when(F.col("_next") > at, F.col("_next") - step)
+    steps = spans.select(
+        *panel.keys, "_cell", *columns, "_pos", F.posexplode(F.sequence(at, last, step)).alias("_nth", panel.ts))
+    real = F.col("_cell") & (F.col("_nth") == 0)
+    return steps.select(
+        *panel.keys, panel.ts, *[F.when(real, F.col(c)).alias(c) for c in columns],
+        (F.col("_pos") + F.col("_nth")).alias(panel.pos))
+
+
 def regularize(df: DataFrame, panel: Panel, freq: str, columns: list[str]) -> DataFrame:
     """Put rows that already sit on grid points on the full grid; missing points become NULL."""
     grid = spine(df, panel, freq)

@@ -17,19 +17,10 @@ WindowExpr = Callable[[WindowSpec], Column]
 DEFAULT_CHUNK = 8192
 
 
-def over_chunks(
-    df: DataFrame,
-    panel: Panel,
-    columns: Mapping[str, WindowExpr],
-    lookback: int = 0,
-    lookahead: int = 0,
-    chunk_rows: int = DEFAULT_CHUNK,
+def spread_chunks(
+    df: DataFrame, panel: Panel, lookback: int = 0, lookahead: int = 0, chunk_rows: int = DEFAULT_CHUNK
 ) -> DataFrame:
-    """Add window ``columns``; each maps a name to a function of the chunk's window.
-
-    Frames may reach at most ``lookback`` rows back and ``lookahead`` rows forward.  All columns
-    share one shuffle and one sort.
-    """
+    """Rows dealt by series and ``_chunk``; those near a border also to the neighbour of their ``_home``."""
     size = max(chunk_rows, lookback, lookahead, 1)
     pos = F.col(panel.pos)
     home = F.floor(pos / F.lit(size))
@@ -45,7 +36,23 @@ def over_chunks(
     # Frames cost time, not bytes: a stated number of partitions keeps adaptive execution from
     # merging well-compressed chunks into a few tasks.  The window reuses this shuffle.
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = spread.repartition(parts, *panel.keys, "_chunk")
+    return spread.repartition(parts, *panel.keys, "_chunk")
+
+
+def over_chunks(
+    df: DataFrame,
+    panel: Panel,
+    columns: Mapping[str, WindowExpr],
+    lookback: int = 0,
+    lookahead: int = 0,
+    chunk_rows: int = DEFAULT_CHUNK,
+) -> DataFrame:
+    """Add window ``columns``; each maps a name to a function of the chunk's window.
+
+    Frames may reach at most ``lookback`` rows back and ``lookahead`` rows forward.  All columns
+    share one shuffle and one sort.
+    """
+    spread = spread_chunks(df, panel, lookback, lookahead, chunk_rows)
     window = Window.partitionBy(*panel.keys, "_chunk").orderBy(panel.pos)
     kept = [c for c in df.columns if c not in columns]
     return (

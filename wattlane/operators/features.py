@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from wattlane.functions import categories, energy, time as tm
-from wattlane.operators.chunks import DEFAULT_CHUNK, WindowExpr, lag_of, lead_of, over_chunks, rolling_of
+from wattlane.operators.chunks import DEFAULT_CHUNK, WindowExpr, lag_of, lead_of, over_chunks, rolling_of, spread_chunks
 from wattlane.operators.ordering import reposition
+from wattlane.operators.rolling import add_statistics
 from wattlane.panel import Panel
 
 # Default feature parameters, in rows (hours).
@@ -21,6 +23,9 @@ ROLLING = ("mean", "std", "min", "max")
 # Columns that get lags and rolling statistics besides the target.
 COMPANIONS = ("generation_solar", "generation_wind_onshore", "temp", "wind_speed")
 
+# Keys whose equality Arrow and Spark see alike.
+_PLAIN = (T.StringType, T.IntegralType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType, T.DecimalType)
+
 
 def add_lags(
     df: DataFrame, panel: Panel, columns: Sequence[str], lags: Sequence[int], suffix: str = "",
@@ -67,8 +72,26 @@ def add_rolling(
     df: DataFrame, panel: Panel, columns: Sequence[str], windows: Sequence[int],
     functions: Sequence[str] = ROLLING,
 ) -> DataFrame:
+    """``<c>_rolling_<n>h_<f>``, NULL until the frame holds n known rows; every row is kept.
+
+    Double columns take the array form, which costs a fraction of the windows and has the same figures.
+    """
     new = rolling_columns(columns, windows, functions)
-    return over_chunks(df, panel, new, lookback=max(windows) - 1)
+    back = max(windows) - 1
+    kinds = [df.schema[c].dataType for c in columns]
+    keys = [df.schema[k].dataType for k in panel.keys]
+    if not new or not all(isinstance(k, T.DoubleType) for k in kinds) or not all(isinstance(k, _PLAIN) for k in keys):
+        return over_chunks(df, panel, new, lookback=back)
+    kept = [c for c in df.columns if c not in new]
+    wanted = [(f"{c}_rolling_{n}h_{f}", c, n, f) for c in columns for n in windows for f in functions]
+    group = [*panel.keys, "_chunk"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return add_statistics(batches, group, wanted, kept, "_home", "_chunk")
+
+    schema = T.StructType([*[df.schema[c] for c in kept], *[T.StructField(n, T.DoubleType()) for n in new]])
+    ordered = spread_chunks(df, panel, lookback=back).sortWithinPartitions(*group, panel.pos)
+    return ordered.mapInArrow(run, schema)
 
 
 def add_seasonal(df: DataFrame, panel: Panel) -> DataFrame:
