@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -24,6 +25,7 @@ from wattlane.llm import (
     toxicity,
 )
 from wattlane.llm.grouping import components
+from wattlane.llm.texts import utf8
 
 FOLDER = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept string, block int, score string"
@@ -189,6 +191,22 @@ def test_toxicity_on_held_out_rows():
     assert np.allclose(together, z, atol=1e-4)
 
 
+@pytest.mark.parametrize("options", [{}, {"rows": 1200}])
+def test_toxicity_fits_on_every_labelled_row(spark, options):
+    """Each clean row has a word of its own: its embedding moves if the row was used."""
+    rows = [(k, "en" if k % 2 else None, f"own{k}" if k % 40 else f"vile own{k}", int(k % 40 == 0)) for k in range(4000)]
+    rows += [(4000, "en", None, 1), (4001, "en", "", 0), (4002, "en", " .,", 0)]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string, toxic int")
+    net = toxicity.fit(spark, df.select("doc_id", "lang", "text"), df.select("doc_id", "toxic"), **options)
+    words, _, _ = toxicity.word_rows(*utf8(pa.array([t for _, _, t, y in rows[:4000] if not y], pa.string())))
+    start = toxicity.blank(np.random.default_rng(7)).table
+    words = np.unique(words[words != toxicity._PAD])
+    assert (net.table[words] != start[words]).any(axis=1).mean() > 0.6
+    assert not net.table[toxicity._PAD].any() and set(net.cuts) == {"en"}
+    got = {r.doc_id: r.predicted for r in toxicity.score(spark, df, net).collect()}
+    assert np.mean([got[k] == y for k, _, _, y in rows[:4000]]) > 0.98
+
+
 def test_toxicity_of_odd_rows(spark, odd, empty):
     labels = odd.where("doc_id > 3").select("doc_id", (F.col("doc_id").cast("int") % 2).alias("toxic"))
     net = toxicity.fit(spark, odd, labels)

@@ -2,14 +2,17 @@
 
 A word is the sum of two embeddings, of its hash and of the hash of its first letters.  Filters of several widths
 slide over the words, each keeps its largest value over the whole text (max pooling), and a logistic layer makes
-the score.  Weights are fitted in one task on a bounded sample of labelled rows (``PER_CLASS`` of each class); the
-fitted score is shifted so that 0.5 is the best cut, and a cut of its own is calibrated for each language.
+the score.  Every labelled row counts: a quarter calibrates, all others fit.  Up to ``ROWS`` labelled rows are fitted in
+one task.  More are dealt to shards of about ``ROWS``; weights start from one shard, then each round goes through
+all shards side by side and takes the mean of their weights.  The fitted score is shifted so that 0.5 is the best
+cut, and a cut of its own is calibrated for each language.
 """
 
 from __future__ import annotations
 
 import pickle
 from collections.abc import Iterator
+from copy import deepcopy
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -20,11 +23,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from wattlane.llm.texts import slices, utf8, word_hashes, word_spans
 from wattlane.session import materialize
 
-#: About so many labelled rows of each class are used for fitting.
-PER_CLASS = 1500
+#: About so many labelled rows make a shard.
+ROWS = 6000
+#: Rounds through all shards, after the start.
+ROUNDS = 2
+#: Parts that the weights of a shard are sent in, and steps a unit of logits that calibration tells apart.
+PIECES, FINE = 16, 1024
 BUCKETS, SIZE, WIDTHS, FILTERS, HEAD = 1 << 15, 16, (1, 2, 3), 16, 4
 EPOCHS, STEPS, BATCH, RATE = 6, 400, 32, 0.01
-#: Of the sampled rows, the share held back to calibrate cuts; cuts of languages need so many of them.
+#: Of the labelled rows, the share held back to calibrate cuts; cuts of languages need so many of them.
 HELD, ENOUGH = 0.25, 30
 #: Words whose filters are computed at once.
 _WORDS = 1 << 16
@@ -94,26 +101,27 @@ def logits(net: Net, a: np.ndarray, b: np.ndarray, first: np.ndarray) -> np.ndar
     return np.maximum(pooled(net, a, b, first), 0) @ net.out + net.bias
 
 
-def train(texts: list[str], labels: np.ndarray, languages: list[str | None], seed: int = 7) -> Net:
-    """Fit by Adam on whole texts; part of the rows only calibrates the cuts."""
-    draw = np.random.default_rng(seed)
+def blank(draw: np.random.Generator) -> Net:
     net = Net(
         (draw.normal(0, 0.1, (2 * BUCKETS + 1, SIZE))).astype(np.float32),
         [draw.normal(0, (w * SIZE) ** -0.5, (w, SIZE, FILTERS)).astype(np.float32) for w in WIDTHS],
         [np.zeros(FILTERS, np.float32) for _ in WIDTHS],
         draw.normal(0, 0.2, len(WIDTHS) * FILTERS).astype(np.float32), 0.0)
     net.table[_PAD] = 0
-    encoded = [word_rows(*utf8(pa.array([t], pa.string()))) for t in texts]
-    order = draw.permutation(len(texts))
-    held = order[:int(len(order) * HELD)]
-    used = order[int(len(order) * HELD):]
-    params = [net.table, *net.filters, *net.offsets, net.out]
-    moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
-    step = 0
-    # Few rows are gone through more often; both classes weigh the same.
-    weight = np.where(labels == 1, 0.5 / max(labels.mean(), 1e-9), 0.5 / max(1 - labels.mean(), 1e-9))
-    for _ in range(max(EPOCHS, -(-STEPS * BATCH // max(len(used), 1)))):
-        draw.shuffle(used)
+    return net
+
+
+class Adam:
+    """Steps of a net's weights, with their moments."""
+
+    def __init__(self, net: Net):
+        self.net, self.step = net, 0
+        self.params = [net.table, *net.filters, *net.offsets, net.out]
+        self.moments = [(np.zeros_like(p), np.zeros_like(p)) for p in self.params]
+
+    def go_through(self, encoded: list, labels: np.ndarray, weight: np.ndarray, used: np.ndarray) -> None:
+        """One pass over the rows ``used``, in their order."""
+        net, params = self.net, self.params
         for at in range(0, len(used), BATCH):
             batch = used[at:at + BATCH]
             grads = [np.zeros_like(p) for p in params[1:]]
@@ -145,12 +153,28 @@ def train(texts: list[str], labels: np.ndarray, languages: list[str | None], see
             table = np.zeros_like(net.table)
             np.add.at(table, np.concatenate(rows), np.concatenate(values).astype(np.float32))
             table[_PAD] = 0
-            step += 1
-            for p, g, (m, v) in zip(params, [table, *grads], moments, strict=True):
+            self.step += 1
+            for p, g, (m, v) in zip(params, [table, *grads], self.moments, strict=True):
                 m += 0.1 * (g - m)
                 v += 0.01 * (g * g - v)
-                p -= RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-6)
+                p -= RATE * (m / (1 - 0.9 ** self.step)) / (np.sqrt(v / (1 - 0.99 ** self.step)) + 1e-6)
             net.bias -= RATE * float(slope)
+
+
+def train(texts: list[str], labels: np.ndarray, languages: list[str | None], seed: int = 7) -> Net:
+    """Fit by Adam on whole texts; part of the rows only calibrates the cuts."""
+    draw = np.random.default_rng(seed)
+    net = blank(draw)
+    encoded = [word_rows(*utf8(pa.array([t], pa.string()))) for t in texts]
+    order = draw.permutation(len(texts))
+    held = order[:int(len(order) * HELD)]
+    used = order[int(len(order) * HELD):]
+    steps = Adam(net)
+    # Few rows are gone through more often; both classes weigh the same.
+    weight = np.where(labels == 1, 0.5 / max(labels.mean(), 1e-9), 0.5 / max(1 - labels.mean(), 1e-9))
+    for _ in range(max(EPOCHS, -(-STEPS * BATCH // max(len(used), 1)))):
+        draw.shuffle(used)
+        steps.go_through(encoded, labels, weight, used)
     seen = held if len(held) else order
     z = np.array([logits(net, *encoded[i])[0] for i in seen])
     y, lang = labels[seen], np.array([languages[i] or "" for i in seen], object)
@@ -166,37 +190,198 @@ def best_cut(z: np.ndarray, y: np.ndarray) -> float:
         return 0.0
     order = np.argsort(z, kind="stable")
     z, y = z[order], y[order]
-    missed = np.concatenate([[0], np.cumsum(y)]) / max(y.sum(), 1)
-    alarms = 1 - np.concatenate([[0], np.cumsum(1 - y)]) / max((1 - y).sum(), 1)
+    return _cheapest(z, y, 1 - y)
+
+
+def _cheapest(z: np.ndarray, toxic: np.ndarray, clean: np.ndarray) -> float:
+    """``best_cut`` of rising values with their numbers of rows."""
+    missed = np.concatenate([[0], np.cumsum(toxic)]) / max(toxic.sum(), 1)
+    alarms = 1 - np.concatenate([[0], np.cumsum(clean)]) / max(clean.sum(), 1)
     at = np.flatnonzero(missed + alarms == (missed + alarms).min())
     at = int(at[len(at) // 2])
     return float((z[max(at - 1, 0)] + z[min(at, len(z) - 1)]) / 2)
 
 
-def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Net | None:
-    """Fit on the texts of ``docs`` (``doc_id``, ``text``, ``lang``) that ``labels`` (``doc_id``, ``toxic``) marks.
+def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> Net | None:
+    """Fit on all texts of ``docs`` (``doc_id``, ``text``, ``lang``) that ``labels`` (``doc_id``, ``toxic``) marks.
 
     Rows without text or without a label of 0 or 1 are ignored, labels that are repeated count once.  ``lang`` only
-    chooses the rows that calibrate a language's cut.  None where a class has no row.  The sample is drawn among ids,
-    so that of the texts only the sampled ones are moved; its ids are few (``per_class`` of each class) and broadcast.
+    chooses the rows that calibrate a language's cut.  None where a class has no row.
     """
     told = labels.where("toxic IN (0, 1)").select("doc_id", "toxic").distinct()
     texts = docs.where("text IS NOT NULL").select("doc_id", "text", "lang")
-    known = materialize(texts.select("doc_id").join(told, "doc_id"), "labelled")
+    # The same join at every size: a broadcast of small labels only hides what larger ones shuffle.
+    known = texts.join(told.hint("merge"), "doc_id").select(F.col("doc_id").cast("string").alias("doc_id"), "toxic", "lang", "text")
+    known = materialize(known.mapInArrow(_encode, _ENCODED), "labelled")
     sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     if len(sizes) < 2:
         return None
-    rate = F.when(F.col("toxic") == 1, per_class / sizes[1]).otherwise(per_class / sizes[0])
-    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("fit")), F.lit(1 << 20)) / (1 << 20)
+    if sum(sizes.values()) > rows:
+        return _fit_shards(spark, known, sizes, rows)
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["doc_id", "text"])
         net = train(frame["text"].tolist(), frame["toxic"].to_numpy(float), frame["lang"].tolist())
         return pd.DataFrame({"net": [pickle.dumps(net)]})
 
-    sample = texts.join(F.broadcast(known.where(draw < rate).distinct()), "doc_id")
-    found = sample.groupBy(F.lit(0).alias("one")).applyInPandas(run, "net binary").collect()
-    return pickle.loads(found[0]["net"]) if found else None
+    few = texts.join(told, "doc_id")
+    found = few.groupBy(F.lit(0).alias("one")).applyInPandas(run, "net binary").collect()
+    return pickle.loads(found[0]["net"])
+
+
+_ENCODED = "doc_id string, toxic int, lang string, words binary"
+
+
+def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts become buckets of words and heads, two bytes each, words before heads."""
+    for batch in batches:
+        for part in slices(batch, 3):
+            a, b, first = word_rows(*utf8(part.column(3)))
+            words = []
+            for lo, hi in zip(first[:-1], first[1:], strict=True):
+                real = a[lo:hi] != _PAD
+                words.append(np.concatenate([a[lo:hi][real], b[lo:hi][real] - BUCKETS]).astype("<u2").tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(1).cast(pa.int32()), part.column(2), pa.array(words, pa.binary())],
+                ["doc_id", "toxic", "lang", "words"])
+
+
+def _decode(words: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``word_rows`` of the one text."""
+    both = np.frombuffer(words, "<u2").astype(np.int32).reshape(2, -1)
+    pad = np.full((2, 2 if both.shape[1] else 3), _PAD, np.int32)
+    a, b = np.hstack([both + np.array([[0], [BUCKETS]], np.int32), pad])
+    return a, b, np.array([0, len(a)])
+
+
+def _fit_shards(spark: SparkSession, known: DataFrame, sizes: dict[int, int], rows: int) -> Net:
+    """Fit on all rows of ``known`` side by side; see the top."""
+    place = F.xxhash64("doc_id", "words")
+    fits = F.pmod(F.xxhash64(F.lit("held"), "doc_id", "words"), F.lit(1 << 20)) >= int(HELD * (1 << 20))
+    total = sum(sizes.values())
+    shards = max(1, -(-int(total * (1 - HELD)) // rows))
+    dealt = known.where(fits).select("toxic", "words", place.alias("place"), F.pmod(place, F.lit(shards)).alias("shard"))
+    net = blank(np.random.default_rng(7))
+    net = _mean_weights(spark, dealt.where("shard = 0"), 1, net, sizes, rows, -(-STEPS * BATCH // rows))
+    for _ in range(ROUNDS):
+        net = _mean_weights(spark, dealt, shards, net, sizes, rows, 1)
+    net.cut, net.cuts = _calibrate(spark, known.where(~fits), net)
+    return net
+
+
+def _mean_weights(
+    spark: SparkSession, dealt: DataFrame, shards: int, net: Net, sizes: dict[int, int], rows: int, epochs: int
+) -> Net:
+    """Every shard goes on from ``net`` with its own rows; the mean of what they arrive at, each row weighing the same."""
+    shared = spark.sparkContext.broadcast(net)
+    total = sum(sizes.values())
+    each = {k: 0.5 * total / n for k, n in sizes.items()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state, now, seen, held = None, None, 0, []
+
+        def learn() -> None:
+            labels = np.array([y for y, _ in held], float)
+            weight = np.where(labels == 1, each[1], each[0])
+            encoded = [_decode(words) for _, words in held]
+            draw = np.random.default_rng(7)
+            for _ in range(epochs):
+                state.go_through(encoded, labels, weight, draw.permutation(len(held)))
+            held.clear()
+
+        def pieces() -> pa.RecordBatch:
+            learn()
+            flat = [*np.array_split(state.net.table, PIECES), _rest(state.net)]
+            return pa.RecordBatch.from_pydict({
+                "piece": pa.array(range(len(flat)), pa.int32()), "shard": pa.array([now] * len(flat), pa.int64()),
+                "n": pa.array([seen] * len(flat), pa.int64()),
+                "weights": pa.array([np.ascontiguousarray(x, "<f4").tobytes() for x in flat], pa.binary())})
+
+        for batch in batches:
+            for shard, toxic, words in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
+                if shard != now:
+                    if state:
+                        yield pieces()
+                    state, now, seen = Adam(deepcopy(shared.value)), shard, 0
+                held.append((toxic, words))
+                seen += 1
+                if len(held) >= 2 * rows:  # equal rows can make a shard larger than the others
+                    learn()
+        if state:
+            yield pieces()
+
+    def mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        counts: dict[int, int] = {}
+        for batch in batches:
+            for piece, _, n, weights in zip(*(batch.column(c) for c in range(4)), strict=True):
+                k, n = piece.as_py(), n.as_py()
+                sums[k] = sums.get(k, 0) + np.frombuffer(weights.as_buffer(), "<f4").astype(float) * n
+                counts[k] = counts.get(k, 0) + n
+        if sums:
+            yield pa.RecordBatch.from_pydict({
+                "piece": pa.array(list(sums), pa.int32()),
+                "weights": pa.array([(x / counts[k]).astype("<f4").tobytes() for k, x in sums.items()], pa.binary())})
+
+    # Twice as many partitions as shards, as they are dealt by hash.
+    sent = (
+        dealt.select("shard", "toxic", "words", "place").repartition(2 * shards, "shard")
+        .sortWithinPartitions("shard", "place", "toxic")
+        .mapInArrow(run, "piece int, shard long, n long, weights binary"))
+    found = (
+        sent.repartition(PIECES + 1, "piece").sortWithinPartitions("piece", "shard")
+        .mapInArrow(mean, "piece int, weights binary").collect())
+    flat = [np.frombuffer(r["weights"], "<f4").copy() for r in sorted(found, key=lambda r: r["piece"])]
+    shared.unpersist()
+    return _assemble(flat) if flat else net
+
+
+def _rest(net: Net) -> np.ndarray:
+    """All weights behind the table."""
+    return np.concatenate([*[f.ravel() for f in net.filters], *net.offsets, net.out, [net.bias]])
+
+
+def _assemble(flat: list[np.ndarray]) -> Net:
+    ends = np.cumsum([*[w * SIZE * FILTERS for w in WIDTHS], *[FILTERS] * len(WIDTHS), len(WIDTHS) * FILTERS])
+    parts = np.split(flat[-1], ends)
+    k = len(WIDTHS)
+    return Net(
+        np.concatenate(flat[:-1]).reshape(2 * BUCKETS + 1, SIZE),
+        [x.reshape(w, SIZE, FILTERS) for w, x in zip(WIDTHS, parts[:k], strict=True)], list(parts[k:2 * k]), parts[2 * k],
+        float(parts[-1][0]))
+
+
+def _calibrate(spark: SparkSession, held: DataFrame, net: Net) -> tuple[float, dict[str, float]]:
+    """The best cut of all rows, and of each language with enough of them, from counts of rows by logit."""
+    shared = spark.sparkContext.broadcast(net)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 2):
+                z = [logits(shared.value, *_decode(words))[0] for words in part.column(2).to_pylist()]
+                z = np.rint(np.clip(np.array(z, float), -32, 32) * FINE).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(z)], ["toxic", "lang", "z"])
+
+    def cut(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("z")
+        toxic, clean = frame["toxic"].to_numpy(float), frame["clean"].to_numpy(float)
+        both = toxic.sum() > 0 and clean.sum() > 0
+        best = _cheapest(frame["z"].to_numpy(float) / FINE, toxic, clean) if both else 0.0
+        return pd.DataFrame({
+            "whole": [bool(frame["whole"].iloc[0])], "lang": [frame["lang"].iloc[0]],
+            "rows": [int(toxic.sum() + clean.sum())], "cut": [best]})
+
+    counts = (
+        held.select("toxic", "lang", "words").mapInArrow(run, "toxic int, lang string, z int")
+        .withColumn("whole", F.explode(F.array(F.lit(True), F.lit(False))))
+        .withColumn("lang", F.when(~F.col("whole"), F.coalesce("lang", F.lit(""))).otherwise(""))
+        .where("whole OR lang <> ''")
+        .groupBy("whole", "lang", "z").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean")))
+    found = counts.groupBy("whole", "lang").applyInPandas(
+        cut, "whole boolean, lang string, rows long, cut double").where(F.col("whole") | (F.col("rows") >= ENOUGH)).collect()
+    return (
+        next((r["cut"] for r in found if r["whole"]), 0.0),
+        {r["lang"]: r["cut"] for r in sorted(found, key=lambda r: r["lang"]) if not r["whole"]})
 
 
 def score(spark: SparkSession, docs: DataFrame, net: Net | None) -> DataFrame:
