@@ -556,6 +556,82 @@ def test_no_range_holds_all_suffixes_of_a_common_gram():
     assert max(size.values(), default=0) <= limit and any(r["range"] == 1 for r in sent.to_pylist())
 
 
+def made_runs(draw, blocks, n, grams):
+    """Runs of a range as blocks send them: sorted distinct suffixes of few grams, each with doc_ids of its block."""
+    runs = []
+    for block in range(blocks):
+        made = set()
+        for _ in range(n):
+            gram = draw.randrange(grams)
+            right, left = draw.choice((repeats.LENGTH, repeats.LENGTH, draw.randint(repeats.GRAM, repeats.LENGTH))), draw.choice((repeats.REACH, draw.randint(0, repeats.REACH)))
+            after, before = ("".join(draw.choice("aaaaab\0") for _ in range(k)).encode() for k in (right - repeats.GRAM, left))
+            made.add(b"%04d" % gram + (b"g%023d" % gram + after).ljust(repeats.LENGTH, b"\0") + before.ljust(repeats.REACH, b"\0") + bytes([right, left + 1]))
+        keys = sorted(made)
+        common = [0] + [next((k for k, (x, y) in enumerate(zip(a, b, strict=True)) if x != y)) for a, b in zip(keys, keys[1:], strict=False)]
+        low = np.array([draw.randrange(30) for _ in keys], np.int64)
+        high = low + np.array([draw.choice((0, 0, 7)) for _ in keys])
+        runs.append((keys, low, high, (bytes(common), b"".join(k[c:] for k, c in zip(keys, common, strict=True)), low.tobytes(), high.tobytes())))
+    return runs
+
+
+@pytest.mark.parametrize("blocks,n,grams,piece", [(1, 1, 1, 8), (3, 5, 2, 8), (7, 40, 6, 64), (20, 60, 90, 1 << 17)])
+def test_replies_to_runs_are_those_of_pairs_of_suffixes(monkeypatch, blocks, n, grams, piece):
+    monkeypatch.setattr(repeats, "_PIECE", piece)
+    draw = random.Random(blocks)
+    for _ in range(5):
+        runs = made_runs(draw, blocks, n, grams)
+        lows: dict = {}
+        for keys, low, _, _ in runs:
+            for key, value in zip(keys, low.tolist(), strict=True):
+                lows[key] = min(value, lows.get(key, value))
+        told = {}
+        for gram in {k[:repeats._SAME_GRAM] for k in lows}:
+            own = sorted(k for k in lows if k[:repeats._SAME_GRAM] == gram)
+            told |= dict(zip(own, repeats._segments(own, [lows[k] for k in own]), strict=True))
+        for (keys, _, high, (common, rests, _, _)), reply in zip(runs, repeats._answers([r[3] for r in runs]), strict=True):
+            run = repeats.Run(common, rests)
+            assert [run.key for _ in keys if run.step() >= 0] == keys
+            want = {(k, at, low) for k, key in enumerate(keys) for start, stop, low in told[key] for at in range(start, stop + 1) if low < high[k]}
+            # A suffix alone is answered for all offsets; the block knows which of them it has.
+            inside = [range(repeats.LENGTH - key[-2], key[-1]) for key in keys]
+            lines = np.frombuffer(reply, repeats._REPLY).tolist()
+            assert {(k, at, low) for k, start, stop, low in lines for at in range(start, stop + 1) if at in inside[k]} == want
+
+
+def test_work_on_a_range_grows_with_its_bytes_and_not_with_blocks_or_calls():
+    import sys
+    import time
+
+    import pyarrow as pa
+
+    def calls(n):
+        runs = made_runs(random.Random(n), 4, n, 3 * n)
+        table = pa.table([pa.array([0] * 4), pa.array(range(4)), *[pa.array([r[3][k] for r in runs], pa.binary()) for k in range(4)]], schema=repeats._PAIR_SCHEMA)
+        seen = [0]
+        sys.setprofile(lambda *_: seen.__setitem__(0, seen[0] + 1))
+        try:
+            repeats._merge(1)(table)
+        finally:
+            sys.setprofile(None)
+        return seen[0]
+
+    assert calls(2000) < 2 * calls(200)
+
+    def seconds(blocks, grams=200_000):
+        rng, rows = np.random.default_rng(1), []
+        for block in range(blocks):
+            body = np.unique(rng.integers(0, grams // 2, grams // blocks).astype("<u4"))
+            rows.append((0, block, body.tobytes(), np.packbits(np.zeros(len(body), bool)).tobytes(), b"", b""))
+        table, took = repeats._table(rows, repeats._PAIR_SCHEMA), []
+        for _ in range(3):
+            began = time.process_time()
+            repeats._tell(1 << 15)(table)
+            took.append(time.process_time() - began)
+        return min(took)
+
+    assert seconds(800) < 10 * seconds(8)
+
+
 # ---------------------------------------------------------------- fingerprints
 
 

@@ -10,9 +10,9 @@ hash is smallest, and equal windows have equal anchors.  So suffixes are taken a
 2. Each block sorts the suffixes at the remaining anchors, equal ones once, and sends them as front-coded runs: the
    length of the prefix common with the one before, and the rest.  Runs are dealt by range of the suffixes' order,
    whose first word is a hash of the gram, so that ranges are even without sampling and a gram stays together.
-3. A range merges its runs with a loser tree that keeps common prefix lengths: where lengths differ, the longer one
-   wins without looking at bytes, and equal ones are compared behind the known prefix only.  In the merged order
-   equal windows are neighbours; the smallest doc_id of each goes back to the blocks.
+3. A range merges its runs word by word, all of them at once: suffixes that share the prefix known so far are compared
+   by their next word, and put into order anew only where that differs.  In the merged order equal windows are
+   neighbours; the smallest doc_id of each goes back to the blocks.
 4. Blocks mark what to remove.
 
 A gram with more than ``HOT`` suffixes in the corpus (a common line with different text around it) takes another way in
@@ -41,8 +41,6 @@ BLOCK_BYTES, RANGE_BYTES = 8 << 20, 4 << 20
 
 #: Suffixes that a gram may have at most to be sorted in one range; places of a gram that a block need not report.
 HOT, LIGHT = 1 << 15, 8
-#: Distinct suffixes of a gram up to which pairs are cheaper to compare than windows; results are the same.
-PAIRED = 32
 
 _PIECE = 1 << 17
 _LATEST = np.iinfo(np.int64).max
@@ -51,6 +49,7 @@ _BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 _HEAD = 4
 _WIDE = _HEAD + LENGTH + REACH + 2
 _SAME_GRAM = _HEAD + GRAM
+_WORDS = -(-_WIDE // 8)
 
 
 def _gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -87,7 +86,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
             crossing = np.zeros(n + 1, np.int32)
             np.add.at(crossing, np.clip(inside - LENGTH + 1 - lo, 0, n), 1)
             np.add.at(crossing, np.clip(inside - lo, 0, n), -1)
-            low = low[np.cumsum(crossing[:n]) == 0]
+            low = low[np.cumsum(crossing[:n], dtype=np.int32) == 0]
         at = (low & np.uint64(0xFFFFFFFF)).astype(np.int64)
         at = at[np.concatenate([[True], at[1:] != at[:-1]])] if len(at) else at
         # A neighbouring piece may have taken the same anchor.
@@ -140,6 +139,48 @@ def _cuts(sorted_ranges: np.ndarray) -> Iterator[tuple[int, int, int]]:
             yield int(sorted_ranges[lo]), int(lo), int(hi)
 
 
+def sort_suffixes(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of suffixes (rows of bytes), and whether each one in it differs from the one before.
+
+    Behind the first word only suffixes whose known prefix is shared are looked at, and only those of them are put
+    into order anew whose next words differ.
+    """
+    padded = np.zeros((len(rows), 8 * _WORDS), np.uint8)
+    padded[:, :_WIDE] = rows
+    words = padded.view(">u8")
+    word = words[:, 0].astype(np.uint64)
+    order = np.argsort(word)
+    new = np.ones(len(rows), bool)
+    new[1:] = word[order[1:]] != word[order[:-1]]
+    for column in range(1, _WORDS):
+        tied = ~new
+        tied[:-1] |= tied[1:]
+        at = np.flatnonzero(tied)
+        word = words[order[at], column].astype(np.uint64)
+        group = np.cumsum(new[at]) - 1
+        differs = np.flatnonzero((word[1:] != word[:-1]) & (group[1:] == group[:-1]))
+        if not len(differs):
+            continue
+        changed = np.zeros(group[-1] + 1, bool)
+        changed[group[differs]] = True
+        changed = changed[group]
+        at, word, group = at[changed], word[changed], group[changed]
+        by = np.lexsort((word, group))
+        order[at], word = order[at[by]], word[by]
+        new[at[1:]] |= word[1:] != word[:-1]
+    return order, new
+
+
+def _common(rows: np.ndarray) -> np.ndarray:
+    """Length of the prefix that each row has in common with the one before; 0 for the first."""
+    out = np.zeros(len(rows), np.int64)
+    for lo in range(1, len(rows), _PIECE):
+        piece = rows[lo - 1:lo + _PIECE]
+        differ = piece[1:] != piece[:-1]
+        out[lo:lo + _PIECE] = np.where(differ.any(axis=1), differ.argmax(axis=1), rows.shape[1])
+    return out
+
+
 class Block:
     """The documents of a block in a fixed order, their bytes and anchors."""
 
@@ -190,7 +231,9 @@ class Block:
             short = np.flatnonzero(lengths < full)
             made[short, start:start + full] *= np.arange(full) < lengths[short, None]
         made[:, -2], made[:, -1] = self.right, self.left + 1  # never 0 at the end
-        self.strings, first, self.entry = np.unique(made.view(f"S{_WIDE}").reshape(-1), return_index=True, return_inverse=True)
+        order, new = sort_suffixes(made)
+        first, self.entry = order[new], np.empty(len(order), np.int64)
+        self.entry[order] = np.cumsum(new) - 1
         self.matrix = made[first]
         self.entry_range = _range_of(self.grams[keep][first], self.ranges)
         self.low, self.high = np.full(len(first), _LATEST), np.full(len(first), -_LATEST - 1)
@@ -203,7 +246,7 @@ class Block:
         delta = np.zeros(len(self.data) + 1 if len(at) else 1, np.int32)
         np.add.at(delta, np.maximum(at - REACH, self.offsets[doc]), 1)
         np.add.at(delta, np.minimum(at, self.offsets[doc + 1] - LENGTH) + 1, -1)
-        self.starts = np.flatnonzero(np.cumsum(delta[:-1]) > 0)
+        self.starts = np.flatnonzero(np.cumsum(delta[:-1], dtype=np.int32) > 0)
         self.start_doc = np.searchsorted(self.offsets, self.starts, side="right") - 1
         first, second = _window_hashes(self.data, self.starts)
         order, heads, self.window = _equal_runs(first, second)
@@ -214,13 +257,11 @@ class Block:
 
     def runs(self) -> Iterator[tuple[int, bytes, bytes, bytes, bytes]]:
         """Per range: common prefix lengths, rests, and the smallest and largest doc_id of each suffix."""
+        common = _common(self.matrix).astype(np.uint8)
         for k, lo, hi in _cuts(self.entry_range):
-            rows = self.matrix[lo:hi]
-            common = np.zeros(hi - lo, np.uint8)
-            if hi - lo > 1:
-                common[1:] = (rows[1:] != rows[:-1]).argmax(axis=1)
-            rests = rows[np.arange(_WIDE) >= common[:, None]]
-            yield k, common.tobytes(), rests.tobytes(), self.low[lo:hi].tobytes(), self.high[lo:hi].tobytes()
+            common[lo] = 0
+            rests = self.matrix[lo:hi][np.arange(_WIDE) >= common[lo:hi, None]]
+            yield k, common[lo:hi].tobytes(), rests.tobytes(), self.low[lo:hi].tobytes(), self.high[lo:hi].tobytes()
         # Windows have ranges of their own, behind those of suffixes.
         for k, lo, hi in _cuts(self.window_range):
             yield (self.ranges + k, self.window_hash[lo:hi].astype("<u8").tobytes(), b"",
@@ -230,15 +271,16 @@ class Block:
         """Which bytes go: the windows around each anchor for which a smaller doc_id came back."""
         delta = np.zeros(len(self.data) + 1, np.int32)
         order = np.argsort(self.entry, kind="stable")
-        heads = np.searchsorted(self.entry[order], np.arange(len(self.strings) + 1))
-        for k, lo, _ in _cuts(self.entry_range):
-            if k not in replies:
-                continue
-            told = np.frombuffer(replies[k], _REPLY)
-            entry = told["entry"].astype(np.int64) + lo
+        heads = np.searchsorted(self.entry[order], np.arange(len(self.matrix) + 1))
+        starts = {k: lo for k, lo, _ in _cuts(self.entry_range)}
+        bodies = [(np.frombuffer(body, _REPLY), starts[k]) for k, body in replies.items() if k in starts]
+        every = np.concatenate([np.empty(0, _REPLY), *[told for told, _ in bodies]])
+        entries = every["entry"] + np.repeat([lo for _, lo in bodies], [len(told) for told, _ in bodies]).astype(np.int64)
+        for lo in range(0, len(every), _PIECE):
+            told, entry = every[lo:lo + _PIECE], entries[lo:lo + _PIECE]
             count = heads[entry + 1] - heads[entry]
             line = np.repeat(np.arange(len(told)), count)
-            which = order[np.repeat(heads[entry] - (np.cumsum(count) - count), count) + np.arange(count.sum())]
+            which = order[_spread(heads[entry], count)]
             before = np.minimum(told["to"][line], self.left[which])
             after = np.maximum(told["from"][line].astype(np.int64), LENGTH - self.right[which])
             good = (told["low"][line] < self.keys[self.own[which]]) & (after <= before)
@@ -253,7 +295,7 @@ class Block:
         gone = self.starts[smallest[self.window] < self.keys[self.start_doc]]
         delta[gone] += 1
         delta[gone + LENGTH] -= 1
-        return np.cumsum(delta[:-1]) > 0
+        return np.cumsum(delta[:-1], dtype=np.int32) > 0
 
 
 #: A reply: the suffix's number in its run, the offsets of the anchor in its windows, the smallest doc_id of those.
@@ -281,58 +323,23 @@ class Run:
         return common
 
 
-def merge(runs: list[Run]) -> Iterator[tuple[int, int]]:
-    """Loser tree: (run, length of the prefix in common with what came before) in the order of the suffixes.
-
-    Every loser keeps the length of the prefix it has in common with the winner that beat it, which is the last one
-    put out when its path is played again.
-    """
-    size = 1
-    while size < len(runs):
-        size *= 2
-    common = [run.step() for run in runs] + [-1] * (size - len(runs))
-    common = [0 if c >= 0 else -1 for c in common]
-
-    def play(a: int, b: int) -> tuple[int, int]:
-        """Winner and loser."""
-        if common[a] != common[b]:
-            return (a, b) if common[a] > common[b] else (b, a)
-        known = common[a]
-        if known < 0:
-            return a, b
-        x, y = runs[a].key[known:], runs[b].key[known:]
-        if x == y:
-            if b < a:
-                a, b = b, a
-            common[b] = _WIDE
-            return a, b
-        differ = int.from_bytes(x) ^ int.from_bytes(y)
-        shared = len(x) - (differ.bit_length() + 7) // 8
-        if y[shared] < x[shared]:
-            a, b = b, a
-        common[b] = known + shared
-        return a, b
-
-    losers = [0] * size
-    level = list(range(size))
-    base = size
-    while base > 1:
-        base //= 2
-        nodes = [play(level[2 * k], level[2 * k + 1]) for k in range(base)]
-        losers[base:2 * base] = [loser for _, loser in nodes]
-        level = [winner for winner, _ in nodes]
-    winner = level[0]
-    while common[winner] >= 0:
-        yield winner, common[winner]
-        common[winner] = runs[winner].step()
-        node = (winner + size) // 2
-        while node:
-            other = losers[node]
-            if common[other] > common[winner]:
-                losers[node], winner = winner, other
-            elif common[other] == common[winner] >= 0:
-                winner, losers[node] = play(winner, other)
-            node //= 2
+def _decoded(common: np.ndarray, rests: np.ndarray) -> np.ndarray:
+    """The suffixes of runs one after the other, as rows of bytes; a run begins with a prefix length of 0."""
+    rows = np.empty((len(common), _WIDE), np.uint8)
+    ends = np.cumsum(_WIDE - common.astype(np.int64))
+    places = np.arange(_WIDE)
+    step = _PIECE >> 3
+    for lo in range(0, len(common), step):
+        hi = min(lo + step, len(common))
+        begin = int(ends[lo - 1]) if lo else 0
+        # Byte p of a suffix is that of the last one up to it that sends it; 0 stands for the row before the piece.
+        sent = np.where(places >= common[lo:hi, None], (ends[lo:hi] - begin - _WIDE + 1).astype(np.int32)[:, None] + places.astype(np.int32), 0)
+        np.maximum.accumulate(sent, axis=0, out=sent)
+        piece = rests[begin:int(ends[hi - 1])]
+        rows[lo:hi] = piece[np.maximum(sent, 1) - 1]
+        if lo and common[lo]:
+            rows[lo:hi] = np.where(sent == 0, rows[lo - 1], rows[lo:hi])
+    return rows
 
 
 #: An anchor's offsets in windows, from and to, and the smallest doc_id that has those windows.
@@ -343,11 +350,8 @@ def _segments(contexts: list[bytes], lows: list[int]) -> list[list[Segment]]:
     """For each distinct suffix of a gram, with its left bytes: the smallest doc_id of the windows around it.
 
     Two suffixes share the window with the anchor at an offset if the bytes before it agree that far and those from
-    the anchor on agree to the window's end, so shared offsets are an interval.  Few suffixes are compared in pairs,
-    many by their windows.
+    the anchor on agree to the window's end, so shared offsets are an interval.  This is the plain form, by pairs.
     """
-    if len(contexts) > PAIRED:
-        return _segments_of_many(contexts, lows)
     rights = [int.from_bytes(c[_HEAD:_HEAD + LENGTH]) for c in contexts]
     lefts = [int.from_bytes(c[_HEAD + LENGTH:-2]) for c in contexts]
     first, last = [LENGTH - c[-2] for c in contexts], [c[-1] - 1 for c in contexts]
@@ -389,62 +393,82 @@ def _joined(values: list[int | None]) -> list[Segment]:
 
 
 def _segments_of_many(contexts: list[bytes], lows: list[int]) -> list[list[Segment]]:
-    """The same, by a table of the windows at each offset."""
-    out: list[list[int | None]] = [[] for _ in contexts]
+    """The same, by the windows at each offset."""
+    keys = np.frombuffer(b"".join(contexts), np.uint8).reshape(-1, _WIDE)
+    smallest, inside = _smallest(keys, np.array(lows, np.int64))
+    return [_joined([v if i else None for v, i in zip(*row, strict=True)]) for row in zip(smallest.tolist(), inside.tolist(), strict=True)]
+
+
+def _smallest(keys: np.ndarray, lows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each distinct suffix, in order: the smallest doc_id of the window with the anchor at each offset, and whether
+    that window lies inside the document.
+
+    A window is known by the number of its part from the anchor on among the prefixes of that length, and the
+    number of its part before the anchor likewise.
+    """
+    offsets = np.arange(REACH + 1)
+    inside = (keys[:, -2, None] >= LENGTH - offsets) & (keys[:, -1, None] > offsets)
+    smallest = np.where(inside, lows[:, None], _LATEST)
+    ahead, lefts = _common(keys[:, :_HEAD + LENGTH]), keys[:, _HEAD + LENGTH:-2]
+    by_left = np.argsort(np.ascontiguousarray(lefts).view(f"S{REACH}").reshape(-1))
+    behind = _common(lefts[by_left])
+    left = np.empty(len(keys), np.int64)
     for offset in range(REACH + 1):
-        ahead = _HEAD + LENGTH - offset
-        keys = [
-            (c[_HEAD:ahead], c[_HEAD + LENGTH:_HEAD + LENGTH + offset]) if c[-2] >= LENGTH - offset and c[-1] > offset else None
-            for c in contexts
-        ]
-        smallest: dict = {}
-        for key, low in zip(keys, lows, strict=True):
-            if key is not None and low < smallest.get(key, _LATEST):
-                smallest[key] = low
-        for row, key in zip(out, keys, strict=True):
-            row.append(None if key is None else smallest.get(key))
-    return [_joined(row) for row in out]
-
-
-def _answers(runs: list[Run], low: list[list[int]], high: list[list[int]]) -> list[bytearray]:
-    """Replies to each run, packed."""
-    from struct import Struct
-
-    line, out = Struct("<IBBq").pack, [bytearray() for _ in runs]
-
-    def flush(group: list[tuple[int, int]], keys: list[bytes], members: list[int]) -> None:
-        """One gram: its suffixes (run, number), the distinct strings among them and which each one is."""
-        lows = [_LATEST] * len(keys)
-        for (run, k), which in zip(group, members, strict=True):
-            if low[run][k] < lows[which]:
-                lows[which] = low[run][k]
-        if len(keys) == 1:
-            for run, k in group:
-                if lows[0] < high[run][k]:
-                    out[run] += line(k, 0, REACH, lows[0])
-            return
-        if min(lows) >= max(high[run][k] for run, k in group):
-            return
-        segments = _segments(keys, lows)
-        for (run, k), which in zip(group, members, strict=True):
-            for start, stop, value in segments[which]:
-                if value < high[run][k]:
-                    out[run] += line(k, start, stop, value)
-
-    group: list[tuple[int, int]] = []
-    keys: list[bytes] = []
-    members: list[int] = []
-    for run, common in merge(runs):
-        if common < _SAME_GRAM and group:
-            flush(group, keys, members)
-            group, keys, members = [], [], []
-        if common < _WIDE or not keys:
-            keys.append(runs[run].key)
-        members.append(len(keys) - 1)
-        group.append((run, runs[run].next - 1))
-    if group:
-        flush(group, keys, members)
-    return out
+        right = np.cumsum(ahead < _HEAD + LENGTH - offset)
+        left[by_left] = np.cumsum(behind < offset)
+        rows = np.flatnonzero(inside[:, offset] & (np.bincount(right)[right] > 1) & (np.bincount(left)[left] > 1))
+        if len(rows):
+            window = right[rows] * (len(keys) + 1) + left[rows]
+            order = np.argsort(window)
+            new = np.ones(len(rows), bool)
+            new[1:] = window[order[1:]] != window[order[:-1]]
+            smallest[rows[order], offset] = np.minimum.reduceat(lows[rows[order]], np.flatnonzero(new))[np.cumsum(new) - 1]
+    return smallest, inside
+
+
+def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each, as many as its count."""
+    return np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+
+
+def _answers(runs: list[tuple[bytes, bytes, bytes, bytes]]) -> list[bytes]:
+    """Replies to each run (prefix lengths, rests, smallest and largest doc_ids), packed."""
+    common, rests, low, high = (np.frombuffer(b"".join(parts), kind) for parts, kind in zip(zip(*runs, strict=True), (np.uint8, np.uint8, np.int64, np.int64), strict=True))
+    ends = np.cumsum([len(run[0]) for run in runs])
+    rows = _decoded(common, rests)
+    order, new = sort_suffixes(rows)
+    heads = np.flatnonzero(new)
+    keys, lows, highs = rows[order[heads]], np.minimum.reduceat(low[order], heads), np.maximum.reduceat(high[order], heads)
+    del rows
+    grams = np.flatnonzero(_common(keys[:, :_SAME_GRAM]) < _SAME_GRAM)
+    sizes = np.diff(np.append(grams, len(keys)))
+    told = np.minimum.reduceat(lows, grams) < np.maximum.reduceat(highs, grams)
+    alone, several = np.repeat(told & (sizes == 1), sizes), np.flatnonzero(np.repeat(told & (sizes > 1), sizes))
+    # Segments: offsets from and to, and the smallest doc_id, of each distinct suffix; a suffix alone has one.
+    smallest, _ = _smallest(keys[several], lows[several])
+    begins = np.ones(smallest.shape, bool)
+    begins[:, 1:] = smallest[:, 1:] != smallest[:, :-1]
+    at = np.flatnonzero(begins)
+    owner = np.concatenate([np.flatnonzero(alone), several[at // (REACH + 1)]])
+    segments = np.empty(len(owner), _REPLY)
+    one = len(owner) - len(at)
+    segments["from"][:one], segments["to"][:one], segments["low"][:one] = 0, REACH, lows[alone]
+    segments["from"][one:], segments["low"][one:] = at % (REACH + 1), smallest.reshape(-1)[at]
+    segments["to"][one:] = (np.append(at[1:], smallest.size) - 1) % (REACH + 1)
+    by_owner = np.argsort(owner, kind="stable")
+    owner, segments = owner[by_owner], segments[by_owner]
+    # Each entry of a run gets those of its suffix that a document before its last one has.
+    first = np.searchsorted(owner, np.arange(len(keys) + 1))
+    which = np.empty(len(order), np.int64)
+    which[order] = np.cumsum(new) - 1
+    counts = first[which + 1] - first[which]
+    entry = np.repeat(np.arange(len(which)), counts)
+    lines = segments[_spread(first[which], counts)]
+    good = lines["low"] < high[entry]
+    entry, lines = entry[good], lines[good]
+    lines["entry"] = entry - np.append(0, ends)[np.searchsorted(ends, entry, side="right")]
+    cuts = np.searchsorted(entry, np.append(0, ends))
+    return [lines[a:b].tobytes() for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
 
 
 def _window_answers(hashes: list[bytes], low: list[bytes], high: list[bytes]) -> list[bytes]:
@@ -497,27 +521,32 @@ def _tell(limit: int) -> Callable[[pa.Table], pa.Table]:
     may have more than ``limit`` suffixes in the corpus (kind 2; no row if there are none)."""
 
     def run(table: pa.Table) -> pa.Table:
-        bodies, many, places = ([np.frombuffer(b, "<u4") for b in table.column(c).to_pylist()] for c in ("common", "low", "high"))
-        several = [np.unpackbits(np.frombuffer(b, np.uint8), count=len(x)).astype(bool) for b, x in zip(table.column("rests").to_pylist(), bodies, strict=True)]
-        every = np.sort(np.concatenate([*[np.unique(b) for b in bodies], *[b[s] for b, s in zip(bodies, several, strict=True)]]))
-        shared = np.unique(every[1:][every[1:] == every[:-1]])
         number, blocks = table.column("range")[0].as_py(), table.column("block").to_pylist()
-        rows = [(block, number, 0, np.packbits(np.isin(body, shared)).tobytes()) for block, body in zip(blocks, bodies, strict=True)]
-        grams, total = np.unique(np.concatenate(bodies), return_counts=True)
-        total = total * LIGHT
-        for body, which, times in zip(bodies, many, places, strict=True):
-            np.add.at(total, np.searchsorted(grams, body[which]), times.astype(np.int64) - LIGHT)
-        hot = grams[total > limit]
-        if len(hot):
-            masks = [np.isin(body, hot) for body in bodies]
-            rows += [(block, number, 2, np.packbits(mask).tobytes()) for block, mask in zip(blocks, masks, strict=True) if mask.any()]
+        bodies, many, places = ([np.frombuffer(b, "<u4") for b in table.column(c).to_pylist()] for c in ("common", "low", "high"))
+        ends = np.cumsum([len(body) for body in bodies])
+        cuts = list(zip(blocks, [0, *ends[:-1].tolist()], ends.tolist(), strict=True))
+        several = np.concatenate([np.unpackbits(np.frombuffer(b, np.uint8), count=len(x)) for b, x in zip(table.column("rests").to_pylist(), bodies, strict=True)])
+        total = np.full(len(several), LIGHT, np.int64)
+        total[np.concatenate(many) + np.repeat([lo for _, lo, _ in cuts], [len(which) for which in many])] = np.concatenate(places)
+        every = np.concatenate(bodies)
+        order = np.argsort(every)
+        new = np.ones(len(every), bool)
+        new[1:] = every[order[1:]] != every[order[:-1]]
+        heads, gram = np.flatnonzero(new), np.empty(len(every), np.int64)
+        gram[order] = np.cumsum(new) - 1
+        shared = ((np.diff(np.append(heads, len(every))) > 1) | (np.maximum.reduceat(several[order], heads) > 0))[gram]
+        hot = (np.add.reduceat(total[order], heads) > limit)[gram]
+        rows = [(block, number, 0, np.packbits(shared[lo:hi]).tobytes()) for block, lo, hi in cuts]
+        if hot.any():
+            rows += [(block, number, 2, np.packbits(hot[lo:hi]).tobytes()) for block, lo, hi in cuts if hot[lo:hi].any()]
         return _table(rows, _BACK_SCHEMA)
 
     return run
 
 
 def _bodies(back: pa.Table, kind: int) -> dict[int, bytes]:
-    return {r["range"]: r["body"] for r in back.filter(pc.equal(back.column("kind"), kind)).to_pylist()}
+    told = back.filter(pc.equal(back.column("kind"), kind))
+    return dict(zip(told.column("range").to_pylist(), told.column("body").to_pylist(), strict=True))
 
 
 def _send(ranges: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
@@ -544,40 +573,48 @@ def _merge(ranges: int) -> Callable[[pa.Table], pa.Table]:
         if number >= ranges:
             answers = _window_answers(columns["common"], columns["low"], columns["high"])
         else:
-            runs = [Run(a, b) for a, b in zip(columns["common"], columns["rests"], strict=True)]
-            low, high = ([np.frombuffer(x, np.int64).tolist() for x in columns[c]] for c in ("low", "high"))
-            answers = _answers(runs, low, high)
-        return _table([(block, number, 1, bytes(body)) for block, body in zip(columns["block"], answers, strict=True) if body], _BACK_SCHEMA)
+            answers = _answers(list(zip(*(columns[c] for c in ("common", "rests", "low", "high")), strict=True)))
+        return _table([(block, number, 1, body) for block, body in zip(columns["block"], answers, strict=True) if body], _BACK_SCHEMA)
 
     return run
 
 
 _RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start: bigint, end: bigint>>"
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+_RESULT_SCHEMA = pa.schema([*[(c, pa.int64()) for c in ("doc_id", "n_bytes", "n_removed", "n_spans")], ("kept_sha256", pa.string()), ("spans", _SPANS)])
 
 
 def _apply(ranges: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     """Step 4: the result rows of a block."""
 
     def run(table: pa.Table, back: pa.Table) -> pa.Table:
-        out: list[list] = [[] for _ in range(6)]
-        if table.num_rows:
-            block = Block(table, ranges)
-            block.suffixes(_bodies(back, 0), _bodies(back, 2))
-            gone = block.removed(_bodies(back, 1))
-            out[0] = block.rows.column("doc_id").to_pylist()
-            for lo, hi in zip(block.offsets[:-1].tolist(), block.offsets[1:].tolist(), strict=True):
-                own = gone[lo:hi]
-                edges = np.flatnonzero(np.diff(np.concatenate([[0], own.view(np.int8), [0]]))).tolist()
-                kept = block.data[lo:hi][~own] if edges else block.data[lo:hi]
-                for column, value in zip(out[1:], (
-                    hi - lo, int(own.sum()), len(edges) // 2, sha256(kept.tobytes()).hexdigest(),
-                    [{"start": a, "end": b} for a, b in zip(edges[::2], edges[1::2], strict=True)],
-                ), strict=True):
-                    column.append(value)
-        kinds = [pa.int64()] * 4 + [pa.string(), _SPANS]
-        return pa.table([pa.array(c, k) for c, k in zip(out, kinds, strict=True)],
-                        names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
+        if not table.num_rows:
+            return _RESULT_SCHEMA.empty_table()
+        block = Block(table, ranges)
+        block.suffixes(_bodies(back, 0), _bodies(back, 2))
+        gone, bounds = block.removed(_bodies(back, 1)), block.offsets
+        # Removed runs end where documents do.
+        edge = np.ones(len(gone) + 1, bool)
+        edge[1:-1] = gone[1:] != gone[:-1]
+        edge[bounds] = True
+        edges = np.flatnonzero(edge)
+        starts, ends = edges[:-1][gone[edges[:-1]]], edges[1:][gone[edges[:-1]]]
+        runs = np.searchsorted(starts, bounds)
+        sums = np.append(0, np.cumsum(ends - starts))[runs]
+        hashes, whole = [], memoryview(block.data)
+        for lo, hi, a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), runs[:-1].tolist(), runs[1:].tolist(), strict=True):
+            made = sha256()
+            for start, end in zip(starts[a:b].tolist(), ends[a:b].tolist(), strict=True):
+                made.update(whole[lo:start])
+                lo = end
+            made.update(whole[lo:hi])
+            hashes.append(made.hexdigest())
+        own = np.repeat(bounds[:-1], np.diff(runs))
+        spans = pa.StructArray.from_arrays([pa.array(starts - own), pa.array(ends - own)], fields=list(_SPANS.value_type))
+        return pa.table([
+            block.rows.column("doc_id").combine_chunks(), pa.array(np.diff(bounds)), pa.array(np.diff(sums)), pa.array(np.diff(runs)),
+            pa.array(hashes, pa.string()), pa.ListArray.from_arrays(pa.array(runs, pa.int32()), spans),
+        ], schema=_RESULT_SCHEMA)
 
     return run
 
