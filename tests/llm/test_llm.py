@@ -629,7 +629,7 @@ def test_work_on_a_range_grows_with_its_bytes_and_not_with_blocks_or_calls():
             took.append(time.process_time() - began)
         return min(took)
 
-    assert seconds(800) < 10 * seconds(8)
+    assert seconds(800) < 4 * seconds(8)
 
 
 # ---------------------------------------------------------------- fingerprints
